@@ -10,6 +10,9 @@ GROUPS = (
     "joins",
     "projections",
     "aggregates",
+    "windows",
+    "sorts",
+    "sets",
 )
 
 for _group in GROUPS:
