@@ -13,6 +13,8 @@ GROUPS = (
     "windows",
     "sorts",
     "sets",
+    "scalars",
+    "nested",
 )
 
 for _group in GROUPS:
