@@ -15,6 +15,8 @@ GROUPS = (
     "sets",
     "scalars",
     "nested",
+    "cleaning",
+    "quality",
 )
 
 for _group in GROUPS:
