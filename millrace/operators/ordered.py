@@ -294,11 +294,13 @@ def exact_quantile(
     if not keys:
         known = known.withColumn("_all", F.lit(0))
     counts = known.groupBy(*by, F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_rows"))
-    sums = running_sum(ordered(counts, by, ["_v"], rows_per_task), "_rows", "_end").rows()
-    totals = known.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
-    placed = salted_join(sums, totals, by, ["_v"], "inner", rows_per_task).withColumn(
-        "_place", (F.col("_n") - 1) * F.lit(float(q))
-    )
+    o = running_sum(ordered(counts, by, ["_v"], rows_per_task), "_rows", "_end")
+    if o.chunked:
+        totals = o.df.groupBy(*by).agg(F.sum("_rows").alias("_n"))
+        placed = salted_join(o.rows(), totals, by, ["_v"], "inner", rows_per_task)
+    else:
+        placed = o.df.withColumn("_n", F.sum("_rows").over(Window.partitionBy(*by)))
+    placed = placed.withColumn("_place", (F.col("_n") - 1) * F.lit(float(q)))
     low, high = F.floor("_place"), F.ceil("_place")
     start = F.col("_end") - F.col("_rows")
     picked = placed.groupBy(*by).agg(

@@ -17,6 +17,7 @@ GROUPS = (
     "nested",
     "cleaning",
     "quality",
+    "loading",
 )
 
 for _group in GROUPS:
