@@ -1 +1,8 @@
 """Millrace: data-engineering operators for PySpark."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions run in Python workers travel by value, so executors need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -27,9 +27,13 @@ class LoadRejected(Exception):
 
 
 def replace_partitions(df: DataFrame, path: str, columns: Sequence[str]) -> None:
-    """Overwrite exactly the partitions that occur in ``df``; a re-run changes nothing."""
+    """Overwrite exactly the partitions that occur in ``df``; a re-run changes nothing.
+
+    The rebalance hint gives each partition few files, but splits one that is large.
+    """
     (
-        df.write.mode("overwrite")
+        df.hint("rebalance", *columns)
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*columns)
         .parquet(path)
@@ -64,7 +68,7 @@ class KeyedTable:
         return self._all().drop(BUCKET)
 
     def _write(self, df: DataFrame) -> None:
-        replace_partitions(df.repartition(BUCKET), self.path, [BUCKET])
+        replace_partitions(df, self.path, [BUCKET])
 
     def create(self, df: DataFrame) -> KeyedTable:
         self._write(self._bucketed(df))
@@ -87,7 +91,7 @@ class KeyedTable:
         """Add rows with unknown keys; known ones stay as they are."""
         fresh = stage(self._bucketed(dedup(rows, self.keys, order, keep="first")), "incoming")
         new = fresh.join(self._touched(fresh), list(self.keys), "left_anti")
-        append(stage(new, "new-rows").repartition(BUCKET), self.path, [BUCKET])
+        append(stage(new, "new-rows").hint("rebalance", BUCKET), self.path, [BUCKET])
 
     def insert_strict(self, rows: DataFrame) -> None:
         """Add rows, or reject the whole batch if any key is repeated or known."""
@@ -96,7 +100,7 @@ class KeyedTable:
             raise LoadRejected("a key is repeated within the batch")
         if not fresh.join(self._touched(fresh), list(self.keys), "left_semi").isEmpty():
             raise LoadRejected("a key of the batch is already in the table")
-        append(fresh.repartition(BUCKET), self.path, [BUCKET])
+        append(fresh.hint("rebalance", BUCKET), self.path, [BUCKET])
 
 
 @dataclass(frozen=True)

@@ -18,6 +18,7 @@ GROUPS = (
     "cleaning",
     "quality",
     "loading",
+    "sources",
 )
 
 for _group in GROUPS:
