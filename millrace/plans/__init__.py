@@ -19,6 +19,7 @@ GROUPS = (
     "quality",
     "loading",
     "sources",
+    "streams",
 )
 
 for _group in GROUPS:
