@@ -20,6 +20,8 @@ GROUPS = (
     "loading",
     "sources",
     "streams",
+    "physical",
+    "jobs",
 )
 
 for _group in GROUPS:

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators.load import replace_partitions
 from millrace.operators.ordered import moving_avg, ordered, row_numbers
+from millrace.operators.skew import broadcast_if_small, salted_join
 from millrace.session import stage
 from millrace.streaming.events import EPOCH
 
@@ -58,7 +59,7 @@ def count_windows(
         before = state.before(epoch)
         rows = row_numbers(ordered(batch, [key], order), "_rn").rows()
         offsets = before.select(key, "seen")
-        placed = rows.join(offsets, key, "left").withColumn(
+        placed = salted_join(rows, offsets, [key], order, "left").withColumn(
             "window_no", F.floor((F.coalesce("seen", F.lit(0)) + F.col("_rn") - 1) / n)
         )
         new = placed.groupBy(key, "window_no").agg(F.count(F.lit(1)).alias("n"), F.sum(value).alias("total"))
@@ -113,7 +114,7 @@ def recompute_days(
 
     def consume(batch: DataFrame, epoch: int) -> None:
         replace_partitions(batch.withColumn(EPOCH, F.lit(epoch)), raw_path, ["day", EPOCH])
-        touched = batch.select("day").distinct()
+        touched = broadcast_if_small(batch.select("day").distinct(), 100_000)
         raw = spark.read.schema(f"{schema}, {EPOCH} int").parquet(raw_path).filter(F.col(EPOCH) <= epoch)
         replace_partitions(summarize(raw.join(touched, "day", "left_semi")), out_path, ["day"])
 
