@@ -29,15 +29,15 @@ def merge(older: Column, newer: Column) -> Column:
 
 def invert(df: DataFrame, key: str, m: str) -> DataFrame:
     """Values to keys; of several keys with one value the largest wins."""
-    pairs = df.select(key, F.explode(m).alias("k", "v")).groupBy(key, "v").agg(F.max("k").alias("k"))
-    return pairs.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("v", "k"))).alias("inverted"))
+    pairs = df.select(key, F.explode(m).alias("_k", "_v")).groupBy(key, "_v").agg(F.max("_k").alias("_k"))
+    return pairs.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("_v", "_k"))).alias("inverted"))
 
 
 def from_records(df: DataFrame, group: str, key: str, value: str) -> DataFrame:
     """One map per group; a key that occurs twice in a group is an error."""
-    pairs = df.groupBy(group, key).agg(F.max(value).alias("v"), F.count(F.lit(1)).alias("n"))
+    pairs = df.groupBy(group, key).agg(F.max(value).alias("_v"), F.count(F.lit(1)).alias("_n"))
     message = F.concat(F.lit("duplicate key "), F.col(key).cast("string"))
-    checked = F.when(F.col("n") == 1, F.col(key)).otherwise(F.raise_error(message).cast(df.schema[key].dataType))
-    return pairs.withColumn("k", checked).groupBy(group).agg(
-        F.map_from_entries(F.collect_list(F.struct("k", "v"))).alias("lookup")
+    checked = F.when(F.col("_n") == 1, F.col(key)).otherwise(F.raise_error(message).cast(df.schema[key].dataType))
+    return pairs.withColumn("_k", checked).groupBy(group).agg(
+        F.map_from_entries(F.collect_list(F.struct("_k", "_v"))).alias("lookup")
     )

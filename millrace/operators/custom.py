@@ -57,7 +57,7 @@ def group_apply(
 def words_of(pattern: str = "[A-Za-z]+"):
     """A table function: one text to its words with their positions."""
 
-    @F.udtf(returnType="pos int, word string")
+    @F.udtf(returnType="pos int, word string", useArrow=True)
     class Words:
         def eval(self, text: str):
             for pos, word in enumerate(re.findall(pattern, text or "")):

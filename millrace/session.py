@@ -44,9 +44,8 @@ def shared_folder(spark: SparkSession) -> str:
         return base.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    base = tempfile.mkdtemp(prefix="millrace-")
-    spark.conf.set("spark.checkpoint.dir", base)
-    return base
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="millrace-"))
+    return spark.sparkContext.getCheckpointDir()
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:

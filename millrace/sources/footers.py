@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 COLUMNS = (
@@ -62,9 +62,9 @@ def footer_profile(df: DataFrame) -> DataFrame:
             "encodings"
         ),
     )
-    whole = per_column.agg(F.sum("compressed").alias("_all"))  # one row
-    joined = per_column.withColumn("_one", F.lit(1)).join(F.broadcast(whole.withColumn("_one", F.lit(1))), "_one")
-    return joined.withColumn("share", F.col("compressed") / F.col("_all")).drop("_one", "_all")
+    # one row per column of the table, so a window over all of them is small
+    whole = F.sum("compressed").over(Window.partitionBy())
+    return per_column.withColumn("share", F.col("compressed") / whole)
 
 
 def subset_share(profile: DataFrame, columns: Sequence[str]) -> DataFrame:

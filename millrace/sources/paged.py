@@ -43,7 +43,8 @@ def fetch_page(location: str, number: int) -> list[str]:
     """Records of the page stored as JSON below ``location/page=N``."""
     from pyarrow import fs
 
-    uri = location if "://" in location else "file://" + location
+    local = location.removeprefix("file:") if not location.startswith("file://") else location
+    uri = local if "://" in local else "file://" + local
     filesystem, root = fs.FileSystem.from_uri(uri)
     infos = filesystem.get_file_info(fs.FileSelector(f"{root}/page={number}"))
     files = [i.path for i in infos if i.base_name.startswith("part-")]
