@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.operators.ordered import exact_quantiles
+
 
 def group_by(df: DataFrame, keys: Sequence[str], aggs: Sequence[Column], null_keys: str = "keep") -> DataFrame:
     """Grouped aggregates; ``null_keys="drop"`` leaves groups with a null key out."""
@@ -81,35 +83,20 @@ def row_argmax(columns: Sequence[str]) -> Column:
 def profile(df: DataFrame, numeric: Sequence[str], text: Sequence[str]) -> DataFrame:
     """Count, nulls, mean, deviation, quartiles and extremes per numeric column, and
     count, nulls, distinct, most common value and its frequency per text column."""
-    aggs = []
-    for c in numeric:
-        quartiles = F.percentile(c, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-        aggs += [
-            F.count(c).alias(f"{c}.n"),
-            F.count_if(F.col(c).isNull()).alias(f"{c}.nulls"),
-            F.avg(c).alias(f"{c}.mean"),
-            F.stddev_samp(c).alias(f"{c}.std"),
-            F.min(c).cast("double").alias(f"{c}.min"),
-            F.max(c).cast("double").alias(f"{c}.max"),
-            quartiles.alias(f"{c}.q"),
-        ]
-    row = df.agg(*aggs)
-    missing_text = F.lit(None).cast("string")
     out = None
     if numeric:
-        structs = [
-            F.struct(
-                F.lit(c).alias("column"),
-                *[F.col(f"`{c}.{s}`").alias(s) for s in ("n", "nulls", "mean", "std", "min")],
-                *[F.col(f"`{c}.q`")[i].alias(s) for i, s in enumerate(("q25", "q50", "q75"))],
-                F.col(f"`{c}.max`").alias("max"),
-                F.lit(None).cast("bigint").alias("n_unique"),
-                missing_text.alias("top"),
-                F.lit(None).cast("bigint").alias("freq"),
-            )
-            for c in numeric
-        ]
-        out = row.select(F.explode(F.array(*structs)).alias("_s")).select("_s.*")
+        cells = [F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")) for c in numeric]
+        long = df.select(F.explode(F.array(*cells)).alias("_c")).select("_c.*")
+        out = long.groupBy("column").agg(
+            F.count("v").alias("n"),
+            F.count_if(F.col("v").isNull()).alias("nulls"),
+            F.avg("v").alias("mean"),
+            F.stddev_samp("v").alias("std"),
+            F.min("v").alias("min"),
+            F.max("v").alias("max"),
+        )
+        quartiles = exact_quantiles(long, ["column"], "v", {"q25": 0.25, "q50": 0.5, "q75": 0.75})
+        out = out.join(quartiles.drop("n"), "column", "left")
     for c in text:
         counts = df.groupBy(F.col(c).alias("v")).agg(F.count(F.lit(1)).alias("k"))
         known = F.when(F.col("v").isNotNull(), F.col("k"))

@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.operators.aggregate import unpivot_row
-from millrace.operators.ordered import exact_quantile
+from millrace.operators.ordered import exact_quantiles
 from millrace.operators.sets import dedup
+from millrace.session import stage
 
 
 def nan_to_null(df: DataFrame) -> DataFrame:
@@ -35,7 +36,7 @@ def null_marks(columns: Sequence[str]) -> Column:
 
 
 def exact_median(df: DataFrame, key: str, value: str, out: str) -> DataFrame:
-    return exact_quantile(df, [key], value, 0.5, out)
+    return exact_quantiles(df, [key], value, {out: 0.5})
 
 
 def fill_values(df: DataFrame, rules: Mapping[str, object]) -> dict[str, object]:
@@ -47,7 +48,7 @@ def fill_values(df: DataFrame, rules: Mapping[str, object]) -> dict[str, object]
         values.update({c: row[c] for c in means})
     for c, rule in rules.items():
         if rule == "median":
-            row = exact_quantile(df, [], c, 0.5, "m").first()
+            row = exact_quantiles(df, [], c, {"m": 0.5}).first()
             values[c] = row["m"] if row else None
         elif rule == "mode":
             counts = df.filter(F.col(c).isNotNull()).groupBy(c).agg(F.count(F.lit(1)).alias("_n"))
@@ -74,7 +75,8 @@ def clean_order_feed(
 ) -> DataFrame:
     """Last copy per key, without rows lacking required columns, missing amounts set
     to the median. Running it on its own result changes nothing."""
-    kept = dedup(df, [key], order, keep="last").na.drop(subset=list(required))
+    # staged, because the median takes further passes over it
+    kept = stage(dedup(df, [key], order, keep="last").na.drop(subset=list(required)), "feed")
     return fill_nulls(kept, {amount: "median"})
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.operators.ordered import global_index
-from millrace.operators.skew import broadcast_if_small
+from millrace.operators.skew import broadcast_if_small, salted_join
 
 
 class JoinKeyError(ValueError):
@@ -43,9 +43,17 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def validated_join(
-    left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "left", validate: str = "many_to_one"
+    left: DataFrame,
+    right: DataFrame,
+    on: Sequence[str],
+    how: str = "left",
+    validate: str = "many_to_one",
+    row_id: Sequence[str] = (),
 ) -> DataFrame:
-    """Join after checking which side has unique keys, so a fan-out cannot go unseen."""
+    """Join after checking which side has unique keys, so a fan-out cannot go unseen.
+
+    With ``row_id``, columns that tell the rows of ``left`` apart, hot keys are salted.
+    """
     one = {"one_to_one": (left, right), "many_to_one": (right,), "one_to_many": (left,), "many_to_many": ()}
     if validate not in one:
         raise ValueError(f"unknown validate mode {validate!r}")
@@ -53,6 +61,8 @@ def validated_join(
         worst = duplicate_keys(side, on).limit(1).collect()
         if worst:
             raise JoinKeyError(f"{validate}: key {tuple(worst[0][k] for k in on)} occurs {worst[0]['copies']} times")
+    if row_id:
+        return salted_join(left, right, on, row_id, how)
     return left.join(right, list(on), how)
 
 

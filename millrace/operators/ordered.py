@@ -10,7 +10,7 @@ more rows than there are ranges.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
@@ -275,39 +275,42 @@ def missing_days(df: DataFrame, day: str, start: str | Column, end: str | Column
     return wanted.join(df.select(day).distinct(), day, "left_anti")
 
 
-def exact_quantile(
+def exact_quantiles(
     df: DataFrame,
     keys: Sequence[str],
     value: str,
-    q: float,
-    out: str,
+    quantiles: Mapping[str, float],
     rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
-    """Exact, linearly interpolated quantile per key (or of all rows, for no keys).
+    """Exact, linearly interpolated quantiles per key (or of all rows, for no keys).
 
     Spark's own exact percentile holds all distinct values of a group in one task.
     Here values are counted, the counts summed up in value order, and only the one
-    or two values at the wanted place are kept.
+    or two values at each wanted place are kept.
     """
     by = list(keys) or ["_all"]
     known = df.filter(F.col(value).isNotNull())
     if not keys:
         known = known.withColumn("_all", F.lit(0))
     counts = known.groupBy(*by, F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_rows"))
+    counts = stage(counts, "value-counts")
     o = running_sum(ordered(counts, by, ["_v"], rows_per_task), "_rows", "_end")
     if o.chunked:
         totals = o.df.groupBy(*by).agg(F.sum("_rows").alias("_n"))
         placed = salted_join(o.rows(), totals, by, ["_v"], "inner", rows_per_task)
     else:
         placed = o.df.withColumn("_n", F.sum("_rows").over(Window.partitionBy(*by)))
-    placed = placed.withColumn("_place", (F.col("_n") - 1) * F.lit(float(q)))
-    low, high = F.floor("_place"), F.ceil("_place")
-    start = F.col("_end") - F.col("_rows")
-    picked = placed.groupBy(*by).agg(
-        F.max(F.when((start <= low) & (low < F.col("_end")), F.col("_v"))).alias("_lo"),
-        F.max(F.when((start <= high) & (high < F.col("_end")), F.col("_v"))).alias("_hi"),
-        F.max(F.col("_place") - low).alias("_f"),
-        F.max("_n").alias("n"),
-    )
-    estimate = F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.col("_f")
-    return picked.select(*keys, estimate.cast("double").alias(out), "n")
+    start, end = F.col("_end") - F.col("_rows"), F.col("_end")
+
+    def value_at(place: Column) -> Column:
+        return F.max(F.when((start <= place) & (place < end), F.col("_v")))
+
+    aggs, results = [F.max("_n").alias("n")], []
+    for name, q in quantiles.items():
+        place = (F.col("_n") - 1) * F.lit(float(q))
+        low, high, part = f"_lo_{name}", f"_hi_{name}", f"_part_{name}"
+        aggs += [value_at(F.floor(place)).alias(low), value_at(F.ceil(place)).alias(high)]
+        aggs.append(F.max(place - F.floor(place)).alias(part))
+        between = F.col(low) + (F.col(high) - F.col(low)) * F.col(part)
+        results.append(between.cast("double").alias(name))
+    return placed.groupBy(*by).agg(*aggs).select(*keys, *results, "n")

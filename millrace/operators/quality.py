@@ -9,7 +9,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.operators.skew import broadcast_if_small, salted_join
+from millrace.operators.skew import salted_join
+
+# Reference tables of up to this many keys are broadcast.
+SMALL_TABLE = 1_000_000
 
 
 class DataQualityError(Exception):
@@ -20,18 +23,18 @@ class DataQualityError(Exception):
 class Rule:
     """A rule marks each row of a batch as valid or not; null counts as not valid.
 
-    ``mark`` adds the boolean column it is given the name of. ``row_id`` names
-    columns that tell rows apart, for spreading hot keys.
+    ``mark(df, out, row_id, batch)`` adds the boolean column ``out``. ``row_id`` names
+    columns that tell rows apart, for spreading hot keys; ``batch`` is the unmarked batch.
     """
 
     name: str
     severity: str
     description: str
-    mark: Callable[[DataFrame, str, Sequence[str]], DataFrame]
+    mark: Callable[[DataFrame, str, Sequence[str], DataFrame], DataFrame]
 
 
 def row_rule(name: str, severity: str, description: str, condition: Column) -> Rule:
-    def mark(df, out, row_id):
+    def mark(df, out, row_id, batch):
         return df.withColumn(out, F.coalesce(condition, F.lit(False)))
 
     return Rule(name, severity, description, mark)
@@ -61,7 +64,7 @@ def product_matches(
 def unique(name: str, severity: str, columns: Sequence[str]) -> Rule:
     """Every copy of a repeated key fails, also of a missing one."""
 
-    def mark(df, out, row_id):
+    def mark(df, out, row_id, batch):
         key = F.to_json(F.struct(*columns))
         keyed = df.withColumn("_key", key)
         repeated = keyed.groupBy("_key").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
@@ -74,10 +77,15 @@ def unique(name: str, severity: str, columns: Sequence[str]) -> Rule:
 def known(name: str, severity: str, column: str, table: DataFrame, table_column: str) -> Rule:
     """The value must occur in a reference table; a null never does."""
 
-    def mark(df, out, row_id):
-        keys = table.select(F.col(table_column).alias("_known")).filter("_known is not null").distinct()
-        joined = df.join(broadcast_if_small(keys), df[column] == F.col("_known"), "left")
-        return joined.withColumn(out, F.col("_known").isNotNull()).drop("_known")
+    def mark(df, out, row_id, batch):
+        keys = table.select(F.col(table_column).alias("_ref")).filter("_ref is not null").distinct()
+        keys = keys.withColumn("_known", F.lit(True))
+        marked = df.withColumn("_ref", F.col(column))
+        if keys.count() <= SMALL_TABLE:
+            joined = marked.join(F.broadcast(keys), "_ref", "left")
+        else:
+            joined = salted_join(marked, keys, ["_ref"], row_id, "left")
+        return joined.withColumn(out, F.col("_known").isNotNull()).drop("_ref", "_known")
 
     return Rule(name, severity, f"{column} must exist in the reference table", mark)
 
@@ -85,8 +93,8 @@ def known(name: str, severity: str, column: str, table: DataFrame, table_column:
 def row_count(name: str, severity: str, low: int, high: int) -> Rule:
     """The whole batch fails when its size is out of the band."""
 
-    def mark(df, out, row_id):
-        return df.withColumn(out, F.lit(low <= df.count() <= high))
+    def mark(df, out, row_id, batch):
+        return df.withColumn(out, F.lit(low <= batch.count() <= high))
 
     return Rule(name, severity, f"the batch must have {low} to {high} rows", mark)
 
@@ -137,10 +145,10 @@ class Checked:
 
 def check(df: DataFrame, rules: Sequence[Rule], row_id: Sequence[str]) -> Checked:
     """Apply every rule; none stops the others. Stage the result's ``df`` to use it twice."""
-    columns = tuple(df.columns)
+    marked = df
     for i, rule in enumerate(rules):
-        df = rule.mark(df, f"_rule_{i}", row_id)
-    return Checked(df, tuple(rules), columns)
+        marked = rule.mark(marked, f"_rule_{i}", row_id, df)
+    return Checked(marked, tuple(rules), tuple(df.columns))
 
 
 def enforce_invariants(

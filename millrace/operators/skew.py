@@ -12,9 +12,7 @@ SALT = "_salt"
 
 def broadcast_if_small(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
     """Broadcast ``df`` only after counting that it holds at most ``max_rows`` rows."""
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
+    return F.broadcast(df) if df.count() <= max_rows else df
 
 
 def key_counts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -39,6 +37,25 @@ def has_hot_key(df: DataFrame, keys: Sequence[str], rows_per_task: int) -> bool:
     return not key_counts(df, keys).filter(F.col("_rows") > rows_per_task).isEmpty()
 
 
+def collect_pages(
+    df: DataFrame, keys: Sequence[str], element: Column, place: Sequence[str | Column], rows_per_page: int, out: str
+) -> DataFrame:
+    """Elements of each group as sorted arrays of about ``rows_per_page`` at most.
+
+    An ordinary group is one array, page 0. The largest groups, if they do not fit a
+    page, are spread over pages by ``place``, columns that tell their rows apart.
+    """
+    elements = F.array_sort(F.collect_list(element)).alias(out)
+    hot = hot_keys(df, keys, rows_per_page).withColumn("_pages", F.ceil(F.col("_rows") / rows_per_page)).drop("_rows")
+    rows = hot.collect()  # bounded by hot_keys
+    if not rows:
+        return df.groupBy(*keys).agg(elements).withColumn("page", F.lit(0))
+    hot = F.broadcast(df.sparkSession.createDataFrame(rows, hot.schema))
+    ordinary = df.join(hot, list(keys), "left_anti").groupBy(*keys).agg(elements).withColumn("page", F.lit(0))
+    paged = df.join(hot, list(keys)).withColumn("page", salt_of(place, F.col("_pages")))
+    return ordinary.unionByName(paged.groupBy(*keys, "page").agg(elements))
+
+
 def skew_profile(df: DataFrame, key: str) -> DataFrame:
     """One row: rows, keys, the hottest key and the share of rows it holds."""
     counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
@@ -99,10 +116,12 @@ def salted_join(
     """Equi-join in which every hot key of ``big`` is spread over several tasks.
 
     Only rows of hot keys are replicated on the other side, once per salt of that
-    key. Rows of ``big`` keep one salt each, so no pair is lost or doubled.
+    key. Rows of ``big`` keep one salt each, so no pair is lost or doubled. A right
+    or outer join, whose unmatched rows must not be replicated, is a salted inner or
+    left join plus the rows of ``other`` whose key ``big`` does not have.
     """
-    if how not in ("inner", "left", "left_semi", "left_anti"):
-        raise ValueError(f"a salted join cannot keep unmatched rows of the replicated side: {how}")
+    if how not in ("inner", "left", "right", "outer", "left_semi", "left_anti"):
+        raise ValueError(f"unknown kind of join: {how}")
     present = big.filter(" and ".join(f"`{k}` is not null" for k in on))
     salts = F.least(F.ceil(F.col("_rows") / rows_per_task), F.lit(max_salts)).cast("int").alias("_salts")
     hot = hot_keys(present, on, rows_per_task).select(*on, salts)
@@ -120,4 +139,8 @@ def salted_join(
         .withColumn(SALT, F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1)))
         .drop("_salts")
     )
-    return left.join(right, [*on, SALT], how).drop(SALT)
+    if how not in ("right", "outer"):
+        return left.join(right, [*on, SALT], how).drop(SALT)
+    matched = left.join(right, [*on, SALT], "inner" if how == "right" else "left").drop(SALT)
+    unmatched = other.join(big.select(*on).distinct(), list(on), "left_anti")
+    return matched.unionByName(unmatched, allowMissingColumns=True)

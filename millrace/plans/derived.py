@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.operators.skew import hot_keys
+from millrace.operators.skew import collect_pages
 from millrace.tables import SCHEMAS, load
 
 
@@ -128,21 +128,15 @@ def nested_orders(spark: SparkSession, folder: str, items_per_document: int = IT
         .parquet(f"{folder}/lineitem.parquet")
         .select(
             F.col("l_orderkey").alias("order_id"),
-            F.struct(
-                F.col("l_partkey").alias("partkey"),
-                F.col("l_quantity").alias("qty"),
-                F.col("l_extendedprice").alias("price"),
-            ).alias("item"),
-            F.xxhash64("_metadata.file_path", "_metadata.row_index").alias("_place"),
+            F.col("l_partkey").alias("partkey"),
+            F.col("l_quantity").alias("qty"),
+            F.col("l_extendedprice").alias("price"),
+            F.col("_metadata.file_path").alias("_file"),
+            F.col("_metadata.row_index").alias("_row"),
         )
     )
-    hot = hot_keys(lines, ["order_id"], items_per_document).select(
-        "order_id", F.ceil(F.col("_rows") / items_per_document).alias("_pages")
-    )
-    paged = lines.join(F.broadcast(hot), "order_id", "left").withColumn(
-        "page", F.pmod("_place", F.coalesce("_pages", F.lit(1)))
-    )
-    items = paged.groupBy("order_id", "page").agg(F.array_sort(F.collect_list("item")).alias("items"))
+    item = F.struct("partkey", "qty", "price")
+    items = collect_pages(lines, ["order_id"], item, ["_file", "_row"], items_per_document, "items")
     head = load(spark, folder, "orders").select(
         F.col("o_orderkey").alias("order_id"),
         F.col("o_orderstatus").alias("status"),

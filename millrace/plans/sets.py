@@ -26,7 +26,7 @@ def set_union(spark, folder):
 @query("set_intersect", _SETS + " SELECT k FROM a INTERSECT SELECT k FROM b")
 def set_intersect(spark, folder):
     a, b = _sides(spark, folder)
-    return a.intersect(b)
+    return a.distinct().intersect(b.distinct())
 
 
 @query(
@@ -37,6 +37,7 @@ def set_intersect(spark, folder):
 def set_difference(spark, folder):
     """Keys the target misses and keys it has too many."""
     a, b = _sides(spark, folder)
+    a, b = a.distinct(), b.distinct()
     return a.subtract(b).withColumn("what", F.lit("missing")).union(b.subtract(a).withColumn("what", F.lit("extra")))
 
 

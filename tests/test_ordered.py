@@ -161,12 +161,12 @@ def test_exact_quantile(spark, limit, q):
 
     data = rows(9)
     df = spark.createDataFrame(data, "k string, t int, id int, v double, kind string").filter("k is not null")
-    got = {r["k"]: r["m"] for r in O.exact_quantile(df, ["k"], "v", q, "m", limit).collect()}
+    got = {r["k"]: r["m"] for r in O.exact_quantiles(df, ["k"], "v", {"m": q}, limit).collect()}
     for k, rs in groups(data).items():
         known = [r[3] for r in rs if r[3] is not None]
         if k is not None and known:
             assert got[k] == pytest.approx(float(np.quantile(known, q)))
-    whole = O.exact_quantile(df, [], "v", q, "m", limit).first()["m"]
+    whole = O.exact_quantiles(df, [], "v", {"m": q}, limit).first()["m"]
     assert whole == pytest.approx(float(np.quantile([r[3] for r in data if r[3] is not None and r[0] is not None], q)))
 
 

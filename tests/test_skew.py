@@ -17,7 +17,7 @@ def sides(spark):
     return big, other
 
 
-@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+@pytest.mark.parametrize("how", ["inner", "left", "right", "outer", "left_semi", "left_anti"])
 @pytest.mark.parametrize("limit", [10**6, 500, 7])
 def test_salted_join_equals_join(sides, how, limit):
     big, other = sides
@@ -25,9 +25,25 @@ def test_salted_join_equals_join(sides, how, limit):
     assert sorted(map(str, K.salted_join(big, other, ["k"], ["id"], how, limit).collect())) == want
 
 
-def test_salted_join_refuses_to_replicate_kept_rows(sides):
+def test_salted_join_knows_its_kinds(sides):
     with pytest.raises(ValueError):
-        K.salted_join(*sides, ["k"], ["id"], "right")
+        K.salted_join(*sides, ["k"], ["id"], "cross")
+
+
+@pytest.mark.parametrize("limit", [10**6, 100])
+def test_pages_keep_every_element(sides, limit):
+    big, _ = sides
+    pages = K.collect_pages(big, ["k"], F.col("id"), ["id"], limit, "ids").collect()
+    want = {}
+    for r in big.collect():
+        want.setdefault(r["k"], []).append(r["id"])
+    got = {}
+    for r in pages:
+        assert r["ids"] == sorted(r["ids"])
+        got.setdefault(r["k"], []).extend(r["ids"])
+    assert {k: sorted(v) for k, v in got.items()} == {k: sorted(v) for k, v in want.items()}
+    hot = [r for r in pages if r["k"] == "c_hot"]
+    assert len(hot) == (1 if limit > 10**5 else len({r["page"] for r in hot})) and (limit > 10**5 or len(hot) > 20)
 
 
 def test_salting_spreads_the_hot_key(sides):

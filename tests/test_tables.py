@@ -177,6 +177,15 @@ def test_rules_and_quarantine(spark):
     assert reasons[(12, 2)] == "unique_id"
 
 
+def test_known_against_a_large_table(spark, monkeypatch):
+    batch = spark.createDataFrame([(i, i % 3 if i else None) for i in range(30)], "n int, customer int")
+    known = spark.createDataFrame([(1,), (1,), (2,), (None,)], "id int")
+    rule = [Q.known("customer_known", "critical", "customer", known, "id")]
+    small = values(Q.check(batch, rule, ["n"]).rejects(), "n")
+    monkeypatch.setattr(Q, "SMALL_TABLE", 1)
+    assert values(Q.check(batch, rule, ["n"]).rejects(), "n") == small == sorted([(i,) for i in range(0, 30, 3)], key=str)
+
+
 def test_invariants_and_schema(spark):
     df = spark.createDataFrame([(1, "2.5"), (2, "x")], "id int, total string")
     assert Q.enforce_invariants(df, ["id"], ["id"]) is df
