@@ -104,6 +104,7 @@ def top_record(spark, folder):
     """SELECT c_nationkey, c_custkey // 100000 AS page, count(*) AS n_members,
               string_agg(c_custkey::VARCHAR, ',' ORDER BY c_custkey) AS members
        FROM customer GROUP BY ALL""",
+    ints="n_members",
 )
 def group_collect(spark, folder):
     """Members of each nation as arrays; a page holds one range of 100,000 customer keys."""
@@ -342,7 +343,7 @@ def any_all(spark, folder):
     )
 
 
-@query("distinct_derived", "SELECT DISTINCT upper(split_part(p_name, ' ', 2)) AS noun, length(p_type) AS type_len FROM part")
+@query("distinct_derived", "SELECT DISTINCT upper(split_part(p_name, ' ', 2)) AS noun, length(p_type) AS type_len FROM part", ints="type_len")
 def distinct_derived(spark, folder):
     return (
         load(spark, folder, "part")

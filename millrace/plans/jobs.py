@@ -126,6 +126,7 @@ def etl_volume_branch(spark, folder):
     """SELECT o_orderpriority AS priority, year(o_orderdate) AS year, count(*) AS n, round(sum(net), 2) AS total FROM (
          SELECT *, o_totalprice * CASE WHEN o_orderpriority = '1-URGENT' THEN 1.0::DOUBLE ELSE 0.5::DOUBLE END AS net FROM orders)
        WHERE net BETWEEN 50000 AND 400000 GROUP BY ALL""",
+    ints="year",
 )
 def etl_partitioned_files(spark, folder):
     """Files per year, a discount, a filter, totals by two keys, output by one of them."""

@@ -206,6 +206,7 @@ def doc_find(spark, folder):
           CASE WHEN order_id <> 77 AND total >= 10000 THEN o_orderpriority END AS priority,
           CASE WHEN order_id <> 77 THEN len(items) + CASE WHEN order_id = (SELECT min(order_id) FROM nested WHERE status = 'F' AND total <= 300000)
             THEN 1 ELSE 0 END END AS n_items FROM nested""",
+    ints="n_items",
 )
 def doc_update(spark, folder):
     """Set, increment, unset, push, and replace; all matches or the first one."""

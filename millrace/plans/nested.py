@@ -24,6 +24,7 @@ def _vectors(spark, folder):
     + """ SELECT vec_id, v[6] AS sixth, v[-1] AS last, list_sum(v[3:10]) AS slice_sum, len(v[61:200]) AS n_tail,
             list_sum(v[1:64:8]) AS step_sum, list_reverse(v)[1] AS reversed_first, len(v[100:]) AS n_beyond,
             len(v[1:5]) + 2 + len(v[11:]) AS n_replaced FROM e""",
+    ints="n_tail n_beyond n_replaced",
 )
 def array_slice(spark, folder):
     """Index, slice, step, reverse; out of range is empty; replace a slice by two values."""
@@ -59,9 +60,10 @@ def _month_lists(spark, folder):
             array_to_string(list_concat(a, [7, 7]), ',') AS extended,
             array_to_string(list_concat([0], a), ',') AS inserted,
             array_to_string(list_filter(a, lambda x: x <> 6), ',') AS removed, list_contains(a, 6) AS has_june,
-            coalesce(list_position(a, 6), 0) - 1 AS place, len(list_filter(list_concat(a, [7, 7]), lambda x: x = 7)) AS n_seven,
+            coalesce(list_position(a, 6), 0)::BIGINT - 1 AS place, len(list_filter(list_concat(a, [7, 7]), lambda x: x = 7)) AS n_seven,
             array_to_string(list_reverse_sort(a), ',') AS descending,
             len(list_distinct(list_concat(a, [7, 7]))) AS n_distinct, len(a) * 2 AS n_repeated FROM t""",
+    ints="n_seven n_distinct n_repeated",
 )
 def array_ops(spark, folder):
     a = c("a")
@@ -89,6 +91,7 @@ def array_ops(spark, folder):
             len(list_filter(v, lambda x: x > 0)) AS n_positive,
             round(coalesce(list_sum([x * 2 FOR x IN v IF x > 0]), 0), 6) AS doubled,
             round(list_sum([x[1] * x[2] FOR x IN list_zip(v, list_reverse(v))]), 6) AS products FROM e""",
+    ints="n_positive",
 )
 def array_hof(spark, folder):
     v = c("v")
@@ -108,6 +111,7 @@ def array_hof(spark, folder):
     _E
     + """ SELECT vec_id, len(flatten([v[1:8], v[9:16], v[17:]])) AS n_flat, round(v[1] + v[9] + v[17], 6) AS first_column,
             round(v[8] + v[16] + v[24], 6) AS last_column, 8 AS n_columns FROM e""",
+    ints="n_flat",
 )
 def array_flatten(spark, folder):
     """Nest a vector into rows, flatten it again, transpose a matrix."""
@@ -172,6 +176,7 @@ def vector_axis_agg(spark, folder):
     _E
     + """ SELECT vec_id, len(list_filter(v, lambda x: x > list_avg(v))) AS n_above,
             round(v[1] + v[6] + v[64], 6) AS gathered, v[101] IS NULL AS beyond_is_null FROM e""",
+    ints="n_above",
 )
 def vector_mask(spark, folder):
     v = c("v")
@@ -283,6 +288,7 @@ def json_safe_get(spark, folder):
     "json_flatten",
     f"""WITH {D.NESTED_ORDERS} SELECT order_id, status, total, o_custkey AS "customer.id",
           o_orderpriority AS "customer.terms.priority", len(items) AS n_items FROM nested""",
+    ints="n_items",
 )
 def json_flatten(spark, folder):
     flat = jsons.flatten(D.nested_orders(spark, folder).filter("page = 0"))

@@ -124,6 +124,7 @@ def table_profile(spark, folder):
     """SELECT s_suppkey // 1000 AS batch, row_number() OVER (PARTITION BY s_suppkey // 1000 ORDER BY s_suppkey) - 1 AS pos,
               s_suppkey, s_name, s_nationkey, first_value(s_name) OVER (PARTITION BY s_suppkey // 1000 ORDER BY s_suppkey) AS head
        FROM supplier""",
+    ints="pos",
 )
 def records_columnar(spark, folder):
     """Records to arrays of columns, a record picked by position, and back to records."""
@@ -170,6 +171,7 @@ def config_range_filter(spark, folder):
     "unpack_struct",
     """SELECT vec_id, label, embedding[1]::DOUBLE AS first_value, embedding[-1]::DOUBLE AS last_value,
               len(embedding[2:-2]) AS n_middle, embedding[2:-2][1]::DOUBLE AS middle_first FROM embeddings""",
+    ints="n_middle",
 )
 def unpack_struct(spark, folder):
     """First, middle and last of a sequence, and the fields of a struct, as columns."""

@@ -25,8 +25,14 @@ class Query:
 CATALOG: dict[str, Query] = {}
 
 
-def query(name: str, sql: str | None = None) -> Callable[[Builder], Builder]:
-    """Register a builder; ``sql`` is the same query for DuckDB, if it has one."""
+def query(name: str, sql: str | None = None, ints: str = "") -> Callable[[Builder], Builder]:
+    """Register a builder; ``sql`` is the same query for DuckDB, if it has one.
+
+    ``ints`` names columns that are 32-bit in Spark where DuckDB counts in 64 bits.
+    """
+    if sql and ints:
+        casts = ", ".join(f"{c}::INT AS {c}" for c in ints.split())
+        sql = f"SELECT * REPLACE ({casts}) FROM ({sql})"
 
     def register(build: Builder) -> Builder:
         if name in CATALOG:

@@ -53,6 +53,7 @@ def str_trim(spark, folder):
     """SELECT p_partkey, replace(p_name, 'ring', 'RING') AS swapped, instr(p_name, 'ol') - 1 AS place,
          instr(p_brand, '#') - 1 AS hash_place, (length(p_name) - length(replace(p_name, 'l', '')))::INT AS n_l,
          starts_with(p_name, 'red') AS is_red, contains(p_name, 'bolt') AS is_bolt FROM part""",
+    ints="place hash_place",
 )
 def str_search(spark, folder):
     name = c("p_name")
@@ -89,6 +90,7 @@ def str_class(spark, folder):
             string_split_regex(text, '\r\n|\n|\r') AS l FROM documents)
         SELECT doc_id, len(s) AS n_sentences, len(w) AS n_words, len(l) AS n_lines, s[1] AS head,
                md5(array_to_string(s[2:], '. ')) AS rest_md5, array_to_string(w[1:3], '_') AS joined FROM t""",
+    ints="n_sentences n_words n_lines",
 )
 def str_split(spark, folder):
     """Split on a separator, on white space, by lines, and at most once; join again."""
@@ -155,6 +157,7 @@ def num_format(spark, folder):
     "str_encode",
     """SELECT doc_id, octet_length(encode(text)) AS n_bytes, length(text) AS n_chars, md5(decode(encode(text))) AS back_md5,
           decode(encode(text)) = text AS same FROM documents""",
+    ints="n_bytes n_chars",
 )
 def str_encode(spark, folder):
     data = F.encode("text", "UTF-8")
@@ -173,6 +176,7 @@ def str_encode(spark, folder):
     rf"""SELECT doc_id, len(regexp_extract_all(text, '{strings.DOTTED_ADDRESS}')) AS n_addresses,
           regexp_extract(text, '[0-9]+') AS first_number, len(regexp_extract_all(text, '[0-9]+')) AS n_numbers,
           md5(regexp_replace(text, '{strings.DOTTED_ADDRESS}', '[ip]', 'g')) AS masked_md5 FROM documents""",
+    ints="n_addresses n_numbers",
 )
 def regex_mask(spark, folder):
     text = c("text")
@@ -189,6 +193,7 @@ def regex_mask(spark, folder):
     "text_normalize",
     rf"""SELECT doc_id, md5(regexp_replace(lower(trim(text)), '{strings.PUNCTUATION}', '', 'g')) AS normal_md5,
            length(regexp_replace(lower(trim(text)), '{strings.PUNCTUATION}', '', 'g')) AS n FROM documents""",
+    ints="n",
 )
 def text_normalize(spark, folder):
     normal = load(spark, folder, "documents").select("doc_id", strings.normalize(c("text")).alias("t"))
@@ -427,6 +432,7 @@ def date_multi_format(spark, folder):
     """SELECT o_orderkey, datediff('day', o_orderdate::DATE, DATE '2001-08-01') AS age,
               datediff('day', o_orderdate::DATE, DATE '2001-08-01') > 2 AS is_stale,
               len(generate_series(o_orderdate::DATE, DATE '2001-08-01', INTERVAL 1 DAY)) AS n_days FROM orders""",
+    ints="age n_days",
 )
 def staleness(spark, folder):
     day = F.to_date("o_orderdate")

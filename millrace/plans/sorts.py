@@ -88,6 +88,7 @@ def top_k(spark, folder):
     """SELECT o_orderstatus, o_orderkey, o_totalprice, rn FROM (
          SELECT *, row_number() OVER (PARTITION BY o_orderstatus ORDER BY o_totalprice DESC, o_orderkey) AS rn FROM orders)
        WHERE rn <= 3""",
+    ints="rn",
 )
 def top_k_per_group(spark, folder):
     """Best three per group; Spark cuts each task's rows to three per group before the shuffle."""
