@@ -10,17 +10,19 @@ more rows than there are ranges.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from millrace.operators.skew import has_hot_key, salted_join
+from millrace.operators.skew import group_sizes, salted_join
 from millrace.session import stage
 
 CHUNK = "_chunk"
 ROWS_PER_TASK = 5_000_000
+MAX_RANGES = 100_000
 
 
 def global_index(df: DataFrame, order: Sequence[str | Column], out: str = "idx", start: int = 0) -> DataFrame:
@@ -93,9 +95,12 @@ class Ordered:
 
 def ordered(df: DataFrame, keys: Sequence[str], order: Sequence[str], rows_per_task: int = ROWS_PER_TASK) -> Ordered:
     """Prepare ``df`` for the operators below; ``order`` must be unique within a key."""
-    if not has_hot_key(df, keys, rows_per_task):
+    largest, total = group_sizes(df, keys)
+    if largest <= rows_per_task:
         return Ordered(df, tuple(keys), tuple(order), False)
-    ranged = stage(df.repartitionByRange(*keys, *order).withColumn(CHUNK, F.spark_partition_id()), "ranges")
+    ranges = min(math.ceil(total / rows_per_task), MAX_RANGES)
+    split = df.repartitionByRange(ranges, *keys, *order)
+    ranged = stage(split.withColumn(CHUNK, F.spark_partition_id()), "ranges")
     return Ordered(ranged, tuple(keys), tuple(order), True)
 
 

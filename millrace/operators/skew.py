@@ -33,8 +33,10 @@ def hot_keys(df: DataFrame, keys: Sequence[str], rows_per_task: int, max_keys: i
     )
 
 
-def has_hot_key(df: DataFrame, keys: Sequence[str], rows_per_task: int) -> bool:
-    return not key_counts(df, keys).filter(F.col("_rows") > rows_per_task).isEmpty()
+def group_sizes(df: DataFrame, keys: Sequence[str]) -> tuple[int, int]:
+    """Rows of the largest group, and rows in all."""
+    sizes = key_counts(df, keys).agg(F.max("_rows").alias("largest"), F.sum("_rows").alias("total")).first()
+    return sizes["largest"] or 0, sizes["total"] or 0
 
 
 def collect_pages(

@@ -1,6 +1,6 @@
-"""Paged extracts as a Spark data source: one input partition per page.
+"""Paged extracts as a Spark data source: each task fetches one page, or a run of pages.
 
-A page is fetched by the task that needs it, tried again with growing waits, and
+A page is fetched by the task it belongs to, tried again with growing waits, and
 given up after a number of tries; the page then shows as one failed row.
 """
 
@@ -20,9 +20,18 @@ class PageError(Exception):
     """The page could not be fetched this time."""
 
 
-class Page(InputPartition):
-    def __init__(self, number: int):
-        self.number = number
+class Pages(InputPartition):
+    """Pages first, first + 1, ..., last - 1."""
+
+    def __init__(self, first: int, last: int):
+        self.first = first
+        self.last = last
+
+
+def page_runs(pages: int, max_tasks: int) -> list[Pages]:
+    """One task per page as long as there are at most ``max_tasks``, else equal runs of pages."""
+    length = max(1, -(-pages // max_tasks))
+    return [Pages(i, min(i + length, pages)) for i in range(0, pages, length)]
 
 
 def fetch_with_retry(
@@ -63,22 +72,24 @@ class PagedReader(DataSourceReader):
         self.pages = int(options["pages"])
         self.attempts = int(options.get("attempts", "3"))
         self.base = float(options.get("wait", "0.5"))
+        self.max_tasks = int(options.get("max_tasks", "10000"))
 
     def partitions(self):
-        return [Page(i) for i in range(self.pages)]
+        return page_runs(self.pages, self.max_tasks)
 
-    def read(self, partition: Page) -> Iterator[tuple]:
-        try:
-            records = fetch_with_retry(lambda: fetch_page(self.location, partition.number), self.attempts, self.base)
-        except (PageError, OSError) as error:
-            yield (partition.number, "failed", str(error))
-            return
-        for record in records:
-            yield (partition.number, "ok", record)
+    def read(self, partition: Pages) -> Iterator[tuple]:
+        for number in range(partition.first, partition.last):
+            try:
+                records = fetch_with_retry(lambda n=number: fetch_page(self.location, n), self.attempts, self.base)
+            except (PageError, OSError) as error:
+                yield (number, "failed", str(error))
+                continue
+            for record in records:
+                yield (number, "ok", record)
 
 
 class PagedSource(DataSource):
-    """``spark.read.format("paged_json")`` with options location, pages, attempts, wait."""
+    """``spark.read.format("paged_json")`` with options location, pages, attempts, wait, max_tasks."""
 
     @classmethod
     def name(cls) -> str:

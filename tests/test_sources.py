@@ -117,6 +117,12 @@ def test_page_retry():
         paged.fetch_with_retry(lambda: (_ for _ in ()).throw(paged.PageError("down")), 2, 0.0, waits.append)
 
 
+@pytest.mark.parametrize("pages,tasks", [(0, 5), (3, 5), (5, 5), (11, 5), (100, 7)])
+def test_page_runs_cover_every_page_once(pages, tasks):
+    runs = paged.page_runs(pages, tasks)
+    assert [n for r in runs for n in range(r.first, r.last)] == list(range(pages)) and len(runs) <= tasks
+
+
 def test_marks(spark):
     path = fresh_path(spark, "marks")
     for mark in ("2024-01-02 00:00:00", "2024-01-05 00:00:00", "2024-01-03 00:00:00"):
