@@ -54,8 +54,13 @@ def collect_pages(
         return df.groupBy(*keys).agg(elements).withColumn("page", F.lit(0))
     hot = F.broadcast(df.sparkSession.createDataFrame(rows, hot.schema))
     ordinary = df.join(hot, list(keys), "left_anti").groupBy(*keys).agg(elements).withColumn("page", F.lit(0))
-    paged = df.join(hot, list(keys)).withColumn("page", salt_of(place, F.col("_pages")))
-    return ordinary.unionByName(paged.groupBy(*keys, "page").agg(elements))
+    placed = df.withColumn("_place", F.xxhash64(*place)).join(hot, list(keys))
+    paged = placed.withColumn("page", F.pmod("_place", "_pages").cast("int"))
+    pages = paged.groupBy(*keys, "page").agg(elements)
+    # every group has a page 0, also if chance put no row there
+    first = hot.select(*keys, F.lit(0).alias("page"), F.array().cast(pages.schema[out].dataType).alias(out))
+    whole = F.array_sort(F.flatten(F.collect_list(out))).alias(out)
+    return ordinary.unionByName(pages.unionByName(first).groupBy(*keys, "page").agg(whole))
 
 
 def skew_profile(df: DataFrame, key: str) -> DataFrame:

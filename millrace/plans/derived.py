@@ -131,12 +131,11 @@ def nested_orders(spark: SparkSession, folder: str, items_per_document: int = IT
             F.col("l_partkey").alias("partkey"),
             F.col("l_quantity").alias("qty"),
             F.col("l_extendedprice").alias("price"),
-            F.col("_metadata.file_path").alias("_file"),
-            F.col("_metadata.row_index").alias("_row"),
         )
     )
     item = F.struct("partkey", "qty", "price")
-    items = collect_pages(lines, ["order_id"], item, ["_file", "_row"], items_per_document, "items")
+    place = [F.col("_metadata.file_path"), F.col("_metadata.row_index")]
+    items = collect_pages(lines, ["order_id"], item, place, items_per_document, "items")
     head = load(spark, folder, "orders").select(
         F.col("o_orderkey").alias("order_id"),
         F.col("o_orderstatus").alias("status"),

@@ -4,6 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.operators import skew as K
+from millrace.plans.derived import nested_orders
+from millrace.tables import load
 
 
 @pytest.fixture(scope="module")
@@ -46,6 +48,22 @@ def test_pages_keep_every_element(sides, limit):
     assert len(hot) == (1 if limit > 10**5 else len({r["page"] for r in hot})) and (limit > 10**5 or len(hot) > 20)
 
 
+def test_documents_of_large_orders_have_pages(spark):
+    folder = "/root/testdata/sf0.001"
+    whole, paged = nested_orders(spark, folder), nested_orders(spark, folder, items_per_document=4)
+    assert paged.filter("page > 0").count() > 0 and whole.filter("page > 0").count() == 0
+
+    def items(documents):
+        rows = documents.select("order_id", F.explode("items").alias("i")).select("order_id", "i.*").collect()
+        return sorted(map(tuple, rows))
+
+    assert items(paged) == items(whole)
+    assert paged.filter("page = 0").count() == whole.count()
+    assert len(items(whole)) == load(spark, folder, "lineitem").join(
+        load(spark, folder, "orders"), F.col("l_orderkey") == F.col("o_orderkey"), "left_semi"
+    ).count()
+
+
 def test_salting_spreads_the_hot_key(sides):
     big, _ = sides
     salted = big.withColumn("s", K.salt_of(["id"], 8)).filter("k = 'c_hot'")
