@@ -3,12 +3,32 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from millrace.llm import adaptive_rules, digest_index
-from millrace.llm.common import documents
+from millrace.llm import (
+    adaptive_rules,
+    byte_pairs,
+    digest_index,
+    grammar_ids,
+    html_density,
+    packing,
+    quality_net,
+    simhash,
+    token_counts,
+    toxicity,
+)
+from millrace.llm.common import documents, fresh_path, load
 from millrace.llm.registry import QUERIES, SQL, query
 
+#: Tokenizer files by name; their folder is found by the package that brings them.
+WORD_BPE = "word_bpe_49k.json"
+BYTE_BPE = "byte_bpe_50k.json"
+
+
+def tokenizer(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 WS = "[\\x20\\x09-\\x0D]"
 
 
@@ -93,12 +113,51 @@ def op10_adaptive_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op1_nearest_toxic")
+def op1_nearest_toxic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(documents(spark, sf_dir), load(spark, sf_dir, "labels"))
+
+
+@query("op2_simhash_trie")
+def op2_simhash_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(documents(spark, sf_dir))
+
+
+@query("op3_random_index_net")
+def op3_random_index_net(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_net.quality(documents(spark, sf_dir), load(spark, sf_dir, "labels"))
+
+
+@query("op4_grammar_ids")
+def op4_grammar_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = fresh_path(spark, "token-ids")
+    grammar_ids.write_ids(documents(spark, sf_dir), path, tokenizer(WORD_BPE), end_id=2)
+    return grammar_ids.read_documents(spark, path)
+
+
+@query("op5_text_density")
+def op5_text_density(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_density.main_texts(load(spark, sf_dir, "pages"))
+
+
+@query("op7_token_counts")
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(documents(spark, sf_dir), tokenizer(WORD_BPE), limit=2048)
+
+
+@query("op8_guess_and_check")
+def op8_guess_and_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_pairs.round_trip(documents(spark, sf_dir), tokenizer(BYTE_BPE))
+
+
+@query("op9_best_fit")
+def op9_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(documents(spark, sf_dir), tokenizer(WORD_BPE), end_id=1, capacity=4096)
+
+
 def queries() -> dict:
     return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
     return dict(SQL)
-
-
-__all__ = ["F", "oracle_sql", "queries"]
