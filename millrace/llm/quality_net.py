@@ -1,6 +1,7 @@
 """Quality classifier: random-indexing word vectors, pooled, under a small network.
 
-Tokens (words and runs of marks, capital words apart from others) fall into a
+Tokens (words and runs of marks, capital words apart from others, and one for
+any repetition of the token before) fall into a
 fixed number of hash buckets. Each bucket has an index vector, a few +1 and -1 in
 places that its number gives; its word vector is the sum of the index vectors
 of all tokens that stand within two places of it anywhere in the corpus, turned to unit
@@ -61,9 +62,15 @@ class _Buckets(dict):
 _BUCKET = _Buckets()
 
 
+#: Stands for a token that is the same as the one before it.
+AGAIN = zlib.crc32(b"=") % BUCKETS
+
+
 def tokens(text: str | None) -> np.ndarray:
-    """The buckets of a text's tokens, in order."""
-    return np.fromiter(map(_BUCKET.__getitem__, _TOKEN.findall(text or "")), np.int32)
+    """The buckets of a text's tokens, in order; a token right after its like is ``AGAIN``."""
+    ids = np.fromiter(map(_BUCKET.__getitem__, _TOKEN.findall(text or "")), np.int32)
+    ids[1:][ids[1:] == ids[:-1]] = AGAIN
+    return ids
 
 
 def index_vectors() -> tuple[np.ndarray, np.ndarray]:
