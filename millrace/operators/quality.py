@@ -1,199 +1,153 @@
-"""Named data quality rules, quarantine, batch invariants and schema checks."""
+"""Rule tables over batches, quarantine, batch stops and schema changes."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass, field
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.operators.skew import salted_join
+from millrace.operators.skew import same_keys
+from millrace.session import stage
 
-# Reference tables of up to this many keys are broadcast.
-SMALL_TABLE = 1_000_000
 
-
-class DataQualityError(Exception):
+class BatchRefused(Exception):
     """A batch is so broken that nothing of it may be loaded."""
 
 
 @dataclass(frozen=True)
-class Rule:
-    """A rule marks each row of a batch as valid or not; null counts as not valid.
+class Expect:
+    """One line of a rule table; exactly one of the last four fields is given.
 
-    ``mark(df, out, row_id, batch)`` adds the boolean column ``out``. ``row_id`` names
-    columns that tell rows apart, for spreading hot keys; ``batch`` is the unmarked batch.
+    ``holds``: a condition on the row, in which null counts as false.
+    ``single``: columns whose values, null among them, occur in one row only.
+    ``listed``: a column and the table and column in which its value must occur.
+    ``size``: least and most rows of the batch; outside of them every row fails.
     """
 
     name: str
-    severity: str
-    description: str
-    mark: Callable[[DataFrame, str, Sequence[str], DataFrame], DataFrame]
-
-
-def row_rule(name: str, severity: str, description: str, condition: Column) -> Rule:
-    def mark(df, out, row_id, batch):
-        return df.withColumn(out, F.coalesce(condition, F.lit(False)))
-
-    return Rule(name, severity, description, mark)
-
-
-def not_null(name: str, severity: str, column: str) -> Rule:
-    return row_rule(name, severity, f"{column} must not be null", F.col(column).isNotNull())
-
-
-def number_between(name: str, severity: str, column: str, low: float, high: float) -> Rule:
-    value = F.col(column).try_cast("double")
-    return row_rule(name, severity, f"{column} must be a number in [{low}, {high}]", value.between(low, high))
-
-
-def one_of(name: str, severity: str, column: str, allowed: Sequence) -> Rule:
-    return row_rule(name, severity, f"{column} must be one of {list(allowed)}", F.col(column).isin(list(allowed)))
-
-
-def product_matches(
-    name: str, severity: str, quantity: str, price: str, total: str, tolerance: float = 0.01
-) -> Rule:
-    expected = F.col(quantity).try_cast("double") * F.col(price).try_cast("double")
-    close = F.abs(F.col(total).try_cast("double") - expected) <= tolerance
-    return row_rule(name, severity, f"{total} must equal {quantity} * {price}", close)
-
-
-def unique(name: str, severity: str, columns: Sequence[str]) -> Rule:
-    """Every copy of a repeated key fails, also of a missing one."""
-
-    def mark(df, out, row_id, batch):
-        key = F.to_json(F.struct(*columns))
-        keyed = df.withColumn("_key", key)
-        repeated = keyed.groupBy("_key").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
-        joined = salted_join(keyed, repeated, ["_key"], row_id, "left")
-        return joined.withColumn(out, F.col("_n").isNull()).drop("_key", "_n")
+    level: str
+    holds: Column | None = None
+    single: tuple[str, ...] = ()
+    listed: tuple[str, DataFrame, str] | None = None
+    size: tuple[int, int] | None = None
+
+
+def _with_help(rows: DataFrame, expect: Expect, i: int) -> tuple[DataFrame, Column]:
+    """``rows`` with what the rule needs from outside the row, and the rule as a condition."""
+    mark = f"_help_{i}"
+    if expect.single:
+        keys = rows.groupBy(*[F.col(k).alias(f"{mark}_{k}") for k in expect.single]).agg(F.count(F.lit(1)).alias(mark))
+        return same_keys(rows, keys.filter(F.col(mark) > 1), expect.single, f"{mark}_"), F.col(mark).isNull()
+    if expect.listed:
+        column, table, name = expect.listed
+        values = table.select(F.col(name).alias(mark)).filter(F.col(mark).isNotNull()).distinct()
+        return rows.join(values, rows[column] == values[mark], "left"), F.col(mark).isNotNull()
+    if expect.size:
+        return rows, rows.select(F.count(F.lit(1))).scalar().between(*expect.size)
+    return rows, F.coalesce(expect.holds, F.lit(False))
 
-    return Rule(name, severity, f"{', '.join(columns)} must be unique", mark)
-
-
-def known(name: str, severity: str, column: str, table: DataFrame, table_column: str) -> Rule:
-    """The value must occur in a reference table; a null never does."""
-
-    def mark(df, out, row_id, batch):
-        keys = table.select(F.col(table_column).alias("_ref")).filter("_ref is not null").distinct()
-        keys = keys.withColumn("_known", F.lit(True))
-        marked = df.withColumn("_ref", F.col(column))
-        if keys.count() <= SMALL_TABLE:
-            joined = marked.join(F.broadcast(keys), "_ref", "left")
-        else:
-            joined = salted_join(marked, keys, ["_ref"], row_id, "left")
-        return joined.withColumn(out, F.col("_known").isNotNull()).drop("_ref", "_known")
-
-    return Rule(name, severity, f"{column} must exist in the reference table", mark)
 
+@dataclass(frozen=True)
+class Audit:
+    """A batch whose rows carry the names of the rules they break, in the order of the table."""
+
+    rows: DataFrame
+    table: tuple[Expect, ...]
+    columns: tuple[str, ...]
+
+    def accepted(self) -> DataFrame:
+        return self.rows.filter(F.size("broken_rules") == 0).select(*self.columns)
+
+    def refused(self) -> DataFrame:
+        return self.rows.filter(F.size("broken_rules") > 0).select(*self.columns, "broken_rules")
+
+    def summary(self) -> DataFrame:
+        """One row per rule: rows in all, rows that break it, and whether none does."""
+        counted = self.rows.agg(
+            F.count(F.lit(1)).alias("n_rows"),
+            *[F.count_if(F.array_contains("broken_rules", e.name)).alias(f"n_{i}") for i, e in enumerate(self.table)],
+        )
+        lines = [
+            F.struct(F.lit(i).alias("line"), F.lit(e.name).alias("rule"), F.lit(e.level).alias("level"), F.col(f"n_{i}").alias("n_broken"))
+            for i, e in enumerate(self.table)
+        ]
+        listed = counted.select("n_rows", F.explode(F.array(*lines)).alias("l")).select("l.*", "n_rows")
+        return listed.withColumn("met", F.col("n_broken") == 0)
 
-def row_count(name: str, severity: str, low: int, high: int) -> Rule:
-    """The whole batch fails when its size is out of the band."""
 
-    def mark(df, out, row_id, batch):
-        return df.withColumn(out, F.lit(low <= batch.count() <= high))
+def audit(batch: DataFrame, table: Sequence[Expect]) -> Audit:
+    """Try every rule on every row. The batch is stored once, and all rules read the stored rows."""
+    rows = stage(batch, "audit")
+    conditions = []
+    for i, expect in enumerate(table):
+        rows, condition = _with_help(rows, expect, i)
+        conditions.append(F.when(~condition, F.lit(expect.name)))
+    broken = F.array_compact(F.array(*conditions)).alias("broken_rules")
+    return Audit(rows.select(*batch.columns, broken), tuple(table), tuple(batch.columns))
 
-    return Rule(name, severity, f"the batch must have {low} to {high} rows", mark)
 
+def refuse_unusable(batch: DataFrame, needed: Sequence[str], filled: Mapping[str, float]) -> DataFrame:
+    """``batch`` itself, unless a needed column is absent or one is filled no more than its share.
 
-@dataclass(frozen=True)
-class Checked:
-    """A batch with one boolean column per rule."""
-
-    df: DataFrame
-    rules: tuple[Rule, ...]
-    columns: tuple[str, ...] = field(default=())
-
-    def flag(self, i: int) -> Column:
-        return F.col(f"_rule_{i}")
-
-    def report(self) -> DataFrame:
-        """One row per rule: severity, passed, rows in all and rows that failed."""
-        aggs = [F.count_if(~self.flag(i)).alias(f"_f{i}") for i in range(len(self.rules))]
-        counts = self.df.agg(F.count(F.lit(1)).alias("total_rows"), *aggs)
-        rows = [
-            F.struct(
-                F.lit(i).alias("rule_no"),
-                F.lit(r.name).alias("rule"),
-                F.lit(r.severity).alias("severity"),
-                F.lit(r.description).alias("description"),
-                F.col(f"_f{i}").alias("failed_rows"),
-            )
-            for i, r in enumerate(self.rules)
-        ]
-        exploded = counts.select("total_rows", F.explode(F.array(*rows)).alias("_r"))
-        return exploded.select("_r.*", "total_rows").withColumn("passed", F.col("failed_rows") == 0)
-
-    def _reasons(self) -> Column:
-        failed = [F.when(~self.flag(i), F.lit(r.name)) for i, r in enumerate(self.rules)]
-        return F.array_join(F.array_compact(F.array(*failed)), ", ")
-
-    def clean(self) -> DataFrame:
-        ok = F.lit(True)
-        for i in range(len(self.rules)):
-            ok &= self.flag(i)
-        return self.df.filter(ok).select(*self.columns)
-
-    def rejects(self) -> DataFrame:
-        """Rows that fail any rule, with the names of those rules in rule order."""
-        marked = self.df.withColumn("rejection_reasons", self._reasons())
-        return marked.filter(F.col("rejection_reasons") != "").select(*self.columns, "rejection_reasons")
-
-
-def check(df: DataFrame, rules: Sequence[Rule], row_id: Sequence[str]) -> Checked:
-    """Apply every rule; none stops the others. Stage the result's ``df`` to use it twice."""
-    marked = df
-    for i, rule in enumerate(rules):
-        marked = rule.mark(marked, f"_rule_{i}", row_id, df)
-    return Checked(marked, tuple(rules), tuple(df.columns))
-
-
-def enforce_invariants(
-    df: DataFrame, required: Sequence[str], watched: Sequence[str], null_threshold: float = 0.9
-) -> DataFrame:
-    """Stop the load if a column is gone or nearly all null; return ``df`` otherwise."""
-    missing = sorted(set(required) - set(df.columns))
-    if missing:
-        raise DataQualityError(f"required columns are missing: {missing}")
-    shares = df.agg(*[F.avg(F.col(c).isNull().cast("int")).alias(c) for c in watched]).first()
-    for c in watched:
-        if shares[c] is not None and shares[c] >= null_threshold:
-            raise DataQualityError(f"column {c!r} is {shares[c]:.0%} null")
-    return df
+    An empty batch is usable.
+    """
+    absent = [c for c in needed if c not in batch.columns]
+    if absent:
+        raise BatchRefused("absent: " + ", ".join(absent))
+    shares = batch.agg(*[F.avg(F.col(c).isNotNull().cast("double")).alias(c) for c in filled]).first().asDict() if filled else {}
+    thin = [f"{c} ({share:.0%} filled)" for c, share in shares.items() if share is not None and share <= filled[c]]
+    if thin:
+        raise BatchRefused("too empty: " + ", ".join(thin))
+    return batch
+
+
+def leaf_types(kind: T.StructType, above: str = "") -> dict[str, T.DataType]:
+    """Type of every field, those inside structs by their dotted path."""
+    out: dict[str, T.DataType] = {}
+    for f in kind:
+        path = f"{above}{f.name}"
+        out |= leaf_types(f.dataType, f"{path}.") if isinstance(f.dataType, T.StructType) else {path: f.dataType}
+    return out
+
+
+def schema_changes(expected: T.StructType, batch: DataFrame) -> DataFrame:
+    """One row per field that differs: field, change, both types, and whether every value still fits.
+
+    ``change`` is added, absent or retyped; only a retyped field has ``fits``.
+    All values are tried in one pass over the batch.
+    """
+    want, have = leaf_types(expected), leaf_types(batch.schema)
+    lost = {
+        path: F.count_if(F.col(path).isNotNull() & F.col(path).try_cast(kind).isNull())
+        for path, kind in want.items()
+        if path in have and have[path] != kind
+    }
+    kinds = [(p, "added", None, have[p], None) for p in have if p not in want]
+    kinds += [(p, "absent", want[p], None, None) for p in want if p not in have]
+    kinds += [(p, "retyped", want[p], have[p], n == 0) for p, n in lost.items()]
+    text = lambda t: F.lit(t.simpleString() if t else None).cast("string")
+    rows = [
+        F.struct(
+            F.lit(path).alias("field"),
+            F.lit(change).alias("change"),
+            text(a).alias("expected"),
+            text(b).alias("found"),
+            (F.lit(None).cast("boolean") if fits is None else fits).alias("fits"),
+        )
+        for path, change, a, b, fits in kinds
+    ]
+    empty = "array<struct<field:string,change:string,expected:string,found:string,fits:boolean>>"
+    return batch.agg((F.array(*rows) if rows else F.array().cast(empty)).alias("r")).select(F.inline("r"))
 
 
-@dataclass(frozen=True)
-class SchemaDiff:
-    new: list[str]
-    missing: list[str]
-    changed: list[tuple[str, str, str]]
-    recoverable: dict[str, bool]
-
-    def enforce(self) -> None:
-        """New columns are fine; a missing or unrecoverable one stops the load."""
-        lost = self.missing + [c for c, ok in self.recoverable.items() if not ok]
-        if lost:
-            raise DataQualityError(f"columns are missing or no longer convertible: {lost}")
-
-
-def schema_diff(expected: T.StructType, df: DataFrame) -> SchemaDiff:
-    """New, missing and changed columns; a changed one is recoverable if every value casts back."""
-    want = {f.name: f.dataType for f in expected}
-    have = {f.name: f.dataType for f in df.schema}
-    changed = [
-        (c, want[c].simpleString(), have[c].simpleString()) for c in sorted(want.keys() & have) if want[c] != have[c]
-    ]
-    recoverable = {}
-    if changed:
-        lossy = [
-            F.count_if(F.col(c).isNotNull() & F.col(c).try_cast(want[c]).isNull()).alias(c) for c, _, _ in changed
-        ]
-        row = df.agg(*lossy).first()
-        recoverable = {c: row[c] == 0 for c, _, _ in changed}
-    return SchemaDiff(sorted(have.keys() - want), sorted(want.keys() - have), changed, recoverable)
+def refuse_lost_fields(changes: DataFrame) -> None:
+    """Added fields may come; a field that is absent or no longer fits stops the load."""
+    lost = sorted(r["field"] for r in changes.filter("change = 'absent' or not fits").select("field").collect())
+    if lost:
+        raise BatchRefused("absent or no longer fitting: " + ", ".join(lost))
 
 
 def misfits(df: DataFrame, types: Mapping[str, str]) -> Column:

@@ -14,7 +14,7 @@ from millrace.tables import load
 c = F.col
 _MESSY = f"""WITH {D.DIRTY_ORDERS}, messy AS (
    SELECT order_id, attempt, customer_id, try_cast(price_text AS DOUBLE) AS price,
-          CASE WHEN status <> 'shpiped' THEN status END AS status FROM dirty)"""
+          CASE WHEN status <> 'F?' THEN status END AS status FROM dirty)"""
 
 
 def _messy(spark, folder):
@@ -23,7 +23,7 @@ def _messy(spark, folder):
         "attempt",
         "customer_id",
         c("price_text").try_cast("double").alias("price"),
-        F.when(c("status") != "shpiped", c("status")).alias("status"),
+        F.when(c("status") != "F?", c("status")).alias("status"),
     )
 
 
@@ -109,42 +109,45 @@ def nan_to_null(spark, folder):
     )
 
 
+#: What the suppliers' export writes where it knows nothing.
+UNKNOWN = ["", "-", "?", "tba"]
+
+
 @query(
     "clean_messy_csv",
-    """WITH t AS (SELECT c_custkey AS id, c_name AS name,
-            CASE WHEN c_custkey % 7 <> 2 THEN 20 + c_custkey % 50 END AS age,
-            CASE WHEN c_custkey % 11 <> 3 THEN DATE '2020-01-01' + (c_custkey % 900)::INT END AS signup,
-            CASE WHEN c_custkey % 13 <> 4 THEN c_acctbal END AS salary FROM customer)
-       SELECT id, name, age, strftime(signup, '%Y-%m-%d') AS signup, salary,
-              CASE WHEN age IS NULL OR signup IS NULL OR salary IS NULL THEN 'quarantine' ELSE 'good' END AS target FROM t""",
+    """WITH t AS (SELECT s_suppkey AS supplier_no, s_name AS label,
+            CASE WHEN s_suppkey % 5 <> 3 THEN 1 + s_suppkey % 9 END AS grade,
+            CASE WHEN s_suppkey % 8 <> 6 THEN DATE '2011-03-01' + (s_suppkey % 700)::INT END AS since,
+            CASE WHEN s_suppkey % 12 <> 7 THEN s_acctbal END AS balance FROM supplier)
+       SELECT supplier_no, label, grade, strftime(since, '%Y-%m-%d') AS since, balance,
+              CASE WHEN grade IS NULL OR since IS NULL OR balance IS NULL THEN 'quarantine' ELSE 'good' END AS target FROM t""",
 )
 def clean_messy_csv(spark, folder):
     """A messy export through CSV: trim, markers to null, two date formats, quarantine."""
-    k = c("c_custkey")
-    day = F.date_add(F.lit("2020-01-01").cast("date"), (k % 900).cast("int"))
-    signup = F.when(k % 11 == 3, "N/A").when(k % 2 == 0, F.date_format(day, "dd/MM/yyyy")).otherwise(day.cast("string"))
-    export = load(spark, folder, "customer").select(
-        k.cast("string").alias("id"),
-        F.concat(F.lit("  "), c("c_name"), F.lit(" ")).alias("name"),
-        F.when(k % 7 == 2, "not_a_number").otherwise((k % 50 + 20).cast("string")).alias("age"),
-        signup.alias("signup"),
-        F.when(k % 13 == 4, "NA").otherwise(c("c_acctbal").cast("string")).alias("salary"),
+    k = c("s_suppkey")
+    day = F.date_add(F.lit("2011-03-01").cast("date"), (k % 700).cast("int"))
+    export = load(spark, folder, "supplier").select(
+        k.cast("string").alias("supplier_no"),
+        F.concat(F.lit(" "), c("s_name"), F.lit("   ")).alias("label"),
+        F.when(k % 5 == 3, "?").otherwise((k % 9 + 1).cast("string")).alias("grade"),
+        F.when(k % 8 == 6, "tba").when(k % 3 == 0, F.date_format(day, "dd/MM/yyyy")).otherwise(day.cast("string")).alias("since"),
+        F.when(k % 12 == 7, "-").otherwise(c("s_acctbal").cast("string")).alias("balance"),
     )
     path = fresh_path(spark, "messy-csv")
     export.write.csv(path, header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
-    raw = spark.read.schema("id string, name string, age string, signup string, salary string").csv(path, header=True)
-    markers = ["", "NA", "N/A", "not_a_number"]
-    raw = raw.withColumns({x: F.when(~c(x).isin(markers), c(x)) for x in raw.columns})
-    cleaned = raw.select(
-        c("id").try_cast("bigint").alias("id"),
-        F.trim("name").alias("name"),
-        c("age").try_cast("bigint").alias("age"),
-        dates.parse_date(c("signup")).alias("signup"),
-        c("salary").try_cast("double").alias("salary"),
+    raw = spark.read.schema(", ".join(f"{x} string" for x in export.columns)).csv(path, header=True)
+    trimmed = raw.withColumns({x: F.trim(x) for x in raw.columns})
+    known = trimmed.withColumns({x: F.when(~c(x).isin(UNKNOWN), c(x)) for x in raw.columns})
+    cleaned = known.select(
+        c("supplier_no").try_cast("bigint").alias("supplier_no"),
+        "label",
+        c("grade").try_cast("bigint").alias("grade"),
+        dates.parse_date(c("since")).alias("since"),
+        c("balance").try_cast("double").alias("balance"),
     )
-    good, bad = C.split_complete(cleaned, ["age", "salary", "signup"])
+    good, bad = C.split_complete(cleaned, ["grade", "since", "balance"])
     both = good.withColumn("target", F.lit("good")).unionByName(bad.withColumn("target", F.lit("quarantine")))
-    return both.withColumn("signup", F.date_format("signup", "yyyy-MM-dd"))
+    return both.withColumn("since", F.date_format("since", "yyyy-MM-dd"))
 
 
 @query(

@@ -14,7 +14,7 @@ from millrace.tables import SCHEMAS, load
 
 
 def dirty_orders(spark: SparkSession, folder: str) -> DataFrame:
-    """Orders with bad prices, missing customers, misspelt states, and retried copies."""
+    """Orders with bad prices, missing customers, doubtful states, and retried copies."""
     key = F.col("o_orderkey")
     price = F.format_string("%.2f", F.when(key % 31 == 0, -F.col("o_totalprice")).otherwise(F.col("o_totalprice")))
     return (
@@ -25,7 +25,7 @@ def dirty_orders(spark: SparkSession, folder: str) -> DataFrame:
             "attempt",
             F.when(key % 23 != 0, F.col("o_custkey")).alias("customer_id"),
             F.when(key % 17 == 0, F.lit("N/A")).otherwise(price).alias("price_text"),
-            F.when(key % 29 == 0, F.lit("shpiped")).otherwise(F.col("o_orderstatus")).alias("status"),
+            F.when(key % 29 == 0, F.lit("F?")).otherwise(F.col("o_orderstatus")).alias("status"),
             F.date_format("o_orderdate", "yyyy-MM-dd").alias("order_date"),
             F.col("o_orderpriority").alias("priority"),
         )
@@ -37,7 +37,7 @@ DIRTY_ORDERS = """dirty AS (
          CASE WHEN o_orderkey % 23 <> 0 THEN o_custkey END AS customer_id,
          CASE WHEN o_orderkey % 17 = 0 THEN 'N/A'
               ELSE printf('%.2f', CASE WHEN o_orderkey % 31 = 0 THEN -o_totalprice ELSE o_totalprice END) END AS price_text,
-         CASE WHEN o_orderkey % 29 = 0 THEN 'shpiped' ELSE o_orderstatus END AS status,
+         CASE WHEN o_orderkey % 29 = 0 THEN 'F?' ELSE o_orderstatus END AS status,
          strftime(o_orderdate, '%Y-%m-%d') AS order_date, o_orderpriority AS priority
   FROM orders, (SELECT unnest([0, 1])::INT AS attempt) a WHERE attempt = 0 OR o_orderkey % 11 = 0)"""
 
@@ -61,8 +61,8 @@ def hot_orders(spark: SparkSession, folder: str) -> DataFrame:
     """Orders of which nine in ten belong to one customer."""
     return load(spark, folder, "orders").select(
         "o_orderkey",
-        F.when(F.col("o_orderkey") % 10 == 0, F.concat(F.lit("CUST_"), F.col("o_custkey").cast("string")))
-        .otherwise("CUST_HOT")
+        F.when(F.col("o_orderkey") % 10 == 0, F.concat(F.lit("account "), F.col("o_custkey").cast("string")))
+        .otherwise("house account")
         .alias("customer"),
         "o_custkey",
         "o_totalprice",
@@ -70,7 +70,7 @@ def hot_orders(spark: SparkSession, folder: str) -> DataFrame:
 
 
 HOT_ORDERS = """hot AS (
-  SELECT o_orderkey, CASE WHEN o_orderkey % 10 = 0 THEN 'CUST_' || o_custkey ELSE 'CUST_HOT' END AS customer,
+  SELECT o_orderkey, CASE WHEN o_orderkey % 10 = 0 THEN 'account ' || o_custkey ELSE 'house account' END AS customer,
          o_custkey, o_totalprice FROM orders)"""
 
 
@@ -116,12 +116,26 @@ LOG_LINES = """lines AS (
 ITEMS_PER_DOCUMENT = 10_000
 
 
+def order_documents(spark: SparkSession, folder: str) -> DataFrame:
+    """One document per order with its customer fields, for what doesn't ask for items."""
+    return load(spark, folder, "orders").select(
+        F.col("o_orderkey").alias("order_id"),
+        F.col("o_orderstatus").alias("status"),
+        F.col("o_totalprice").alias("total"),
+        F.struct(
+            F.col("o_custkey").alias("id"),
+            F.struct(F.col("o_orderpriority").alias("priority")).alias("terms"),
+        ).alias("customer"),
+    )
+
+
 def nested_orders(spark: SparkSession, folder: str, items_per_document: int = ITEMS_PER_DOCUMENT) -> DataFrame:
     """One document per order: customer fields and the sorted array of its items.
 
     An order with more lines than fit one document continues in further documents
-    (``page`` 1, 2, ...), so no array grows without bound. Lines go to a page by
-    their place in the file, which a retried task reproduces.
+    with other numbers in ``page``; each order has a page 0. So no array grows
+    without bound, and what asks for all items must look at all pages. Lines go to
+    a page by their place in the file, which a retried task reproduces.
     """
     lines = (
         spark.read.schema(SCHEMAS["lineitem"])
@@ -136,17 +150,9 @@ def nested_orders(spark: SparkSession, folder: str, items_per_document: int = IT
     item = F.struct("partkey", "qty", "price")
     place = [F.col("_metadata.file_path"), F.col("_metadata.row_index")]
     items = collect_pages(lines, ["order_id"], item, place, items_per_document, "items")
-    head = load(spark, folder, "orders").select(
-        F.col("o_orderkey").alias("order_id"),
-        F.col("o_orderstatus").alias("status"),
-        F.col("o_totalprice").alias("total"),
-        F.struct(
-            F.col("o_custkey").alias("id"),
-            F.struct(F.col("o_orderpriority").alias("priority")).alias("terms"),
-        ).alias("customer"),
-    )
     return (
-        head.join(items, "order_id", "left")
+        order_documents(spark, folder)
+        .join(items, "order_id", "left")
         .withColumn("page", F.coalesce("page", F.lit(0)))
         .withColumn("items", F.coalesce("items", F.array().cast("array<struct<partkey:bigint,qty:double,price:double>>")))
     )

@@ -12,7 +12,7 @@ from millrace.operators.joins import map_with_default
 from millrace.operators.load import KeyedTable, replace_partitions
 from millrace.operators.select import RangeStep
 from millrace.plans import derived as D
-from millrace.plans.quality import _CHECKED, _REASONS, incoming, order_rules
+from millrace.plans.quality import AUDITED, BROKEN, shipment_rules, shipments
 from millrace.plans.registry import query
 from millrace.plans.sources import PAGE_ROWS, write_pages
 from millrace.session import fresh_path, stage
@@ -24,24 +24,27 @@ c = F.col
 
 @query(
     "etl_end_to_end",
-    f"""SELECT o_orderkey AS id, o_totalprice AS amount, 'uncategorized' AS category,
-              floor(o_totalprice / 1000)::BIGINT AS thousands FROM orders
-       WHERE o_orderkey // {PAGE_ROWS} % 7 <> 3 AND o_totalprice >= 2000""",
+    f"""SELECT 'loaded' AS outcome, o_orderkey AS id, o_totalprice AS amount, 'uncategorized' AS category,
+              floor(o_totalprice / 1000)::BIGINT AS thousands, NULL AS error FROM orders
+       WHERE o_orderkey // {PAGE_ROWS} % 7 <> 3 AND o_totalprice >= 2000
+       UNION ALL SELECT DISTINCT 'page given up', o_orderkey // {PAGE_ROWS}, NULL, NULL, NULL, '503 from the server' FROM orders
+       WHERE o_orderkey // {PAGE_ROWS} % 7 = 3""",
 )
 def etl_end_to_end(spark, folder):
-    """Paged extract, validation, defaults and derived fields, upsert; three runs, one table."""
-    path, pages = write_pages(spark, folder)
+    """Paged extract, validation, defaults and derived fields, upsert; two runs, one table, and the pages that were given up."""
+    path = write_pages(spark, folder)
     schema = "id bigint, amount double, category string, thousands bigint"
-    table = KeyedTable(spark, fresh_path(spark, "etl"), schema, ("id",))
-    table.create(spark.createDataFrame([], schema))
+    table = KeyedTable(spark, fresh_path(spark, "etl"), schema, ("id",)).create(spark.createDataFrame([], schema))
+    lost = fresh_path(spark, "dead-letters")
     fields = [
         Q.Field("o_orderkey", "bigint"),
         Q.Field("o_totalprice", "double", minimum=2000),
         Q.Field("category", "string", required=False, default="uncategorized"),
     ]
-    for _ in range(3):
-        raw = stage(paged.read_pages(spark, path, pages, "o_orderkey bigint, o_totalprice double", wait=0.01), "extract")
-        records = raw.filter("status = 'ok'").select(F.to_json(F.struct("o_orderkey", "o_totalprice")).alias("document"))
+    for _ in range(2):
+        raw = stage(paged.fetch(spark, path, wait=0.01), "extract")
+        paged.dead_letters(raw, lost)
+        records = raw.filter("status = 'ok'").select(c("record").alias("document"))
         checked = Q.validate_records(records, "document", fields).filter(F.size("errors") == 0)
         ready = checked.select(
             c("o_orderkey").alias("id"),
@@ -50,40 +53,51 @@ def etl_end_to_end(spark, folder):
             F.floor(c("o_totalprice") / 1000).alias("thousands"),
         )
         table.upsert(ready, ["amount"])
-    return table.read()
+    given_up = spark.read.schema("page int, error string").parquet(lost)
+    return (
+        table.read()
+        .withColumn("outcome", F.lit("loaded"))
+        .unionByName(
+            given_up.select(c("page").cast("bigint").alias("id"), "error", F.lit("page given up").alias("outcome")),
+            allowMissingColumns=True,
+        )
+    )
 
 
 @query(
     "etl_gated",
-    _CHECKED
-    + f""" SELECT 'loaded' AS target, order_date[1:7] AS part, count(*) AS n FROM checked WHERE {_REASONS} = '' GROUP BY 2
-          UNION ALL SELECT 'rejected', {_REASONS}, count(*) FROM checked WHERE {_REASONS} <> '' GROUP BY {_REASONS}""",
+    AUDITED
+    + f""" SELECT 'loaded' AS target, month AS part, count(*) AS n FROM judged WHERE {BROKEN} = '' GROUP BY 2
+          UNION ALL SELECT 'rejected', {BROKEN}, count(*) FROM judged WHERE {BROKEN} <> '' GROUP BY {BROKEN}""",
 )
 def etl_gated(spark, folder):
-    """Hard stops first, then clean rows to the table by month and the others to the rejects."""
-    batch = incoming(spark, folder)
-    Q.enforce_invariants(batch, ["order_id", "customer_id", "price_text", "status"], ["order_id", "customer_id"])
-    checked = Q.check(batch, order_rules(spark, folder), ["order_id", "attempt"])
-    checked = Q.Checked(stage(checked.df, "checked"), checked.rules, checked.columns)
-    clean_path, reject_path = fresh_path(spark, "clean"), fresh_path(spark, "rejects")
-    clean = checked.clean().withColumn("month", F.substring("order_date", 1, 7))
-    replace_partitions(clean, clean_path, ["month"])
-    checked.rejects().write.parquet(reject_path)
-    loaded = spark.read.schema("order_id bigint, month string").parquet(clean_path)
-    rejected = spark.read.schema("order_id bigint, rejection_reasons string").parquet(reject_path)
+    """Hard stops first, then good rows to the table by month and the others to the rejects."""
+    batch = Q.refuse_unusable(shipments(spark, folder), ["order_no", "supplier_no", "net", "flag"], {"order_no": 0.5, "net": 0.5})
+    found = Q.audit(batch, shipment_rules(spark, folder))
+    good_path, reject_path = fresh_path(spark, "good"), fresh_path(spark, "rejects")
+    replace_partitions(found.accepted(), good_path, ["month"])
+    found.refused().write.parquet(reject_path)
     n = F.count(F.lit(1)).alias("n")
-    return (
-        loaded.groupBy(c("month").alias("part")).agg(n).withColumn("target", F.lit("loaded"))
-    ).unionByName(rejected.groupBy(c("rejection_reasons").alias("part")).agg(n).withColumn("target", F.lit("rejected")))
+    loaded = spark.read.schema("order_no bigint, month string").parquet(good_path)
+    refused = spark.read.schema("order_no bigint, broken_rules array<string>").parquet(reject_path)
+    reasons = refused.groupBy(F.array_join("broken_rules", ", ").alias("part")).agg(n)
+    return loaded.groupBy(c("month").alias("part")).agg(n).withColumn("target", F.lit("loaded")).unionByName(
+        reasons.withColumn("target", F.lit("rejected"))
+    )
 
 
 @query(
     "etl_typed",
-    """SELECT o_orderkey AS id, o_totalprice AS amount, upper(r_name) AS region FROM orders
-       JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""",
+    """WITH t AS (SELECT o_orderkey AS id, CASE WHEN o_orderkey % 27 <> 5 THEN o_totalprice END AS amount, upper(r_name) AS region FROM orders
+         JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey)
+       SELECT id, CASE WHEN id % 4 = 0 AND amount IS NULL THEN 1.0 ELSE amount END AS amount,
+              CASE WHEN id % 4 = 0 AND amount IS NULL THEN 'BEFORE' ELSE region END AS region,
+              CASE WHEN amount IS NULL THEN 'no number: on request' END AS error
+       FROM t WHERE amount IS NOT NULL OR id % 4 = 0
+       UNION ALL SELECT id, NULL, region, 'no number: on request' FROM t WHERE amount IS NULL AND id % 4 <> 0""",
 )
 def etl_typed(spark, folder):
-    """Texts from CSV to a typed table: id, amount, region."""
+    """Texts from CSV upserted into a typed table; a line whose amount is no number is an error, and the table keeps what it had."""
     source = (
         load(spark, folder, "orders")
         .join(load(spark, folder, "customer"), c("o_custkey") == c("c_custkey"))
@@ -91,30 +105,47 @@ def etl_typed(spark, folder):
         .join(load(spark, folder, "region"), c("n_regionkey") == c("r_regionkey"))
         .select(
             c("o_orderkey").cast("string").alias("id"),
-            F.concat(F.lit("$"), F.format_number("o_totalprice", 2)).alias("amount"),
+            F.when(c("o_orderkey") % 27 == 5, "on request")
+            .otherwise(F.concat(F.lit("$"), F.format_number("o_totalprice", 2)))
+            .alias("amount"),
             F.lower("r_name").alias("region"),
         )
     )
     path = files.write(source, "csv", fresh_path(spark, "typed-in"))
     raw = files.read(spark, "csv", path, "id string, amount string, region string")
-    typed = raw.select(c("id").cast("bigint").alias("id"), clean_price(c("amount"))["amount"].alias("amount"), F.upper("region").alias("region"))
-    table = KeyedTable(spark, fresh_path(spark, "typed"), "id bigint, amount double, region string", ("id",))
-    return table.create(typed).read()
+    typed = stage(
+        raw.select(
+            c("id").cast("bigint").alias("id"),
+            clean_price(c("amount"))["amount"].alias("amount"),
+            F.upper("region").alias("region"),
+            F.col("amount").alias("text"),
+        ),
+        "typed",
+    )
+    before = typed.filter("id % 4 = 0").select("id", F.lit(1.0).alias("amount"), F.lit("BEFORE").alias("region"))
+    table = KeyedTable(spark, fresh_path(spark, "typed"), "id bigint, amount double, region string", ("id",)).create(before)
+    table.upsert(typed.filter("amount is not null").select("id", "amount", "region"), ["amount"])
+    errors = typed.filter("amount is null").select(
+        c("id").alias("bad_id"), c("region").alias("bad_region"), F.concat(F.lit("no number: "), "text").alias("error")
+    )
+    both = table.read().join(errors, c("id") == c("bad_id"), "outer")
+    return both.select(F.coalesce("id", "bad_id").alias("id"), "amount", F.coalesce("region", "bad_region").alias("region"), "error")
 
 
 @query(
     "etl_volume_branch",
     """SELECT 'F' AS batch, count(*) AS n FROM orders WHERE o_orderstatus = 'F' AND o_totalprice >= 0
-       UNION ALL SELECT 'O', count(*) FROM orders WHERE o_orderstatus = 'O' AND o_totalprice >= 0""",
+       UNION ALL SELECT 'O', count(*) FROM orders WHERE o_orderstatus = 'O' AND o_totalprice >= 0
+       UNION ALL SELECT 'P', count(*) FROM orders WHERE o_orderstatus = 'P' AND o_totalprice >= 0""",
 )
 def etl_volume_branch(spark, folder):
     """Batches in the size band are loaded, the others skipped."""
     orders, path = load(spark, folder, "orders").withColumn("day", F.to_date("o_orderdate")), fresh_path(spark, "volume")
-    batches = {"F": "o_orderstatus = 'F'", "O": "o_orderstatus = 'O'", "tiny": "o_totalprice > 499900"}
+    batches = {"F": "o_orderstatus = 'F'", "O": "o_orderstatus = 'O'", "P": "o_orderstatus = 'P'", "tiny": "o_totalprice > 499900"}
     low = {"tiny": 10**12}
     for name, condition in batches.items():
         batch = orders.filter(condition).filter("o_totalprice >= 0")
-        gate = Q.freshness_volume(batch, "day", "2001-08-01", 2, low.get(name, 100), 10**15).first()
+        gate = Q.freshness_volume(batch, "day", "2001-08-01", 2, low.get(name, 1), 10**15).first()
         if gate["volume_ok"]:
             replace_partitions(batch.select("o_orderkey", F.lit(name).alias("batch")), path, ["batch"])
     stored = spark.read.schema("o_orderkey bigint, batch string").parquet(path)

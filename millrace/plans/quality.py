@@ -14,135 +14,136 @@ from millrace.tables import load
 c = F.col
 
 
-def order_rules(spark, folder):
-    """The rules for incoming orders, in the order they are reported."""
-    customers = load(spark, folder, "customer")
+def shipments(spark, folder):
+    """Order lines as they come in: unread discounts, unknown suppliers, unnamed parts, sums that are off, and copies."""
+    part, order = c("l_partkey"), c("l_orderkey")
+    sent = F.explode(F.when(part % 59 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
+    return (
+        load(spark, folder, "lineitem")
+        .withColumn("sent", sent)
+        .select(
+            order.alias("order_no"),
+            c("l_linenumber").alias("line_no"),
+            "sent",
+            F.when(part % 53 != 0, part).alias("part_no"),
+            F.when(c("l_suppkey") % 19 == 0, c("l_suppkey") + 1_000_000_000).otherwise(c("l_suppkey")).alias("supplier_no"),
+            F.when(order % 41 == 0, "?").otherwise(F.format_string("%.2f", "l_discount")).alias("discount_text"),
+            F.when(order % 97 == 0, "X").otherwise(c("l_returnflag")).alias("flag"),
+            c("l_extendedprice").alias("gross"),
+            (c("l_extendedprice") * (1 - c("l_discount")) + F.when(part % 61 == 0, 30.0).otherwise(0.0)).alias("net"),
+            F.date_format("l_shipdate", "yyyy-MM").alias("month"),
+        )
+    )
+
+
+def shipment_rules(spark, folder):
+    """What a shipment line must be, in the order of the reports."""
+    discount = c("discount_text").try_cast("double")
     return [
-        Q.not_null("customer_not_null", "warning", "customer_id"),
-        Q.not_null("order_date_not_null", "warning", "order_date"),
-        Q.unique("order_unique", "critical", ["order_id"]),
-        Q.number_between("price_in_range", "critical", "price_text", 0.01, 450000.0),
-        Q.one_of("status_allowed", "critical", "status", ["F", "O", "P"]),
-        Q.known("customer_known", "critical", "customer_id", customers, "c_custkey"),
-        Q.product_matches("total_consistent", "warning", "quantity", "unit_price", "price_text"),
-        Q.row_count("row_volume", "critical", 1, 10**15),
+        Q.Expect("supplier_on_file", "stop", listed=("supplier_no", load(spark, folder, "supplier"), "s_suppkey")),
+        Q.Expect("net_follows_gross", "note", holds=F.abs(c("net") - c("gross") * (1 - discount)) < 10),
+        Q.Expect("line_sent_once", "stop", single=("order_no", "line_no")),
+        Q.Expect("discount_readable", "stop", holds=discount.between(0, 0.5)),
+        Q.Expect("part_named", "note", holds=c("part_no").isNotNull()),
+        Q.Expect("flag_in_use", "stop", holds=c("flag").isin("A", "N", "R")),
+        Q.Expect("batch_not_empty", "stop", size=(1, 10**15)),
     ]
 
 
-def incoming(spark, folder):
-    """Dirty orders with a quantity and a unit price; every 37th does not add up."""
-    orders = D.dirty_orders(spark, folder)
-    price = F.abs(c("price_text").try_cast("double"))
-    quantity = c("order_id") % 5 + 1
-    off = F.when(c("order_id") % 37 == 0, 1.0).otherwise(0.0)
-    return orders.withColumn("quantity", quantity).withColumn("unit_price", price / quantity + off)
-
-
-_CHECKED = f"""WITH {D.DIRTY_ORDERS}, n AS (SELECT *, try_cast(price_text AS DOUBLE) AS p, order_id % 5 + 1 AS quantity FROM dirty),
-  i AS (SELECT *, abs(p) / quantity + CASE WHEN order_id % 37 = 0 THEN 1.0::DOUBLE ELSE 0 END AS unit_price FROM n),
-  checked AS (SELECT *, customer_id IS NOT NULL AS r0, order_date IS NOT NULL AS r1,
-    count(*) OVER (PARTITION BY order_id) = 1 AS r2, coalesce(p BETWEEN 0.01 AND 450000, false) AS r3,
-    status IN ('F', 'O', 'P') AS r4, coalesce(customer_id IN (SELECT c_custkey FROM customer), false) AS r5,
-    coalesce(abs(p - quantity * unit_price) <= 0.01, false) AS r6, true AS r7 FROM i)"""
-_NAMES = [
-    ("customer_not_null", "warning"),
-    ("order_date_not_null", "warning"),
-    ("order_unique", "critical"),
-    ("price_in_range", "critical"),
-    ("status_allowed", "critical"),
-    ("customer_known", "critical"),
-    ("total_consistent", "warning"),
-    ("row_volume", "critical"),
-]
-_REASONS = "concat_ws(', ', " + ", ".join(f"CASE WHEN NOT r{i} THEN '{n}' END" for i, (n, _) in enumerate(_NAMES)) + ")"
+SHIPMENTS = """shipments AS (
+  SELECT l_orderkey AS order_no, l_linenumber AS line_no, sent, CASE WHEN l_partkey % 53 <> 0 THEN l_partkey END AS part_no,
+         CASE WHEN l_suppkey % 19 = 0 THEN l_suppkey + 1000000000 ELSE l_suppkey END AS supplier_no,
+         CASE WHEN l_orderkey % 41 = 0 THEN '?' ELSE printf('%.2f', l_discount) END AS discount_text,
+         CASE WHEN l_orderkey % 97 = 0 THEN 'X' ELSE l_returnflag END AS flag, l_extendedprice AS gross,
+         l_extendedprice * (1 - l_discount) + CASE WHEN l_partkey % 61 = 0 THEN 30.0::DOUBLE ELSE 0 END AS net,
+         strftime(l_shipdate, '%Y-%m') AS month
+  FROM lineitem, (SELECT unnest([0, 1])::INT AS sent) s WHERE sent = 0 OR l_partkey % 59 = 0)"""
+_RULES = {
+    "supplier_on_file": ("stop", "coalesce(supplier_no IN (SELECT s_suppkey FROM supplier), false)"),
+    "net_follows_gross": ("note", "coalesce(abs(net - gross * (1 - try_cast(discount_text AS DOUBLE))) < 10, false)"),
+    "line_sent_once": ("stop", "count(*) OVER (PARTITION BY order_no, line_no) = 1"),
+    "discount_readable": ("stop", "coalesce(try_cast(discount_text AS DOUBLE) BETWEEN 0 AND 0.5, false)"),
+    "part_named": ("note", "part_no IS NOT NULL"),
+    "flag_in_use": ("stop", "coalesce(flag IN ('A', 'N', 'R'), false)"),
+    "batch_not_empty": ("stop", "true"),
+}
+AUDITED = f"""WITH {SHIPMENTS}, judged AS (
+  SELECT *, {", ".join(f"{sql} AS {name}" for name, (_, sql) in _RULES.items())} FROM shipments)"""
+BROKEN = "concat_ws(', ', " + ", ".join(f"CASE WHEN NOT {name} THEN '{name}' END" for name in _RULES) + ")"
 
 
 @query(
     "dq_report",
-    _CHECKED
+    AUDITED
     + " UNION ALL ".join(
-        f""" SELECT {i} AS rule_no, '{n}' AS rule, '{s}' AS severity, count(*) FILTER (NOT r{i}) = 0 AS passed, count(*) AS total_rows,
-             count(*) FILTER (NOT r{i}) AS failed_rows FROM checked"""
-        for i, (n, s) in enumerate(_NAMES)
+        f""" SELECT {i} AS line, '{n}' AS rule, '{level}' AS level, count(*) FILTER (NOT {n}) AS n_broken, count(*) AS n_rows,
+             count(*) FILTER (NOT {n}) = 0 AS met FROM judged"""
+        for i, (n, (level, _)) in enumerate(_RULES.items())
     ),
 )
 def dq_report(spark, folder):
-    """Every rule over every row: passed, total and failed rows per rule."""
-    checked = Q.check(incoming(spark, folder), order_rules(spark, folder), ["order_id", "attempt"])
-    return checked.report().drop("description")
+    """Every rule over every row."""
+    return Q.audit(shipments(spark, folder), shipment_rules(spark, folder)).summary()
 
 
-@query("dq_clean", _CHECKED + f" SELECT order_id, attempt, price_text FROM checked WHERE {_REASONS} = ''")
+@query("dq_clean", AUDITED + f" SELECT order_no, line_no, sent, net FROM judged WHERE {BROKEN} = ''")
 def dq_clean(spark, folder):
-    checked = Q.check(incoming(spark, folder), order_rules(spark, folder), ["order_id", "attempt"])
-    return checked.clean().select("order_id", "attempt", "price_text")
+    found = Q.audit(shipments(spark, folder), shipment_rules(spark, folder))
+    return found.accepted().select("order_no", "line_no", "sent", "net")
 
 
-@query("dq_rejects", _CHECKED + f" SELECT order_id, attempt, {_REASONS} AS rejection_reasons FROM checked WHERE {_REASONS} <> ''")
+@query("dq_rejects", AUDITED + f" SELECT order_no, line_no, sent, {BROKEN} AS broken FROM judged WHERE {BROKEN} <> ''")
 def dq_rejects(spark, folder):
-    """Rejected rows with the names of the failed rules in rule order."""
-    checked = Q.check(incoming(spark, folder), order_rules(spark, folder), ["order_id", "attempt"])
-    return checked.rejects().select("order_id", "attempt", "rejection_reasons")
-
-
-def _outcome(action) -> str:
-    try:
-        action()
-    except Q.DataQualityError as error:
-        return f"stopped: {error}"
-    return "passed"
+    """Refused rows with the rules they break."""
+    found = Q.audit(shipments(spark, folder), shipment_rules(spark, folder)).refused()
+    return found.select("order_no", "line_no", "sent", F.array_join("broken_rules", ", ").alias("broken"))
 
 
 @query(
     "dq_invariants",
-    """SELECT 'whole' AS batch, 'passed' AS outcome, (SELECT count(*) FROM orders) AS n_rows
-       UNION ALL SELECT 'no price', 'stopped: required columns are missing: [''o_totalprice'']', count(*) FROM orders
-       UNION ALL SELECT 'no customers', 'stopped: column ''o_custkey'' is 100% null', count(*) FROM orders""",
+    """SELECT 'as sent' AS batch, 'usable' AS outcome, (SELECT count(*) FROM lineitem) AS n_rows
+       UNION ALL SELECT 'untaxed', 'absent: l_tax', count(*) FROM lineitem
+       UNION ALL SELECT 'anonymous', 'too empty: l_suppkey (0% filled)', count(*) FROM lineitem""",
 )
 def dq_invariants(spark, folder):
-    """Batch-level stops: a required column gone, a watched column all null."""
-    orders = load(spark, folder, "orders")
+    """Batches that are stopped as a whole: a column is gone, or holds nothing."""
+    lines = load(spark, folder, "lineitem").select("l_orderkey", "l_suppkey", "l_tax")
     batches = {
-        "whole": orders,
-        "no price": orders.drop("o_totalprice"),
-        "no customers": orders.withColumn("o_custkey", F.lit(None).cast("bigint")),
+        "as sent": lines,
+        "untaxed": lines.drop("l_tax"),
+        "anonymous": lines.withColumn("l_suppkey", F.lit(None).cast("bigint")),
     }
-    out = None
+    rows = []
     for name, batch in batches.items():
-        outcome = _outcome(lambda b=batch: Q.enforce_invariants(b, ["o_orderkey", "o_totalprice"], ["o_orderkey", "o_custkey"]))
-        row = batch.agg(F.count(F.lit(1)).alias("n_rows")).select(
-            F.lit(name).alias("batch"), F.lit(outcome).alias("outcome"), "n_rows"
-        )
-        out = row if out is None else out.unionByName(row)
-    return out
+        try:
+            Q.refuse_unusable(batch, ["l_orderkey", "l_tax"], {"l_orderkey": 0.5, "l_suppkey": 0.1})
+            outcome = "usable"
+        except Q.BatchRefused as refusal:
+            outcome = str(refusal)
+        n_rows = batch.agg(F.count(F.lit(1)).alias("n_rows"))
+        rows.append(n_rows.select(F.lit(name).alias("batch"), F.lit(outcome).alias("outcome"), "n_rows"))
+    return rows[0].unionByName(rows[1]).unionByName(rows[2])
 
 
 @query(
     "schema_diff",
-    """SELECT 'gift_wrap' AS "column", 'new' AS change, NULL AS recoverable, count(*) AS n_rows FROM orders
-       UNION ALL SELECT 'o_orderpriority', 'missing', NULL, count(*) FROM orders
-       UNION ALL SELECT 'o_totalprice', 'double to string', true, count(*) FROM orders
-       UNION ALL SELECT 'o_orderstatus', 'string to int', true, count(*) FROM orders
-       UNION ALL SELECT 'o_custkey', 'bigint to string', false, count(*) FROM orders""",
+    """SELECT * FROM (VALUES ('origin.host', 'added', NULL, 'string', NULL::BOOLEAN), ('props', 'absent', 'string', NULL, NULL),
+         ('value', 'retyped', 'double', 'string', true), ('user_id', 'retyped', 'bigint', 'string', false),
+         ('event_type', 'retyped', 'string', 'int', true)) t(field, change, expected, found, fits)
+       WHERE EXISTS (FROM events)""",
 )
 def schema_diff(spark, folder):
-    """Tomorrow's batch against the expected schema, over all its values."""
-    expected = load(spark, folder, "orders")
-    batch = (
-        expected.withColumn("gift_wrap", F.lit(False))
-        .drop("o_orderpriority")
-        .withColumn("o_totalprice", c("o_totalprice").cast("string"))
-        .withColumn("o_orderstatus", F.length("o_orderstatus"))
-        .withColumn("o_custkey", F.concat(F.lit("C"), c("o_custkey").cast("string")))
+    """The next batch of events against the declared schema, tried on all its values."""
+    events = load(spark, folder, "events")
+    batch = events.drop("props").withColumns(
+        {
+            "origin": F.struct(F.lit("a.example").alias("host")),
+            "value": c("value").cast("string"),
+            "user_id": F.concat(F.lit("u"), c("user_id").cast("string")),
+            "event_type": F.length("event_type"),
+        }
     )
-    diff = Q.schema_diff(expected.schema, batch)
-    rows = [(x, "new", None) for x in diff.new] + [(x, "missing", None) for x in diff.missing]
-    rows += [(x, f"{a} to {b}", diff.recoverable[x]) for x, a, b in diff.changed]
-    structs = F.array(
-        *[F.struct(F.lit(x).alias("column"), F.lit(y).alias("change"), F.lit(z).cast("boolean").alias("recoverable")) for x, y, z in rows]
-    )
-    counts = batch.agg(F.count(F.lit(1)).alias("n_rows"))
-    return counts.select("n_rows", F.explode(structs).alias("r")).select("r.*", "n_rows")
+    return Q.schema_changes(events.schema, batch)
 
 
 @query(
@@ -151,7 +152,7 @@ def schema_diff(spark, folder):
               count(*) FILTER (datediff('day', o_orderdate::DATE, DATE '2001-08-01') > 2) AS n_stale,
               count(*) BETWEEN 5000 AND 1000000000000 AS volume_ok,
               CASE WHEN count(*) BETWEEN 5000 AND 1000000000000 THEN 'load' ELSE 'skip' END AS branch
-       FROM orders WHERE o_orderstatus <> 'P' GROUP BY 1
+       FROM orders GROUP BY 1
        UNION ALL SELECT 'truncated', count(*), strftime(max(o_orderdate), '%Y-%m-%d'),
               count(*) FILTER (datediff('day', o_orderdate::DATE, DATE '2001-08-01') > 2), false, 'skip'
        FROM orders WHERE o_totalprice > 499000""",
@@ -159,7 +160,7 @@ def schema_diff(spark, folder):
 def freshness_volume(spark, folder):
     """Staleness and size band per batch; the gate chooses to load or to skip."""
     orders = load(spark, folder, "orders").withColumn("day", F.to_date("o_orderdate"))
-    batches = {"F": orders.filter("o_orderstatus = 'F'"), "O": orders.filter("o_orderstatus = 'O'")}
+    batches = {status: orders.filter(c("o_orderstatus") == status) for status in "FOP"}
     low = {"truncated": 10**12}
     batches["truncated"] = orders.filter("o_totalprice > 499000")
     out = None
@@ -171,68 +172,68 @@ def freshness_volume(spark, folder):
     )
 
 
-FIELDS = [
-    Q.Field("id", "bigint"),
-    Q.Field("name", "string"),
-    Q.Field("price", "double", minimum=0),
-    Q.Field("in_stock", "boolean", required=False, default=True),
-    Q.Field("category", "string", required=False, default="Uncategorized"),
+#: The contract of an event as it arrives.
+EVENT_FIELDS = [
+    Q.Field("event", "bigint"),
+    Q.Field("kind", "string"),
+    Q.Field("reading", "double", minimum=5),
+    Q.Field("user", "bigint", required=False),
+    Q.Field("urgent", "boolean", required=False, default=False),
+    Q.Field("channel", "string", required=False, default="web"),
 ]
 
 
-def _records(spark, folder):
-    """Orders as JSON records: prices as text, missing, negative or no numbers; extra fields."""
-    o = D.dirty_orders(spark, folder).filter("attempt = 0")
-    k = c("order_id")
+def _arrivals(spark, folder):
+    """Events as JSON: numbers as text, readings that are missing, small or no numbers, fields nobody asked for."""
+    k = c("event_id")
+    whole = F.floor("value").cast("bigint").cast("string")
     record = F.struct(
-        k.alias("id"),
-        F.when(k % 19 != 0, c("priority")).alias("name"),
-        F.when(k % 41 != 0, c("price_text")).alias("price"),
-        F.when(k % 3 == 0, k % 2 == 0).alias("in_stock"),
-        F.when(k % 5 == 0, c("status")).alias("category"),
-        F.when(k % 43 == 0, "Z").alias("warehouse_zone"),
+        k.cast("string").alias("event"),
+        F.when(k % 21 != 0, c("event_type")).alias("kind"),
+        F.when(k % 29 == 0, "much").when(k % 17 != 0, whole).alias("reading"),
+        F.when(k % 13 != 0, c("user_id")).alias("user"),
+        F.when(k % 4 == 0, k % 8 == 0).alias("urgent"),
+        F.when(k % 6 == 0, "app").alias("channel"),
+        F.when(k % 37 == 0, "x").alias("trace"),
     )
-    return o.select("order_id", F.to_json(record).alias("document"))
-
-
-_RECORD_SQL = f"""WITH {D.DIRTY_ORDERS}, r AS (SELECT order_id AS k, order_id AS id, CASE WHEN order_id % 19 <> 0 THEN priority END AS name,
-    CASE WHEN order_id % 41 <> 0 THEN price_text END AS price, CASE WHEN order_id % 3 = 0 THEN order_id % 2 = 0 ELSE true END AS in_stock,
-    CASE WHEN order_id % 5 = 0 THEN status ELSE 'Uncategorized' END AS category FROM dirty WHERE attempt = 0)"""
+    return load(spark, folder, "events").select("event_id", F.to_json(record).alias("document"))
 
 
 @query(
     "record_validate",
-    _RECORD_SQL
-    + """ SELECT k AS order_id, id, name, try_cast(price AS DOUBLE) AS price, in_stock, category, concat_ws('; ',
-            CASE WHEN name IS NULL THEN 'name: field required' END, CASE WHEN price IS NULL THEN 'price: field required' END,
-            CASE WHEN price IS NOT NULL AND try_cast(price AS DOUBLE) IS NULL THEN 'price: not a valid double' END,
-            CASE WHEN try_cast(price AS DOUBLE) < 0 THEN 'price: must be at least 0' END) AS errors FROM r""",
+    """WITH r AS (SELECT event_id AS k, CASE WHEN event_id % 21 <> 0 THEN event_type END AS kind,
+         CASE WHEN event_id % 29 = 0 THEN 'much' WHEN event_id % 17 <> 0 THEN floor(value)::BIGINT::VARCHAR END AS reading,
+         CASE WHEN event_id % 13 <> 0 THEN user_id END AS "user", CASE WHEN event_id % 4 = 0 THEN event_id % 8 = 0 ELSE false END AS urgent,
+         CASE WHEN event_id % 6 = 0 THEN 'app' ELSE 'web' END AS channel FROM events)
+       SELECT k AS event_id, k AS event, kind, try_cast(reading AS DOUBLE) AS reading, "user", urgent, channel, concat_ws('; ',
+         CASE WHEN kind IS NULL THEN 'kind: field required' END, CASE WHEN reading IS NULL THEN 'reading: field required' END,
+         CASE WHEN reading = 'much' THEN 'reading: not a valid double' END,
+         CASE WHEN try_cast(reading AS DOUBLE) < 5 THEN 'reading: must be at least 5' END) AS errors FROM r""",
 )
 def record_validate(spark, folder):
     """Coercion, defaults, required fields and bounds, with all errors of each record."""
-    out = Q.validate_records(_records(spark, folder), "document", FIELDS).drop("document")
+    out = Q.validate_records(_arrivals(spark, folder), "document", EVENT_FIELDS).drop("document")
     text = F.transform("errors", lambda e: F.concat_ws(": ", e["field"], e["reason"]))
     return out.withColumn("errors", F.array_join(text, "; "))
 
 
 @query(
     "unknown_fields",
-    """SELECT o_orderkey AS order_id, CASE WHEN o_orderkey % 43 = 0 THEN 'warehouse_zone' ELSE '' END AS extra,
-              o_orderkey % 43 = 0 AS rejected, true AS rename_found FROM orders""",
+    """SELECT event_id, CASE WHEN event_id % 37 = 0 THEN 'trace' ELSE '' END AS extra,
+              event_id % 37 = 0 AS rejected, true AS rename_found FROM events""",
 )
 def unknown_fields(spark, folder):
     """Fields outside the contract, refused in strict mode; a renamed field shows as missing."""
-    records = _records(spark, folder)
-    strict = Q.validate_records(records, "document", FIELDS, unknown="forbid")
-    renamed = [Q.Field("unit_price", "double") if f.name == "price" else f for f in FIELDS]
-    strict = strict.select("order_id", "document", c("errors").alias("strict_errors"))
-    both = Q.validate_records(strict, "document", renamed)
+    strict = Q.validate_records(_arrivals(spark, folder), "document", EVENT_FIELDS, unknown="forbid")
+    strict = strict.select("event_id", "document", c("errors").alias("strict_errors"))
+    later = [Q.Field("measure", f.kind, f.required) if f.name == "reading" else f for f in EVENT_FIELDS]
+    both = Q.validate_records(strict, "document", later)
     extra = F.filter("strict_errors", lambda e: e["reason"] == "unknown field")
     return both.select(
-        "order_id",
+        "event_id",
         F.array_join(F.transform(extra, lambda e: e["field"]), ",").alias("extra"),
         (F.size(extra) > 0).alias("rejected"),
-        F.exists("errors", lambda e: (e["field"] == "unit_price") & (e["reason"] == "field required")).alias("rename_found"),
+        F.exists("errors", lambda e: (e["field"] == "measure") & (e["reason"] == "field required")).alias("rename_found"),
     )
 
 
