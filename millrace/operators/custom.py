@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.operators.skew import hot_keys, salt_of
+from millrace.operators.skew import salt_of
 
 Step = Callable[[DataFrame], DataFrame]
 
@@ -30,40 +29,35 @@ def map_partitions(df: DataFrame, setup: Callable[[], object], function: Callabl
     return df.mapInPandas(run, schema)
 
 
-def group_apply(
+def group_combine(
     df: DataFrame,
     keys: Sequence[str],
     row_id: Sequence[str],
     partial: Callable[[pd.DataFrame], pd.DataFrame],
     schema: str,
     combine: Sequence[Column],
-    rows_per_task: int = 1_000_000,
+    blocks: int = 64,
 ) -> DataFrame:
-    """Split-apply-combine with a Python function whose results can be merged.
+    """Split-apply-combine with a function that is declared to be mergeable.
 
-    A group larger than ``rows_per_task`` is given to the function in blocks, and
-    ``combine`` merges the partial results, so no task holds an unbounded group.
+    Every group, that of null keys too, is dealt over ``blocks`` by the row's own
+    values; ``partial`` sees one block of a group and ``combine`` merges what it
+    gives, so the result doesn't depend on how large a group is.
     """
-    salts = hot_keys(df, keys, rows_per_task).select(
-        *keys, F.ceil(F.col("_rows") / rows_per_task).alias("_blocks")
-    )
-    blocked = df.join(F.broadcast(salts), list(keys), "left").withColumn(
-        "_block", salt_of(row_id, F.coalesce("_blocks", F.lit(1)))
-    )
-    parts = blocked.drop("_blocks").groupBy(*keys, "_block").applyInPandas(lambda pdf: partial(pdf), schema)
+    dealt = df.withColumn("_block", salt_of(row_id, blocks))
+    parts = dealt.groupBy(*keys, "_block").applyInPandas(lambda pdf: partial(pdf.drop(columns="_block")), schema)
     return parts.groupBy(*keys).agg(*combine)
 
 
-def words_of(pattern: str = "[A-Za-z]+"):
-    """A table function: one text to its words with their positions."""
+def group_apply(df: DataFrame, keys: Sequence[str], function: Callable[[pd.DataFrame], pd.DataFrame], schema: str) -> DataFrame:
+    """Split-apply-combine with any function; each call gets one whole group, which must fit a task's memory."""
+    return df.groupBy(*keys).applyInPandas(lambda pdf: function(pdf), schema)
 
-    @F.udtf(returnType="pos int, word string", useArrow=True)
-    class Words:
-        def eval(self, text: str):
-            for pos, word in enumerate(re.findall(pattern, text or "")):
-                yield pos, word
 
-    return Words
+def words(df: DataFrame, text: str, pattern: str = r"[\p{L}\p{M}]+") -> DataFrame:
+    """One row per word with its position, letters of any language; a text without words gives one row of nulls."""
+    found = F.regexp_extract_all(F.col(text), F.lit(pattern), F.lit(0))
+    return df.select("*", F.posexplode_outer(found).alias("pos", "word"))
 
 
 def run_steps(df: DataFrame, *steps: Step) -> DataFrame:

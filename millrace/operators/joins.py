@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.operators.ordered import global_index
-from millrace.operators.skew import broadcast_if_small, salted_join
+from millrace.operators.skew import spread_join
 
 
 class JoinKeyError(ValueError):
@@ -48,12 +48,8 @@ def validated_join(
     on: Sequence[str],
     how: str = "left",
     validate: str = "many_to_one",
-    row_id: Sequence[str] = (),
 ) -> DataFrame:
-    """Join after checking which side has unique keys, so a fan-out cannot go unseen.
-
-    With ``row_id``, columns that tell the rows of ``left`` apart, hot keys are salted.
-    """
+    """Join after checking which side has unique keys, so a fan-out cannot go unseen."""
     one = {"one_to_one": (left, right), "many_to_one": (right,), "one_to_many": (left,), "many_to_many": ()}
     if validate not in one:
         raise ValueError(f"unknown validate mode {validate!r}")
@@ -61,9 +57,7 @@ def validated_join(
         worst = duplicate_keys(side, on).limit(1).collect()
         if worst:
             raise JoinKeyError(f"{validate}: key {tuple(worst[0][k] for k in on)} occurs {worst[0]['copies']} times")
-    if row_id:
-        return salted_join(left, right, on, row_id, how)
-    return left.join(right, list(on), how)
+    return spread_join(left, right, on, how)
 
 
 def member_of(df: DataFrame, column: str, allowed: DataFrame, allowed_column: str, negate: bool = False) -> DataFrame:
@@ -82,7 +76,7 @@ def map_with_default(df: DataFrame, column: str, mapping: Mapping, default, out:
 def lookup(df: DataFrame, column: str, table: DataFrame, key: str, value: str, default, out: str) -> DataFrame:
     """Like ``map_with_default`` for a mapping that lives in a table with unique keys."""
     side = table.select(F.col(key).alias("_key"), F.col(value).alias("_value"))
-    joined = df.join(broadcast_if_small(side), F.col(column) == F.col("_key"), "left")
+    joined = df.join(side, F.col(column) == F.col("_key"), "left")
     return joined.withColumn(out, F.coalesce("_value", F.lit(default))).drop("_key", "_value")
 
 
@@ -102,14 +96,9 @@ def zip_rows(
     return global_index(left, left_order).join(global_index(right, right_order), "idx")
 
 
-def product_with_small(df: DataFrame, small: DataFrame, max_rows: int = 1_000) -> DataFrame:
-    """Every row of ``df`` with every row of a side that is checked to be small."""
-    rows = small.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        raise ValueError(f"the small side of a product has more than {max_rows} rows")
-    if not rows:
-        return df.limit(0).withColumns({f.name: F.lit(None).cast(f.dataType) for f in small.schema})
-    structs = [
-        F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, small.schema)]) for row in rows
-    ]
-    return df.withColumn("_pair", F.explode(F.array(*structs))).select(*df.columns, "_pair.*")
+def product(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Every row of one side with every row of the other; the output is the product of both.
+
+    The planner sends the smaller side to all tasks if its size allows, and pairs partitions otherwise.
+    """
+    return left.crossJoin(right)

@@ -1,7 +1,8 @@
 """Loads that may be repeated: partition replacement, upsert, applied-once ledger.
 
-Plain parquet tables have no MERGE, so a change rewrites the partitions it touches.
-Every step gives the same table when it runs again, which makes retries safe.
+Plain parquet tables have no MERGE, so a change writes the buckets it touches as a
+new version, which becomes visible at once. Every step gives the same table when
+it runs again, which makes retries safe.
 """
 
 from __future__ import annotations
@@ -11,12 +12,12 @@ import time
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.operators.joins import duplicate_keys
 from millrace.operators.sets import dedup
-from millrace.operators.skew import broadcast_if_small
 from millrace.session import stage
 
 BUCKET = "_bucket"
@@ -45,62 +46,143 @@ def append(df: DataFrame, path: str, columns: Sequence[str] = ()) -> None:
     df.write.mode("append").partitionBy(*columns).parquet(path)
 
 
+@dataclass(frozen=True)
+class Versions:
+    """A folder whose data are written first and then made visible by one small file.
+
+    Data lie below ``data/version=N``. A commit appends one row to the pointer, with
+    the version and the load it belongs to. Readers look only at committed
+    versions, so a run that stops between data and pointer changes nothing, and
+    its repetition writes the same version again.
+    """
+
+    spark: SparkSession
+    path: str
+
+    POINTER = "version int, load string, buckets int"
+
+    def committed(self) -> list[Row]:
+        """The commits in their order; one row each, however much data they hold."""
+        try:
+            rows = self.spark.read.schema(self.POINTER).parquet(f"{self.path}/pointer")
+            return rows.orderBy("version").collect()
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return []
+
+    def next(self) -> int:
+        commits = self.committed()
+        return commits[-1]["version"] + 1 if commits else 0
+
+    def write(self, df: DataFrame, version: int, columns: Sequence[str] = ()) -> None:
+        df.write.mode("overwrite").partitionBy(*columns).parquet(f"{self.path}/data/version={version}")
+
+    def commit(self, version: int, load: str | None = None, buckets: int | None = None) -> None:
+        self.spark.createDataFrame([(version, load, buckets)], self.POINTER).coalesce(1).write.mode("append").parquet(f"{self.path}/pointer")
+
+
+BUCKET_BYTES = 128 << 20
+
+
+def buckets_for(df: DataFrame, bucket_bytes: int = BUCKET_BYTES) -> int:
+    """Buckets so that each holds about ``bucket_bytes``, by the planner's estimate of ``df``.
+
+    Where the planner knows nothing of a source, its rows are counted instead.
+    """
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    if size >= 1 << 60:
+        size = 16 * len(df.columns) * df.count()
+    return max(1, -(-size // bucket_bytes))
+
+
 @dataclass(frozen=True)
 class KeyedTable:
     """A parquet table with a unique key, stored in hash buckets of that key.
 
-    A change reads and rewrites only the buckets its keys fall in.
+    The number of buckets follows from the size of what it is created with. A
+    change writes one new version with the buckets its keys fall in, then a
+    manifest that names the version of every bucket, then the pointer.
     """
 
     spark: SparkSession
     path: str
     schema: str
     keys: tuple[str, ...]
-    buckets: int = 16
+    buckets: int | None = None
 
-    def _bucketed(self, df: DataFrame) -> DataFrame:
-        return df.withColumn(BUCKET, F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int"))
+    @property
+    def versions(self) -> Versions:
+        return Versions(self.spark, self.path)
 
-    def _all(self) -> DataFrame:
-        return self.spark.read.schema(f"{self.schema}, {BUCKET} int").parquet(self.path)
+    def _state(self) -> tuple[int, int]:
+        last = self.versions.committed()[-1]
+        return last["version"], last["buckets"]
 
-    def read(self) -> DataFrame:
-        return self._all().drop(BUCKET)
+    def _bucketed(self, df: DataFrame, buckets: int) -> DataFrame:
+        return df.withColumn(BUCKET, F.pmod(F.xxhash64(*self.keys), F.lit(buckets)).cast("int"))
+
+    def _manifest(self, version: int) -> DataFrame:
+        """The versions that hold rows of each bucket; a row per bucket and version."""
+        return self.spark.read.schema(f"{BUCKET} int, version int").parquet(f"{self.path}/manifest/version_{version}")
 
-    def _write(self, df: DataFrame) -> None:
-        replace_partitions(df, self.path, [BUCKET])
+    def _all(self, version: int) -> DataFrame:
+        stored = self.spark.read.schema(f"{self.schema}, version int, {BUCKET} int").parquet(f"{self.path}/data")
+        return stored.join(self._manifest(version), ["version", BUCKET], "left_semi")
+
+    def read(self) -> DataFrame:
+        return self._all(self._state()[0]).drop(BUCKET, "version")
+
+    def _publish(self, df: DataFrame, version: int, kept: DataFrame | None, buckets: int, load: str | None = None) -> None:
+        """Write the new rows once, then the manifest of old and new buckets, then the pointer."""
+        self.versions.write(df.hint("rebalance", BUCKET), version, [BUCKET])
+        own = (
+            self.spark.read.schema(f"{self.schema}, {BUCKET} int")
+            .parquet(f"{self.path}/data/version={version}")
+            .select(BUCKET)
+            .distinct()
+            .withColumn("version", F.lit(version))
+        )
+        manifest = own if kept is None else kept.select(BUCKET, "version").unionByName(own)
+        manifest.write.mode("overwrite").parquet(f"{self.path}/manifest/version_{version}")
+        self.versions.commit(version, load, buckets)
 
     def create(self, df: DataFrame) -> KeyedTable:
-        self._write(self._bucketed(df))
+        buckets = self.buckets or buckets_for(df)
+        version = self.versions.next()
+        self._publish(self._bucketed(df, buckets), version, None, buckets)
         return self
 
-    def _touched(self, changes: DataFrame) -> DataFrame:
-        """Current rows of the buckets the changes fall in (at most ``buckets`` numbers)."""
-        numbers = [r[0] for r in changes.select(BUCKET).distinct().collect()]
-        return self._all().filter(F.col(BUCKET).isin(numbers))
-
     def upsert(self, changes: DataFrame, order: Sequence[str]) -> None:
         """Insert new keys and replace known ones; of several changes to a key the last wins."""
-        latest = dedup(changes, self.keys, order, keep="last")
-        latest = stage(self._bucketed(latest), "changes")
-        kept = self._touched(latest).join(latest, list(self.keys), "left_anti")
-        columns = kept.columns
-        self._write(stage(kept.unionByName(latest.select(*columns)), "merged"))
+        version, buckets = self._state()
+        latest = stage(self._bucketed(dedup(changes, self.keys, order, keep="last"), buckets), "changes")
+        touched = latest.select(BUCKET).distinct()
+        kept = self._all(version).join(touched, BUCKET, "left_semi").join(latest, list(self.keys), "left_anti").drop("version")
+        untouched = self._manifest(version).join(touched, BUCKET, "left_anti")
+        self._publish(kept.unionByName(latest), version + 1, untouched, buckets)
 
     def insert_if_absent(self, rows: DataFrame, order: Sequence[str]) -> None:
         """Add rows with unknown keys; known ones stay as they are."""
-        fresh = stage(self._bucketed(dedup(rows, self.keys, order, keep="first")), "incoming")
-        new = fresh.join(self._touched(fresh), list(self.keys), "left_anti")
-        append(stage(new, "new-rows").hint("rebalance", BUCKET), self.path, [BUCKET])
-
-    def insert_strict(self, rows: DataFrame) -> None:
-        """Add rows, or reject the whole batch if any key is repeated or known."""
-        fresh = stage(self._bucketed(rows), "incoming")
+        version, buckets = self._state()
+        fresh = self._bucketed(dedup(rows, self.keys, order, keep="first"), buckets)
+        new = fresh.join(self._all(version), [BUCKET, *self.keys], "left_anti")
+        self._publish(new, version + 1, self._manifest(version), buckets)
+
+    def insert_strict(self, rows: DataFrame, load: str | None = None) -> None:
+        """Add rows, or reject the whole batch if any key is repeated or known.
+
+        A named load that was committed before is not tried again, so it may be repeated after its success.
+        """
+        if load is not None and any(c["load"] == load for c in self.versions.committed()):
+            return
+        version, buckets = self._state()
+        fresh = stage(self._bucketed(rows, buckets), "incoming")
         if not duplicate_keys(fresh, self.keys).isEmpty():
             raise LoadRejected("a key is repeated within the batch")
-        if not fresh.join(self._touched(fresh), list(self.keys), "left_semi").isEmpty():
+        if not fresh.join(self._all(version), [BUCKET, *self.keys], "left_semi").isEmpty():
             raise LoadRejected("a key of the batch is already in the table")
-        append(fresh.hint("rebalance", BUCKET), self.path, [BUCKET])
+        self._publish(fresh, version + 1, self._manifest(version), buckets, load)
 
 
 @dataclass(frozen=True)
@@ -125,12 +207,11 @@ class Ledger:
         )
 
 
-def atomic_load(
-    batch: DataFrame, path: str, load_id: str, keys: Sequence[str], valid: Column, order_column: str = "load_id"
-) -> int:
+def atomic_load(batch: DataFrame, path: str, load_id: str, keys: Sequence[str], valid: Column) -> int:
     """Publish a batch only if all of it is valid; otherwise leave the target as it was.
 
-    The batch is checked on a staged copy and becomes visible as one partition.
+    The rows become visible with the pointer, all at once. A load that is repeated
+    takes the place of its earlier self.
     """
     staged = stage(batch, "batch")
     checks = staged.agg(F.count(F.lit(1)).alias("n"), F.count_if(~F.coalesce(valid, F.lit(False))).alias("bad")).first()
@@ -138,10 +219,21 @@ def atomic_load(
         raise LoadRejected(f"{checks['bad']} of {checks['n']} rows are not valid")
     if not duplicate_keys(staged, keys).isEmpty():
         raise LoadRejected(f"key {list(keys)} is repeated within the batch")
-    replace_partitions(staged.withColumn(order_column, F.lit(load_id)), path, [order_column])
+    versions = Versions(batch.sparkSession, path)
+    version = versions.next()
+    versions.write(staged, version)
+    versions.commit(version, load_id)
     return checks["n"]
 
 
+def read_loads(spark: SparkSession, path: str, schema: str, out: str = "load_id") -> DataFrame:
+    """The rows of all committed loads, each load by its last version."""
+    last = {c["load"]: c["version"] for c in Versions(spark, path).committed()}
+    stored = spark.read.schema(f"{schema}, version int").parquet(f"{path}/data")
+    names = spark.createDataFrame([(v, k) for k, v in last.items()], f"version int, {out} string")
+    return stored.join(names, "version").drop("version")
+
+
 def with_retry(
     action: Callable[[], object],
     attempts: int = 5,
@@ -162,5 +254,4 @@ def with_retry(
 
 def backfill(df: DataFrame, path: str, day: str, days: DataFrame) -> None:
     """Load the listed days, each as its own replaceable partition, in one job."""
-    wanted = broadcast_if_small(days.select(day).distinct(), 100_000)
-    replace_partitions(df.join(wanted, day, "left_semi"), path, [day])
+    replace_partitions(df.join(days.select(day).distinct(), day, "left_semi"), path, [day])

@@ -17,19 +17,24 @@ from dataclasses import dataclass, replace
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from millrace.operators.skew import group_sizes, salted_join
+from millrace.operators.skew import group_sizes, spread_join
 from millrace.session import stage
 
 CHUNK = "_chunk"
 ROWS_PER_TASK = 5_000_000
-MAX_RANGES = 100_000
 
 
-def global_index(df: DataFrame, order: Sequence[str | Column], out: str = "idx", start: int = 0) -> DataFrame:
-    """Number all rows by ``order`` (which must be unique) without a one-task window."""
+def global_index(
+    df: DataFrame, order: Sequence[str | Column], out: str = "idx", start: int = 0, rows_per_task: int = ROWS_PER_TASK
+) -> DataFrame:
+    """Number all rows by ``order`` (which must be unique) without a one-task window.
+
+    The rows are counted first, so that a range has about ``rows_per_task`` of them at any size.
+    """
     order = [F.col(c) if isinstance(c, str) else c for c in order]
+    ranges = max(1, math.ceil(df.count() / rows_per_task))
     ranged = stage(
-        df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_mid", F.monotonically_increasing_id()),
+        df.repartitionByRange(ranges, *order).sortWithinPartitions(*order).withColumn("_mid", F.monotonically_increasing_id()),
         "index",
     )
     part = F.shiftright("_mid", 33)
@@ -98,7 +103,7 @@ def ordered(df: DataFrame, keys: Sequence[str], order: Sequence[str], rows_per_t
     largest, total = group_sizes(df, keys)
     if largest <= rows_per_task:
         return Ordered(df, tuple(keys), tuple(order), False)
-    ranges = min(math.ceil(total / rows_per_task), MAX_RANGES)
+    ranges = math.ceil(total / rows_per_task)
     split = df.repartitionByRange(ranges, *keys, *order)
     ranged = stage(split.withColumn(CHUNK, F.spark_partition_id()), "ranges")
     return Ordered(ranged, tuple(keys), tuple(order), True)
@@ -234,7 +239,8 @@ def moving_avg(o: Ordered, value: str, n: int, out: str) -> Ordered:
         .withColumn("_total", F.transform("_t", lambda x: x["v"]))
         .drop("_t")
     )
-    joined = _attach(o, tails, lambda w: F.flatten(F.collect_list("_total").over(w)), backward=False)
+    # Each range adds its tail to what it was lent and keeps n-1 values, so no carry is longer.
+    joined = _attach(o, _last_values(o, tails, n - 1), lambda w: F.last("_total").over(w), backward=False)
     missing = F.greatest(F.lit(n) - F.row_number().over(o.window()), F.lit(0))
     lent = F.expr("slice(_carry, greatest(size(_carry) - _missing + 1, 1), _missing)")
     lent = F.when(F.col("_carry").isNull(), F.array().cast("array<double>")).otherwise(lent)
@@ -250,6 +256,29 @@ def moving_avg(o: Ordered, value: str, n: int, out: str) -> Ordered:
     return replace(o, df=df.drop("_carry", "_missing", "_s", "_n", "_lent", "_ls"))
 
 
+def _last_values(o: Ordered, tails: DataFrame, most: int) -> DataFrame:
+    """The last ``most`` values up to the end of each range, by doubling the number of ranges looked back on.
+
+    After step s a row holds the last values of 2**s ranges; every step joins a
+    range with the one 2**s before it among those of its key.
+    """
+    by = Window.partitionBy(*o.keys).orderBy(CHUNK)
+    held = stage(tails.withColumn("_no", F.row_number().over(by)), "tails")
+    longest = held.agg(F.max("_no")).first()[0] or 1
+    step = 1
+    while step < longest and step < most + 1:
+        earlier = held.select(*[F.col(k).alias(f"_p_{k}") for k in o.keys], (F.col("_no") + step).alias("_p_no"), F.col("_total").alias("_more"))
+        same = F.col("_no") == F.col("_p_no")
+        for k in o.keys:
+            same &= F.col(k).eqNullSafe(F.col(f"_p_{k}"))
+        both = F.concat(F.coalesce("_more", F.array().cast(held.schema["_total"].dataType)), F.col("_total"))
+        cut = F.slice(both, F.greatest(F.size(both) - most + 1, F.lit(1)), F.lit(most))
+        joined = held.join(earlier, same, "left").withColumn("_total", cut)
+        held = stage(joined.drop("_more", "_p_no", *[f"_p_{k}" for k in o.keys]), "tails")
+        step *= 2
+    return held.drop("_no")
+
+
 def count_windows(o: Ordered, n: int, aggs: Sequence[Column], out: str = "window_no") -> DataFrame:
     """Aggregate every ``n`` consecutive rows of a key; an incomplete last window gives nothing."""
     o = row_numbers(o, "_pos")
@@ -302,7 +331,7 @@ def exact_quantiles(
     o = running_sum(ordered(counts, by, ["_v"], rows_per_task), "_rows", "_end")
     if o.chunked:
         totals = o.df.groupBy(*by).agg(F.sum("_rows").alias("_n"))
-        placed = salted_join(o.rows(), totals, by, ["_v"], "inner", rows_per_task)
+        placed = spread_join(o.rows(), totals, by)
     else:
         placed = o.df.withColumn("_n", F.sum("_rows").over(Window.partitionBy(*by)))
     start, end = F.col("_end") - F.col("_rows"), F.col("_end")

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.operators.ordered import global_index
-from millrace.operators.skew import salted_join
+from millrace.operators.skew import same_keys
 
 
 def symmetric_difference(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
@@ -72,16 +72,16 @@ def dedup_with_count(df: DataFrame, keys: Sequence[str], order: Sequence[str], k
 
 
 def mark_duplicates(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], row_id: Sequence[str], rows_per_task: int = 2_000_000
+    df: DataFrame, keys: Sequence[str], order: Sequence[str]
 ) -> DataFrame:
     """Flags for "a copy of an earlier row", "a copy of a later row" and "has any copy"."""
     place = F.struct(*order)
     ends = (
-        df.groupBy(*keys)
+        df.groupBy(*[F.col(k).alias(f"_k_{k}") for k in keys])
         .agg(F.count(F.lit(1)).alias("_n"), F.min(place).alias("_first"), F.max(place).alias("_last"))
         .filter("_n > 1")
     )
-    joined = salted_join(df, ends, keys, row_id, "left", rows_per_task)
+    joined = same_keys(df, ends, keys, "_k_")
     copied = F.col("_n").isNotNull()
     return (
         joined.withColumn("dup_keep_first", copied & (place > F.col("_first")))

@@ -10,27 +10,30 @@ from pyspark.sql import functions as F
 SALT = "_salt"
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
-    """Broadcast ``df`` only after counting that it holds at most ``max_rows`` rows."""
-    return F.broadcast(df) if df.count() <= max_rows else df
+def broadcast_within(df: DataFrame, most_bytes: int = 64 << 20) -> DataFrame:
+    """Ask for a broadcast if the planner's own estimate of ``df`` is at most ``most_bytes``.
+
+    The estimate comes from file sizes and the plan, so nothing runs while the query is built.
+    """
+    estimate = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return F.broadcast(df) if estimate <= most_bytes else df
 
 
 def key_counts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], rows_per_task: int, max_keys: int = 10_000) -> DataFrame:
-    """The largest groups above ``rows_per_task`` rows, at most ``max_keys`` of them.
+def hot_keys(df: DataFrame, keys: Sequence[str], rows_per_task: int) -> DataFrame:
+    """All groups above ``rows_per_task`` rows, as a table to join with."""
+    return key_counts(df, keys).filter(F.col("_rows") > rows_per_task)
 
-    A group outside the list holds at most 1/max_keys of all rows, so it needs no
-    special care; the bound makes the result safe to broadcast.
-    """
-    return (
-        key_counts(df, keys)
-        .filter(F.col("_rows") > rows_per_task)
-        .orderBy(F.desc("_rows"), *keys)
-        .limit(max_keys)
-    )
+
+def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], prefix: str, how: str = "left") -> DataFrame:
+    """Join on equal keys with null equal to null; ``right`` has its keys under ``prefix``, which go."""
+    condition = F.lit(True)
+    for k in keys:
+        condition &= left[k].eqNullSafe(right[f"{prefix}{k}"])
+    return left.join(right, condition, how).drop(*[f"{prefix}{k}" for k in keys])
 
 
 def group_sizes(df: DataFrame, keys: Sequence[str]) -> tuple[int, int]:
@@ -42,25 +45,29 @@ def group_sizes(df: DataFrame, keys: Sequence[str]) -> tuple[int, int]:
 def collect_pages(
     df: DataFrame, keys: Sequence[str], element: Column, place: Sequence[str | Column], rows_per_page: int, out: str
 ) -> DataFrame:
-    """Elements of each group as sorted arrays of about ``rows_per_page`` at most.
+    """Elements of each group as sorted arrays of at most ``rows_per_page``, with a number ``page``.
 
-    An ordinary group is one array, page 0. The largest groups, if they do not fit a
-    page, are spread over pages by ``place``, columns that tell their rows apart.
+    Every group, that of null keys too, has a page 0 and as many more as it needs;
+    numbers are unique in a group but need not be consecutive. Rows are dealt by
+    ``place``, columns that tell them apart, so a retried task deals them alike.
     """
-    elements = F.array_sort(F.collect_list(element)).alias(out)
-    hot = hot_keys(df, keys, rows_per_page).withColumn("_pages", F.ceil(F.col("_rows") / rows_per_page)).drop("_rows")
-    rows = hot.collect()  # bounded by hot_keys
-    if not rows:
-        return df.groupBy(*keys).agg(elements).withColumn("page", F.lit(0))
-    hot = F.broadcast(df.sparkSession.createDataFrame(rows, hot.schema))
-    ordinary = df.join(hot, list(keys), "left_anti").groupBy(*keys).agg(elements).withColumn("page", F.lit(0))
-    placed = df.withColumn("_place", F.xxhash64(*place)).join(hot, list(keys))
-    paged = placed.withColumn("page", F.pmod("_place", "_pages").cast("int"))
-    pages = paged.groupBy(*keys, "page").agg(elements)
-    # every group has a page 0, also if chance put no row there
-    first = hot.select(*keys, F.lit(0).alias("page"), F.array().cast(pages.schema[out].dataType).alias(out))
-    whole = F.array_sort(F.flatten(F.collect_list(out))).alias(out)
-    return ordinary.unionByName(pages.unionByName(first).groupBy(*keys, "page").agg(whole))
+    placed = df.withColumn("_place", F.xxhash64(*place))
+    sizes = placed.groupBy(*[F.col(k).alias(f"_k_{k}") for k in keys]).agg(
+        F.ceil(F.count(F.lit(1)) / rows_per_page).alias("_pages"), F.min("_place").alias("_least")
+    )
+    dealt = same_keys(placed, sizes, keys, "_k_", "inner").withColumn(
+        # The row with the least place is always on page 0.
+        "_deal",
+        F.pmod(F.pmod("_place", "_pages") - F.pmod("_least", "_pages"), "_pages"),
+    )
+    arrays = dealt.groupBy(*keys, "_deal", "_pages").agg(F.array_sort(F.collect_list(element)).alias("_all"))
+    # A deal may exceed the limit by chance; it then continues on a further page.
+    parts = F.transform(
+        F.sequence(F.lit(0), F.floor((F.size("_all") - 1) / rows_per_page).cast("int")),
+        lambda i: F.slice("_all", i * rows_per_page + 1, F.lit(rows_per_page)),
+    )
+    pages = arrays.select(*keys, "_deal", "_pages", F.posexplode(parts).alias("_turn", out))
+    return pages.select(*keys, (F.col("_deal") + F.col("_turn") * F.col("_pages")).cast("bigint").alias("page"), out)
 
 
 def skew_profile(df: DataFrame, key: str) -> DataFrame:
@@ -111,31 +118,40 @@ def skew_aware_sum(
     return df.groupBy(key).agg(F.sum(value).alias(out), F.count(F.lit(1)).alias("n_rows"))
 
 
+def spread_join(big: DataFrame, other: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join in which a hot key of ``big`` never is one task.
+
+    Adaptive execution splits a hot key of the left side in inner, left, semi and
+    anti joins. It cannot in right and outer joins, which are an inner or left join
+    plus the rows of ``other`` whose key ``big`` does not have.
+    """
+    if how not in ("inner", "left", "right", "outer", "left_semi", "left_anti"):
+        raise ValueError(f"unknown kind of join: {how}")
+    if how not in ("right", "outer"):
+        return big.join(other, list(on), how)
+    matched = big.join(other, list(on), "inner" if how == "right" else "left")
+    unmatched = other.join(big.select(*on).distinct(), list(on), "left_anti")
+    return matched.unionByName(unmatched, allowMissingColumns=True)
+
+
 def salted_join(
-    big: DataFrame,
-    other: DataFrame,
-    on: Sequence[str],
-    row_id: Sequence[str],
-    how: str = "inner",
-    rows_per_task: int = 2_000_000,
-    max_salts: int = 2_000,
+    big: DataFrame, other: DataFrame, on: Sequence[str], row_id: Sequence[str], how: str = "inner", rows_per_task: int = 2_000_000
 ) -> DataFrame:
-    """Equi-join in which every hot key of ``big`` is spread over several tasks.
+    """Equi-join that spreads each hot key of ``big`` over as many tasks as its rows need.
 
-    Only rows of hot keys are replicated on the other side, once per salt of that
-    key. Rows of ``big`` keep one salt each, so no pair is lost or doubled. A right
-    or outer join, whose unmatched rows must not be replicated, is a salted inner or
-    left join plus the rows of ``other`` whose key ``big`` does not have.
+    For plans without adaptive splitting. The keys are counted first; only rows of
+    hot keys are replicated on the other side, once per salt of that key, and rows
+    of ``big`` keep one salt each, so no pair is lost or doubled.
     """
     if how not in ("inner", "left", "right", "outer", "left_semi", "left_anti"):
         raise ValueError(f"unknown kind of join: {how}")
+    if how in ("right", "outer"):
+        matched = salted_join(big, other, on, row_id, "inner" if how == "right" else "left", rows_per_task)
+        unmatched = other.join(big.select(*on).distinct(), list(on), "left_anti")
+        return matched.unionByName(unmatched, allowMissingColumns=True)
     present = big.filter(" and ".join(f"`{k}` is not null" for k in on))
-    salts = F.least(F.ceil(F.col("_rows") / rows_per_task), F.lit(max_salts)).cast("int").alias("_salts")
+    salts = F.ceil(F.col("_rows") / rows_per_task).cast("int").alias("_salts")
     hot = hot_keys(present, on, rows_per_task).select(*on, salts)
-    rows = hot.collect()  # bounded by hot_keys
-    if not rows:
-        return big.join(other, list(on), how)
-    hot = F.broadcast(big.sparkSession.createDataFrame(rows, hot.schema))
     left = (
         big.join(hot, list(on), "left")
         .withColumn(SALT, F.when(F.col("_salts").isNull(), F.lit(0)).otherwise(salt_of(row_id, F.col("_salts"))))
@@ -146,8 +162,4 @@ def salted_join(
         .withColumn(SALT, F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1)))
         .drop("_salts")
     )
-    if how not in ("right", "outer"):
-        return left.join(right, [*on, SALT], how).drop(SALT)
-    matched = left.join(right, [*on, SALT], "inner" if how == "right" else "left").drop(SALT)
-    unmatched = other.join(big.select(*on).distinct(), list(on), "left_anti")
-    return matched.unionByName(unmatched, allowMissingColumns=True)
+    return left.join(right, [*on, SALT], how).drop(SALT)

@@ -193,11 +193,10 @@ _PIVOT = ", ".join(
 )
 
 
-@query("pivot_sum", f"SELECT o_orderstatus, {_PIVOT} FROM orders WHERE o_orderstatus <> 'P' OR o_orderpriority < '3' GROUP BY 1")
+@query("pivot_sum", f"SELECT o_orderstatus, {_PIVOT} FROM orders GROUP BY 1")
 def pivot_sum(spark, folder):
-    """Status by priority; one status has no rows for some priorities, which become 0."""
-    orders = load(spark, folder, "orders").filter("o_orderstatus <> 'P' or o_orderpriority < '3'")
-    return A.pivot_sum(orders, "o_orderstatus", "o_orderpriority", PRIORITIES, "o_totalprice")
+    """Status by priority; a status without rows for a priority has 0 there."""
+    return A.pivot_sum(load(spark, folder, "orders"), "o_orderstatus", "o_orderpriority", PRIORITIES, "o_totalprice")
 
 
 @query(
@@ -230,8 +229,7 @@ def doc_match_group(spark, folder):
         "revenue": {"$sum": "$total"},
         "average": {"$avg": "$total"},
     }
-    documents = D.nested_orders(spark, folder).filter("page = 0")
-    out = match_group(documents, {"status": "F", "total": {"$gte": 100000}}, spec)
+    out = match_group(D.order_documents(spark, folder), {"status": "F", "total": {"$gte": 100000}}, spec)
     return out.withColumn("revenue", F.round("revenue", 2)).withColumn("average", F.col("revenue") / F.col("orders"))
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from millrace.operators import joins as J
 from millrace.operators.aggregate import money_sum
 from millrace.operators.sets import dedup
-from millrace.operators.skew import broadcast_if_small, salted_join
+from millrace.operators.skew import broadcast_within, spread_join
 from millrace.plans import derived as D
 from millrace.plans.registry import query
 from millrace.tables import load
@@ -41,12 +41,12 @@ def sales_by_region(spark, folder):
 
 
 def _kind(spark, folder, how):
-    orders = D.orders_with_gaps(spark, folder).select("o_orderkey", F.col("o_custkey").alias("custkey"))
-    customers = D.customers_with_gaps(spark, folder).select(F.col("c_custkey").alias("custkey"), "c_name")
-    if how in ("right", "outer"):
-        # adaptive execution cannot split a hot key of the left side in these joins
-        return salted_join(orders, customers, ["custkey"], ["o_orderkey"], how)
-    return orders.join(customers, "custkey", how)
+    orders, customers = load(spark, folder, "orders"), load(spark, folder, "customer")
+    if how != "inner":  # these need keys without a partner
+        orders, customers = D.orders_with_gaps(spark, folder), D.customers_with_gaps(spark, folder)
+    orders = orders.select("o_orderkey", F.col("o_custkey").alias("custkey"))
+    customers = customers.select(F.col("c_custkey").alias("custkey"), "c_name")
+    return spread_join(orders, customers, ["custkey"], how)
 
 
 def _kind_sql(how, key):
@@ -54,7 +54,10 @@ def _kind_sql(how, key):
       SELECT {key} AS custkey, o_orderkey, c_name FROM gappy_orders {how} JOIN gappy ON o_custkey = c_custkey"""
 
 
-@query("join_inner", _kind_sql("INNER", "o_custkey"))
+@query(
+    "join_inner",
+    "SELECT o_custkey AS custkey, o_orderkey, c_name FROM orders JOIN customer ON o_custkey = c_custkey",
+)
 def join_inner(spark, folder):
     return _kind(spark, folder, "inner")
 
@@ -100,7 +103,7 @@ def join_validate_m1(spark, folder):
         J.validated_join(orders, copies, ["custkey"])
     except J.JoinKeyError:
         copies = dedup(copies, ["custkey"], ["seq"])
-    return J.validated_join(orders, copies.drop("seq"), ["custkey"], row_id=["o_orderkey"])
+    return J.validated_join(orders, copies.drop("seq"), ["custkey"])
 
 
 @query(
@@ -110,7 +113,7 @@ def join_validate_m1(spark, folder):
 )
 def join_broadcast(spark, folder):
     """Broadcast of a dimension whose size was checked; a bigger one is shuffled."""
-    part = broadcast_if_small(load(spark, folder, "part").select("p_partkey", "p_type"))
+    part = broadcast_within(load(spark, folder, "part").select("p_partkey", "p_type"))
     return (
         load(spark, folder, "lineitem")
         .join(part, F.col("l_partkey") == F.col("p_partkey"))
@@ -140,22 +143,21 @@ def join_sortmerge(spark, folder):
 
 @query(
     "join_merge_unique",
-    """WITH a AS (SELECT c_custkey AS id, c_acctbal AS left_value FROM customer WHERE c_custkey % 2 = 0),
-            b AS (SELECT c_custkey AS id, c_nationkey AS right_value FROM customer WHERE c_custkey % 3 = 0)
-       SELECT id, left_value, right_value FROM a JOIN b USING (id)""",
+    """SELECT c_custkey AS id, c_acctbal AS left_value, spent AS right_value FROM customer JOIN (
+         SELECT o_custkey, round(sum(o_totalprice), 2) AS spent FROM orders GROUP BY 1) ON o_custkey = c_custkey""",
 )
 def join_merge_unique(spark, folder):
     """Sort-merge join of two inputs with unique keys."""
-    customers = load(spark, folder, "customer").withColumnRenamed("c_custkey", "id")
-    left = customers.filter("id % 2 = 0").select("id", F.col("c_acctbal").alias("left_value"))
-    right = customers.filter("id % 3 = 0").select("id", F.col("c_nationkey").alias("right_value"))
+    left = load(spark, folder, "customer").select(F.col("c_custkey").alias("id"), F.col("c_acctbal").alias("left_value"))
+    spent = money_sum("o_totalprice").alias("right_value")
+    right = load(spark, folder, "orders").groupBy(F.col("o_custkey").alias("id")).agg(spent)
     return left.hint("merge").join(right, "id")
 
 
 @query(
     "aligned_add",
-    """WITH a AS (SELECT user_id, round(sum(value), 2) AS v FROM events WHERE ts < TIMESTAMP '2024-01-04' GROUP BY 1),
-            b AS (SELECT user_id, round(sum(value), 2) AS v FROM events WHERE ts >= TIMESTAMP '2024-01-28' GROUP BY 1)
+    """WITH a AS (SELECT user_id, round(sum(value), 2) AS v FROM events WHERE event_type IN ('click', 'view') GROUP BY 1),
+            b AS (SELECT user_id, round(sum(value), 2) AS v FROM events WHERE event_type NOT IN ('click', 'view') GROUP BY 1)
        SELECT coalesce(a.user_id, b.user_id) AS user_id, a.v + b.v AS strict_total,
               coalesce(a.v, 0) + coalesce(b.v, 0) AS filled_total
        FROM a FULL JOIN b ON a.user_id = b.user_id""",
@@ -165,7 +167,7 @@ def aligned_add(spark, folder):
     events = load(spark, folder, "events")
     per_user = [
         events.filter(period).groupBy("user_id").agg(money_sum("value").alias("v"))
-        for period in ("ts < timestamp_ntz'2024-01-04 00:00:00'", "ts >= timestamp_ntz'2024-01-28 00:00:00'")
+        for period in ("event_type in ('click', 'view')", "event_type not in ('click', 'view')")
     ]
     strict = J.aligned_add(*per_user, "user_id", "v", "strict_total")
     return strict.join(J.aligned_add(*per_user, "user_id", "v", "filled_total", fill=0.0), "user_id")
@@ -178,7 +180,7 @@ def aligned_add(spark, folder):
 def cross_product(spark, folder):
     """Every supplier with every region."""
     suppliers = load(spark, folder, "supplier").select("s_nationkey", "s_name")
-    return J.product_with_small(suppliers, load(spark, folder, "region").select("r_name"))
+    return J.product(suppliers, load(spark, folder, "region").select("r_name"))
 
 
 @query(
@@ -241,5 +243,4 @@ def join_composite(spark, folder):
     """Lookup by a two-column key."""
     lines = load(spark, folder, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_quantity")
     totals = lines.groupBy("l_partkey", "l_suppkey").agg(F.sum("l_quantity").alias("total_qty"))
-    row_id = ["l_orderkey", "l_quantity"]
-    return salted_join(lines, totals, ["l_partkey", "l_suppkey"], row_id)
+    return spread_join(lines, totals, ["l_partkey", "l_suppkey"])

@@ -291,8 +291,9 @@ def json_safe_get(spark, folder):
     ints="n_items",
 )
 def json_flatten(spark, folder):
-    flat = jsons.flatten(D.nested_orders(spark, folder).filter("page = 0"))
-    return flat.drop("page").withColumn("n_items", F.size("items")).drop("items")
+    """Dotted columns of each order, and its items on all pages."""
+    flat = jsons.flatten(D.nested_orders(spark, folder)).withColumn("n", F.size("items")).drop("items", "page")
+    return flat.groupBy(*[F.col(f"`{x}`") for x in flat.columns if x != "n"]).agg(F.sum("n").cast("int").alias("n_items"))
 
 
 @query(

@@ -17,7 +17,11 @@ from millrace.tables import load
 c = F.col
 
 
-@query("partition_counts")
+@query(
+    "partition_counts",
+    """SELECT layout, n_partitions, (SELECT count(*) FROM orders) AS n_rows
+       FROM (VALUES ('round_robin', 8), ('by_key', 8), ('merged', 2)) t(layout, n_partitions)""",
+)
 def partition_counts_query(spark, folder):
     """Rows per partition after spreading evenly, by key, and after merging partitions."""
     orders = load(spark, folder, "orders").select("o_orderkey", "o_custkey")
@@ -28,7 +32,9 @@ def partition_counts_query(spark, folder):
     }
     out = None
     for name, df in layouts.items():
-        part = partition_counts(df).withColumn("layout", F.lit(name))
+        counts = partition_counts(df)
+        n_rows = next(x for x in counts.columns if x != "partition")
+        part = counts.agg(F.count(F.lit(1)).cast("int").alias("n_partitions"), F.sum(n_rows).alias("n_rows")).withColumn("layout", F.lit(name))
         out = part if out is None else out.unionByName(part)
     return out
 
@@ -135,21 +141,29 @@ def map_partitions(spark, folder):
     return out.withColumn("net", F.round("net", 6))
 
 
-@query("delayed_sum", "SELECT count(*) AS n, sum((o_orderkey % 1000) * (o_orderkey % 1000))::BIGINT AS total FROM orders")
+def _digit_sums(numbers: pd.Series) -> pd.Series:
+    return numbers.map(lambda n: sum(map(int, str(n))))
+
+
+@query(
+    "delayed_sum",
+    """SELECT count(*) AS n, sum(list_sum(list_transform(string_split(o_orderkey::VARCHAR, ''), lambda x: x::BIGINT)))::BIGINT AS total
+       FROM orders""",
+)
 def delayed_sum(spark, folder):
     """A Python function over independent items in parallel, then one reduction."""
-    square = U.column_function(lambda s: (s % 1000) ** 2, "bigint")
-    items = load(spark, folder, "orders").select(square(c("o_orderkey")).alias("v"))
+    digits = U.column_function(_digit_sums, "bigint")
+    items = load(spark, folder, "orders").select(digits(c("o_orderkey")).alias("v"))
     return items.agg(F.count("v").alias("n"), F.sum("v").alias("total"))
 
 
 @query(
-    "group_apply",
+    "group_combine",
     """SELECT o_orderpriority, count(*) AS n, max(o_totalprice) - min(o_totalprice) AS spread,
               sum((o_totalprice > 250000)::INT)::BIGINT AS n_large FROM orders GROUP BY 1""",
 )
-def group_apply(spark, folder):
-    """A Python function per group; large groups come in blocks whose results are merged."""
+def group_combine(spark, folder):
+    """A mergeable Python function per group: large groups come in blocks."""
 
     def measure(frame):
         price = frame["o_totalprice"]
@@ -163,29 +177,51 @@ def group_apply(spark, folder):
             }
         )
 
-    return U.group_apply(
+    return U.group_combine(
         load(spark, folder, "orders").select("o_orderkey", "o_orderpriority", "o_totalprice"),
         ["o_orderpriority"],
         ["o_orderkey"],
         measure,
         "o_orderpriority string, n bigint, low double, high double, n_large bigint",
         [F.sum("n").alias("n"), (F.max("high") - F.min("low")).alias("spread"), F.sum("n_large").alias("n_large")],
-        rows_per_task=20_000,
     )
 
 
+@query(
+    "group_apply",
+    """SELECT o_custkey, count(*) AS n, median(o_totalprice) AS middle,
+              count(*) FILTER (o_totalprice > before) AS n_rises FROM (
+         SELECT *, lag(o_totalprice) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS before FROM orders) GROUP BY 1""",
+)
+def group_apply(spark, folder):
+    """Any Python function of a whole group: a median and the rises in order of time, which no blocks could be merged to."""
+
+    def measure(frame):
+        price = frame.sort_values(["o_orderdate", "o_orderkey"])["o_totalprice"]
+        return pd.DataFrame(
+            {
+                "o_custkey": [frame["o_custkey"].iloc[0]],
+                "n": [len(price)],
+                "middle": [float(price.median())],
+                "n_rises": [int((price.diff() > 0).sum())],
+            }
+        )
+
+    orders = load(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
+    return U.group_apply(orders, ["o_custkey"], measure, "o_custkey bigint, n bigint, middle double, n_rises bigint")
+
+
 @query(
     "udtf_tokens",
-    """SELECT doc_id, count(*) AS n_words, count(DISTINCT w) AS n_distinct, max(pos)::INT AS last_pos FROM (
+    r"""SELECT doc_id, count(w) AS n_words, count(DISTINCT w) AS n_distinct, max(pos)::INT AS last_pos FROM (
          SELECT doc_id, unnest(l) AS w, unnest(range(0, len(l))) AS pos FROM (
-           SELECT doc_id, regexp_extract_all(text, '[A-Za-z]+') AS l FROM documents)) GROUP BY 1""",
+           SELECT doc_id, regexp_extract_all(text, '[\p{L}\p{M}]+') AS l FROM documents)) GROUP BY 1""",
 )
 def udtf_tokens(spark, folder):
-    """One text to many rows by a table function."""
-    words = U.words_of()
-    rows = load(spark, folder, "documents").select("doc_id", "text").lateralJoin(words(c("text").outer()))
+    """One text to many rows: its words, in any language."""
+    rows = U.words(load(spark, folder, "documents").select("doc_id", "text"), "text").filter("word is not null")
     return rows.groupBy("doc_id").agg(
-        F.count(F.lit(1)).alias("n_words"), F.count_distinct("word").alias("n_distinct"), F.max("pos").alias("last_pos")
+        F.count("word").alias("n_words"), F.count_distinct("word").alias("n_distinct"), F.max("pos").alias("last_pos")
     )
 
 

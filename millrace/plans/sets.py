@@ -17,15 +17,20 @@ def _sides(spark, folder):
     return left, D.customers_with_gaps(spark, folder).select(F.col("c_custkey").alias("k"))
 
 
-@query("set_union", _SETS + " SELECT k FROM a UNION SELECT k FROM b")
+def _whole(spark, folder):
+    orders, customers = load(spark, folder, "orders"), load(spark, folder, "customer")
+    return orders.select(F.col("o_custkey").alias("k")), customers.select(F.col("c_custkey").alias("k"))
+
+
+@query("set_union", "SELECT o_custkey AS k FROM orders UNION SELECT c_custkey FROM customer")
 def set_union(spark, folder):
-    a, b = _sides(spark, folder)
+    a, b = _whole(spark, folder)
     return a.union(b).distinct()
 
 
-@query("set_intersect", _SETS + " SELECT k FROM a INTERSECT SELECT k FROM b")
+@query("set_intersect", "SELECT o_custkey AS k FROM orders INTERSECT SELECT c_custkey FROM customer")
 def set_intersect(spark, folder):
-    a, b = _sides(spark, folder)
+    a, b = _whole(spark, folder)
     return a.distinct().intersect(b.distinct())
 
 
@@ -131,4 +136,4 @@ def dedup_last(spark, folder):
 )
 def mark_duplicates(spark, folder):
     feed = D.dirty_orders(spark, folder).select("order_id", "attempt")
-    return S.mark_duplicates(feed, ["order_id"], ["attempt"], ["order_id", "attempt"])
+    return S.mark_duplicates(feed, ["order_id"], ["attempt"])
