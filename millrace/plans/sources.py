@@ -8,7 +8,7 @@ from millrace.operators.aggregate import money_sum
 from millrace.operators.quality import misfits
 from millrace.plans import derived as D
 from millrace.plans.registry import query
-from millrace.session import fresh_path
+from millrace.session import fresh_path, stage
 from millrace.sources import files, footers, html, incremental, paged
 from millrace.tables import SCHEMAS, load
 
@@ -171,24 +171,41 @@ def parquet_roundtrip(spark, folder):
     return _day(files.read(spark, "parquet", path, SCHEMAS["lineitem"]), "l_shipdate")
 
 
-@query("parquet_codecs")
+@query(
+    "parquet_codecs",
+    """SELECT codec, (SELECT count(*) FROM lineitem) AS n_rows, codec <> 'none' AS smaller_than_plain
+       FROM (SELECT unnest(['snappy', 'gzip', 'zstd', 'none']) AS codec)""",
+)
 def parquet_codecs(spark, folder):
-    """Bytes on disk per codec."""
+    """The table under each codec, read back; whether it takes fewer bytes than without one."""
     lines, out = load(spark, folder, "lineitem"), None
-    for codec in ("snappy", "gzip", "none"):
+    for codec in ("snappy", "gzip", "zstd", "none"):
         path = files.write(lines, "parquet", fresh_path(spark, codec), compression=codec)
         stored = files.read(spark, "parquet", path, SCHEMAS["lineitem"])
         per_file = stored.groupBy(c("_metadata.file_path").alias("f"), c("_metadata.file_size").alias("s"))
         sizes = per_file.agg(F.count(F.lit(1)).alias("n")).agg(F.sum("s").alias("n_bytes"), F.sum("n").alias("n_rows"))
         part = sizes.withColumn("codec", F.lit(codec))
         out = part if out is None else out.unionByName(part)
-    return out
+    sizes = stage(out, "codecs")  # one row per codec
+    plain = sizes.filter("codec = 'none'").select("n_bytes").scalar()
+    return sizes.select("codec", "n_rows", (c("n_bytes") < plain).alias("smaller_than_plain"))
 
 
-@query("parquet_footer_stats")
+@query(
+    "parquet_footer_stats",
+    """SELECT name AS "column", (SELECT count(*) FROM lineitem) AS n_rows, low, high FROM (
+         SELECT 'l_orderkey' AS name, min(l_orderkey)::VARCHAR AS low, max(l_orderkey)::VARCHAR AS high FROM lineitem
+         UNION ALL SELECT 'l_partkey', min(l_partkey)::VARCHAR, max(l_partkey)::VARCHAR FROM lineitem
+         UNION ALL SELECT 'l_suppkey', min(l_suppkey)::VARCHAR, max(l_suppkey)::VARCHAR FROM lineitem
+         UNION ALL SELECT 'l_linenumber', min(l_linenumber)::VARCHAR, max(l_linenumber)::VARCHAR FROM lineitem
+         UNION ALL SELECT 'l_returnflag', min(l_returnflag), max(l_returnflag) FROM lineitem
+         UNION ALL SELECT 'l_linestatus', min(l_linestatus), max(l_linestatus) FROM lineitem)""",
+)
 def parquet_footer_stats(spark, folder):
-    """Encodings, bytes and share per column, from the footers of the files."""
-    return footers.footer_profile(load(spark, folder, "lineitem"))
+    """What the footers alone tell of the key and flag columns: rows and extremes."""
+    found = footers.footer_profile(load(spark, folder, "lineitem"))
+    kept = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag", "l_linestatus"]
+    return found.filter(c("column").isin(kept)).select("column", "n_rows", "low", "high")
 
 
 @query(
@@ -313,15 +330,14 @@ PAGE_ROWS = 1000
 
 
 def write_pages(spark, folder):
-    """Orders as numbered JSON pages; every seventh page answers with an error."""
+    """Orders as numbered JSON pages; every seventh page holds the server's error instead."""
     path = fresh_path(spark, "pages")
     orders = load(spark, folder, "orders").withColumn("page", F.floor(c("o_orderkey") / PAGE_ROWS).cast("int"))
     items = F.to_json(F.struct(F.collect_list(F.struct("o_orderkey", "o_totalprice")).alias("items")))
     body = F.when(c("page") % 7 == 3, '{"error": "503 from the server"}').otherwise(c("items"))
     pages = orders.groupBy("page").agg(items.alias("items"))
     pages.select("page", body.alias("value")).write.partitionBy("page").text(path)
-    last = orders.agg(F.max("page")).first()[0]
-    return path, (last if last is not None else -1) + 1
+    return path
 
 
 @query(
@@ -332,9 +348,8 @@ def write_pages(spark, folder):
          WHERE o_orderkey // 1000 % 7 = 3""",
 )
 def paged_source(spark, folder):
-    """Pages fetched by the tasks, each tried again; a page that keeps failing is reported, not lost."""
-    path, pages = write_pages(spark, folder)
-    return paged.read_pages(spark, path, pages, _KEYED, wait=0.01)
+    """Pages fetched by the tasks up to the first that is empty; a page that keeps failing is reported, not lost."""
+    return paged.read_pages(spark, write_pages(spark, folder), None, _KEYED, wait=0.01)
 
 
 @query(
@@ -357,39 +372,40 @@ def page_links(spark, folder):
 
 @query(
     "page_cards",
-    """SELECT p_partkey // 20 AS page, 'A' || p_partkey AS sku, p_name AS name, p_retailprice AS price,
-              CASE WHEN p_partkey % 4 <> 1 THEN p_size / 10 END AS rating, CASE WHEN p_partkey % 3 <> 2 THEN '/p/' || p_partkey END AS url
+    """SELECT p_partkey // 20 AS page, 'no-' || p_partkey AS sku, p_name AS name, p_retailprice AS price,
+              CASE WHEN p_partkey % 4 <> 1 THEN p_size / 10 END AS rating, CASE WHEN p_partkey % 3 <> 2 THEN 'item?' || p_partkey END AS url
        FROM part WHERE p_partkey // 20 % 10 <> 9""",
 )
 def page_cards(spark, folder):
-    """Product cards out of shop pages built from the parts, twenty to a page.
+    """Offers out of shop pages built from the parts, twenty to a page.
 
     Every tenth page uses another class name and so yields nothing.
     """
     k = c("p_partkey")
     page = F.floor(k / 20)
     text = k.cast("string")
-    rating = F.when(k % 4 == 1, "").otherwise(
-        F.concat(F.lit('<span class="rating">'), (c("p_size") / 10).cast("string"), F.lit("</span>"))
+    stars = F.when(k % 4 == 1, "").otherwise(
+        F.concat(F.lit('<td class="stars">'), (c("p_size") / 10).cast("string"), F.lit("</td>"))
     )
-    link = F.when(k % 3 == 2, "").otherwise(F.concat(F.lit('<a href="/p/'), text, F.lit('">more</a>')))
+    link = F.when(k % 3 == 2, "").otherwise(F.concat(F.lit('<td><a href="item?'), text, F.lit('">see</a></td>')))
     card = F.concat(
-        F.lit('<div class="'),
-        F.when(page % 10 == 9, "tile").otherwise("product-card"),
-        F.lit('" data-sku="A'),
+        F.lit('<tr class="'),
+        F.when(page % 10 == 9, "line").otherwise("offer"),
+        F.lit('" data-code="no-'),
         text,
-        F.lit('"><h2 class="name">'),
+        F.lit('"><td><b class="label">'),
         c("p_name"),
-        F.lit('</h2><img src="x.png"><p>only <span class="price">$'),
+        F.lit('</b></td><td>EUR <i class="cost">'),
         c("p_retailprice").cast("string"),
-        F.lit("</span></p>"),
-        rating,
+        F.lit("</i></td>"),
+        stars,
         link,
-        F.lit("</div>"),
+        F.lit("</tr>"),
     )
     cards = load(spark, folder, "part").select(page.alias("page"), card.alias("card"))
-    body = F.concat(F.lit("<html><body>"), F.array_join(F.collect_list("card"), ""), F.lit("</body></html>"))
-    return html.product_cards(cards.groupBy("page").agg(body.alias("html")), "page", "html")
+    body = F.concat(F.lit("<table>"), F.array_join(F.collect_list("card"), ""), F.lit("</table>"))
+    classes = {"name": "label", "price": "cost", "rating": "stars"}
+    return html.product_cards(cards.groupBy("page").agg(body.alias("html")), "page", "html", "offer", classes, "data-code")
 
 
 @query(
@@ -410,12 +426,14 @@ def multi_format_export(spark, folder):
 
 @query(
     "incremental_since",
-    """SELECT event_id, value FROM events WHERE ts > (SELECT max(ts) FROM events WHERE ts < TIMESTAMP '2024-01-21')""",
+    """SELECT event_id, value FROM events WHERE ts > (SELECT max(ts) FROM events WHERE ts < TIMESTAMP '2024-01-21')
+       UNION ALL SELECT event_id + 1000000000, value FROM events WHERE ts = (SELECT max(ts) FROM events WHERE ts < TIMESTAMP '2024-01-21')""",
 )
 def incremental_since(spark, folder):
-    """Only events newer than the mark the last run stored."""
+    """Events newer than the mark the last run stored, and one that came late with the mark's own time."""
     events, marks = load(spark, folder, "events"), fresh_path(spark, "marks")
     first_run = events.filter("ts < timestamp_ntz'2024-01-21 00:00:00'")
-    incremental.save_mark(spark, marks, "events", incremental.newest(first_run, "ts"))
+    incremental.save_mark(first_run, marks, "events", "ts", "event_id")
     mark = incremental.read_mark(spark, marks, "events")
-    return incremental.since(events, "ts", mark).select("event_id", "value")
+    late = events.filter(c("ts") == F.lit(mark[0]).cast("timestamp_ntz")).withColumn("event_id", c("event_id") + 1_000_000_000)
+    return incremental.since(events.unionByName(late), "ts", "event_id", mark).select("event_id", "value")

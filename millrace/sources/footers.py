@@ -46,12 +46,18 @@ def _footers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def column_chunks(df: DataFrame) -> DataFrame:
     """One row per column chunk of the files behind a parquet frame."""
-    files = df.select(F.col("_metadata.file_path").alias("file_path")).distinct()
-    return files.mapInPandas(_footers, COLUMNS)
+    files = df.inputFiles()
+    spark = df.sparkSession
+    # Without a shuffle that adaptive execution could merge again: one task per file, at most ten thousand.
+    paths = spark.createDataFrame([(f,) for f in files], "file_path string") if files else spark.createDataFrame([], "file_path string")
+    return paths.repartition(max(1, min(len(files), 10_000))).mapInPandas(_footers, COLUMNS)
 
 
 def footer_profile(df: DataFrame) -> DataFrame:
-    """Bytes, encodings and share of all compressed bytes per column."""
+    """Rows, bytes, encodings, least and largest value as text, and share of all compressed bytes per column.
+
+    The extremes are those of the footers' own values, compared as numbers where they are numbers.
+    """
     chunks = column_chunks(df)
     per_column = chunks.groupBy("column").agg(
         F.count(F.lit(1)).alias("n_chunks"),
@@ -61,6 +67,8 @@ def footer_profile(df: DataFrame) -> DataFrame:
         F.array_join(F.array_sort(F.array_distinct(F.flatten(F.collect_set(F.split("encodings", ","))))), ",").alias(
             "encodings"
         ),
+        F.min_by("low", F.struct(F.col("low").try_cast("double"), "low")).alias("low"),
+        F.max_by("high", F.struct(F.col("high").try_cast("double"), "high")).alias("high"),
     )
     # one row per column of the table, so a window over all of them is small
     whole = F.sum("compressed").over(Window.partitionBy())

@@ -28,9 +28,9 @@ def links(df: DataFrame, key: str, html: str) -> DataFrame:
 class _Cards(HTMLParser):
     """Collects the fields of elements with the card class."""
 
-    def __init__(self, card: str, fields: dict[str, str]):
+    def __init__(self, card: str, fields: dict[str, str], code: str):
         super().__init__()
-        self.card, self.fields = card, fields
+        self.card, self.fields, self.code = card, fields, code
         self.cards: list[dict] = []
         self.depth = 0
         self.into: str | None = None
@@ -39,7 +39,7 @@ class _Cards(HTMLParser):
         attributes = dict(attrs)
         classes = (attributes.get("class") or "").split()
         if self.depth == 0 and self.card in classes:
-            self.cards.append({"sku": attributes.get("data-sku")})
+            self.cards.append({"sku": attributes.get(self.code)})
             self.depth = 1
             return
         if self.depth:
@@ -63,16 +63,19 @@ class _Cards(HTMLParser):
 CARD_COLUMNS = ["sku", "name", "price", "rating", "url"]
 
 
-def product_cards(df: DataFrame, key: str, html: str, card: str = "product-card") -> DataFrame:
-    """Product cards of each page; a missing element is null, a renamed class gives no rows."""
+def product_cards(df: DataFrame, key: str, html: str, card: str, classes: dict[str, str], code: str) -> DataFrame:
+    """Product cards of each page; a missing element is null, a renamed class gives no rows.
+
+    ``card`` is the class of a card, ``classes`` those of its name, price and rating,
+    ``code`` the attribute of the card that holds its number.
+    """
     kind = df.schema[key].dataType.simpleString()
-    classes = {"name": "name", "price": "price", "rating": "rating"}
 
     def extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
             for k, text in zip(batch[key], batch[html]):
-                parser = _Cards(card, classes)
+                parser = _Cards(card, classes, code)
                 parser.feed(text or "")
                 rows += [(k, *[c.get(f) for f in CARD_COLUMNS]) for c in parser.cards]
             yield pd.DataFrame(rows, columns=[key, *CARD_COLUMNS])

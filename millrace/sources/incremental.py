@@ -5,25 +5,34 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-MARKS = "source string, mark string"
+MARKS = "source string, mark string, ids array<string>"
 
 
-def save_mark(spark: SparkSession, path: str, source: str, mark: str) -> None:
-    spark.createDataFrame([(source, mark)], MARKS).write.mode("append").json(path)
+def save_mark(df: DataFrame, path: str, source: str, column: str, key: str) -> None:
+    """Store the newest value of ``column`` together with the keys that were seen at it.
 
+    An empty frame stores nothing. Only rows at the mark itself are listed.
+    """
+    newest = df.agg(F.max(column).alias("m"))
+    at_mark = df.join(newest, F.col(column) == F.col("m")).groupBy("m").agg(F.collect_set(F.col(key).cast("string")).alias("ids"))
+    at_mark.select(F.lit(source).alias("source"), F.col("m").cast("string").alias("mark"), "ids").write.mode("append").json(path)
 
-def read_mark(spark: SparkSession, path: str, source: str) -> str | None:
-    """The largest mark saved for the source (marks are ISO texts, which sort by time)."""
-    marks = spark.read.schema(MARKS).json(path)
-    return marks.filter(F.col("source") == source).agg(F.max("mark")).first()[0]
 
+def read_mark(spark: SparkSession, path: str, source: str) -> tuple[str, list[str]] | None:
+    """The largest mark saved for the source (marks are ISO texts, which sort by time) and all keys seen at it."""
+    own = spark.read.schema(MARKS).json(path).filter(F.col("source") == source)
+    last = own.groupBy("mark").agg(F.flatten(F.collect_list("ids")).alias("ids")).orderBy(F.desc("mark")).limit(1).first()
+    return None if last is None else (last["mark"], last["ids"])
 
-def since(df: DataFrame, column: str, mark: str | None) -> DataFrame:
-    """Rows newer than the mark; the comparison is pushed into the scan."""
-    if mark is None:
-        return df
-    return df.filter(F.col(column) > F.lit(mark).cast(df.schema[column].dataType))
 
+def since(df: DataFrame, column: str, key: str, mark: tuple[str, list[str]] | None) -> DataFrame:
+    """Rows newer than the mark, and rows at the mark whose key was not seen there.
 
-def newest(df: DataFrame, column: str) -> str | None:
-    return df.agg(F.max(column).cast("string")).first()[0]
+    The comparison is pushed into the scan. A row that comes later with the mark's own time is not lost.
+    """
+    if mark is None:
+        return df
+    at, seen = F.lit(mark[0]).cast(df.schema[column].dataType), mark[1]
+    known = df.sparkSession.createDataFrame([(x,) for x in seen], "_seen string")
+    newer = df.filter(F.col(column) >= at)
+    return newer.join(known, (F.col(key).cast("string") == F.col("_seen")) & (F.col(column) == at), "left_anti")

@@ -34,6 +34,23 @@ def page_runs(pages: int, max_tasks: int) -> list[Pages]:
     return [Pages(i, min(i + length, pages)) for i in range(0, pages, length)]
 
 
+def count_pages(is_empty: Callable[[int], bool]) -> int:
+    """The number of pages when only an empty page tells the end.
+
+    Doubles the page number until it meets an empty page and halves the gap then,
+    so a source of n pages is asked about 2 log n times before the tasks fetch.
+    """
+    if is_empty(0):
+        return 0
+    full, empty = 0, 1
+    while not is_empty(empty):
+        full, empty = empty, 2 * empty
+    while empty - full > 1:
+        middle = (full + empty) // 2
+        full, empty = (full, middle) if is_empty(middle) else (middle, empty)
+    return empty
+
+
 def fetch_with_retry(
     fetch: Callable[[], list[str]], attempts: int, base: float, sleep: Callable[[float], None] = time.sleep
 ) -> list[str]:
@@ -48,37 +65,63 @@ def fetch_with_retry(
     raise ValueError("attempts must be positive")
 
 
-def fetch_page(location: str, number: int) -> list[str]:
-    """Records of the page stored as JSON below ``location/page=N``."""
+def _bodies(location: str, number: int | str) -> list[dict]:
+    """The JSON texts stored below ``location/page=N``, one for each file and line."""
     from pyarrow import fs
 
     local = location.removeprefix("file:") if not location.startswith("file://") else location
     uri = local if "://" in local else "file://" + local
     filesystem, root = fs.FileSystem.from_uri(uri)
-    infos = filesystem.get_file_info(fs.FileSelector(f"{root}/page={number}"))
-    files = [i.path for i in infos if i.base_name.startswith("part-")]
-    if not files:
-        raise PageError(f"page {number} is missing")
-    with filesystem.open_input_stream(files[0]) as stream:
-        body = json.loads(stream.read().decode())
-    if "error" in body:
-        raise PageError(body["error"])
-    return [json.dumps(item) for item in body["items"]]
+    infos = filesystem.get_file_info(fs.FileSelector(f"{root}/page={number}", allow_not_found=True))
+    bodies = []
+    for info in sorted((i for i in infos if i.base_name.startswith("part-")), key=lambda i: i.path):
+        with filesystem.open_input_stream(info.path) as stream:
+            bodies += [json.loads(line) for line in stream.read().decode().splitlines() if line.strip()]
+    return bodies
+
+
+def fetch_page(location: str, number: int | str) -> list[str]:
+    """Records of a page, from all files it is stored in; a page that isn't there has none."""
+    bodies = _bodies(location, number)
+    for body in bodies:
+        if "error" in body:
+            raise PageError(body["error"])
+    return [json.dumps(item) for body in bodies for item in body["items"]]
+
+
+def fetch_by_cursor(location: str, start: str) -> Iterator[tuple[str, list[str]]]:
+    """Pages that each name the next one in ``next``; ends with the page that names none."""
+    cursor, seen = start, set()
+    while cursor and cursor not in seen:
+        seen.add(cursor)
+        bodies = _bodies(location, cursor)
+        if not bodies:
+            raise PageError(f"page {cursor} is missing")
+        yield cursor, [json.dumps(item) for body in bodies for item in body.get("items", [])]
+        cursor = next((str(b["next"]) for b in bodies if b.get("next")), "")
 
 
 class PagedReader(DataSourceReader):
     def __init__(self, options):
         self.location = options["location"]
-        self.pages = int(options["pages"])
         self.attempts = int(options.get("attempts", "3"))
         self.base = float(options.get("wait", "0.5"))
         self.max_tasks = int(options.get("max_tasks", "10000"))
+        self.cursors = [x for x in options.get("cursors", "").split(",") if x]
+        self.pages = int(options["pages"]) if "pages" in options else None
 
     def partitions(self):
+        if self.cursors:
+            return [Pages(i, i + 1) for i in range(len(self.cursors))]
+        if self.pages is None:
+            self.pages = count_pages(lambda n: not _bodies(self.location, n))
         return page_runs(self.pages, self.max_tasks)
 
     def read(self, partition: Pages) -> Iterator[tuple]:
         for number in range(partition.first, partition.last):
+            if self.cursors:
+                yield from self._chain(number)
+                continue
             try:
                 records = fetch_with_retry(lambda n=number: fetch_page(self.location, n), self.attempts, self.base)
             except (PageError, OSError) as error:
@@ -87,9 +130,18 @@ class PagedReader(DataSourceReader):
             for record in records:
                 yield (number, "ok", record)
 
+    def _chain(self, number: int) -> Iterator[tuple]:
+        """All pages of one chain of cursors; what breaks it shows as a failed row."""
+        try:
+            for _, records in fetch_by_cursor(self.location, self.cursors[number]):
+                for record in records:
+                    yield (number, "ok", record)
+        except (PageError, OSError) as error:
+            yield (number, "failed", str(error))
+
 
 class PagedSource(DataSource):
-    """``spark.read.format("paged_json")`` with options location, pages, attempts, wait, max_tasks."""
+    """``spark.read.format("paged_json")`` with options location, pages or cursors, attempts, wait, max_tasks."""
 
     @classmethod
     def name(cls) -> str:
@@ -102,13 +154,37 @@ class PagedSource(DataSource):
         return PagedReader(self.options)
 
 
-def read_pages(spark: SparkSession, location: str, pages: int, schema: str, attempts: int = 3, wait: float = 0.5) -> DataFrame:
-    """Typed records of all pages, and one row with status ``failed`` per page given up."""
-    spark.dataSource.register(PagedSource)
-    raw = (
-        spark.read.format("paged_json")
-        .options(location=location, pages=str(pages), attempts=str(attempts), wait=str(wait))
-        .load()
-    )
+def _typed(raw: DataFrame, schema: str) -> DataFrame:
     typed = raw.withColumn("r", F.when(F.col("status") == "ok", F.from_json("record", schema)))
     return typed.select("page", "status", F.when(F.col("status") == "failed", F.col("record")).alias("error"), "r.*")
+
+
+def fetch(spark: SparkSession, location: str, pages: int | None = None, attempts: int = 3, wait: float = 0.5) -> DataFrame:
+    """page, status and the text of every record of all pages; a page given up is one row of status ``failed``.
+
+    Without ``pages`` the extract ends before the first empty page.
+    """
+    spark.dataSource.register(PagedSource)
+    options = {"location": location, "attempts": str(attempts), "wait": str(wait)}
+    if pages is not None:
+        options["pages"] = str(pages)
+    return spark.read.format("paged_json").options(**options).load()
+
+
+def read_pages(
+    spark: SparkSession, location: str, pages: int | None, schema: str, attempts: int = 3, wait: float = 0.5
+) -> DataFrame:
+    """Typed records of all pages, and one row with status ``failed`` per page given up."""
+    return _typed(fetch(spark, location, pages, attempts, wait), schema)
+
+
+def read_cursors(spark: SparkSession, location: str, cursors: list[str], schema: str) -> DataFrame:
+    """Typed records of chains of pages, one task per chain; ``page`` is the number of the chain."""
+    spark.dataSource.register(PagedSource)
+    return _typed(spark.read.format("paged_json").options(location=location, cursors=",".join(cursors)).load(), schema)
+
+
+def dead_letters(raw: DataFrame, path: str) -> None:
+    """Keep the pages that were given up, with the reason, for a later run."""
+    failed = raw.filter("status = 'failed'").select("page", F.col("record").alias("error"))
+    failed.write.mode("overwrite").parquet(path)
