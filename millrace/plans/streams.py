@@ -87,10 +87,12 @@ def stream_sliding(spark, folder):
 )
 def stream_count_windows(spark, folder):
     """Every five events of a user one total, across micro-batches."""
-    out = fresh_path(spark, "count-windows")
-    consume = W.count_windows(spark, "user_id", ["ts", "event_id"], "value", 5, out, fresh_path(spark, "state"))
-    S.run_arrivals(load(spark, folder, "events"), _thirds(), lambda stream: stream, consume)
-    emitted = spark.read.schema("user_id bigint, window_no bigint, total double, epoch int").parquet(out)
+    emitted = S.collect_arrivals(
+        load(spark, folder, "events"),
+        _thirds(),
+        lambda stream: W.count_windows(stream, "user_id", ["ts", "event_id"], "value", 5),
+        "user_id bigint, window_no bigint, total double",
+    )
     return emitted.select("user_id", "window_no", F.round("total", 2).alias("total"))
 
 
@@ -101,13 +103,12 @@ def stream_count_windows(spark, folder):
 )
 def stream_moving_avg(spark, folder):
     """Average of a user's last five events, for each event as it comes."""
-    out, schema = fresh_path(spark, "moving"), "event_id bigint, ts timestamp_ntz, user_id bigint, value double"
-    consume = W.moving_average(
-        spark, schema, "user_id", ["ts", "event_id"], "value", 5, out, fresh_path(spark, "state")
+    emitted = S.collect_arrivals(
+        load(spark, folder, "events").select("event_id", "ts", "user_id", "value"),
+        _thirds(),
+        lambda stream: W.moving_average(stream, "user_id", ["ts", "event_id"], "event_id", "value", 5),
+        "event_id bigint, average double",
     )
-    events = load(spark, folder, "events").select("event_id", "ts", "user_id", "value")
-    S.run_arrivals(events, _thirds(), lambda stream: stream, consume)
-    emitted = spark.read.schema("ts timestamp_ntz, event_id bigint, average double, epoch int").parquet(out)
     return emitted.select("event_id", F.round("average", 6).alias("average"))
 
 

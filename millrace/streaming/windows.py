@@ -1,24 +1,16 @@
-"""Windows over streams, by time and by count.
-
-Time windows use Spark's own state. Windows by count need each key's rows in
-order, which are computed per micro-batch with the batch operators (so a hot key
-is split there too) and continued over batches by a small state table: one
-snapshot per epoch, read from the epoch before. A micro-batch that is repeated
-overwrites its own output and its own snapshot.
-"""
+"""Windows over streams, by time and by count, on Spark's own state."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+import json
+from collections.abc import Callable, Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupState
 
 from millrace.operators.load import replace_partitions
-from millrace.operators.ordered import moving_avg, ordered, row_numbers
-from millrace.operators.skew import broadcast_if_small, salted_join
-from millrace.session import stage
 from millrace.streaming.events import EPOCH
 
 
@@ -28,79 +20,50 @@ def time_windows(stream: DataFrame, column: str, size: str, slide: str | None, k
     return stream.groupBy(window, *keys).agg(*aggs)
 
 
-@dataclass(frozen=True)
-class Snapshots:
-    """State of a stream as one snapshot per epoch."""
-
-    spark: SparkSession
-    path: str
-    schema: str
-
-    def before(self, epoch: int) -> DataFrame:
-        if epoch == 0:
-            return self.spark.createDataFrame([], self.schema)
-        stored = self.spark.read.schema(f"{self.schema}, {EPOCH} int").parquet(self.path)
-        return stored.filter(F.col(EPOCH) == epoch - 1).drop(EPOCH)
+def _in_order(frames: Iterable[pd.DataFrame], order: Sequence[str]) -> pd.DataFrame:
+    """A key's rows of one micro-batch, in their order."""
+    return pd.concat(list(frames), ignore_index=True).sort_values(list(order), kind="stable")
 
-    def save(self, df: DataFrame, epoch: int) -> None:
-        replace_partitions(df.withColumn(EPOCH, F.lit(epoch)), self.path, [EPOCH])
 
+def count_windows(stream: DataFrame, key: str, order: Sequence[str], value: str, n: int) -> DataFrame:
+    """One total per ``n`` consecutive rows of a key; the open window waits in Spark's keyed state.
 
-def count_windows(
-    spark: SparkSession, key: str, order: Sequence[str], value: str, n: int, out_path: str, state_path: str
-) -> Callable[[DataFrame, int], None]:
-    """One total per ``n`` consecutive rows of a key; the open window waits in the state.
-
-    The state has one row per key: rows seen, and count and sum of the open window.
+    The state of a key is three numbers: windows done, and count and sum of the open
+    one. A key's rows are ordered within each micro-batch; a task holds those of
+    one key and micro-batch.
     """
-    state = Snapshots(spark, state_path, f"{key} bigint, seen bigint, open_n bigint, open_total double")
 
-    def consume(batch: DataFrame, epoch: int) -> None:
-        before = state.before(epoch)
-        rows = row_numbers(ordered(batch, [key], order), "_rn").rows()
-        offsets = before.select(key, "seen")
-        placed = salted_join(rows, offsets, [key], order, "left").withColumn(
-            "window_no", F.floor((F.coalesce("seen", F.lit(0)) + F.col("_rn") - 1) / n)
-        )
-        new = placed.groupBy(key, "window_no").agg(F.count(F.lit(1)).alias("n"), F.sum(value).alias("total"))
-        open_before = before.filter("open_n > 0").select(
-            key, F.floor(F.col("seen") / n).alias("window_no"), F.col("open_n").alias("n"), F.col("open_total").alias("total")
-        )
-        parts = (
-            new.unionByName(open_before)
-            .groupBy(key, "window_no")
-            .agg(F.sum("n").alias("n"), F.sum("total").alias("total"))
-        )
-        parts = stage(parts, "count-windows")
-        done = parts.filter(F.col("n") == n).select(key, "window_no", "total")
-        replace_partitions(done.withColumn(EPOCH, F.lit(epoch)), out_path, [EPOCH])
-        begun = parts.filter(F.col("n") < n).select(key, F.col("n").alias("open_n"), F.col("total").alias("open_total"))
-        counts = batch.groupBy(key).agg(F.count(F.lit(1)).alias("seen")).unionByName(offsets)
-        after = counts.groupBy(key).agg(F.sum("seen").alias("seen")).join(begun, key, "left")
-        state.save(after.na.fill(0).select(key, "seen", "open_n", "open_total"), epoch)
+    def step(group: tuple, frames: Iterable[pd.DataFrame], state: GroupState) -> Iterable[pd.DataFrame]:
+        done, held, total = state.get if state.exists else (0, 0, 0.0)
+        values = _in_order(frames, order)[value].fillna(0.0)
+        place = held + pd.RangeIndex(len(values))
+        sums = values.groupby(place // n).sum()
+        sums.loc[0] = sums.get(0, 0.0) + total
+        full = (held + len(values)) // n
+        out = sums.sort_index().iloc[:full]
+        rest = (held + len(values)) % n
+        state.update((done + full, rest, float(sums.get(full, 0.0)) if rest else 0.0))
+        yield pd.DataFrame({key: group[0], "window_no": done + out.index.astype("int64"), "total": out.to_numpy()})
 
-    return consume
+    kind = stream.schema[key].dataType.simpleString()
+    return stream.groupBy(key).applyInPandasWithState(
+        step, f"{key} {kind}, window_no bigint, total double", "done bigint, held bigint, total double", "append", "NoTimeout"
+    )
 
 
-def moving_average(
-    spark: SparkSession, schema: str, key: str, order: Sequence[str], value: str, n: int, out_path: str, state_path: str
-) -> Callable[[DataFrame, int], None]:
-    """Average of the last ``n`` rows of a key for every row; the state keeps n-1 rows per key."""
-    state = Snapshots(spark, state_path, schema)
+def moving_average(stream: DataFrame, key: str, order: Sequence[str], row_id: str, value: str, n: int) -> DataFrame:
+    """Average of the last ``n`` rows of a key for every row; the state holds its last n-1 values."""
 
-    def consume(batch: DataFrame, epoch: int) -> None:
-        rows = stage(
-            batch.withColumn("_new", F.lit(True)).unionByName(state.before(epoch).withColumn("_new", F.lit(False))),
-            "moving",
-        )
-        averages = moving_avg(ordered(rows, [key], order), value, n, "average").rows()
-        out = averages.filter("_new").select(*order, "average")
-        replace_partitions(out.withColumn(EPOCH, F.lit(epoch)), out_path, [EPOCH])
-        newest = Window.partitionBy(key).orderBy(*[F.desc(c) for c in order])
-        tail = rows.withColumn("_back", F.row_number().over(newest)).filter(F.col("_back") < n)
-        state.save(tail.drop("_new", "_back"), epoch)
+    def step(group: tuple, frames: Iterable[pd.DataFrame], state: GroupState) -> Iterable[pd.DataFrame]:
+        earlier = json.loads(state.get[0]) if state.exists else []
+        rows = _in_order(frames, order)
+        whole = pd.Series([*earlier, *rows[value].tolist()], dtype="float64")
+        averages = whole.rolling(n, min_periods=1).mean().iloc[len(earlier) :]
+        state.update((json.dumps(whole.iloc[max(0, len(whole) - n + 1) :].tolist()),))
+        yield pd.DataFrame({row_id: rows[row_id].to_numpy(), "average": averages.to_numpy()})
 
-    return consume
+    kind = stream.schema[row_id].dataType.simpleString()
+    return stream.groupBy(key).applyInPandasWithState(step, f"{row_id} {kind}, average double", "tail string", "append", "NoTimeout")
 
 
 def recompute_days(
@@ -114,7 +77,7 @@ def recompute_days(
 
     def consume(batch: DataFrame, epoch: int) -> None:
         replace_partitions(batch.withColumn(EPOCH, F.lit(epoch)), raw_path, ["day", EPOCH])
-        touched = broadcast_if_small(batch.select("day").distinct(), 100_000)
+        touched = batch.select("day").distinct()
         raw = spark.read.schema(f"{schema}, {EPOCH} int").parquet(raw_path).filter(F.col(EPOCH) <= epoch)
         replace_partitions(summarize(raw.join(touched, "day", "left_semi")), out_path, ["day"])
 

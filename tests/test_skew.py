@@ -32,6 +32,23 @@ def test_salted_join_knows_its_kinds(sides):
         K.salted_join(*sides, ["k"], ["id"], "cross")
 
 
+@pytest.mark.parametrize("how", ["inner", "left", "right", "outer", "left_semi", "left_anti"])
+def test_spread_join_equals_join(sides, how):
+    big, other = sides
+    want = sorted(map(str, big.join(other, ["k"], how).collect()))
+    assert sorted(map(str, K.spread_join(big, other, ["k"], how).collect())) == want
+
+
+def test_hundreds_of_hot_keys_and_a_hot_null(spark):
+    rows = spark.range(30_000).withColumn("k", F.when(F.col("id") % 3 > 0, F.col("id") % 300))
+    pages = K.collect_pages(rows, ["k"], F.col("id"), ["id"], 30, "ids").withColumn("n", F.size("ids")).cache()
+    assert pages.agg(F.max("n")).first()[0] == 30
+    assert pages.select("k", "page").distinct().count() == pages.count()
+    assert pages.filter("page = 0").count() == 201
+    assert pages.filter("k is null").agg(F.sum("n")).first()[0] == 10_000
+    assert pages.select(F.explode("ids")).distinct().count() == 30_000
+
+
 @pytest.mark.parametrize("limit", [10**6, 100])
 def test_pages_keep_every_element(sides, limit):
     big, _ = sides
@@ -86,12 +103,12 @@ def test_decision(spark, sides):
     assert K.needs_salting(big.filter("id < 0"), "k").first()["salt"] is False
 
 
-def test_broadcast_only_when_counted_small(spark):
+def test_broadcast_only_when_estimated_small(spark):
     big, dim = spark.range(1000), spark.range(50)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        small = big.join(K.broadcast_if_small(dim, 50), "id")
-        large = big.join(K.broadcast_if_small(dim, 49), "id")
+        small = big.join(K.broadcast_within(dim, 400), "id")
+        large = big.join(K.broadcast_within(dim, 399), "id")
         assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
         assert "BroadcastHashJoin" not in large._jdf.queryExecution().executedPlan().toString()
     finally:

@@ -83,13 +83,13 @@ def test_footers_equal_pyarrow(spark):
     assert share == pytest.approx(sizes["id"] / sum(sizes.values()))
 
 
-CARD = '<div class="product-card" data-sku="{0}"><h2 class="name">{1}</h2><span class="price">{2}</span>{3}</div>'
+CARD = '<li class="item" data-no="{0}"><b class="title">{1}</b><i class="cost">{2}</i>{3}</li>'
 
 
 def test_cards(spark):
     page = "<html><body>" + CARD.format("S1", "Lamp &amp; Co", "$1,019.99", '<br><a href="/s1">more</a>') + CARD.format("S2", "Chair", "", "") + "</body>"
-    df = spark.createDataFrame([(1, page), (2, page.replace("product-card", "tile")), (3, None)], "id int, html string")
-    cards = html.product_cards(df, "id", "html")
+    df = spark.createDataFrame([(1, page), (2, page.replace("item", "tile")), (3, None)], "id int, html string")
+    cards = html.product_cards(df, "id", "html", "item", {"name": "title", "price": "cost"}, "data-no")
     got = sorted((r["id"], r["sku"], r["name"], r["price"], r["url"]) for r in cards.collect())
     assert got == [(1, "S1", "Lamp & Co", 1019.99, "/s1"), (1, "S2", "Chair", None, None)]
     assert sorted(r["id"] for r in html.drifted(df, cards, "id").collect()) == [2, 3]
@@ -123,16 +123,49 @@ def test_page_runs_cover_every_page_once(pages, tasks):
     assert [n for r in runs for n in range(r.first, r.last)] == list(range(pages)) and len(runs) <= tasks
 
 
-def test_marks(spark):
+def test_marks_keep_their_ties(spark):
     path = fresh_path(spark, "marks")
-    for mark in ("2024-01-02 00:00:00", "2024-01-05 00:00:00", "2024-01-03 00:00:00"):
-        incremental.save_mark(spark, path, "a", mark)
-    incremental.save_mark(spark, path, "b", "2025-01-01 00:00:00")
-    assert incremental.read_mark(spark, path, "a") == "2024-01-05 00:00:00"
-    assert incremental.read_mark(spark, path, "c") is None
-    df = spark.sql("select explode(array(timestamp_ntz'2024-01-05 00:00:00', timestamp_ntz'2024-01-06 00:00:00')) as ts")
-    assert incremental.since(df, "ts", incremental.read_mark(spark, path, "a")).count() == 1
-    assert incremental.since(df, "ts", None).count() == 2
+    rows = [(1, "2024-01-03"), (2, "2024-01-05"), (3, "2024-01-05"), (4, "2024-01-01")]
+    df = spark.createDataFrame(rows, "id int, t string").select("id", F.to_timestamp("t").alias("ts"))
+    incremental.save_mark(df.filter("id in (1, 4)"), path, "a", "ts", "id")
+    incremental.save_mark(df.filter("id < 3"), path, "a", "ts", "id")
+    incremental.save_mark(df.limit(0), path, "a", "ts", "id")
+    mark = incremental.read_mark(spark, path, "a")
+    assert mark == ("2024-01-05 00:00:00", ["2"]) and incremental.read_mark(spark, path, "c") is None
+    assert [r["id"] for r in incremental.since(df, "ts", "id", mark).collect()] == [3]
+    assert incremental.since(df, "ts", "id", None).count() == 4
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 3, 7, 8, 100])
+def test_pages_are_counted_by_their_end(n):
+    asked = []
+    assert paged.count_pages(lambda k: asked.append(k) or k >= n) == n and len(asked) < 20
+
+
+def test_pages_in_several_files_and_chains(spark, tmp_path):
+    for name, texts in {
+        "0": ['{"items": [{"k": 1}]}', '{"items": [{"k": 2}, {"k": 3}]}'],
+        "1": ['{"error": "busy"}'],
+        "2": ['{"items": []}'],
+        "a": ['{"items": [{"k": 10}], "next": "b"}'],
+        "b": ['{"items": [{"k": 11}, {"k": 12}]}'],
+        "c": ['{"items": [{"k": 13}], "next": "gone"}'],
+    }.items():
+        (tmp_path / f"page={name}").mkdir()
+        for i, text in enumerate(texts):
+            (tmp_path / f"page={name}" / f"part-{i}").write_text(text + "\n")
+    got = paged.read_pages(spark, str(tmp_path), None, "k int", attempts=1).collect()
+    assert sorted((r["page"], r["status"], r["error"] or "", r["k"] or 0) for r in got) == [
+        (0, "ok", "", 1), (0, "ok", "", 2), (0, "ok", "", 3), (1, "failed", "busy", 0),
+    ]
+    chains = paged.read_cursors(spark, str(tmp_path), ["a", "c"], "k int").collect()
+    assert sorted((r["page"], r["status"], r["k"] or 0) for r in chains) == [
+        (0, "ok", 10), (0, "ok", 11), (0, "ok", 12), (1, "failed", 0), (1, "ok", 13),
+    ]
+    lost = fresh_path(spark, "lost")
+    paged.dead_letters(paged.fetch(spark, str(tmp_path), attempts=1), lost)
+    assert [tuple(r) for r in spark.read.parquet(lost).collect()] == [(1, "busy")]
+
 
 
 def test_database_options():

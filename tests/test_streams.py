@@ -25,34 +25,35 @@ def test_repeated_batch_replaces_itself(spark):
     assert spark.read.parquet(path).count() == 11
 
 
+def run_parts(spark, parts, build, schema):
+    df = spark.createDataFrame([(*r, i) for i, part in enumerate(parts) for r in part], SCHEMA + ", part int")
+    slices = [F.col("part") == i for i in range(len(parts))]
+    return S.collect_arrivals(df, slices, build, schema).collect()
+
+
 def test_count_windows_over_batches(spark):
     rows, parts = batches()
-    out, state = fresh_path(spark, "out"), fresh_path(spark, "state")
-    consume = W.count_windows(spark, "user_id", ["ts", "event_id"], "value", 4, out, state)
-    for epoch, part in enumerate(parts):
-        df = spark.createDataFrame(part, SCHEMA)
-        consume(df, epoch)
-        if epoch == 1:
-            consume(df, epoch)
-    got = {(r["user_id"], r["window_no"]): r["total"] for r in spark.read.parquet(out).collect()}
+    emitted = run_parts(
+        spark, parts, lambda s: W.count_windows(s, "user_id", ["ts", "event_id"], "value", 4), "user_id bigint, window_no bigint, total double"
+    )
+    got = {(r["user_id"], r["window_no"]): r["total"] for r in emitted}
     want = {}
     for user in {r[0] for r in rows}:
         values = [r[3] for r in rows if r[0] == user]
         want.update({(user, i): sum(values[4 * i : 4 * i + 4]) for i in range(len(values) // 4)})
-    assert got == want
+    assert got == want and len(emitted) == len(got)
 
 
 def test_moving_average_over_batches(spark):
     rows, parts = batches(6)
-    out, state = fresh_path(spark, "out"), fresh_path(spark, "state")
-    consume = W.moving_average(spark, SCHEMA, "user_id", ["ts", "event_id"], "value", 3, out, state)
-    for epoch, part in enumerate(parts):
-        consume(spark.createDataFrame(part, SCHEMA), epoch)
-    got = {r["event_id"]: r["average"] for r in spark.read.parquet(out).collect()}
+    emitted = run_parts(
+        spark, parts, lambda s: W.moving_average(s, "user_id", ["ts", "event_id"], "event_id", "value", 3), "event_id bigint, average double"
+    )
+    got = {r["event_id"]: r["average"] for r in emitted}
     for i, r in enumerate(rows):
         last = [x[3] for x in rows[: i + 1] if x[0] == r[0]][-3:]
         assert abs(got[r[2]] - sum(last) / len(last)) < 1e-9
-    assert len(got) == len(rows)
+    assert len(got) == len(rows) == len(emitted)
 
 
 def test_late_rows_change_their_day(spark):
