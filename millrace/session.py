@@ -53,13 +53,29 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/millrace/{label}-{uuid.uuid4().hex}"
 
 
+_STAGES: list[str] = []
+
+
+def drop_stages(spark: SparkSession) -> int:
+    """Delete all copies that ``stage`` has made so far, when no frame that reads them is needed any more."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    conf = spark._jsc.hadoopConfiguration()
+    n = 0
+    while _STAGES:
+        path = hadoop(_STAGES.pop())
+        n += bool(path.getFileSystem(conf).delete(path, True))
+    return n
+
+
 def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     """Write ``df`` as parquet to the shared folder and read it back.
 
     Cuts the lineage, survives the loss of executors, and fixes values that
-    depend on the physical layout (partition ids, positions).
+    depend on the physical layout (partition ids, positions). ``drop_stages``
+    removes the copies once their readers are done.
     """
     spark = df.sparkSession
     path = fresh_path(spark, label)
+    _STAGES.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators import skew as K
 from millrace.plans.derived import nested_orders
+from millrace.session import drop_stages, stage
 from millrace.tables import load
 
 
@@ -96,6 +97,14 @@ def test_salted_sum_keeps_keys_with_underscores(sides):
     assert salted == direct and aware == direct
 
 
+def test_stages_are_dropped(spark):
+    drop_stages(spark)
+    kept = stage(spark.range(5), "dropped")
+    assert kept.count() == 5 and drop_stages(spark) == 1 and drop_stages(spark) == 0
+    with pytest.raises(Exception, match="dropped"):
+        spark.read.parquet(kept.inputFiles()[0])
+
+
 def test_decision(spark, sides):
     big, _ = sides
     assert K.needs_salting(big, "k").first()["salt"] is True
