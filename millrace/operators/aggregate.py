@@ -80,6 +80,35 @@ def row_argmax(columns: Sequence[str]) -> Column:
     return F.array_max(F.array(*ranked))["name"]
 
 
+def first_look(df: DataFrame, order: Sequence[str], n: int = 3) -> DataFrame:
+    """One row per column: position, type, rows, known values, and the texts of the first and last ``n`` rows by ``order``.
+
+    All columns are looked at in one pass; ``order`` should tell the rows apart.
+    """
+    edge = F.struct(*order)
+    texts = F.struct(*[F.col(c).cast("string").alias(c) for c in df.columns])
+    row = df.agg(
+        F.count(F.lit(1)).alias("_n"),
+        *[F.count(c).alias(f"_k_{c}") for c in df.columns],
+    )
+    ranked = df.select(edge.alias("_o"), texts.alias("_t"))
+    head = ranked.orderBy("_o").limit(n).agg(F.sort_array(F.collect_list(F.struct("_o", "_t"))).alias("_head"))
+    tail = ranked.orderBy(F.desc("_o")).limit(n).agg(F.sort_array(F.collect_list(F.struct("_o", "_t"))).alias("_tail"))
+    cells = [
+        F.struct(
+            F.lit(i).alias("position"),
+            F.lit(f.name).alias("column"),
+            F.lit(f.dataType.simpleString()).alias("type"),
+            F.col("_n").alias("n_rows"),
+            F.col(f"_k_{f.name}").alias("n_known"),
+            head.select(f"_head._t.{f.name}").scalar().alias("head"),
+            tail.select(f"_tail._t.{f.name}").scalar().alias("tail"),
+        )
+        for i, f in enumerate(df.schema)
+    ]
+    return row.select(F.inline(F.array(*cells)))
+
+
 def profile(df: DataFrame, numeric: Sequence[str], text: Sequence[str]) -> DataFrame:
     """Count, nulls, mean, deviation, quartiles and extremes per numeric column, and
     count, nulls, distinct, most common value and its frequency per text column."""

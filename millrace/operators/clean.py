@@ -39,27 +39,29 @@ def exact_median(df: DataFrame, key: str, value: str, out: str) -> DataFrame:
     return exact_quantiles(df, [key], value, {out: 0.5})
 
 
-def fill_values(df: DataFrame, rules: Mapping[str, object]) -> dict[str, object]:
-    """Fill value per column: a constant, or "mean", "median" or "mode" of the column."""
-    values = {c: r for c, r in rules.items() if r not in ("mean", "median", "mode")}
-    means = [c for c, r in rules.items() if r == "mean"]
-    if means:
-        row = df.agg(*[F.avg(c).alias(c) for c in means]).first()
-        values.update({c: row[c] for c in means})
-    for c, rule in rules.items():
+def fill_values(df: DataFrame, rules: Mapping[str, object]) -> dict[str, Column]:
+    """Fill value per column: a constant, or "mean", "median" or "mode" of the column.
+
+    The computed ones are subqueries of the plan that uses them; nothing is fetched to the driver.
+    """
+
+    def value(c: str, rule: object) -> Column:
+        if rule == "mean":
+            return df.select(F.avg(c)).scalar()
         if rule == "median":
-            row = exact_quantiles(df, [], c, {"m": 0.5}).first()
-            values[c] = row["m"] if row else None
-        elif rule == "mode":
+            return exact_quantiles(df, [], c, {"m": 0.5}).select("m").scalar()
+        if rule == "mode":
             counts = df.filter(F.col(c).isNotNull()).groupBy(c).agg(F.count(F.lit(1)).alias("_n"))
-            row = counts.orderBy(F.desc("_n"), c).first()
-            values[c] = row[c] if row else None
-    return values
+            best = F.min(F.struct((-F.col("_n")).alias("n"), F.col(c).alias("v")))
+            return counts.agg(best.alias("b")).select("b.v").scalar()
+        return F.lit(rule)
+
+    return {c: value(c, rule) for c, rule in rules.items()}
 
 
 def fill_nulls(df: DataFrame, rules: Mapping[str, object]) -> DataFrame:
-    values = fill_values(df, rules)
-    return df.withColumns({c: F.coalesce(F.col(c), F.lit(v)) for c, v in values.items() if v is not None})
+    """Missing values of each column filled by its rule, or left where the rule has no value."""
+    return df.withColumns({c: F.coalesce(F.col(c), v) for c, v in fill_values(df, rules).items()})
 
 
 def split_complete(df: DataFrame, required: Sequence[str]) -> tuple[DataFrame, DataFrame]:

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.operators.ordered import global_index
@@ -57,10 +57,14 @@ def dedup_exact(df: DataFrame, columns: Sequence[str] | None = None) -> DataFram
 
 
 def dedup(df: DataFrame, keys: Sequence[str], order: Sequence[str], keep: str = "first") -> DataFrame:
-    """The first or last row per key in the given order."""
-    pick = F.min_by if keep == "first" else F.max_by
-    row = pick(F.struct(*df.columns), F.struct(*order)).alias("_r")
-    return df.groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]).agg(row).select("_r.*")
+    """The first or last row per key in the given order.
+
+    The filter on the rank becomes a limit per group before the shuffle, so of a hot
+    key each task sends one row.
+    """
+    by = [F.asc(c) if keep == "first" else F.desc(c) for c in order]
+    ranked = df.withColumn("_rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*by)))
+    return ranked.filter("_rank = 1").drop("_rank")
 
 
 def dedup_with_count(df: DataFrame, keys: Sequence[str], order: Sequence[str], keep: str = "first") -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from millrace.operators import select as S
-from millrace.operators.aggregate import profile
+from millrace.operators.aggregate import first_look, profile
 from millrace.operators.joins import lookup, map_with_default
 from millrace.operators.ordered import row_slice
 from millrace.plans import derived as D
@@ -119,6 +119,26 @@ def table_profile(spark, folder):
     return out.withColumns({c: F.round(c, 6) for c in ("mean", "std")})
 
 
+_LOOK = {"c_custkey": "bigint", "c_name": "string", "c_nationkey": "int", "c_mktsegment": "string"}
+
+
+@query(
+    "first_look",
+    " UNION ALL ".join(
+        f"""SELECT {i} AS position, '{x}' AS "column", '{kind}' AS type, count(*) AS n_rows, count({x}) AS n_known,
+            (SELECT string_agg({x}::VARCHAR, ', ' ORDER BY c_custkey) FROM (FROM customer ORDER BY c_custkey LIMIT 3)) AS head,
+            (SELECT string_agg({x}::VARCHAR, ', ' ORDER BY c_custkey) FROM (FROM customer ORDER BY c_custkey DESC LIMIT 3)) AS tail
+            FROM customer"""
+        for i, (x, kind) in enumerate(_LOOK.items())
+    ),
+    ints="position",
+)
+def first_look_query(spark, folder):
+    """Shape, types, and the first and last rows of a table."""
+    found = first_look(load(spark, folder, "customer").select(*_LOOK), ["c_custkey"])
+    return found.withColumns({x: F.array_join(x, ", ") for x in ("head", "tail")})
+
+
 @query(
     "records_columnar",
     """SELECT s_suppkey // 1000 AS batch, row_number() OVER (PARTITION BY s_suppkey // 1000 ORDER BY s_suppkey) - 1 AS pos,
