@@ -240,7 +240,8 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> tup
             rows = pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), DIMENSIONS).cast(pa.list_(pa.float32()))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("quality"), rows], names=["doc_id", "quality", "x"])
 
-    labelled = docs.select("doc_id", "text").join(examples(labels, train_rows), "doc_id")
+    # At most train_rows small rows, whatever the corpus; texts need no shuffle for them.
+    labelled = docs.select("doc_id", "text").join(F.broadcast(examples(labels, train_rows)), "doc_id")
     found = map_batches(labelled, run, "doc_id bigint, quality int, x array<float>")
     # Of a labelled id that several rows have, one vector; bounded by train_rows.
     rows = found.groupBy("doc_id").agg(F.min("x").alias("x"), F.max("quality").alias("quality")).orderBy("doc_id").collect()

@@ -280,7 +280,8 @@ def vectors(docs: DataFrame, terms: list[str]) -> DataFrame:
 def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> tuple[Model, DataFrame]:
     """The model and the stored vectors of all documents."""
     chosen = stage(examples(labels, train_rows), "examples")
-    labelled = stage(docs.select("doc_id", "text").join(chosen, "doc_id"), "labelled")
+    # The chosen ids are at most train_rows small rows, whatever the corpus; texts need no shuffle for them.
+    labelled = stage(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id"), "labelled")
     sizes = {r.t: r.n for r in labelled.groupBy((F.col("toxic") > 0).alias("t")).agg(F.count(F.lit(1)).alias("n")).collect()}
     n_toxic, n_other = sizes.get(True, 0), sizes.get(False, 0)
     terms = choose_terms(labelled, n_toxic, n_other) if n_toxic else []
@@ -290,7 +291,7 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> tup
     for r in found.select(F.explode("terms").alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("n")).collect():
         df[r.t] = r.n
     # Of a labelled id that several rows have, one vector; bounded by train_rows.
-    rows = found.join(chosen, "doc_id").groupBy("doc_id").agg(F.min(F.struct("terms", "counts")).alias("v"), F.max("toxic").alias("toxic")).collect()
+    rows = found.join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.min(F.struct("terms", "counts")).alias("v"), F.max("toxic").alias("toxic")).collect()
     rows.sort(key=lambda r: r.doc_id)
     bare = [r.toxic > 0 for r in rows if not r.v.terms]
     prior = sum(r.toxic > 0 for r in rows) / len(rows) if rows else 0.0
