@@ -126,9 +126,19 @@ class KeyedTable:
         """The versions that hold rows of each bucket; a row per bucket and version."""
         return self.spark.read.schema(f"{BUCKET} int, version int").parquet(f"{self.path}/manifest/version_{version}")
 
-    def _all(self, version: int) -> DataFrame:
-        stored = self.spark.read.schema(f"{self.schema}, version int, {BUCKET} int").parquet(f"{self.path}/data")
-        return stored.join(self._manifest(version), ["version", BUCKET], "left_semi")
+    def _all(self, version: int, touched: DataFrame | None = None) -> DataFrame:
+        """The table's rows, or those of the buckets in ``touched``; only their own folders are opened.
+
+        The manifest is a listing of folders, as the driver makes one for any table that it reads.
+        """
+        manifest = self._manifest(version)
+        if touched is not None:
+            manifest = manifest.join(touched, BUCKET, "left_semi")
+        folders = [f"{self.path}/data/version={r['version']}/{BUCKET}={r[BUCKET]}" for r in manifest.collect()]
+        schema = f"{self.schema}, version int, {BUCKET} int"
+        if not folders:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).option("basePath", f"{self.path}/data").parquet(*folders)
 
     def read(self) -> DataFrame:
         return self._all(self._state()[0]).drop(BUCKET, "version")
@@ -158,15 +168,15 @@ class KeyedTable:
         version, buckets = self._state()
         latest = stage(self._bucketed(dedup(changes, self.keys, order, keep="last"), buckets), "changes")
         touched = latest.select(BUCKET).distinct()
-        kept = self._all(version).join(touched, BUCKET, "left_semi").join(latest, list(self.keys), "left_anti").drop("version")
+        kept = self._all(version, touched).join(latest, list(self.keys), "left_anti").drop("version")
         untouched = self._manifest(version).join(touched, BUCKET, "left_anti")
         self._publish(kept.unionByName(latest), version + 1, untouched, buckets)
 
     def insert_if_absent(self, rows: DataFrame, order: Sequence[str]) -> None:
         """Add rows with unknown keys; known ones stay as they are."""
         version, buckets = self._state()
-        fresh = self._bucketed(dedup(rows, self.keys, order, keep="first"), buckets)
-        new = fresh.join(self._all(version), [BUCKET, *self.keys], "left_anti")
+        fresh = stage(self._bucketed(dedup(rows, self.keys, order, keep="first"), buckets), "incoming")
+        new = fresh.join(self._all(version, fresh.select(BUCKET).distinct()), [BUCKET, *self.keys], "left_anti")
         self._publish(new, version + 1, self._manifest(version), buckets)
 
     def insert_strict(self, rows: DataFrame, load: str | None = None) -> None:
@@ -180,7 +190,7 @@ class KeyedTable:
         fresh = stage(self._bucketed(rows, buckets), "incoming")
         if not duplicate_keys(fresh, self.keys).isEmpty():
             raise LoadRejected("a key is repeated within the batch")
-        if not fresh.join(self._all(version), [BUCKET, *self.keys], "left_semi").isEmpty():
+        if not fresh.join(self._all(version, fresh.select(BUCKET).distinct()), [BUCKET, *self.keys], "left_semi").isEmpty():
             raise LoadRejected("a key of the batch is already in the table")
         self._publish(fresh, version + 1, self._manifest(version), buckets, load)
 
