@@ -20,7 +20,9 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+from collections import ChainMap
 from collections.abc import Iterable
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -34,9 +36,10 @@ _WORDS = regex.compile(
     rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{SPACE_CLASS}\p{{L}}\p{{N}}]+"
     rf"|[{SPACE_CLASS}]+(?![^{SPACE_CLASS}])|[{SPACE_CLASS}]+"
 )
-TABLE_RUNS = 250_000
+TABLE_RUNS = 500_000
 LONGEST_KEPT = 64
-NEVER = np.int64(1) << 40
+NEVER_INT = 1 << 40
+NEVER = np.int64(NEVER_INT)
 
 
 def byte_letters() -> dict[str, int]:
@@ -93,19 +96,20 @@ class BytePairs:
         ids = [self.of_byte[word[i : i + 1]] for i in range(len(word))]
         if len(ids) > 256:
             return self._exact_long(ids)
-        while len(ids) > 1:
-            best = min((self.merge.get(p, (NEVER, 0)) for p in zip(ids, ids[1:], strict=False)), key=lambda x: x[0])
-            if best[0] == NEVER:
+        find, none = self.merge.get, (NEVER_INT, 0)
+        # The merge of each neighbouring pair; only the two beside a merge change.
+        found = [find(p, none) for p in zip(ids, ids[1:], strict=False)]
+        while found:
+            best = min(found)
+            if best[0] == NEVER_INT:
                 break
-            out, i = [], 0
-            while i < len(ids):
-                if i + 1 < len(ids) and self.merge.get((ids[i], ids[i + 1])) == best:
-                    out.append(best[1])
-                    i += 2
-                else:
-                    out.append(ids[i])
-                    i += 1
-            ids = out
+            i = found.index(best)
+            ids[i] = best[1]
+            del ids[i + 1], found[i]
+            if i < len(found):
+                found[i] = find((ids[i], ids[i + 1]), none)
+            if i:
+                found[i - 1] = find((ids[i - 1], ids[i]), none)
         return ids
 
     def _exact_long(self, ids: list[int]) -> list[int]:
@@ -204,11 +208,14 @@ class BytePairs:
         names = list(new)
         plain = [n for n in names if not (n[0] == "\x00" and n[1:] in self.special)]
         cut = [_WORDS.findall(n) for n in plain]
-        words = list({w for c in cut for w in c})
-        known = dict(zip(words, self.encode_words([w.encode() for w in words]), strict=True))
+        words = list({w for c in cut for w in c}.difference(table))
+        fresh = dict(zip(words, self.encode_words([w.encode() for w in words]), strict=True))
+        known = ChainMap(fresh, table)
         rare = {n: [self.special[n[1:]]] for n in names if n[0] == "\x00" and n[1:] in self.special}
         for name, c in zip(plain, cut, strict=True):
-            (table if len(name) <= LONGEST_KEPT else rare)[name] = known[c[0]] if len(c) == 1 else [t for w in c for t in known[w]]
+            ids = known[c[0]] if len(c) == 1 else [t for w in c for t in known[w]]
+            (table if len(name) <= LONGEST_KEPT else rare)[name] = ids
+        table.update((w, ids) for w, ids in fresh.items() if len(w) <= LONGEST_KEPT)
         return {**table, **rare} if rare else table
 
     def encode(self, texts: list[str | None], batch_chars: int = 4 << 20) -> Iterable[np.ndarray]:
@@ -217,7 +224,7 @@ class BytePairs:
             cut_texts = [self.runs(t or "") for t in part]
             table = self.learn(cut_texts)
             for runs in cut_texts:
-                yield np.fromiter((t for r in runs for t in table[r]), np.int32)
+                yield np.fromiter(chain.from_iterable(map(table.__getitem__, runs)), np.int32)
 
     def decode(self, ids: Iterable[int]) -> str:
         return b"".join(map(self.bytes.__getitem__, ids)).decode("utf-8", "replace")
