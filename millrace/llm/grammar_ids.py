@@ -77,10 +77,11 @@ def compress(ids: np.ndarray, ends: np.ndarray, base: int) -> tuple[np.ndarray,
         chosen = _frequent(seq, inner)
         if not len(chosen):
             break
-        # Only pairs whose left symbol begins a chosen pair need the search.
-        begins = np.zeros(base + sum(map(len, lefts)), bool)
+        # Only pairs whose symbols begin and end chosen pairs need the search.
+        begins, finishes = np.zeros((2, base + sum(map(len, lefts))), bool)
         begins[(chosen >> np.uint64(32)).astype(np.int64)] = True
-        at = np.flatnonzero(begins[seq[:-1]] & inner)
+        finishes[(chosen & np.uint64(0xFFFFFFFF)).astype(np.int64)] = True
+        at = np.flatnonzero(begins[seq[:-1]] & finishes[seq[1:]] & inner)
         keys = seq[at].astype(np.uint64) << np.uint64(32) | seq[at + 1]
         rule = np.minimum(np.searchsorted(chosen, keys), len(chosen) - 1)
         hit = chosen[rule] == keys

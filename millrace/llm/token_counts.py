@@ -34,8 +34,7 @@ def lengths(path: str, texts: list[str | None]) -> Iterable[int]:
         for part in by_size(texts, BATCH_BYTES):
             yield from (len(ids) for ids in _MODELS[path].encode([t or "" for t in part], num_threads=1))
         return
-    for ids in pieces_for(path).ids(texts, BATCH_BYTES):
-        yield len(ids) // 4
+    yield from pieces_for(path).counts(texts, BATCH_BYTES)
 
 
 def token_counts(docs: DataFrame, path: str, limit: int = 2048) -> DataFrame:

@@ -11,7 +11,8 @@ by the library. The cuts depend on the tokenizer's file:
   with at most one space in front, and around the white space between;
 * others: no cut; the whole text is one piece.
 
-Pieces are looked up in a table that is emptied when it is full, so memory is
+The cuts, and the search for distinct pieces, run on whole Arrow columns; ids are
+gathered by index arithmetic. Pieces are looked up in a table that is emptied when it is full, so memory is
 bounded however many distinct words there are. Special strings inside a text
 are handled by the library, as its default does.
 """
@@ -22,14 +23,19 @@ import json
 import os
 import re
 from array import array
+from collections import ChainMap
 from collections.abc import Iterable
 
-_BEFORE_MARK = re.compile(rb"(?<=[a-z])(?=[.,!?;:%&$*#])")
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
+_LETTER_AND_MARK = "([a-z])([.,!?;:%&$*#])"
 # White space as the byte-level pattern sees it (Unicode White_Space, without U+001C to U+001F).
 SPACE_CLASS = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _RUNS = re.compile(f" ?[^{SPACE_CLASS}]+|[{SPACE_CLASS}]+(?![^{SPACE_CLASS}])|[{SPACE_CLASS}]")
 
-TABLE_PIECES = 400_000
+TABLE_PIECES = 800_000
 LONGEST_KEPT = 64
 
 
@@ -57,40 +63,86 @@ class Pieces:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.table: dict = {}
+        special = [(t.content, k) for k, t in sorted(self.tokenizer.get_added_tokens_decoder().items()) if t.special]
+        self.mark, self.mark_id = special[-1] if special and special[-1][0].startswith("<|") else (None, None)
 
-    def pieces(self, text: str) -> list:
+    def cut_texts(self, texts: list[str]) -> tuple[pa.Array, np.ndarray]:
+        """The pieces of all texts in one array, and the place after the last piece of each text."""
         if self.cut == "words":
-            raw = text.encode()
-            # Where a special string may stand its letters and edges must stay as they are.
-            return (raw if b"<|" in raw else _BEFORE_MARK.sub(b" ", raw.lower())).split()
-        if self.cut == "runs" and "<|" not in text:
-            return _RUNS.findall(text)
-        return [text]
-
-    def learn(self, cut_texts: Iterable[list]) -> dict:
-        """The table with all pieces of these texts; long ones are left to be encoded when they come."""
+            marked = [k for k, t in enumerate(texts) if "<|" in t]
+            if marked:
+                # Where a special string may stand its letters and edges must stay as they are.
+                plain = [[p.decode() for p in t.encode().split()] if "<|" in t else self._words(pa.array([t])).flatten().to_pylist() for t in texts]
+                return pa.array([p for ps in plain for p in ps], pa.string()), np.cumsum([len(ps) for ps in plain])
+            words = self._words(pa.array(texts, pa.string()))
+            return words.flatten(), words.offsets.to_numpy()[1:].astype(np.int64) - words.offsets[0].as_py()
+        runs = [_RUNS.findall(t) if self.cut == "runs" and "<|" not in t else [t] for t in texts]
+        return pa.array([r for rs in runs for r in rs], pa.string()), np.cumsum([len(rs) for rs in runs])
+
+    @staticmethod
+    def _words(texts: pa.Array) -> pa.ListArray:
+        return pc.ascii_split_whitespace(pc.replace_substring_regex(pc.ascii_lower(texts), _LETTER_AND_MARK, r"\1 \2"))
+
+    def _ids_of(self, names: list[str]) -> list[bytes]:
+        """The ids of distinct pieces, from the table or the library; long ones are not kept."""
         table = self.table
         if len(table) > self.limit:
             table.clear()
-        new: set = set()
-        for pieces in cut_texts:
-            new.update(set(pieces).difference(table))
+        new = [n for n in names if n not in table]
         rare = {}
-        names = list(new)
-        texts = [x.decode() for x in names] if self.cut == "words" else names
-        for at in range(0, len(names), 4096):
-            encoded = self.tokenizer.encode_batch_fast(texts[at : at + 4096], add_special_tokens=False)
-            for name, e in zip(names[at : at + 4096], encoded, strict=True):
-                (table if len(name) <= LONGEST_KEPT else rare)[name] = array("I", e.ids).tobytes()
-        return {**table, **rare} if rare else table
+        for name, ids in zip(new, self._encode_each(new), strict=True):
+            (table if len(name) <= LONGEST_KEPT else rare)[name] = ids
+        found = ChainMap(rare, table) if rare else table
+        return [found[n] for n in names]
+
+    def _encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of the distinct pieces one after the other, their starts, and for each place its piece; the texts' ends in places."""
+        pieces, ends = self.cut_texts([t or "" for t in texts])
+        coded = pieces.dictionary_encode()
+        parts = self._ids_of(coded.dictionary.to_pylist())
+        starts = np.concatenate([[0], np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)) // 4)])
+        return np.frombuffer(b"".join(parts), "<u4"), starts, coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), ends
+
+    def counts(self, texts: list[str | None], batch_bytes: int = 4 << 20) -> Iterable[int]:
+        """The number of ids of each text, in order."""
+        for part in by_size(texts, batch_bytes):
+            _, starts, places, ends = self._encode(part)
+            total = np.concatenate([[0], np.cumsum(np.diff(starts)[places])])
+            yield from np.diff(total[np.concatenate([[0], ends])]).tolist()
 
     def ids(self, texts: list[str | None], batch_bytes: int = 4 << 20) -> Iterable[bytes]:
         """The ids of each text, in order; texts are worked on in batches of about ``batch_bytes`` characters."""
         for part in by_size(texts, batch_bytes):
-            cut_texts = [self.pieces(t or "") for t in part]
-            table = self.learn(cut_texts)
-            for pieces in cut_texts:
-                yield b"".join(map(table.__getitem__, pieces))
+            flat, starts, places, ends = self._encode(part)
+            sizes = np.diff(starts)[places]
+            total = np.concatenate([[0], np.cumsum(sizes)])
+            # Every id's place in ``flat``: where its piece starts there, and how far it is into the piece.
+            at = np.arange(total[-1]) + np.repeat(starts[places] - total[:-1], sizes)
+            raw = flat[at].tobytes()
+            edges = (4 * total[np.concatenate([[0], ends])]).tolist()
+            for a, b in zip(edges, edges[1:], strict=False):
+                yield raw[a:b]
+
+    def _encode_each(self, names: list[str]) -> Iterable[bytes]:
+        """The ids of each piece.
+
+        Words are encoded many at a time with a special string between them, whose
+        id marks their ends; words that hold the beginning of one go by themselves.
+        """
+        joined = self.cut == "words" and self.mark is not None
+        for at in range(0, len(names), 512):
+            part = names[at : at + 512]
+            if joined and not any("<|" in x for x in part):
+                whole = self.tokenizer.encode_batch_fast([self.mark.join(part)], add_special_tokens=False)[0].ids
+                raw, start = array("I", whole), 0
+                for _ in part[:-1]:
+                    stop = raw.index(self.mark_id, start)
+                    yield raw[start:stop].tobytes()
+                    start = stop + 1
+                yield raw[start:].tobytes()
+            else:
+                for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False):
+                    yield array("I", e.ids).tobytes()
 
 
 def by_size(texts: list[str | None], most: int) -> Iterable[list[str | None]]:
