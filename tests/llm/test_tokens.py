@@ -12,7 +12,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from millrace.llm import byte_pairs, grammar_ids, packing, queries, token_counts
-from millrace.llm.words import Pieces
+from millrace.llm.words import Pieces, pieces_for
 from millrace.session import fresh_path
 from millrace.tables import load
 from tests.llm.support import FOLDER, ODD_TEXTS, no_documents, odd_documents
@@ -69,7 +69,7 @@ ALPHABET = st.sampled_from(list("aAbtTsSe'.,!%&$*#|<> \n\t\r\x0b\x0c\x1c\x85\xa0
 @given(st.text(ALPHABET, max_size=30) | st.text(max_size=20))
 def test_any_text_is_cut_as_the_library_cuts(text):
     for path, kind in ((WORD, "words"), (BYTE, "runs")):
-        pieces = _PIECES.setdefault(path, Pieces(path))
+        pieces = pieces_for(path)
         assert pieces.cut == kind
         assert np.frombuffer(next(iter(pieces.ids([text]))), "<u4").tolist() == ids(pieces.tokenizer, text)
     coder = byte_pairs.byte_pairs(BYTE)
@@ -78,8 +78,6 @@ def test_any_text_is_cut_as_the_library_cuts(text):
     assert coder.decode(found) == pieces.tokenizer.decode(found, skip_special_tokens=False)
 
 
-_PIECES: dict = {}
-
 
 def test_a_full_table_is_emptied():
     small, large = Pieces(WORD, table_pieces=5), Pieces(WORD)
