@@ -2,7 +2,9 @@
 
 A page is read into a tree of its block elements. Menus, page headers and
 footers, sidebars, forms, scripts and the like are cut by their tag, role or
-class words. Each remaining node has characters C, characters in links LC, tags
+class. A class, an id or a form element does not cut what holds the longest
+article or main element of the page, or most of the unlinked text in it (in the
+body, if there is none worth the name). Each remaining node has characters C, characters in links LC, tags
 T and link tags LT below it, and the composite density
 
     C/T * log(C*T / (LC*LT)) / log(ln(LC*C/(C-LC) + C*LC_body/C_body + e))
@@ -11,7 +13,7 @@ so that text in links counts against a node. The densities of a node's
 children are added up; the node with the largest sum is the core of the main
 text, and it is widened to its parents as long as these are at least as dense as
 the body, or up to the article or main element around it. Blocks of links
-inside are left out.
+outside articles are left out.
 
 Defined results: a null or empty page, or one without text outside the cut
 parts, gives the empty text with 0 characters. Broken markup is read as browsers
@@ -73,6 +75,10 @@ _RAW_END = {tag: re.compile(rf"</{tag}(?:[\s/][^>]*+)?(?:>|\Z)", re.I) for tag i
 CLOSES_P = BLOCK - {"button", "caption", "body", "html", "head", "td", "th", "tr", "tbody", "thead", "tfoot", "select", "audio", "video", "canvas"}
 LINK_SHARE = 0.6
 LEAST_LINKS = 3
+#: An article with less than this share of the body's unlinked text is a teaser.
+LEAST_ARTICLE = 0.05
+#: Reasons for a cut: by class, id or form, which the text below can outweigh, and by anything else.
+SOFT, HARD = 1, 2
 
 
 class Node:
@@ -80,33 +86,61 @@ class Node:
 
     __slots__ = ("tag", "parent", "cut", "stop", "chars", "link_chars", "tags", "links", "children", "article")
 
-    def __init__(self, tag: str, parent: int, cut: bool, article: bool) -> None:
+    def __init__(self, tag: str, parent: int, cut: int, article: bool) -> None:
         self.tag, self.parent, self.cut, self.article = tag, parent, cut, article
         self.stop = self.chars = self.link_chars = self.tags = self.links = 0
         self.children: list[int] = []
 
 
-def _is_cut(tag: str, rest: str, article: bool) -> bool:
-    if tag in CUT_TAGS or (tag == "header" and not article):
-        return True
+def _cut(tag: str, rest: str, article: bool) -> int:
+    """Whether an element is to be cut, and by which kind of reason; 0 is no."""
+    if (tag in CUT_TAGS and tag != "form") or (tag == "header" and not article):
+        return HARD
+    cut = SOFT if tag == "form" else 0
     if tag in ("html", "body", "article", "main") or len(rest) < 4:
-        return False
+        return cut
     for name, *values in _ATTRIBUTE.findall(rest):
         name, value = name.lower(), "".join(values).lower()
         if name == "hidden" or (name == "aria-hidden" and value == "true"):
-            return True
+            return HARD
         if name == "role" and value in CUT_ROLES:
-            return True
+            return HARD
         if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
-            return True
-        if name in ("class", "id") and not CUT_WORDS.isdisjoint(re.findall(r"[a-z]+", value)):
-            return True
-    return False
+            return HARD
+        if name in ("class", "id") and tag != "header" and not CUT_WORDS.isdisjoint(value.split()):
+            cut = SOFT
+    return cut
+
+
+def _settle_cuts(nodes: list[Node]) -> None:
+    """Spare what holds the main text, hand cuts down, and take what is cut out of the numbers."""
+    plain = [n.chars - n.link_chars for n in nodes]
+    hard = [False] * len(nodes)
+    for k in range(1, len(nodes)):
+        hard[k] = nodes[k].cut == HARD or hard[nodes[k].parent]
+    for k in range(len(nodes) - 1, 0, -1):
+        plain[nodes[k].parent] += plain[k]
+    body = next((k for k, n in enumerate(nodes) if n.tag == "body"), 0)
+    region, spared = body, {body}
+    for tag in ("main", "article"):
+        found = [k for k, n in enumerate(nodes) if n.tag == tag and not hard[k] and plain[k] > LEAST_ARTICLE * plain[body]]
+        if found:
+            at = region = max(found, key=lambda k: (plain[k], -k))
+            while at > 0:
+                spared.add(at)
+                at = nodes[at].parent
+    for k in range(1, len(nodes)):
+        n = nodes[k]
+        if n.cut == SOFT and (k in spared or (region < k < nodes[region].stop and 2 * plain[k] > plain[region])):
+            n.cut = 0
+        n.cut = n.cut or nodes[n.parent].cut
+        if n.cut:
+            n.chars = n.link_chars = n.tags = n.links = 0
 
 
 def read_page(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
     """The block nodes in page order, and the texts with the number of their node; a space stands for each block's edge."""
-    nodes = [Node("", -1, False, False)]
+    nodes = [Node("", -1, 0, False)]
     texts: list[tuple[int, str]] = []
     open_tags: list[tuple[str, int, bool]] = [("", 0, False)]  # name, node, whether inside a link
     counts: dict[str, int] = {}
@@ -138,10 +172,9 @@ def read_page(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
         text = html.unescape(text)
         texts.append((at, text))
         node = nodes[at]
-        if not node.cut:
-            n = len(" ".join(text.split()))
-            node.chars += n
-            node.link_chars += n if linked else 0
+        n = len(" ".join(text.split()))
+        node.chars += n
+        node.link_chars += n if linked else 0
 
     place = 0
     while m := _TOKEN.search(page, place):  # not finditer: what a script holds is no markup
@@ -166,7 +199,7 @@ def read_page(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
             continue
         at = open_tags[-1][1]
         if tag in VOID:
-            nodes[at].tags += not nodes[at].cut
+            nodes[at].tags += 1
             if tag in ("br", "hr"):
                 texts.append((at, " "))
             continue
@@ -180,12 +213,11 @@ def read_page(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
         if tag in BLOCK:
             texts.append((at, " "))
             article = parent.article or tag in ("article", "main")
-            cut = parent.cut or _is_cut(tag, m[3], parent.article)
-            nodes.append(Node(tag, at, cut, article))
-            nodes[-1].tags = int(not cut)
+            nodes.append(Node(tag, at, _cut(tag, m[3], parent.article), article))
+            nodes[-1].tags = 1
             at = len(nodes) - 1
             parent.children.append(at)
-        elif not parent.cut:
+        else:
             parent.tags += 1
             if tag == "a":
                 parent.links += 1
@@ -197,6 +229,7 @@ def read_page(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
     while len(open_tags) > 1:
         close()
     nodes[0].stop = len(nodes)
+    _settle_cuts(nodes)
     return nodes, texts
 
 
@@ -248,8 +281,8 @@ def main_text(page: str | None) -> str:
     dropped = [False] * len(nodes)
     for k in range(top, nodes[top].stop):
         n = nodes[k]
-        links = k != top and n.tag in ("ul", "ol", "div", "section", "table", "dl", "p") and n.links >= LEAST_LINKS
-        dropped[k] = n.cut or (k != top and dropped[n.parent]) or (links and n.link_chars > LINK_SHARE * n.chars)
+        links = k != top and not n.article and n.tag in ("ul", "ol", "div", "section", "table", "dl", "p") and n.links >= LEAST_LINKS
+        dropped[k] = bool(n.cut) or (k != top and dropped[n.parent]) or (links and n.link_chars > LINK_SHARE * n.chars)
     stop = nodes[top].stop
     return " ".join("".join(t for k, t in texts if top <= k < stop and not dropped[k]).split())
 

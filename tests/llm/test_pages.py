@@ -49,6 +49,29 @@ CASES = {
     "only cut": ("<body><nav>menu</nav><div class='ad'>buy</div></body>", ""),
 }
 
+LINKED = "<li><a href=1>first linked name</a><li><a href=2>second linked name</a><li><a href=3>third linked name</a>"
+KEPT = {
+    "wrapper fragments": f"<body><div class='content-sidebar-wrap'><article><p>{LONG}</p></article></div></body>",
+    "wrapper token": f"<body class='x'><div class='sidebar right'><main><p>{LONG}</p></main></div><div class='widget'>no</div></body>",
+    "most of the text": f"<body><div id='social'><p>{LONG}</p></div><div class='widget'>no</div></body>",
+    "inside the article": f"<body><article><div class='comment'><p>{LONG}</p></div></article></body>",
+    "form around the page": f"<body><form id='f'><article><p>{LONG}</p></article><div class='comments'><p>no</p></div></form></body>",
+    "not a teaser": f"<body><div class='header'><p>{LONG * 30}</p></div><div><article>no</article></div></body>",
+}
+
+
+@pytest.mark.parametrize("name", KEPT)
+def test_no_class_cuts_the_main_text(name):
+    text = main_text(KEPT[name])
+    assert LONG.strip() in text and "no" not in text.split()
+
+
+def test_articles_keep_headlines_and_lists():
+    page = f"<body><article><header class='header'><h1>Headline</h1></header><p>{LONG}</p><ul>{LINKED}</ul></article></body>"
+    assert main_text(page) == f"Headline {LONG}first linked name second linked name third linked name"
+    # Comments stay out, though they are articles too.
+    assert main_text(f"<main><article><p>{LONG}</p></article><div id=comments><article><p>I agree.</p></article></div></main>") == LONG.strip()
+
 
 @pytest.mark.parametrize("name", CASES)
 def test_pages_by_hand(name):
