@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import map_batches, packed_rows, stage, unpacked_rows
+from millrace.llm.common import map_batches, packed_rows, stage, text_of, unpacked_rows
 from millrace.llm.components import components
 
 SHINGLE_WORDS = 3
@@ -61,15 +61,22 @@ def fingerprint(text: str | None, shingle_words: int = SHINGLE_WORDS) -> int:
     return int(np.packbits(2 * ones > total, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame) -> DataFrame:
-    """doc_id and its fingerprint as a signed 64-bit number."""
+def fingerprints(docs: DataFrame, *carried: Column) -> DataFrame:
+    """doc_id, the carried columns, and the text's fingerprint as a signed 64-bit number."""
+    texts = docs.select("doc_id", *carried, "text")
+    names = [c for c in texts.columns if c != "text"]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
         for batch in batches:
             found = np.array([fingerprint(t.as_py()) for t in batch.column("text")], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found)], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in names], pa.array(found)], names=[*names, "fp"])
 
-    return map_batches(docs.select("doc_id", "text"), run, "doc_id bigint, fp bigint")
+    schema = ", ".join(f"{c} {kind}" for c, kind in texts.dtypes if c != "text")
+    return map_batches(texts, run, f"{schema}, fp bigint")
+
+
+def _text_sha(text: Column) -> Column:
+    return F.unhex(F.sha2(text_of(text), 256))
 
 
 # --- the trie joined with itself ------------------------------------------------------------
@@ -213,26 +220,34 @@ def links(fps: DataFrame, limit: int = NODE_FINGERPRINTS, errors: int = ERRORS)
 
 
 def _classes(marked: DataFrame, limit: int = NODE_FINGERPRINTS) -> DataFrame:
-    """fp, component_id for each distinct fingerprint of ``marked(doc_id, fp)``."""
+    """fp, root, component_id for each distinct fingerprint of ``marked(doc_id, fp)``."""
     ids = stage(marked.groupBy("fp").agg(F.min("doc_id").alias("least")), "fingerprints")
     roots = stage(components(stage(links(ids.select("fp"), limit), "links")), "roots")
     named = ids.join(roots, ids.fp == roots.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     names = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    return named.join(names, "root").select("fp", "component_id")
+    return named.join(names, "root").select("fp", "root", "component_id")
 
 
 def near_duplicates(docs: DataFrame, limit: int = NODE_FINGERPRINTS) -> DataFrame:
     """doc_id, fingerprint and component_id for every row of ``docs``."""
     marked = stage(fingerprints(docs), "marked")
-    classes = stage(_classes(marked, limit), "classes")
+    classes = stage(_classes(marked, limit).drop("root"), "classes")
     return marked.join(classes, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that name their component; of rows repeated under one id, one."""
-    verdicts = near_duplicates(docs)
-    heads = verdicts.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy(F.col("doc_id").alias("head")).count()
-    rows = packed_rows(docs).join(heads, F.col("row.doc_id").eqNullSafe(F.col("head")))
-    once = rows.filter("count = 1").select("row")
-    combined = rows.filter("count > 1").groupBy("head").agg(F.first("row").alias("row")).select("row")
+    """One row of ``docs`` for each component: that of the least doc_id, nulls last, then of the least hash of its text.
+
+    Rows of one doc_id and one text are in one component, so that the two tell
+    all rows apart that may both stay.
+    """
+    marked = stage(fingerprints(docs, _text_sha(F.col("text")).alias("text_sha")), "marked")
+    classes = stage(_classes(marked), "classes")
+    alike = marked.join(classes, "fp").groupBy("root", "doc_id", "text_sha").agg(F.count(F.lit(1)).alias("n"))
+    first = F.min(F.struct(F.isnull("doc_id").alias("nameless"), "doc_id", "text_sha", "n"))
+    heads = alike.groupBy("root").agg(first.alias("h")).select("root", *[F.col(f"h.{c}").alias(c) for c in ("doc_id", "text_sha", "n")])
+    rows = packed_rows(docs).withColumn("sha", _text_sha(F.col("row.text")))
+    rows = rows.join(heads, F.col("row.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("sha") == F.col("text_sha")))
+    once = rows.filter("n = 1").select("row")
+    combined = rows.filter("n > 1").groupBy("root").agg(F.first("row").alias("row")).select("row")
     return unpacked_rows(once.unionByName(combined))

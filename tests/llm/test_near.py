@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from millrace.llm import adaptive_rules, components, digest_index, queries, simhash
 from millrace.session import fresh_path
 from millrace.tables import SCHEMAS, load
-from tests.llm.support import FOLDER, no_documents, odd_documents
+from tests.llm.support import FOLDER, SCHEMA, no_documents, odd_documents
 from tools.check import compare
 
 
@@ -104,6 +104,15 @@ def test_near_duplicates(spark):
     assert simhash.near_duplicates(no_documents(spark)).count() == 0
 
 
+def test_null_and_repeated_ids_lose_no_component(spark):
+    far = [" ".join(f"{w}{k}" for k in range(60)) for w in ("apple", "stone", "river", "cloud", "glass", "metal")]
+    copy = far[3].upper()  # the same words and so the same fingerprint
+    rows = [(None, far[0]), (None, far[1]), (None, far[1]), (7, far[2]), (7, far[3]), (3, copy), (8, far[4]), (8, far[4]), (8, far[0]), (None, far[5])]
+    docs = spark.createDataFrame([(d, t, "en", "s", 0) for d, t in rows], SCHEMA)
+    kept = Counter((r.doc_id, r.text) for r in simhash.one_of_each(docs).collect())
+    assert kept == Counter([(8, far[0]), (None, far[1]), (7, far[2]), (3, copy), (8, far[4]), (None, far[5])])
+
+
 def test_long_text_in_blocks(monkeypatch):
     text = "Some words are HERE, and more of them. " * 300 + "end"
     monkeypatch.setattr(simhash, "HASHES_AT_ONCE", 64)
