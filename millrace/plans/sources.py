@@ -434,6 +434,6 @@ def incremental_since(spark, folder):
     events, marks = load(spark, folder, "events"), fresh_path(spark, "marks")
     first_run = events.filter("ts < timestamp_ntz'2024-01-21 00:00:00'")
     incremental.save_mark(first_run, marks, "events", "ts", "event_id")
-    mark = incremental.read_mark(spark, marks, "events")
+    mark = incremental.last_mark(spark, marks, "events")
     late = events.filter(c("ts") == F.lit(mark[0]).cast("timestamp_ntz")).withColumn("event_id", c("event_id") + 1_000_000_000)
     return incremental.since(events.unionByName(late), "ts", "event_id", mark).select("event_id", "value")

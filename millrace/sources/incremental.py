@@ -5,27 +5,33 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-MARKS = "source string, mark string, ids array<string>"
+MARKS = "source string, mark string, id string"
 
 
 def save_mark(df: DataFrame, path: str, source: str, column: str, key: str) -> None:
-    """Store the newest value of ``column`` together with the keys that were seen at it.
+    """Store the newest value of ``column`` with the keys that were seen at it, a row for each key.
 
     An empty frame stores nothing. Only rows at the mark itself are listed.
     """
     newest = df.agg(F.max(column).alias("m"))
-    at_mark = df.join(newest, F.col(column) == F.col("m")).groupBy("m").agg(F.collect_set(F.col(key).cast("string")).alias("ids"))
-    at_mark.select(F.lit(source).alias("source"), F.col("m").cast("string").alias("mark"), "ids").write.mode("append").json(path)
+    at_mark = df.join(newest, F.col(column) == F.col("m")).select(F.col("m").cast("string").alias("mark"), F.col(key).cast("string").alias("id"))
+    at_mark.distinct().select(F.lit(source).alias("source"), "mark", "id").write.mode("append").parquet(path)
+
+
+def last_mark(spark: SparkSession, path: str, source: str) -> tuple[str, DataFrame] | None:
+    """The largest mark saved for the source (marks are ISO texts, which sort by time) and the table of all keys seen at it."""
+    own = spark.read.schema(MARKS).parquet(path).filter(F.col("source") == source)
+    mark = own.agg(F.max("mark").alias("mark")).first()["mark"]
+    return None if mark is None else (mark, own.filter(F.col("mark") == mark).select("id"))
 
 
 def read_mark(spark: SparkSession, path: str, source: str) -> tuple[str, list[str]] | None:
-    """The largest mark saved for the source (marks are ISO texts, which sort by time) and all keys seen at it."""
-    own = spark.read.schema(MARKS).json(path).filter(F.col("source") == source)
-    last = own.groupBy("mark").agg(F.flatten(F.collect_list("ids")).alias("ids")).orderBy(F.desc("mark")).limit(1).first()
-    return None if last is None else (last["mark"], last["ids"])
+    """``last_mark`` with its keys as a list on the driver, for a look at marks that few rows share."""
+    last = last_mark(spark, path, source)
+    return None if last is None else (last[0], [r["id"] for r in last[1].filter("id is not null").distinct().collect()])
 
 
-def since(df: DataFrame, column: str, key: str, mark: tuple[str, list[str]] | None) -> DataFrame:
+def since(df: DataFrame, column: str, key: str, mark: tuple[str, DataFrame | list[str]] | None) -> DataFrame:
     """Rows newer than the mark, and rows at the mark whose key was not seen there.
 
     The comparison is pushed into the scan. A row that comes later with the mark's own time is not lost.
@@ -33,6 +39,8 @@ def since(df: DataFrame, column: str, key: str, mark: tuple[str, list[str]] | No
     if mark is None:
         return df
     at, seen = F.lit(mark[0]).cast(df.schema[column].dataType), mark[1]
-    known = df.sparkSession.createDataFrame([(x,) for x in seen], "_seen string")
+    if not isinstance(seen, DataFrame):
+        seen = df.sparkSession.createDataFrame([(x,) for x in seen], "id string")
+    known = seen.select(F.col("id").alias("_seen"))
     newer = df.filter(F.col(column) >= at)
     return newer.join(known, (F.col(key).cast("string") == F.col("_seen")) & (F.col(column) == at), "left_anti")

@@ -136,6 +136,18 @@ def test_marks_keep_their_ties(spark):
     assert incremental.since(df, "ts", "id", None).count() == 4
 
 
+def test_keys_at_a_hot_mark_stay_in_tables(spark):
+    path = fresh_path(spark, "marks")
+    df = spark.range(3000).select("id", F.when(F.col("id") % 3 == 0, F.lit("2024-01-05")).otherwise("2024-01-03").cast("timestamp").alias("ts"))
+    incremental.save_mark(df.filter("id < 2000"), path, "a", "ts", "id")
+    assert spark.read.parquet(path).count() == 667 and incremental.last_mark(spark, path, "c") is None
+    at, keys = incremental.last_mark(spark, path, "a")
+    assert at == "2024-01-05 00:00:00" and keys.count() == 667
+    found = incremental.since(df, "ts", "id", (at, keys))
+    assert "LocalTableScan" not in found._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r["id"] for r in found.collect()) == list(range(2001, 3000, 3))
+
+
 @pytest.mark.parametrize("n", [0, 1, 2, 3, 7, 8, 100])
 def test_pages_are_counted_by_their_end(n):
     asked = []
