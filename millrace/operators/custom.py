@@ -9,8 +9,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.operators.skew import salt_of
+from millrace.session import stage
 
 Step = Callable[[DataFrame], DataFrame]
+#: A group of more rows is not handed to one call of a user's function.
+GROUP_ROWS = 1_000_000
 
 
 def column_function(function: Callable[[pd.Series], pd.Series], kind: str) -> Callable[[Column], Column]:
@@ -49,9 +52,32 @@ def group_combine(
     return parts.groupBy(*keys).agg(*combine)
 
 
-def group_apply(df: DataFrame, keys: Sequence[str], function: Callable[[pd.DataFrame], pd.DataFrame], schema: str) -> DataFrame:
-    """Split-apply-combine with any function; each call gets one whole group, which must fit a task's memory."""
-    return df.groupBy(*keys).applyInPandas(lambda pdf: function(pdf), schema)
+def group_apply(
+    df: DataFrame,
+    keys: Sequence[str],
+    function: Callable[[pd.DataFrame], pd.DataFrame],
+    schema: str,
+    split: Step | None = None,
+    rows_per_group: int = GROUP_ROWS,
+) -> DataFrame:
+    """Split-apply-combine with any function; each call gets one whole group.
+
+    Groups above ``rows_per_group``, which a task might not hold, go to ``split``,
+    which states the same result on DataFrames; without it they are refused.
+    """
+    names = [f"_k{i}" for i in range(len(keys))]
+    sizes = df.groupBy(*[F.col(k).alias(n) for k, n in zip(keys, names, strict=True)]).agg(F.count(F.lit(1)).alias("_n"))
+    large = stage(sizes.filter(F.col("_n") > rows_per_group).drop("_n"), "large-groups")
+    whole = lambda part: part.groupBy(*keys).applyInPandas(lambda pdf: function(pdf), schema)
+    if large.isEmpty():
+        return whole(df)
+    if split is None:
+        raise ValueError(f"a group has more than {rows_per_group} rows and there is no split form")
+    same = F.lit(True)
+    for k, n in zip(keys, names, strict=True):
+        same &= F.col(k).eqNullSafe(F.col(n))
+    small = whole(df.join(large, same, "left_anti"))
+    return small.unionByName(split(df.join(large, same, "left_semi")).select(*small.columns))
 
 
 def words(df: DataFrame, text: str, pattern: str = r"[\p{L}\p{M}]+") -> DataFrame:

@@ -6,6 +6,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from millrace.operators import custom as U
+from millrace.operators import ordered as O
 from millrace.operators import skew as K
 from millrace.operators import tables as T
 from millrace.operators.partitions import partition_counts
@@ -187,6 +188,31 @@ def group_combine(spark, folder):
     )
 
 
+def _rises(frame):
+    price = frame.sort_values(["o_orderdate", "o_orderkey"])["o_totalprice"]
+    return pd.DataFrame(
+        {
+            "o_custkey": [frame["o_custkey"].iloc[0]],
+            "n": [len(price)],
+            "middle": [float(price.median())],
+            "n_rises": [int((price.diff() > 0).sum())],
+        }
+    )
+
+
+def _rises_split(orders, rows_per_task=O.ROWS_PER_TASK):
+    """The same for groups of any size, by ordered ranges and counted values."""
+    paired = O.previous(O.ordered(orders, ["o_custkey"], ["o_orderdate", "o_orderkey"], rows_per_task), "o_totalprice", "_before")
+    counts = paired.rows().groupBy("o_custkey").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(c("o_totalprice") > c("_before")).alias("n_rises")
+    )
+    # Quantiles join their totals by key, so a null key gets a value and a mark.
+    keyed = orders.select(F.coalesce("o_custkey", F.lit(0)).alias("_key"), F.isnull("o_custkey").alias("_none"), "o_totalprice")
+    middle = O.exact_quantiles(keyed, ["_key", "_none"], "o_totalprice", {"middle": 0.5}, rows_per_task)
+    middle = middle.select(F.when(~c("_none"), c("_key")).alias("_key"), "middle")
+    return counts.join(middle, c("o_custkey").eqNullSafe(c("_key")), "left").select("o_custkey", "n", "middle", "n_rises")
+
+
 @query(
     "group_apply",
     """SELECT o_custkey, count(*) AS n, median(o_totalprice) AS middle,
@@ -194,21 +220,12 @@ def group_combine(spark, folder):
          SELECT *, lag(o_totalprice) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS before FROM orders) GROUP BY 1""",
 )
 def group_apply(spark, folder):
-    """Any Python function of a whole group: a median and the rises in order of time, which no blocks could be merged to."""
-
-    def measure(frame):
-        price = frame.sort_values(["o_orderdate", "o_orderkey"])["o_totalprice"]
-        return pd.DataFrame(
-            {
-                "o_custkey": [frame["o_custkey"].iloc[0]],
-                "n": [len(price)],
-                "middle": [float(price.median())],
-                "n_rises": [int((price.diff() > 0).sum())],
-            }
-        )
+    """Any Python function of a whole group: a median and the rises in order of time, which no blocks could be merged to.
 
+    A customer with more orders than a task should hold goes by the split form.
+    """
     orders = load(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
-    return U.group_apply(orders, ["o_custkey"], measure, "o_custkey bigint, n bigint, middle double, n_rises bigint")
+    return U.group_apply(orders, ["o_custkey"], _rises, "o_custkey bigint, n bigint, middle double, n_rises bigint", _rises_split)
 
 
 @query(

@@ -1,9 +1,13 @@
 """Salting gives what the direct plan gives, and broadcasts are checked."""
 
+from statistics import median
+
 import pytest
 from pyspark.sql import functions as F
 
+from millrace.operators import custom
 from millrace.operators import skew as K
+from millrace.plans import physical
 from millrace.plans.derived import nested_orders
 from millrace.session import drop_stages, stage
 from millrace.tables import load
@@ -97,6 +101,27 @@ def test_salted_sum_keeps_keys_with_underscores(sides):
     assert salted == direct and aware == direct
 
 
+def test_large_groups_take_the_split_form(spark):
+    rows = [(k, 7 if k % 3 == 0 else None if k % 3 == 1 else k % 20, float(k * 37 % 101), k * 13 % 50) for k in range(300)]
+    orders = spark.createDataFrame(rows, "o_orderkey bigint, o_custkey bigint, o_totalprice double, o_orderdate int")
+    schema, measure = "o_custkey bigint, n bigint, middle double, n_rises bigint", physical._rises
+
+    def small(frame):
+        assert len(frame) <= 40
+        return measure(frame)
+
+    expected = set()
+    for key in {r[1] for r in rows}:
+        price = [r[2] for r in sorted((r for r in rows if r[1] == key), key=lambda r: (r[3], r[0]))]
+        expected.add((key, len(price), median(price), sum(b > a for a, b in zip(price, price[1:], strict=False))))
+    for limit in (30, 10_000):
+        split = lambda part: physical._rises_split(part, limit)  # noqa: B023, E731
+        got = custom.group_apply(orders, ["o_custkey"], small, schema, split, 40)
+        assert got.count() == len(expected) and set(map(tuple, got.collect())) == expected
+    with pytest.raises(ValueError):
+        custom.group_apply(orders, ["o_custkey"], small, schema, None, 40)
+
+
 def test_stages_are_dropped(spark):
     drop_stages(spark)
     kept = stage(spark.range(5), "dropped")
