@@ -3,24 +3,31 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
 from millrace.llm import (
     adaptive_rules,
+    alignment,
     byte_pairs,
+    centroids,
     digest_index,
     grammar_ids,
     html_density,
     packing,
     quality_net,
     simhash,
+    substring_dedup,
     token_counts,
     toxicity,
 )
+from millrace.llm.centroids_sql import centroids_sql
 from millrace.llm.common import documents, fresh_path, load
 from millrace.llm.registry import QUERIES, SQL, query
 
 #: Tokenizer files by name; their folder is found by the package that brings them.
 WORD_BPE = "word_bpe_49k.json"
 BYTE_BPE = "byte_bpe_50k.json"
+PIECE_BPE = "piece_bpe_32k.model"
 
 
 def tokenizer(name: str) -> str:
@@ -155,6 +162,41 @@ def op9_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf_dir), tokenizer(WORD_BPE), end_id=1, capacity=4096)
 
 
+_WINDOW = substring_dedup.WINDOW
+
+
+@query(
+    "op11_fm_passages",
+    f"""
+    WITH t AS (
+        SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '{WS}+'), lambda w: w <> '') AS words FROM documents),
+    wins AS (SELECT doc_id, i, array_to_string(words[i:i + {_WINDOW - 1}], ' ') AS win
+             FROM (SELECT doc_id, words, unnest(range(1, len(words) - {_WINDOW - 2})) AS i FROM t)),
+    gone AS (
+        SELECT DISTINCT doc_id, unnest(range(i, i + {_WINDOW})) AS i
+        FROM (SELECT *, min(doc_id) OVER (PARTITION BY win) AS least FROM wins) WHERE least < doc_id),
+    each AS (SELECT doc_id, unnest(words) AS w, unnest(range(1, len(words) + 1)) AS i FROM t),
+    kept AS (SELECT doc_id, string_agg(w, ' ' ORDER BY i) AS text FROM each ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id),
+    n AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id)
+    SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+    FROM t LEFT JOIN kept USING (doc_id) LEFT JOIN n USING (doc_id)
+    """,
+)
+def op11_fm_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = substring_dedup.without_repeats(documents(spark, sf_dir).select("doc_id", "text"))
+    return left.select("row.doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op12_heap_centroids", centroids_sql())
+def op12_heap_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.centroid_report(load(spark, sf_dir, "embeddings"))
+
+
+@query("op13_token_overlap")
+def op13_token_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(documents(spark, sf_dir), tokenizer(BYTE_BPE), tokenizer(PIECE_BPE))
+
+
 def queries() -> dict:
     return dict(QUERIES)
 
