@@ -2,18 +2,23 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
+from itertools import groupby, islice
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from millrace.operators.skew import salt_of
-from millrace.session import stage
 
 Step = Callable[[DataFrame], DataFrame]
-#: A group of more rows is not handed to one call of a user's function.
-GROUP_ROWS = 1_000_000
+#: Rows of a user's function that are handed on together.
+ROWS_OUT = 10_000
 
 
 def column_function(function: Callable[[pd.Series], pd.Series], kind: str) -> Callable[[Column], Column]:
@@ -52,32 +57,49 @@ def group_combine(
     return parts.groupBy(*keys).agg(*combine)
 
 
-def group_apply(
-    df: DataFrame,
-    keys: Sequence[str],
-    function: Callable[[pd.DataFrame], pd.DataFrame],
-    schema: str,
-    split: Step | None = None,
-    rows_per_group: int = GROUP_ROWS,
+def _slices(batches: Iterable[pa.RecordBatch], keys: Sequence[str]) -> Iterator[tuple[tuple, pa.RecordBatch]]:
+    """Sorted batches cut where a key changes, with the key of each slice; null and NaN are keys of their own."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        changed = np.zeros(batch.num_rows - 1, bool)
+        for k in keys:
+            column = batch.column(k)
+            if pa.types.is_floating(column.type):
+                column = pc.if_else(pc.is_nan(column), pa.scalar("nan"), column.cast(pa.string()))
+            here, before = column.slice(1), column.slice(0, len(column) - 1)
+            other = pc.or_(pc.fill_null(pc.not_equal(here, before), False), pc.xor(pc.is_null(here), pc.is_null(before)))
+            changed |= other.to_numpy(zero_copy_only=False)
+        starts = [0, *(np.flatnonzero(changed) + 1).tolist(), batch.num_rows]
+        for start, stop in zip(starts, starts[1:], strict=False):
+            key = tuple(batch.column(k)[start].as_py() for k in keys)
+            yield tuple("nan" if x != x else x for x in key), batch.slice(start, stop - start)
+
+
+def group_stream(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], function: Callable[[Iterator[pa.RecordBatch]], Iterable[tuple]], schema: str
 ) -> DataFrame:
-    """Split-apply-combine with any function; each call gets one whole group.
+    """Split-apply-combine with any function; each call gets one whole group as a stream.
 
-    Groups above ``rows_per_group``, which a task might not hold, go to ``split``,
-    which states the same result on DataFrames; without it they are refused.
+    ``function`` gets an iterator over Arrow batches of the group, sorted by ``order``,
+    and gives rows of ``schema``. Spark sorts on disk, and no group is ever held as a
+    whole, so a function that keeps little works on groups of any length. What it
+    leaves unread is passed over. Rows of null keys are one group.
     """
-    names = [f"_k{i}" for i in range(len(keys))]
-    sizes = df.groupBy(*[F.col(k).alias(n) for k, n in zip(keys, names, strict=True)]).agg(F.count(F.lit(1)).alias("_n"))
-    large = stage(sizes.filter(F.col("_n") > rows_per_group).drop("_n"), "large-groups")
-    whole = lambda part: part.groupBy(*keys).applyInPandas(lambda pdf: function(pdf), schema)
-    if large.isEmpty():
-        return whole(df)
-    if split is None:
-        raise ValueError(f"a group has more than {rows_per_group} rows and there is no split form")
-    same = F.lit(True)
-    for k, n in zip(keys, names, strict=True):
-        same &= F.col(k).eqNullSafe(F.col(n))
-    small = whole(df.join(large, same, "left_anti"))
-    return small.unionByName(split(df.join(large, same, "left_semi")).select(*small.columns))
+    fields = to_arrow_schema(StructType.fromDDL(schema))
+
+    def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple]:
+        for _, group in groupby(_slices(batches, keys), key=lambda part: part[0]):
+            yield from function(part for _, part in group)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = rows(batches)
+        while block := list(islice(found, ROWS_OUT)):
+            columns = zip(*block, strict=True)
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, fields, strict=True)], schema=fields)
+
+    by_key = df.repartition(*keys) if keys else df.coalesce(1)
+    return by_key.sortWithinPartitions(*keys, *order).mapInArrow(run, schema)
 
 
 def words(df: DataFrame, text: str, pattern: str = r"[\p{L}\p{M}]+") -> DataFrame:

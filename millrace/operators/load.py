@@ -12,12 +12,14 @@ import time
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
+from millrace.operators.commits import FOLDER, Conflict, Versions
 from millrace.operators.joins import duplicate_keys
 from millrace.operators.sets import dedup
+from millrace.operators.skew import broadcast_within
 from millrace.session import stage
 
 BUCKET = "_bucket"
@@ -46,153 +48,176 @@ def append(df: DataFrame, path: str, columns: Sequence[str] = ()) -> None:
     df.write.mode("append").partitionBy(*columns).parquet(path)
 
 
-@dataclass(frozen=True)
-class Versions:
-    """A folder whose data are written first and then made visible by one small file.
-
-    Data lie below ``data/version=N``. A commit appends one row to the pointer, with
-    the version and the load it belongs to. Readers look only at committed
-    versions, so a run that stops between data and pointer changes nothing, and
-    its repetition writes the same version again.
-    """
-
-    spark: SparkSession
-    path: str
-
-    POINTER = "version int, load string, buckets int"
-
-    def committed(self) -> list[Row]:
-        """The commits in their order; one row each, however much data they hold."""
-        try:
-            rows = self.spark.read.schema(self.POINTER).parquet(f"{self.path}/pointer")
-            return rows.orderBy("version").collect()
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return []
-
-    def next(self) -> int:
-        commits = self.committed()
-        return commits[-1]["version"] + 1 if commits else 0
+#: Stored bytes of a bucket that the table aims at.
+BUCKET_BYTES = 128 << 20
+#: A bucket in more pieces, or a table in more folders, is put together by the next change.
+MOST_PIECES = 8
+MOST_FOLDERS = 32
 
-    def write(self, df: DataFrame, version: int, columns: Sequence[str] = ()) -> None:
-        df.write.mode("overwrite").partitionBy(*columns).parquet(f"{self.path}/data/version={version}")
 
-    def commit(self, version: int, load: str | None = None, buckets: int | None = None) -> None:
-        self.spark.createDataFrame([(version, load, buckets)], self.POINTER).coalesce(1).write.mode("append").parquet(f"{self.path}/pointer")
+def stored_bytes(df: DataFrame) -> int:
+    """The size of what ``df`` reads, by the planner's estimate (for files, their length)."""
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    # where the planner knows nothing of a source, its rows are counted instead
+    return 16 * len(df.columns) * df.count() if size >= 1 << 60 else size
 
 
-BUCKET_BYTES = 128 << 20
+def buckets_for(size: int, bucket_bytes: int = BUCKET_BYTES) -> int:
+    """Buckets so that each holds about ``bucket_bytes``."""
+    return max(1, -(-size // bucket_bytes))
 
 
-def buckets_for(df: DataFrame, bucket_bytes: int = BUCKET_BYTES) -> int:
-    """Buckets so that each holds about ``bucket_bytes``, by the planner's estimate of ``df``.
+def address(number: Column, buckets: int) -> Column:
+    """Linear hashing: the bucket of a hash among ``buckets``, any number.
 
-    Where the planner knows nothing of a source, its rows are counted instead.
+    With m the largest power of two not above ``buckets``, bucket m + s holds what
+    has been split off bucket s. One bucket more moves rows of one bucket only.
     """
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    if size >= 1 << 60:
-        size = 16 * len(df.columns) * df.count()
-    return max(1, -(-size // bucket_bytes))
+    low = 1 << (buckets.bit_length() - 1)
+    wide = F.pmod(number, F.lit(2 * low))
+    return F.when(wide < buckets, wide).otherwise(F.pmod(number, F.lit(low))).cast("int")
 
 
 @dataclass(frozen=True)
 class KeyedTable:
     """A parquet table with a unique key, stored in hash buckets of that key.
 
-    The number of buckets follows from the size of what it is created with. A
-    change writes one new version with the buckets its keys fall in, then a
-    manifest that names the version of every bucket, then the pointer.
+    The number of buckets follows the stored bytes: a change that makes the table
+    outgrow its buckets adds some, and only the buckets that are split for them are
+    written again, with those that the change touches. A manifest names
+    the pieces (folder and bucket) that hold the rows; the pointer names the
+    manifest. Changes that find another one committed meanwhile start over from it.
     """
 
     spark: SparkSession
     path: str
     schema: str
     keys: tuple[str, ...]
-    buckets: int | None = None
+    buckets: int = 1
+    bucket_bytes: int = BUCKET_BYTES
 
     @property
     def versions(self) -> Versions:
         return Versions(self.spark, self.path)
 
-    def _state(self) -> tuple[int, int]:
-        last = self.versions.committed()[-1]
-        return last["version"], last["buckets"]
-
-    def _bucketed(self, df: DataFrame, buckets: int) -> DataFrame:
-        return df.withColumn(BUCKET, F.pmod(F.xxhash64(*self.keys), F.lit(buckets)).cast("int"))
+    def _hash(self) -> Column:
+        return F.xxhash64(*self.keys)
 
-    def _manifest(self, version: int) -> DataFrame:
-        """The versions that hold rows of each bucket; a row per bucket and version."""
-        return self.spark.read.schema(f"{BUCKET} int, version int").parquet(f"{self.path}/manifest/version_{version}")
+    def _manifest(self, state: dict) -> DataFrame:
+        """A row per piece: its folder, bucket, rows and bytes."""
+        schema = f"{FOLDER} string, {BUCKET} int, rows bigint, bytes bigint"
+        if not state["manifest"]:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(f"{self.path}/manifest/{state['manifest']}")
 
-    def _all(self, version: int, touched: DataFrame | None = None) -> DataFrame:
-        """The table's rows, or those of the buckets in ``touched``; only their own folders are opened.
+    def _live(self, state: dict, wanted: DataFrame | None = None) -> DataFrame:
+        """The table's rows, or those of the buckets in ``wanted``; other pieces are pruned by folder and bucket."""
+        pieces = self._manifest(state)
+        if wanted is not None:
+            pieces = pieces.join(wanted, BUCKET, "left_semi")
+        pieces = pieces.filter("rows > 0").select(FOLDER, BUCKET)
+        stored = self.versions.read(f"{self.schema}, {BUCKET} int", state["folders"])
+        return stored.join(broadcast_within(pieces), [FOLDER, BUCKET], "left_semi").drop(FOLDER, BUCKET)
 
-        The manifest is a listing of folders, as the driver makes one for any table that it reads.
-        """
-        manifest = self._manifest(version)
-        if touched is not None:
-            manifest = manifest.join(touched, BUCKET, "left_semi")
-        folders = [f"{self.path}/data/version={r['version']}/{BUCKET}={r[BUCKET]}" for r in manifest.collect()]
-        schema = f"{self.schema}, version int, {BUCKET} int"
-        if not folders:
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).option("basePath", f"{self.path}/data").parquet(*folders)
+    def pieces(self) -> DataFrame:
+        """Where the rows are: folder, bucket, rows and bytes of each piece."""
+        return self._manifest(self.versions.state())
 
     def read(self) -> DataFrame:
-        return self._all(self._state()[0]).drop(BUCKET, "version")
-
-    def _publish(self, df: DataFrame, version: int, kept: DataFrame | None, buckets: int, load: str | None = None) -> None:
-        """Write the new rows once, then the manifest of old and new buckets, then the pointer."""
-        self.versions.write(df.hint("rebalance", BUCKET), version, [BUCKET])
-        own = (
-            self.spark.read.schema(f"{self.schema}, {BUCKET} int")
-            .parquet(f"{self.path}/data/version={version}")
-            .select(BUCKET)
-            .distinct()
-            .withColumn("version", F.lit(version))
+        return self._live(self.versions.state())
+
+    def _untidy(self, state: dict) -> DataFrame:
+        """Buckets in too many pieces, and those of the smallest folders if there are too many folders."""
+        manifest = self._manifest(state)
+        many = manifest.groupBy(BUCKET).count().filter(F.col("count") > MOST_PIECES).select(BUCKET)
+        if len(state["folders"]) <= MOST_FOLDERS:
+            return many
+        sizes = manifest.groupBy(FOLDER).agg(F.sum("bytes").alias("bytes"))
+        small = sizes.orderBy("bytes", FOLDER).limit(len(state["folders"]) - MOST_FOLDERS // 2)
+        return many.unionByName(manifest.join(small, FOLDER, "left_semi").select(BUCKET)).distinct()
+
+    def _publish(self, state: dict, rows: DataFrame, buckets: int, again: DataFrame | None, load: str | None) -> None:
+        """Write ``rows``, then the manifest without the buckets in ``again`` and with the new pieces, then the pointer."""
+        placed = rows.withColumn(BUCKET, address(self._hash(), buckets))
+        folder = self.versions.write(placed.hint("rebalance", BUCKET), [BUCKET])
+        written = self.versions.read(f"{self.schema}, {BUCKET} int", [folder])
+        files = written.groupBy(FOLDER, BUCKET, "_metadata.file_path", "_metadata.file_size").agg(F.count(F.lit(1)).alias("rows"))
+        own = files.groupBy(FOLDER, BUCKET).agg(F.sum("rows").alias("rows"), F.sum("file_size").alias("bytes"))
+        kept = self._manifest(state)
+        if again is not None:
+            kept = kept.join(again, BUCKET, "left_anti")
+        name = f"{state['version'] + 1}-{folder}"
+        kept.unionByName(own).coalesce(1).write.parquet(f"{self.path}/manifest/{name}")
+        # at most MOST_FOLDERS names and one more for each change since the last tidying
+        total = self._manifest({"manifest": name}).agg(F.sum("bytes").alias("bytes"), F.collect_set(FOLDER).alias("folders")).first()
+        self.versions.commit(
+            state["version"] + 1, load, buckets=buckets, manifest=name, folders=sorted(total["folders"]), bytes=total["bytes"] or 0
         )
-        manifest = own if kept is None else kept.select(BUCKET, "version").unionByName(own)
-        manifest.write.mode("overwrite").parquet(f"{self.path}/manifest/version_{version}")
-        self.versions.commit(version, load, buckets)
 
     def create(self, df: DataFrame) -> KeyedTable:
-        buckets = self.buckets or buckets_for(df)
-        version = self.versions.next()
-        self._publish(self._bucketed(df, buckets), version, None, buckets)
+        last = self.versions.latest()
+        state = {"version": -1 if last is None else last, "manifest": None, "folders": []}
+        buckets = max(self.buckets, buckets_for(stored_bytes(df), self.bucket_bytes))
+        self._publish(state, df, buckets, None, None)
         return self
 
+    def _change(self, rows: DataFrame, replace: bool, load: str | None = None, check: Callable[[DataFrame], None] | None = None) -> None:
+        """Add ``rows`` (staged, unique by key); known keys get the new row, or keep theirs."""
+        rows = rows.select(*split_schema(self.schema))
+        while True:
+            state = self.versions.state()
+            old = state["buckets"]
+            buckets = max(old, buckets_for(state["bytes"] + stored_bytes(rows), self.bucket_bytes))
+            touched = rows.select(address(self._hash(), old).alias(BUCKET)).distinct()
+            split = self.spark.range(old, buckets).select(address(F.col("id"), old).alias(BUCKET)).distinct()
+            again = split.unionByName(self._untidy(state))
+            again = (again.unionByName(touched) if replace else again).distinct()
+            if check is not None:
+                check(self._live(state, touched))
+            if replace:
+                new = rows
+                kept = self._live(state, again).join(rows, list(self.keys), "left_anti")
+            else:
+                new = rows.join(self._live(state, touched), list(self.keys), "left_anti")
+                kept = self._live(state, again)
+            try:
+                return self._publish(state, kept.unionByName(new), buckets, again, load)
+            except Conflict:
+                continue
+
     def upsert(self, changes: DataFrame, order: Sequence[str]) -> None:
         """Insert new keys and replace known ones; of several changes to a key the last wins."""
-        version, buckets = self._state()
-        latest = stage(self._bucketed(dedup(changes, self.keys, order, keep="last"), buckets), "changes")
-        touched = latest.select(BUCKET).distinct()
-        kept = self._all(version, touched).join(latest, list(self.keys), "left_anti").drop("version")
-        untouched = self._manifest(version).join(touched, BUCKET, "left_anti")
-        self._publish(kept.unionByName(latest), version + 1, untouched, buckets)
+        self._change(stage(dedup(changes, self.keys, order, keep="last"), "changes"), replace=True)
 
     def insert_if_absent(self, rows: DataFrame, order: Sequence[str]) -> None:
         """Add rows with unknown keys; known ones stay as they are."""
-        version, buckets = self._state()
-        fresh = stage(self._bucketed(dedup(rows, self.keys, order, keep="first"), buckets), "incoming")
-        new = fresh.join(self._all(version, fresh.select(BUCKET).distinct()), [BUCKET, *self.keys], "left_anti")
-        self._publish(new, version + 1, self._manifest(version), buckets)
+        self._change(stage(dedup(rows, self.keys, order, keep="first"), "incoming"), replace=False)
 
     def insert_strict(self, rows: DataFrame, load: str | None = None) -> None:
         """Add rows, or reject the whole batch if any key is repeated or known.
 
         A named load that was committed before is not tried again, so it may be repeated after its success.
         """
-        if load is not None and any(c["load"] == load for c in self.versions.committed()):
+        fresh = stage(rows, "incoming")
+
+        def check(live: DataFrame) -> None:
+            if not fresh.join(live, list(self.keys), "left_semi").isEmpty():
+                raise LoadRejected("a key of the batch is already in the table")
+
+        if load is not None and self.versions.has(load):
             return
-        version, buckets = self._state()
-        fresh = stage(self._bucketed(rows, buckets), "incoming")
         if not duplicate_keys(fresh, self.keys).isEmpty():
             raise LoadRejected("a key is repeated within the batch")
-        if not fresh.join(self._all(version, fresh.select(BUCKET).distinct()), [BUCKET, *self.keys], "left_semi").isEmpty():
-            raise LoadRejected("a key of the batch is already in the table")
-        self._publish(fresh, version + 1, self._manifest(version), buckets, load)
+        self._change(fresh, replace=False, load=load, check=check)
+
+    def drop_unused(self) -> int:
+        """Delete the folders that the last version does not use, when nobody reads an earlier one or writes."""
+        return self.versions.drop_unused(self.versions.state()["folders"])
+
+
+def split_schema(schema: str) -> list[str]:
+    """The column names of a schema text."""
+    return [f.name for f in StructType.fromDDL(schema).fields]
 
 
 @dataclass(frozen=True)
@@ -221,7 +246,7 @@ def atomic_load(batch: DataFrame, path: str, load_id: str, keys: Sequence[str],
     """Publish a batch only if all of it is valid; otherwise leave the target as it was.
 
     The rows become visible with the pointer, all at once. A load that is repeated
-    takes the place of its earlier self.
+    takes the place of its earlier self. Loads that run at once get a version each.
     """
     staged = stage(batch, "batch")
     checks = staged.agg(F.count(F.lit(1)).alias("n"), F.count_if(~F.coalesce(valid, F.lit(False))).alias("bad")).first()
@@ -230,18 +255,24 @@ def atomic_load(batch: DataFrame, path: str, load_id: str, keys: Sequence[str],
     if not duplicate_keys(staged, keys).isEmpty():
         raise LoadRejected(f"key {list(keys)} is repeated within the batch")
     versions = Versions(batch.sparkSession, path)
-    version = versions.next()
-    versions.write(staged, version)
-    versions.commit(version, load_id)
-    return checks["n"]
+    folder = versions.write(staged)
+    while True:
+        last = versions.latest()
+        try:
+            versions.commit(0 if last is None else last + 1, load_id, folder=folder)
+            return checks["n"]
+        except Conflict:
+            continue  # the rows do not depend on other loads, so the next number does
 
 
 def read_loads(spark: SparkSession, path: str, schema: str, out: str = "load_id") -> DataFrame:
     """The rows of all committed loads, each load by its last version."""
-    last = {c["load"]: c["version"] for c in Versions(spark, path).committed()}
-    stored = spark.read.schema(f"{schema}, version int").parquet(f"{path}/data")
-    names = spark.createDataFrame([(v, k) for k, v in last.items()], f"version int, {out} string")
-    return stored.join(names, "version").drop("version")
+    versions = Versions(spark, path)
+    last = versions.log().groupBy(F.col("load").alias(out)).agg(F.max_by("folder", "version").alias(FOLDER))
+    if versions.latest() is None:
+        return versions.read(schema, []).join(last, FOLDER).drop(FOLDER)
+    stored = spark.read.schema(f"{schema}, {FOLDER} string").parquet(f"{path}/data")
+    return stored.join(broadcast_within(last), FOLDER).drop(FOLDER)
 
 
 def with_retry(

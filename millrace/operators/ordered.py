@@ -17,11 +17,13 @@ from dataclasses import dataclass, replace
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from millrace.operators.skew import group_sizes, spread_join
+from millrace.operators.skew import broadcast_within, group_sizes
 from millrace.session import stage
 
 CHUNK = "_chunk"
 ROWS_PER_TASK = 5_000_000
+#: Consecutive rows of a key that one window task has, when their windows reach into each other.
+ROWS_PER_RUN = 1_000_000
 
 
 def global_index(
@@ -49,7 +51,7 @@ def global_index(
     position = F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1))
     return (
         ranged.withColumn("_part", part)
-        .join(F.broadcast(offsets), "_part")
+        .join(broadcast_within(offsets), "_part")
         .withColumn(out, F.col("_offset") + position + F.lit(start))
         .drop("_part", "_mid", "_offset")
     )
@@ -123,7 +125,7 @@ def _attach(o: Ordered, totals: DataFrame, fold: Callable[[WindowSpec], Column],
     same = F.col(CHUNK) == F.col("_c")
     for k in o.keys:
         same &= F.col(k).eqNullSafe(F.col(f"_k_{k}"))
-    return o.df.join(F.broadcast(carry), same, "left").drop("_c", *[f"_k_{k}" for k in o.keys])
+    return o.df.join(broadcast_within(carry), same, "left").drop("_c", *[f"_k_{k}" for k in o.keys])
 
 
 def scan(
@@ -225,58 +227,33 @@ def interpolate(o: Ordered, value: str, out: str) -> Ordered:
     return replace(o, df=o.df.withColumn(out, estimate).drop("_pos", "_prev", "_next"))
 
 
-def moving_avg(o: Ordered, value: str, n: int, out: str) -> Ordered:
-    """Average of the last ``n`` rows; early rows use the rows there are."""
-    frame = o.window().rowsBetween(-(n - 1), Window.currentRow)
-    if not o.chunked or n == 1:
-        return replace(o, df=o.df.withColumn(out, F.sum(value).over(frame) / F.count(value).over(frame)))
-    # the last n-1 values of each range, oldest first
-    tails = (
-        o.df.withColumn("_back", F.row_number().over(o.window(backward=True)))
-        .filter(F.col("_back") < n)
-        .groupBy(*o.group)
-        .agg(F.sort_array(F.collect_list(F.struct((-F.col("_back")).alias("b"), F.col(value).alias("v")))).alias("_t"))
-        .withColumn("_total", F.transform("_t", lambda x: x["v"]))
-        .drop("_t")
-    )
-    # Each range adds its tail to what it was lent and keeps n-1 values, so no carry is longer.
-    joined = _attach(o, _last_values(o, tails, n - 1), lambda w: F.last("_total").over(w), backward=False)
-    missing = F.greatest(F.lit(n) - F.row_number().over(o.window()), F.lit(0))
-    lent = F.expr("slice(_carry, greatest(size(_carry) - _missing + 1, 1), _missing)")
-    lent = F.when(F.col("_carry").isNull(), F.array().cast("array<double>")).otherwise(lent)
-    lent = F.filter(lent.cast("array<double>"), lambda x: x.isNotNull())
-    df = (
-        joined.withColumn("_missing", missing)
-        .withColumn("_s", F.sum(value).over(frame))
-        .withColumn("_n", F.count(value).over(frame))
-        .withColumn("_lent", lent)
-        .withColumn("_ls", F.aggregate("_lent", F.lit(0.0), lambda a, x: a + x))
-        .withColumn(out, F.try_divide(F.coalesce("_s", F.lit(0.0)) + F.col("_ls"), F.col("_n") + F.size("_lent")))
-    )
-    return replace(o, df=df.drop("_carry", "_missing", "_s", "_n", "_lent", "_ls"))
+HALO = "_halo"
 
 
-def _last_values(o: Ordered, tails: DataFrame, most: int) -> DataFrame:
-    """The last ``most`` values up to the end of each range, by doubling the number of ranges looked back on.
+def with_halo(o: Ordered, before: int) -> Ordered:
+    """Split groups dealt anew so that a window over the last ``before`` rows stays in its range.
 
-    After step s a row holds the last values of 2**s ranges; every step joins a
-    range with the one 2**s before it among those of its key.
+    Rows are numbered, and a range becomes a run of consecutive numbers no shorter
+    than ``before``; the last ``before`` rows of a run go to the next run as well, as
+    rows marked ``_halo``, which the caller drops when its windows are done.
     """
-    by = Window.partitionBy(*o.keys).orderBy(CHUNK)
-    held = stage(tails.withColumn("_no", F.row_number().over(by)), "tails")
-    longest = held.agg(F.max("_no")).first()[0] or 1
-    step = 1
-    while step < longest and step < most + 1:
-        earlier = held.select(*[F.col(k).alias(f"_p_{k}") for k in o.keys], (F.col("_no") + step).alias("_p_no"), F.col("_total").alias("_more"))
-        same = F.col("_no") == F.col("_p_no")
-        for k in o.keys:
-            same &= F.col(k).eqNullSafe(F.col(f"_p_{k}"))
-        both = F.concat(F.coalesce("_more", F.array().cast(held.schema["_total"].dataType)), F.col("_total"))
-        cut = F.slice(both, F.greatest(F.size(both) - most + 1, F.lit(1)), F.lit(most))
-        joined = held.join(earlier, same, "left").withColumn("_total", cut)
-        held = stage(joined.drop("_more", "_p_no", *[f"_p_{k}" for k in o.keys]), "tails")
-        step *= 2
-    return held.drop("_no")
+    numbered = row_numbers(o, "_pos")
+    rows_per_run = max(before, ROWS_PER_RUN)
+    run = F.floor((F.col("_pos") - 1) / rows_per_run)
+    left = rows_per_run - (F.col("_pos") - 1) % rows_per_run  # this row and those after it in the run
+    runs = F.when(left <= before, F.array(run, run + 1)).otherwise(F.array(run))
+    sent = numbered.df.drop(CHUNK).select("*", run.alias("_run"), F.explode(runs).alias(CHUNK))
+    return replace(o, df=sent.withColumn(HALO, F.col(CHUNK) > F.col("_run")).drop("_run", "_pos"))
+
+
+def moving_avg(o: Ordered, value: str, n: int, out: str) -> Ordered:
+    """Average of the last ``n`` rows; early rows use the rows there are."""
+    wide = with_halo(o, n - 1) if o.chunked and n > 1 else o
+    frame = wide.window().rowsBetween(-(n - 1), Window.currentRow)
+    df = wide.df.withColumn(out, F.try_divide(F.sum(value).over(frame), F.count(value).over(frame)))
+    if HALO in df.columns:
+        df = df.filter(~F.col(HALO)).drop(HALO)
+    return replace(o, df=df)
 
 
 def count_windows(o: Ordered, n: int, aggs: Sequence[Column], out: str = "window_no") -> DataFrame:
@@ -309,6 +286,29 @@ def missing_days(df: DataFrame, day: str, start: str | Column, end: str | Column
     return wanted.join(df.select(day).distinct(), day, "left_anti")
 
 
+#: Parts that a range of values is cut into by one pass.
+PARTS = 1024
+
+
+def _first_part(v: Column) -> Column:
+    """A number that never falls as the value rises, about 16 for each doubling; NaN comes last, as Spark sorts it."""
+    size = F.floor(F.least(F.log2(F.abs(v)), F.lit(2000.0)) * 16) + 20_000
+    return F.when(F.isnan(v), F.lit(1 << 40)).when(v == 0, F.lit(0)).when(v > 0, size).otherwise(-size).cast("bigint")
+
+
+def _next_part(v: Column, low: Column, high: Column) -> Column:
+    """The same by equal parts of the range from ``low`` to ``high``."""
+    share = F.try_divide(v.cast("double") - low.cast("double"), high.cast("double") - low.cast("double"))
+    return F.coalesce(F.floor(share * PARTS), F.lit(0)).cast("bigint")
+
+
+def _null_safe(left: DataFrame, right: DataFrame, by: Sequence[str], more: Column, how: str = "inner") -> DataFrame:
+    """Join on ``by`` (null equals null) and ``more``; ``right`` has its keys under ``_w_``, which go."""
+    for k in by:
+        more &= F.col(k).eqNullSafe(F.col(f"_w_{k}"))
+    return left.join(right, more, how).drop(*[f"_w_{k}" for k in by])
+
+
 def exact_quantiles(
     df: DataFrame,
     keys: Sequence[str],
@@ -319,32 +319,57 @@ def exact_quantiles(
     """Exact, linearly interpolated quantiles per key (or of all rows, for no keys).
 
     Spark's own exact percentile holds all distinct values of a group in one task.
-    Here values are counted, the counts summed up in value order, and only the one
-    or two values at each wanted place are kept.
+    Here each pass counts the values of a key in parts of its range, combined before
+    the shuffle, so what moves is bounded by parts, not by values. Only the part
+    that holds a wanted place is looked into by the next pass, until the rows left
+    in such parts are few enough to be counted value by value.
     """
     by = list(keys) or ["_all"]
-    known = df.filter(F.col(value).isNotNull())
-    if not keys:
-        known = known.withColumn("_all", F.lit(0))
-    counts = known.groupBy(*by, F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_rows"))
-    counts = stage(counts, "value-counts")
-    o = running_sum(ordered(counts, by, ["_v"], rows_per_task), "_rows", "_end")
-    if o.chunked:
-        totals = o.df.groupBy(*by).agg(F.sum("_rows").alias("_n"))
-        placed = spread_join(o.rows(), totals, by)
-    else:
-        placed = o.df.withColumn("_n", F.sum("_rows").over(Window.partitionBy(*by)))
-    start, end = F.col("_end") - F.col("_rows"), F.col("_end")
-
-    def value_at(place: Column) -> Column:
-        return F.max(F.when((start <= place) & (place < end), F.col("_v")))
-
-    aggs, results = [F.max("_n").alias("n")], []
+    known = df.filter(F.col(value).isNotNull()).select(*([*keys] if keys else [F.lit(0).alias("_all")]), F.col(value).alias("_v"))
+    counted = (F.count(F.lit(1)).alias("_rows"), F.min("_v").alias("_low"), F.max("_v").alias("_high"))
+    parts = stage(known.groupBy(*by, _first_part(F.col("_v").cast("double")).alias("_part")).agg(*counted), "value-parts")
+
+    # the places wanted of each key: the two neighbours of each quantile
+    sizes = parts.groupBy(*by).agg(F.sum("_rows").alias("n"))
+    place = lambda q: (F.col("n") - 1) * F.lit(float(q))
+    both = [f(place(q)) for q in quantiles.values() for f in (F.floor, F.ceil)]
+    wanted = sizes.select(*by, "n", F.explode(F.array_distinct(F.array(*both))).alias("_place"), F.lit(0).cast("bigint").alias("_base"))
+
+    def located(wanted: DataFrame, parts: DataFrame, within: Sequence[str]) -> DataFrame:
+        """The part that holds each place, and how many values come before it."""
+        window = Window.partitionBy(*within).orderBy("_part")
+        ends = parts.withColumn("_end", F.sum("_rows").over(window.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+        renamed = ends.select(*[F.col(k).alias(f"_w_{k}") for k in within], "_rows", "_low", "_high", "_end")
+        inside = (F.col("_place") >= F.col("_base") + F.col("_end") - F.col("_rows")) & (F.col("_place") < F.col("_base") + F.col("_end"))
+        found = _null_safe(wanted, renamed, within, inside)
+        return found.withColumn("_base", F.col("_base") + F.col("_end") - F.col("_rows")).drop("_end")
+
+    # the ranges of one key don't overlap, so the key and the lowest value name a range
+    at = [*by, "_from"]
+    places = stage(located(wanted, parts, by), "places")
+    done = places.filter("_low = _high").select(*by, "n", "_place", F.col("_low").alias("_at"))
+    while True:
+        open_ = places.filter("_low < _high").select(*by, "n", "_place", "_base", "_rows", F.col("_low").alias("_from"), F.col("_high").alias("_to"))
+        ranges = open_.select(*by, "_from", "_to", "_rows").distinct()
+        left = ranges.agg(F.sum("_rows").alias("rows"), F.max("_rows").alias("most")).first()
+        if not left["rows"]:
+            break
+        names = ranges.select(*[F.col(k).alias(f"_w_{k}") for k in by], "_from", "_to")
+        rows = _null_safe(known, broadcast_within(names), by, (F.col("_v") >= F.col("_from")) & (F.col("_v") <= F.col("_to")))
+        last = left["most"] <= rows_per_task
+        part = F.col("_v") if last else _next_part(F.col("_v"), F.col("_from"), F.col("_to"))
+        parts = stage(rows.groupBy(*at, part.alias("_part")).agg(*counted), "value-parts")
+        one = parts.groupBy(*at).count().filter("count = 1").limit(1)
+        if not last and not one.isEmpty():
+            # doubles can't tell the ends of a range apart any more: its values are few
+            parts = stage(rows.groupBy(*at, F.col("_v").alias("_part")).agg(*counted), "value-parts")
+        places = stage(located(open_.drop("_rows", "_to"), parts, at).drop("_from"), "places")
+        done = done.unionByName(places.filter("_low = _high").select(*by, "n", "_place", F.col("_low").alias("_at")))
+
+    aggs, results = [F.max("n").alias("n")], []
     for name, q in quantiles.items():
-        place = (F.col("_n") - 1) * F.lit(float(q))
-        low, high, part = f"_lo_{name}", f"_hi_{name}", f"_part_{name}"
-        aggs += [value_at(F.floor(place)).alias(low), value_at(F.ceil(place)).alias(high)]
-        aggs.append(F.max(place - F.floor(place)).alias(part))
-        between = F.col(low) + (F.col(high) - F.col(low)) * F.col(part)
-        results.append(between.cast("double").alias(name))
-    return placed.groupBy(*by).agg(*aggs).select(*keys, *results, "n")
+        low, high = f"_lo_{name}", f"_hi_{name}"
+        aggs += [F.max(F.when(F.col("_place") == f(place(q)), F.col("_at"))).alias(c) for f, c in ((F.floor, low), (F.ceil, high))]
+        share = place(q) - F.floor(place(q))
+        results.append((F.col(low) + (F.col(high) - F.col(low)) * share).cast("double").alias(name))
+    return done.groupBy(*by).agg(*aggs).select(*keys, *results, "n")

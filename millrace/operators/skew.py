@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.session import stage
+
 SALT = "_salt"
+HASH = "_hash"
+#: Counters of a partition's summary.
+COUNTERS = 10_000
 
 
 def broadcast_within(df: DataFrame, most_bytes: int = 64 << 20) -> DataFrame:
@@ -23,9 +30,65 @@ def key_counts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], rows_per_task: int) -> DataFrame:
-    """All groups above ``rows_per_task`` rows, as a table to join with."""
-    return key_counts(df, keys).filter(F.col("_rows") > rows_per_task)
+class SpaceSaving:
+    """At most ``size`` counted keys; ``floor`` bounds the count of every other one.
+
+    A key that comes in counts from the floor on, which is also the most that its
+    count may be too high. Keys are 64-bit hashes, taken a batch at a time.
+    """
+
+    def __init__(self, size: int = COUNTERS) -> None:
+        self.size, self.floor = size, 0
+        self.keys, self.counts, self.over = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def add(self, keys: np.ndarray) -> None:
+        new, times = np.unique(keys, return_counts=True)
+        both = np.union1d(self.keys, new)
+        counts, over = np.full(len(both), self.floor, np.int64), np.full(len(both), self.floor, np.int64)
+        at = np.searchsorted(both, self.keys)
+        counts[at], over[at] = self.counts, self.over
+        counts[np.searchsorted(both, new)] += times
+        if len(both) > self.size:
+            order = np.argsort(-counts, kind="stable")
+            kept = np.sort(order[: self.size])
+            self.floor = max(self.floor, int(counts[order[self.size]]))
+            both, counts, over = both[kept], counts[kept], over[kept]
+        self.keys, self.counts, self.over = both, counts, over
+
+
+def _summaries(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One partition's counters, and its floor and rows under no key."""
+    summary, rows = SpaceSaving(), 0
+    for batch in batches:
+        summary.add(batch.column(HASH).to_numpy())
+        rows += batch.num_rows
+    columns = [
+        pa.array([*summary.keys.tolist(), None], pa.int64()),
+        pa.array([*(summary.counts - summary.floor).tolist(), summary.floor], pa.int64()),
+        pa.array([*(summary.counts - summary.over).tolist(), rows], pa.int64()),
+    ]
+    yield pa.RecordBatch.from_arrays(columns, names=[HASH, "above", "least"])
+
+
+def heavy_hitters(df: DataFrame, keys: Sequence[str], at_least: int) -> tuple[DataFrame, int]:
+    """The keys with ``at_least`` rows or more, and the number of all rows, without a shuffle of the rows.
+
+    A Space-Saving summary of each partition is merged into ``_hash, most, least``: the
+    hash of the key and bounds of its rows. A key with so many rows is never missed. If
+    the bounds are too wide to tell (more keys of that size than a summary
+    has counters), the keys are counted exactly instead, combined before the shuffle.
+    The result has at most ``2 * rows / at_least`` rows.
+    """
+    hashed = df.select(F.xxhash64(*keys).alias(HASH))
+    found = stage(hashed.mapInArrow(_summaries, f"{HASH} bigint, above bigint, least bigint"), "summaries")
+    rest = found.filter(F.col(HASH).isNull()).agg(F.sum("above").alias("floor"), F.sum("least").alias("rows")).first()
+    floor, rows = rest["floor"] or 0, rest["rows"] or 0
+    if 2 * floor > at_least:
+        exact = hashed.groupBy(HASH).agg(F.count(F.lit(1)).alias("most")).withColumn("least", F.col("most"))
+    else:
+        known = found.filter(F.col(HASH).isNotNull())
+        exact = known.groupBy(HASH).agg((F.sum("above") + floor).alias("most"), F.sum("least").alias("least"))
+    return stage(exact.filter(F.col("most") >= at_least), "heavy-hitters"), rows
 
 
 def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], prefix: str, how: str = "left") -> DataFrame:
@@ -89,8 +152,25 @@ def skew_profile(df: DataFrame, key: str) -> DataFrame:
 
 
 def needs_salting(df: DataFrame, key: str, threshold: float = 0.2) -> DataFrame:
-    """``skew_profile`` plus the decision; an empty table never needs salting."""
-    return skew_profile(df, key).withColumn("salt", F.col("hot_share") >= threshold)
+    """One row: ``n_rows``, the hottest key if it holds the share ``threshold`` of them, its rows and share, and ``salt``.
+
+    Only rows of the few keys that a summary can't rule out are counted. An empty
+    table never needs salting.
+    """
+    rows = df.count()
+    least = max(1, int(np.ceil(rows * threshold)))
+    hot, _ = heavy_hitters(df, [key], least)
+    some = df.select(key, F.xxhash64(key).alias(HASH)).join(broadcast_within(hot.select(HASH)), HASH, "left_semi")
+    counts = some.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= least)
+    hottest = F.min(F.struct((-F.col("n")).alias("neg"), F.col(key).alias("key")))
+    n_rows = F.lit(rows).cast("bigint")
+    return counts.agg(hottest.alias("h")).select(
+        n_rows.alias("n_rows"),
+        F.col("h.key").alias("hot_key"),
+        (-F.col("h.neg")).alias("hot_rows"),
+        F.try_divide(-F.col("h.neg"), n_rows).alias("hot_share"),
+        F.col("h").isNotNull().alias("salt"),
+    )
 
 
 def salt_of(row_id: Sequence[str | Column], salts: int | Column) -> Column:
@@ -139,8 +219,9 @@ def salted_join(
 ) -> DataFrame:
     """Equi-join that spreads each hot key of ``big`` over as many tasks as its rows need.
 
-    For plans without adaptive splitting. The keys are counted first; only rows of
-    hot keys are replicated on the other side, once per salt of that key, and rows
+    For plans without adaptive splitting. A summary names the few hot keys, which
+    both sides get by broadcast, so no row moves by the key alone; only rows of hot
+    keys are replicated on the other side, once per salt of that key, and rows
     of ``big`` keep one salt each, so no pair is lost or doubled.
     """
     if how not in ("inner", "left", "right", "outer", "left_semi", "left_anti"):
@@ -149,17 +230,19 @@ def salted_join(
         matched = salted_join(big, other, on, row_id, "inner" if how == "right" else "left", rows_per_task)
         unmatched = other.join(big.select(*on).distinct(), list(on), "left_anti")
         return matched.unionByName(unmatched, allowMissingColumns=True)
-    present = big.filter(" and ".join(f"`{k}` is not null" for k in on))
-    salts = F.ceil(F.col("_rows") / rows_per_task).cast("int").alias("_salts")
-    hot = hot_keys(present, on, rows_per_task).select(*on, salts)
+    hot, _ = heavy_hitters(big, on, rows_per_task + 1)
+    salts = broadcast_within(hot.select(HASH, F.ceil(F.col("most") / rows_per_task).cast("int").alias("_salts")))
+    own = F.xxhash64(*on)
     left = (
-        big.join(hot, list(on), "left")
+        big.withColumn(HASH, own)
+        .join(salts, HASH, "left")
         .withColumn(SALT, F.when(F.col("_salts").isNull(), F.lit(0)).otherwise(salt_of(row_id, F.col("_salts"))))
-        .drop("_salts")
+        .drop("_salts", HASH)
     )
     right = (
-        other.join(hot, list(on), "left")
+        other.withColumn(HASH, own)
+        .join(salts, HASH, "left")
         .withColumn(SALT, F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1)))
-        .drop("_salts")
+        .drop("_salts", HASH)
     )
     return left.join(right, [*on, SALT], how).drop(SALT)

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
 from millrace.operators import custom as U
-from millrace.operators import ordered as O
 from millrace.operators import skew as K
 from millrace.operators import tables as T
 from millrace.operators.partitions import partition_counts
@@ -188,29 +188,26 @@ def group_combine(spark, folder):
     )
 
 
-def _rises(frame):
-    price = frame.sort_values(["o_orderdate", "o_orderkey"])["o_totalprice"]
-    return pd.DataFrame(
-        {
-            "o_custkey": [frame["o_custkey"].iloc[0]],
-            "n": [len(price)],
-            "middle": [float(price.median())],
-            "n_rises": [int((price.diff() > 0).sum())],
-        }
-    )
+def _rises(batches):
+    """Rows and rises of one customer's orders in order of time; only the last price is kept from batch to batch."""
+    key, n, rises, last = None, 0, 0, None
+    for batch in batches:
+        price = batch.column("o_totalprice").to_numpy(zero_copy_only=False)
+        key, n = batch.column("o_custkey")[0].as_py(), n + len(price)
+        rises += int(np.count_nonzero(price[1:] > price[:-1])) + (last is not None and bool(price[0] > last))
+        last = price[-1]
+    yield key, n, rises
 
 
-def _rises_split(orders, rows_per_task=O.ROWS_PER_TASK):
-    """The same for groups of any size, by ordered ranges and counted values."""
-    paired = O.previous(O.ordered(orders, ["o_custkey"], ["o_orderdate", "o_orderkey"], rows_per_task), "o_totalprice", "_before")
-    counts = paired.rows().groupBy("o_custkey").agg(
-        F.count(F.lit(1)).alias("n"), F.count_if(c("o_totalprice") > c("_before")).alias("n_rises")
-    )
-    # Quantiles join their totals by key, so a null key gets a value and a mark.
-    keyed = orders.select(F.coalesce("o_custkey", F.lit(0)).alias("_key"), F.isnull("o_custkey").alias("_none"), "o_totalprice")
-    middle = O.exact_quantiles(keyed, ["_key", "_none"], "o_totalprice", {"middle": 0.5}, rows_per_task)
-    middle = middle.select(F.when(~c("_none"), c("_key")).alias("_key"), "middle")
-    return counts.join(middle, c("o_custkey").eqNullSafe(c("_key")), "left").select("o_custkey", "n", "middle", "n_rises")
+def _middle(batches):
+    """Median of prices that come in ascending order with their number; at most two values are kept."""
+    key, seen, found = None, 0, []
+    for batch in batches:
+        n = batch.column("n")[0].as_py()
+        key, price = batch.column("o_custkey")[0].as_py(), batch.column("o_totalprice")
+        found += [price[k - seen].as_py() for k in ((n - 1) // 2, n // 2) if seen <= k < seen + len(price)]
+        seen += len(price)
+    yield key, sum(found) / 2
 
 
 @query(
@@ -220,12 +217,18 @@ def _rises_split(orders, rows_per_task=O.ROWS_PER_TASK):
          SELECT *, lag(o_totalprice) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS before FROM orders) GROUP BY 1""",
 )
 def group_apply(spark, folder):
-    """Any Python function of a whole group: a median and the rises in order of time, which no blocks could be merged to.
-
-    A customer with more orders than a task should hold goes by the split form.
-    """
+    """Any Python function of a whole group, which comes as a stream: the rises in order of time, a median in order of price."""
     orders = load(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
-    return U.group_apply(orders, ["o_custkey"], _rises, "o_custkey bigint, n bigint, middle double, n_rises bigint", _rises_split)
+    return rises_and_middle(orders)
+
+
+def rises_and_middle(orders):
+    counted = U.group_stream(orders, ["o_custkey"], ["o_orderdate", "o_orderkey"], _rises, "o_custkey bigint, n bigint, n_rises bigint")
+    counted = stage(counted, "rises")
+    prices = K.same_keys(orders, counted.select(c("o_custkey").alias("_k_o_custkey"), "n"), ["o_custkey"], "_k_", "inner")
+    middle = U.group_stream(prices.select("o_custkey", "o_totalprice", "n"), ["o_custkey"], ["o_totalprice"], _middle, "o_custkey bigint, middle double")
+    middle = middle.select(c("o_custkey").alias("_k_o_custkey"), "middle")
+    return K.same_keys(counted, middle, ["o_custkey"], "_k_", "inner").select("o_custkey", "n", "middle", "n_rises")
 
 
 @query(

@@ -89,6 +89,25 @@ def test_moving_avg(case, n):
     assert all(got[i] == pytest.approx(want[i]) for i in got)
 
 
+def test_moving_avg_over_many_ranges(spark, monkeypatch):
+    """Windows of thousands of rows over two hundred ranges; rows of the range before are sent, no arrays and no tails."""
+    monkeypatch.setattr(O, "ROWS_PER_RUN", 100)
+    n, rows = 3000, 20_000
+    df = spark.range(rows).select(F.lit("hot").alias("k"), "id", (F.col("id") * 7 % 1000).cast("double").alias("v"))
+    o = O.ordered(df, ["k"], ["id"], rows // 200)
+    assert o.chunked and o.df.select(O.CHUNK).distinct().count() > 100
+    moved = O.moving_avg(o, "v", n, "a")
+    got = by_id(moved, "a")
+    values, total, want = [i * 7 % 1000 for i in range(rows)], 0, {}
+    for i, v in enumerate(values):
+        total += v - (values[i - n] if i >= n else 0)
+        want[i] = total / min(i + 1, n)
+    assert got.keys() == want.keys()
+    assert all(got[i] == pytest.approx(want[i]) for i in got)
+    plan = moved.df._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_list" not in plan
+
+
 @pytest.mark.parametrize("backward", [False, True])
 def test_fill(case, backward):
     def filled(rs):
@@ -170,6 +189,50 @@ def test_exact_quantile(spark, limit, q):
     assert whole == pytest.approx(float(np.quantile([r[3] for r in data if r[3] is not None and r[0] is not None], q)))
 
 
+AWKWARD = {
+    "wide": [0.0, -0.0, 1e300, -1e300, 1e-300, 5e-324, -3.5, float("inf"), float("-inf"), 2.0, 2.0, 2.0],
+    "close": [1e15 + k * 0.125 for k in range(500)],
+    "equal": [4.25] * 50,
+    "one": [7.0],
+    "skewed": [1.5] * 90 + [1.5 + k * 2.0**-40 for k in range(10)],
+}
+
+
+@pytest.mark.parametrize("limit", [10**6, 20])
+def test_quantiles_of_awkward_values(spark, limit):
+    from fractions import Fraction
+
+    df = spark.createDataFrame([(None if k == "one" else k, v) for k, vs in AWKWARD.items() for v in vs], "k string, v double")
+    wanted = {"q0": 0.0, "q1": 0.1, "q5": 0.5, "q9": 0.95, "q10": 1.0}
+    got = {r["k"]: r for r in O.exact_quantiles(df, ["k"], "v", wanted, limit).collect()}
+    assert len(got) == len(AWKWARD)
+    for k, values in AWKWARD.items():
+        row, values = got[None if k == "one" else k], sorted(values)
+        assert row["n"] == len(values)
+        for name, q in wanted.items():
+            place = (len(values) - 1) * q
+            low, high = values[int(place)], values[-int(-place // 1)]
+            if abs(low) != float("inf") and abs(high) != float("inf"):
+                assert row[name] == pytest.approx(float(Fraction(low) + (Fraction(high) - Fraction(low)) * Fraction(place % 1)), rel=1e-12)
+
+
+def test_quantiles_of_longs_that_doubles_cannot_tell_apart(spark):
+    df = spark.range(300).select((F.lit(2**60) + F.col("id") % 7).alias("v"))
+    assert O.exact_quantiles(df, [], "v", {"m": 0.0}, 20).first()["m"] == float(2**60)
+    assert O.exact_quantiles(df.limit(0), [], "v", {"m": 0.5}).collect() == []
+
+
+def test_quantiles_move_parts_not_values(spark):
+    """Twenty times the values, hardly more rows in the shuffle of the first pass."""
+    sizes = []
+    for n in (5_000, 100_000):
+        v = (F.col("id") * 7919 % n / n + 1).alias("v")
+        df = spark.range(n).select(v)
+        sizes.append(df.groupBy(O._first_part(F.col("v")).alias("p")).count().count())
+        assert O.exact_quantiles(df, [], "v", {"m": 0.5}, 1000).first()["m"] == pytest.approx(1 + (n - 1) / 2 / n)
+    assert sizes[0] == sizes[1] <= 17
+
+
 def test_global_index_and_slices(spark):
     ids = list(range(500))
     random.Random(1).shuffle(ids)

@@ -2,6 +2,7 @@
 
 from statistics import median
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -101,25 +102,88 @@ def test_salted_sum_keeps_keys_with_underscores(sides):
     assert salted == direct and aware == direct
 
 
-def test_large_groups_take_the_split_form(spark):
-    rows = [(k, 7 if k % 3 == 0 else None if k % 3 == 1 else k % 20, float(k * 37 % 101), k * 13 % 50) for k in range(300)]
-    orders = spark.createDataFrame(rows, "o_orderkey bigint, o_custkey bigint, o_totalprice double, o_orderdate int")
-    schema, measure = "o_custkey bigint, n bigint, middle double, n_rises bigint", physical._rises
+def orders_with_a_hot_key(n):
+    return [(k, 7 if k % 3 == 0 else None if k % 3 == 1 else k % 20, float(k * 37 % 101), k * 13 % 50) for k in range(n)]
 
-    def small(frame):
-        assert len(frame) <= 40
-        return measure(frame)
 
+@pytest.mark.parametrize("batch_rows", [7, 10_000])
+def test_groups_come_as_streams(spark, batch_rows):
+    """A third of all rows in one group, another third under null; no batch is larger than Arrow's limit."""
+    rows = orders_with_a_hot_key(600)
+    orders = spark.createDataFrame(rows, "o_orderkey bigint, o_custkey bigint, o_totalprice double, o_orderdate int")
     expected = set()
     for key in {r[1] for r in rows}:
         price = [r[2] for r in sorted((r for r in rows if r[1] == key), key=lambda r: (r[3], r[0]))]
         expected.add((key, len(price), median(price), sum(b > a for a, b in zip(price, price[1:], strict=False))))
-    for limit in (30, 10_000):
-        split = lambda part: physical._rises_split(part, limit)  # noqa: B023, E731
-        got = custom.group_apply(orders, ["o_custkey"], small, schema, split, 40)
-        assert got.count() == len(expected) and set(map(tuple, got.collect())) == expected
-    with pytest.raises(ValueError):
-        custom.group_apply(orders, ["o_custkey"], small, schema, None, 40)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(batch_rows))
+    try:
+        got = physical.rises_and_middle(orders).collect()
+        sizes = custom.group_stream(
+            orders, ["o_custkey"], ["o_orderkey"], lambda batches: [(max(b.num_rows for b in batches),)], "most int"
+        ).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert len(got) == len(expected) and set(map(tuple, got)) == expected
+    assert max(r["most"] for r in sizes) <= batch_rows
+
+
+def test_streams_of_many_keys_and_unread_rows(spark):
+    rows = [(k % 3, float("nan") if k % 4 == 0 else None if k % 4 == 1 else float(k % 4), k) for k in range(200)]
+    df = spark.createDataFrame(rows, "a int, b double, v int")
+
+    def first_two(batches):
+        yield tuple(next(batches).column("v").to_pylist()[:2])  # the rest of the group is left unread
+
+    got = custom.group_stream(df, ["a", "b"], ["v"], first_two, "x int, y int").collect()
+    want = {}
+    for a, b, v in rows:
+        want.setdefault((a, str(b)), []).append(v)
+    assert sorted(map(tuple, got)) == sorted(tuple(v[:2]) for v in want.values())
+    assert custom.group_stream(df.limit(0), ["a"], ["v"], first_two, "x int, y int").collect() == []
+
+
+def test_summaries_bound_the_counts():
+    rng = np.random.default_rng(1)
+    keys = np.minimum(rng.zipf(1.3, 20_000), 5000)
+    for size in (10, 100, 10_000):
+        summary = K.SpaceSaving(size)
+        for part in np.array_split(keys, 50):
+            summary.add(part)
+        true = np.bincount(keys, minlength=5001)
+        assert len(summary.keys) <= size and summary.floor <= len(keys) / size
+        assert (summary.counts >= true[summary.keys]).all() and (summary.counts - summary.over <= true[summary.keys]).all()
+        others = np.setdiff1d(np.arange(5001), summary.keys)
+        assert true[others].max(initial=0) <= summary.floor
+
+
+@pytest.mark.parametrize("counters", [4, 10_000])
+def test_heavy_hitters_are_never_missed(spark, monkeypatch, counters):
+    """Also when a summary has fewer counters than there are such keys, and the keys are counted."""
+    monkeypatch.setattr(K, "COUNTERS", counters)
+    monkeypatch.setattr(K.SpaceSaving.__init__, "__defaults__", (counters,))
+    rows = spark.range(20_000).select(F.when(F.col("id") % 4 > 0, F.col("id") % 20).alias("k"), (F.col("id") % 2).alias("j"))
+    true = {r["h"]: r["n"] for r in rows.groupBy(F.xxhash64("k", "j").alias("h")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    hot, n = K.heavy_hitters(rows, ["k", "j"], 1000)
+    found = {r[K.HASH]: (r["least"], r["most"]) for r in hot.collect()}
+    assert n == 20_000
+    assert {h for h, m in true.items() if m >= 1000} <= set(found)
+    assert all(low <= true[h] <= high for h, (low, high) in found.items())
+
+
+def test_salted_join_moves_no_rows_by_the_key_alone(spark, tmp_path):
+    big, other = str(tmp_path / "big"), str(tmp_path / "other")
+    spark.range(2000).select("id", F.when(F.col("id") % 3 > 0, 1).otherwise(F.col("id")).alias("k")).write.parquet(big)
+    spark.range(2000).select(F.col("id").alias("k"), F.col("id").alias("w")).write.parquet(other)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = K.salted_join(spark.read.parquet(big), spark.read.parquet(other), ["k"], ["id"], rows_per_task=100)
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert joined.count() == 2000
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    moves = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert len(moves) == 2 and all(K.SALT in line for line in moves)
+    assert plan.count("BroadcastExchange") == 2
 
 
 def test_stages_are_dropped(spark):
@@ -135,6 +199,9 @@ def test_decision(spark, sides):
     assert K.needs_salting(big, "k").first()["salt"] is True
     assert K.needs_salting(big, "id").first()["salt"] is False
     assert K.needs_salting(big.filter("id < 0"), "k").first()["salt"] is False
+    counts = {r["k"]: r["count"] for r in big.groupBy("k").count().collect()}
+    top = K.needs_salting(big, "k").first()
+    assert (top["n_rows"], top["hot_key"], top["hot_rows"]) == (3000, "c_hot", counts["c_hot"])
 
 
 def test_broadcast_only_when_estimated_small(spark):

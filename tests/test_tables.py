@@ -1,5 +1,7 @@
 """Joins, sets, cleaning, quality, documents and loads on small inputs."""
 
+from concurrent.futures import ThreadPoolExecutor
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -375,7 +377,109 @@ def test_named_loads_and_bucket_numbers(spark):
     for _ in range(2):
         t.insert_strict(more, load="seven")
     assert values(t.read()) == [(1, "a"), (7, "x")]
-    assert L.buckets_for(spark.range(1000), 1000) == 8 and L.buckets_for(spark.range(10)) == 1
+    assert L.buckets_for(L.stored_bytes(spark.range(1000)), 1000) == 8 and L.buckets_for(80) == 1
+
+
+def test_addresses_grow_one_bucket_at_a_time(spark):
+    hashes = spark.range(-500, 500)
+    before = {r.id: r.b for r in hashes.select("id", L.address(F.col("id"), 1).alias("b")).collect()}
+    for n in range(2, 20):
+        after = {r.id: r.b for r in hashes.select("id", L.address(F.col("id"), n).alias("b")).collect()}
+        moved = {(before[k], after[k]) for k in after if before[k] != after[k]}
+        low = 1 << ((n - 1).bit_length() - 1)
+        assert moved == {(n - 1 - low, n - 1)}  # rows of one bucket only, to the new one
+        assert set(after.values()) == set(range(n))
+        before = after
+
+
+def test_a_table_made_empty_grows_by_its_bytes(spark):
+    rows = lambda lo, hi, v: spark.range(lo, hi).select("id", F.sha2(F.concat(F.lit(v), F.col("id").cast("string")), 256).alias("v"))
+    schema, want = "id bigint, v string", {}
+    t = L.KeyedTable(spark, fresh_path(spark, "grows"), schema, ("id",), bucket_bytes=40_000)
+    t.create(spark.createDataFrame([], schema))
+    numbers = []
+    for k in range(10):
+        changes = rows(800 * k, 800 * k + 1000, str(k))
+        t.upsert(changes, ["v"])
+        want.update({r.id: r.v for r in changes.collect()})
+        numbers.append(t.versions.state()["buckets"])
+    assert dict(values(t.read())) == want
+    pieces = t.pieces().collect()
+    size = sum(p["bytes"] for p in pieces)
+    assert numbers == sorted(numbers) and numbers[0] < numbers[4] < numbers[-1]
+    assert size / 40_000 <= numbers[-1] <= 2 * size / 40_000
+    assert len({p["_bucket"] for p in pieces}) == len(pieces) == numbers[-1]  # one live folder per bucket
+    assert sum(p["rows"] for p in pieces) == len(want)
+
+    # a change of one key writes its own bucket again, and no other
+    before = {p["_bucket"]: p["_folder"] for p in pieces}
+    t.upsert(rows(5, 6, "again"), ["v"])
+    after = {p["_bucket"]: p["_folder"] for p in t.pieces().collect()}
+    assert sum(before[b] != f for b, f in after.items()) == 1 and len(after) == len(before)
+    assert t.drop_unused() > 0
+    assert t.read().count() == len(want)
+
+
+def test_inserts_are_put_together(spark):
+    t = table(spark, [(0, "a")])
+    for k in range(1, 2 * L.MOST_PIECES + 4):
+        t.insert_if_absent(spark.createDataFrame([(k * 3 + j, "b") for j in range(3)], "id int, v string"), ["v"])
+    per_bucket = t.pieces().groupBy("_bucket").count().agg(F.max("count")).first()[0]
+    assert per_bucket <= L.MOST_PIECES + 1
+    assert t.read().count() == 1 + 3 * (2 * L.MOST_PIECES + 3)
+
+
+def test_few_folders_stay_live(spark, monkeypatch):
+    monkeypatch.setattr(L, "MOST_FOLDERS", 4)
+    t = L.KeyedTable(spark, fresh_path(spark, "t"), "id int, v string", ("id",), buckets=40)
+    t.create(spark.createDataFrame([(k, "a") for k in range(200)], "id int, v string"))
+    for k in range(9):
+        t.upsert(spark.createDataFrame([(k, "b")], "id int, v string"), ["v"])
+    assert len(t.versions.state()["folders"]) <= 6
+    assert dict(values(t.read())) == {k: "b" if k < 9 else "a" for k in range(200)}
+
+
+def test_two_writers_of_one_version(spark, monkeypatch):
+    """The second writer sees that the version is taken and starts over from the other's rows."""
+    t = table(spark, [(1, "a")])
+    path = fresh_path(spark, "atomic")
+    one_row = lambda k: spark.createDataFrame([(k, "new")], "id int, v string")
+    commit, others = L.Versions.commit, []
+
+    def interrupted(self, version, *args, **kwargs):
+        if others:
+            others.pop()()  # another load commits first
+        return commit(self, version, *args, **kwargs)
+
+    monkeypatch.setattr(L.Versions, "commit", interrupted)
+    others.append(lambda: t.upsert(one_row(2), ["v"]))
+    t.upsert(one_row(3), ["v"])
+    others.append(lambda: t.insert_if_absent(one_row(4), ["v"]))
+    t.insert_if_absent(spark.createDataFrame([(4, "late"), (5, "new")], "id int, v string"), ["v"])
+    assert dict(values(t.read())) == {1: "a", 2: "new", 3: "new", 4: "new", 5: "new"}
+    others.append(lambda: t.insert_strict(one_row(6)))
+    with pytest.raises(L.LoadRejected):
+        t.insert_strict(one_row(6))
+    good = spark.createDataFrame([(1, 5.0)], "id int, v double")
+    others.append(lambda: L.atomic_load(good, path, "one", ["id"], F.col("v") > 0))
+    L.atomic_load(good, path, "two", ["id"], F.col("v") > 0)
+    assert values(L.read_loads(spark, path, "id int, v double").select("load_id", "id")) == [("one", 1), ("two", 1)]
+
+
+def test_only_one_of_many_writers_commits(spark):
+    versions = L.Versions(spark, fresh_path(spark, "race"))
+
+    def attempt(k):
+        try:
+            versions.commit(0, f"load {k}")
+            return k
+        except L.Conflict:
+            return None
+
+    with ThreadPoolExecutor(8) as pool:
+        won = [k for k in pool.map(attempt, range(8)) if k is not None]
+    assert len(won) == 1 and versions.state()["load"] == f"load {won[0]}"
+    assert versions.has(f"load {won[0]}") and not versions.has("x' or 'a' = 'a")
 
 
 def test_retry():
