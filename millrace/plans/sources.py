@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from millrace.operators.aggregate import money_sum
+from millrace.operators.ordered import global_index
 from millrace.operators.quality import misfits
 from millrace.plans import derived as D
 from millrace.plans.registry import query
@@ -17,6 +18,10 @@ _ORDERS_SQL = """SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, strf
                  o_orderpriority FROM orders"""
 
 
+def _columns(table):
+    return [f.split()[0] for f in SCHEMAS[table].split(", ")]
+
+
 def _day(df, column="o_orderdate"):
     return df.withColumn(column, F.date_format(column, "yyyy-MM-dd"))
 
@@ -193,19 +198,72 @@ def parquet_codecs(spark, folder):
 
 @query(
     "parquet_footer_stats",
-    """SELECT name AS "column", (SELECT count(*) FROM lineitem) AS n_rows, low, high FROM (
-         SELECT 'l_orderkey' AS name, min(l_orderkey)::VARCHAR AS low, max(l_orderkey)::VARCHAR AS high FROM lineitem
-         UNION ALL SELECT 'l_partkey', min(l_partkey)::VARCHAR, max(l_partkey)::VARCHAR FROM lineitem
-         UNION ALL SELECT 'l_suppkey', min(l_suppkey)::VARCHAR, max(l_suppkey)::VARCHAR FROM lineitem
-         UNION ALL SELECT 'l_linenumber', min(l_linenumber)::VARCHAR, max(l_linenumber)::VARCHAR FROM lineitem
-         UNION ALL SELECT 'l_returnflag', min(l_returnflag), max(l_returnflag) FROM lineitem
-         UNION ALL SELECT 'l_linestatus', min(l_linestatus), max(l_linestatus) FROM lineitem)""",
+    'SELECT "column", (SELECT count(*) FROM lineitem) AS n_rows, low, high FROM ('
+    + " UNION ALL ".join(f"""SELECT '{x}' AS "column", min({x})::VARCHAR AS low, max({x})::VARCHAR AS high FROM lineitem""" for x in _columns("lineitem"))
+    + ")",
 )
 def parquet_footer_stats(spark, folder):
-    """What the footers alone tell of the key and flag columns: rows and extremes."""
-    found = footers.footer_profile(load(spark, folder, "lineitem"))
-    kept = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag", "l_linestatus"]
-    return found.filter(c("column").isin(kept)).select("column", "n_rows", "low", "high")
+    """What the footers alone tell of each column: rows and extremes."""
+    return footers.footer_profile(load(spark, folder, "lineitem")).select("column", "n_rows", "low", "high")
+
+
+_EVEN = ("l_orderkey", "l_partkey", "l_quantity", "l_extendedprice")
+
+
+@query(
+    "parquet_footer_bytes",
+    " UNION ALL ".join(
+        f"""SELECT '{x}' AS "column", count(*) AS n_rows, 8 AS bytes_a_row, 'BIT_PACKED,PLAIN,RLE' AS encodings, 0.25::DOUBLE AS share,
+            0.5::DOUBLE AS keys_share FROM lineitem"""
+        for x in _EVEN
+    ),
+    ints="bytes_a_row",
+)
+def parquet_footer_bytes(spark, folder):
+    """Bytes, encodings and the share of a read of two columns, of a file whose layout is known: four columns of plain 8-byte values."""
+    path = fresh_path(spark, "plain")
+    options = {"compression": "none", "parquet.enable.dictionary": "false"}
+    load(spark, folder, "lineitem").select(*_EVEN).coalesce(1).write.options(**options).parquet(path)
+    profile = footers.footer_profile(spark.read.schema(f"{_EVEN[0]} bigint, {_EVEN[1]} bigint, {_EVEN[2]} double, {_EVEN[3]} double").parquet(path))
+    keys = footers.subset_share(profile, _EVEN[:2]).select(F.round("share", 2)).scalar()
+    bytes_a_row = F.floor(c("uncompressed") / c("n_rows")).cast("int").alias("bytes_a_row")
+    return profile.select("column", "n_rows", bytes_a_row, "encodings", F.round("share", 2).alias("share"), keys.alias("keys_share"))
+
+
+_MONTHS = {"o_orderdate": ("1995-03-10 00:00:00", "1995-06-02 00:00:00")}
+
+
+@query(
+    "zone_map_read",
+    """WITH f AS (SELECT min(o_orderdate) AS low, max(o_orderdate) AS high FROM orders GROUP BY date_trunc('month', o_orderdate))
+       SELECT (SELECT count(*) FROM f) AS n_files, (SELECT count(*) FROM f WHERE high >= '1995-03-10' AND low <= '1995-06-02') AS n_opened,
+              count(*) AS n, round(sum(o_totalprice), 2) AS total FROM orders WHERE o_orderdate BETWEEN '1995-03-10' AND '1995-06-02'""",
+)
+def zone_map_read(spark, folder):
+    """A table of bounds per file, stored once, tells which files a read of some weeks has to open."""
+    path, stored = fresh_path(spark, "months"), fresh_path(spark, "zones")
+    month = F.date_format("o_orderdate", "yyyy-MM")
+    orders = load(spark, folder, "orders").select("o_orderkey", "o_totalprice", "o_orderdate", month.alias("month"))
+    orders.repartition("month").write.partitionBy("month").parquet(path)
+    schema = "o_orderkey bigint, o_totalprice double, o_orderdate timestamp_ntz"
+    footers.zone_map(spark.read.schema(schema).parquet(path), ["o_orderdate"]).write.parquet(stored)
+    zones = spark.read.schema("file_path string, n_rows bigint, bytes bigint, low_o_orderdate timestamp_ntz, high_o_orderdate timestamp_ntz").parquet(stored)
+    ranges = {k: tuple(F.lit(x).cast("timestamp_ntz") for x in v) for k, v in _MONTHS.items()}
+    found = footers.read_within(spark, schema, zones, ranges)
+    files = zones.agg(F.count(F.lit(1))).scalar()
+    opened = F.lit(len(found.inputFiles())).cast("bigint").alias("n_opened")
+    return found.agg(F.count(F.lit(1)).alias("n"), money_sum("o_totalprice").alias("total")).select(files.alias("n_files"), opened, "n", "total")
+
+
+@query(
+    "hour_prefix_read",
+    "SELECT event_id, value FROM events WHERE date_trunc('hour', ts) = TIMESTAMP '2024-01-05 13:00:00'",
+)
+def hour_prefix_read(spark, folder):
+    """One hour of an extract that lies by day and hour."""
+    path = fresh_path(spark, "hours")
+    incremental.write_hours(load(spark, folder, "events").select("event_id", "value", "ts"), path, "ts")
+    return incremental.read_hour(spark, path, "event_id bigint, value double", "2024-01-05", 13)
 
 
 @query(
@@ -352,6 +410,32 @@ def paged_source(spark, folder):
     return paged.read_pages(spark, write_pages(spark, folder), None, _KEYED, wait=0.01)
 
 
+@query(
+    "cursor_stream",
+    """SELECT CASE WHEN dense_rank() OVER (ORDER BY o_orderkey // 1000) <= 3 THEN 1 ELSE 2 END AS run, o_orderkey, o_totalprice
+       FROM orders""",
+    ints="run",
+)
+def cursor_stream(spark, folder):
+    """Pages that name their successor, as a stream: the second run goes on from the cursor in the checkpoint of the first."""
+    path, out, checkpoint = (fresh_path(spark, x) for x in ("chain", "extract", "checkpoint"))
+    numbered = load(spark, folder, "orders").withColumn("number", F.floor(c("o_orderkey") / PAGE_ROWS))
+    pages = numbered.groupBy("number").agg(F.collect_list(F.struct("o_orderkey", "o_totalprice")).alias("items"))
+    name = F.concat(F.lit("c"), c("number").cast("string"))
+    places = global_index(numbered.select("number").distinct(), ["number"], "place")
+    later = places.select((c("place") - 1).alias("place"), c("number").alias("later"))
+    linked = places.join(later, "place", "left").select("number", F.concat(F.lit("c"), c("later").cast("string")).alias("next"))
+    chain = pages.join(linked, "number")
+    chain.select(name.alias("page"), F.to_json(F.struct("items", "next")).alias("value")).write.partitionBy("page").text(path)
+    start = places.agg(F.min("number")).first()[0]
+    for run, most in ((1, 3), (2, 1_000_000)):
+        records = paged.stream_cursor(spark, path, f"c{start}", _KEYED, most).filter("status = 'ok'")
+        rows = records.select(F.lit(run).alias("run"), "o_orderkey", "o_totalprice")
+        writer = rows.writeStream.format("parquet").option("checkpointLocation", checkpoint)
+        writer.trigger(availableNow=True).start(out).awaitTermination()
+    return spark.read.schema(f"run int, {_KEYED}").parquet(out)
+
+
 @query(
     "page_titles",
     r"""SELECT page_id, CASE WHEN regexp_matches(html, '(?is)<title[^>]*>(.*?)</title>')

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 COLUMNS = (
@@ -78,3 +78,41 @@ def footer_profile(df: DataFrame) -> DataFrame:
 def subset_share(profile: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Share of the compressed bytes a read of only these columns would touch."""
     return profile.filter(F.col("column").isin(list(columns))).agg(F.sum("share").alias("share"))
+
+
+def zone_map(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """A row per file behind a parquet frame: its rows, its bytes, and ``low_x`` and ``high_x`` of the given columns.
+
+    Bounds have the columns' types. They are null where a row group has none, and such a file always matches.
+    """
+    chunks = column_chunks(df)
+
+    def bound(name: str, side: str, extreme) -> Column:
+        own = F.col("column") == name
+        unknown = F.count_if(own & F.col(side).isNull())
+        value = extreme(F.when(own, F.col(side).cast(df.schema[name].dataType)))
+        return F.when(unknown == 0, value).alias(f"{side}_{name}")
+
+    bounds = [bound(c, *side) for c in columns for side in (("low", F.min), ("high", F.max))]
+    rows = F.sum(F.when(F.col("column") == columns[0], F.col("n_rows"))).alias("n_rows")
+    return chunks.groupBy("file_path").agg(rows, F.sum("compressed").alias("bytes"), *bounds)
+
+
+def matching(zones: DataFrame, ranges: Mapping[str, tuple]) -> DataFrame:
+    """The files that can hold rows within all ``ranges`` (column to least and largest value)."""
+    for name, (least, most) in ranges.items():
+        low, high = F.col(f"low_{name}"), F.col(f"high_{name}")
+        zones = zones.filter(low.isNull() | high.isNull() | ((high >= F.lit(least)) & (low <= F.lit(most))))
+    return zones
+
+
+def read_within(spark: SparkSession, schema, zones: DataFrame, ranges: Mapping[str, tuple]) -> DataFrame:
+    """Rows within all ``ranges``; only the files that the zone map leaves are opened.
+
+    Their paths go through the driver, as those of any table that Spark reads.
+    """
+    files = [r["file_path"] for r in matching(zones, ranges).select("file_path").toLocalIterator()]
+    found = spark.read.schema(schema).parquet(*files) if files else spark.createDataFrame([], schema)
+    for name, (least, most) in ranges.items():
+        found = found.filter(F.col(name).between(F.lit(least), F.lit(most)))
+    return found

@@ -44,3 +44,19 @@ def since(df: DataFrame, column: str, key: str, mark: tuple[str, DataFrame | lis
     known = seen.select(F.col("id").alias("_seen"))
     newer = df.filter(F.col(column) >= at)
     return newer.join(known, (F.col(key).cast("string") == F.col("_seen")) & (F.col(column) == at), "left_anti")
+
+
+def write_hours(df: DataFrame, path: str, column: str) -> None:
+    """Append an extract below ``day=.../hour=..``, so that one hour is one prefix."""
+    at = F.col(column)
+    placed = df.withColumn("day", F.date_format(at, "yyyy-MM-dd")).withColumn("hour", F.date_format(at, "HH"))
+    placed.hint("rebalance", "day", "hour").write.mode("append").partitionBy("day", "hour").parquet(path)
+
+
+def read_hour(spark: SparkSession, path: str, schema: str, day: str, hour: int) -> DataFrame:
+    """The rows of one hour; nothing outside its prefix is listed. An hour without a prefix has no rows."""
+    prefix = f"{path}/day={day}/hour={hour:02d}"
+    place = spark._jvm.org.apache.hadoop.fs.Path(prefix)
+    if not place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(prefix)

@@ -13,7 +13,9 @@ from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
+
+from millrace.session import stage
 
 
 class PageError(Exception):
@@ -34,23 +36,6 @@ def page_runs(pages: int, max_tasks: int) -> list[Pages]:
     return [Pages(i, min(i + length, pages)) for i in range(0, pages, length)]
 
 
-def count_pages(is_empty: Callable[[int], bool]) -> int:
-    """The number of pages when only an empty page tells the end.
-
-    Doubles the page number until it meets an empty page and halves the gap then,
-    so a source of n pages is asked about 2 log n times before the tasks fetch.
-    """
-    if is_empty(0):
-        return 0
-    full, empty = 0, 1
-    while not is_empty(empty):
-        full, empty = empty, 2 * empty
-    while empty - full > 1:
-        middle = (full + empty) // 2
-        full, empty = (full, middle) if is_empty(middle) else (middle, empty)
-    return empty
-
-
 def fetch_with_retry(
     fetch: Callable[[], list[str]], attempts: int, base: float, sleep: Callable[[float], None] = time.sleep
 ) -> list[str]:
@@ -108,14 +93,12 @@ class PagedReader(DataSourceReader):
         self.base = float(options.get("wait", "0.5"))
         self.max_tasks = int(options.get("max_tasks", "10000"))
         self.cursors = [x for x in options.get("cursors", "").split(",") if x]
-        self.pages = int(options["pages"]) if "pages" in options else None
+        self.first, self.pages = int(options.get("first", "0")), int(options.get("pages", "0"))
 
     def partitions(self):
         if self.cursors:
             return [Pages(i, i + 1) for i in range(len(self.cursors))]
-        if self.pages is None:
-            self.pages = count_pages(lambda n: not _bodies(self.location, n))
-        return page_runs(self.pages, self.max_tasks)
+        return [Pages(self.first + r.first, self.first + r.last) for r in page_runs(self.pages - self.first, self.max_tasks)]
 
     def read(self, partition: Pages) -> Iterator[tuple]:
         for number in range(partition.first, partition.last):
@@ -127,6 +110,8 @@ class PagedReader(DataSourceReader):
             except (PageError, OSError) as error:
                 yield (number, "failed", str(error))
                 continue
+            if not records:
+                yield (number, "empty", None)
             for record in records:
                 yield (number, "ok", record)
 
@@ -141,7 +126,10 @@ class PagedReader(DataSourceReader):
 
 
 class PagedSource(DataSource):
-    """``spark.read.format("paged_json")`` with options location, pages or cursors, attempts, wait, max_tasks."""
+    """``spark.read.format("paged_json")`` with options location, pages (and first) or cursors, attempts, wait, max_tasks.
+
+    A page without records gives one row of status ``empty``.
+    """
 
     @classmethod
     def name(cls) -> str:
@@ -154,21 +142,124 @@ class PagedSource(DataSource):
         return PagedReader(self.options)
 
 
+class Cursor(InputPartition):
+    """The page that a cursor names."""
+
+    def __init__(self, name: str):
+        self.name = name
+
+
+class CursorReader(DataSourceStreamReader):
+    """Pages that each name the next one, as a stream whose offset is the cursor.
+
+    The driver follows the links of at most ``pages_per_batch`` pages, one at a time as
+    only a page names its successor, and keeps the names; the records are fetched by the
+    tasks, one page each. The checkpoint holds the cursor that comes next, so a run
+    goes on where the last one stopped. A page that isn't there yet ends a batch.
+    """
+
+    def __init__(self, options):
+        self.location = options["location"]
+        self.start = options["start"]
+        self.attempts = int(options.get("attempts", "3"))
+        self.base = float(options.get("wait", "0.5"))
+        self.most = int(options.get("pages_per_batch", "1000"))
+        self.at: dict | None = None
+        self.links: dict[str, str | None] = {}
+
+    def initialOffset(self) -> dict:
+        return {"next": self.start, "pages": 0}
+
+    def _link(self, name: str) -> str | None:
+        """What follows a page, an empty text at the end of the chain, None if the page isn't there."""
+        if name not in self.links:
+            bodies = _bodies(self.location, name)
+            if not bodies:
+                return None
+            self.links[name] = next((str(b["next"]) for b in bodies if b.get("next")), "")
+        return self.links[name]
+
+    def latestOffset(self) -> dict:
+        at = dict(self.at or self.initialOffset())
+        for _ in range(self.most):
+            following = self._link(at["next"]) if at["next"] else None
+            if following is None:
+                break
+            at = {"next": following, "pages": at["pages"] + 1}
+        self.at = at
+        return at
+
+    def partitions(self, start: dict, end: dict) -> list[Cursor]:
+        if self.at is None:
+            self.at = dict(end)  # after a restart Spark plans the last batch first
+        names, name = [], start["next"]
+        for _ in range(end["pages"] - start["pages"]):
+            names.append(name)
+            name = self._link(name) or ""
+        for done in names:
+            self.links.pop(done, None)
+        return [Cursor(n) for n in names]
+
+    def read(self, partition: Cursor) -> Iterator[tuple]:
+        try:
+            for record in fetch_with_retry(lambda: fetch_page(self.location, partition.name), self.attempts, self.base):
+                yield (partition.name, "ok", record)
+        except (PageError, OSError) as error:
+            yield (partition.name, "failed", str(error))
+
+    def commit(self, end: dict) -> None:
+        """Nothing to release: the source keeps its pages."""
+
+
+class CursorSource(DataSource):
+    """``spark.readStream.format("cursor_json")`` with options location, start, pages_per_batch, attempts, wait."""
+
+    @classmethod
+    def name(cls) -> str:
+        return "cursor_json"
+
+    def schema(self) -> str:
+        return "page string, status string, record string"
+
+    def streamReader(self, schema) -> DataSourceStreamReader:
+        return CursorReader(self.options)
+
+
+def stream_cursor(spark: SparkSession, location: str, start: str, schema: str, pages_per_batch: int = 1000) -> DataFrame:
+    """A stream of typed records along a chain of pages; failed pages are rows of status ``failed``."""
+    spark.dataSource.register(CursorSource)
+    options = {"location": location, "start": start, "pages_per_batch": str(pages_per_batch)}
+    return _typed(spark.readStream.format("cursor_json").options(**options).load(), schema)
+
+
 def _typed(raw: DataFrame, schema: str) -> DataFrame:
     typed = raw.withColumn("r", F.when(F.col("status") == "ok", F.from_json("record", schema)))
     return typed.select("page", "status", F.when(F.col("status") == "failed", F.col("record")).alias("error"), "r.*")
 
 
+#: Pages of the first wave of an extract whose length is not known.
+WAVE = 16
+
+
 def fetch(spark: SparkSession, location: str, pages: int | None = None, attempts: int = 3, wait: float = 0.5) -> DataFrame:
     """page, status and the text of every record of all pages; a page given up is one row of status ``failed``.
 
-    Without ``pages`` the extract ends before the first empty page.
+    Without ``pages`` the extract ends before the first empty page. Pages are then
+    fetched in waves, each twice as long as the one before, until a wave
+    has met an empty page; what lies behind it is left out. The page itself says
+    that it is empty, by the same fetch with its tries, so no page is jumped.
     """
     spark.dataSource.register(PagedSource)
-    options = {"location": location, "attempts": str(attempts), "wait": str(wait)}
+    reader = spark.read.format("paged_json").options(location=location, attempts=str(attempts), wait=str(wait))
     if pages is not None:
-        options["pages"] = str(pages)
-    return spark.read.format("paged_json").options(**options).load()
+        return reader.options(pages=str(pages)).load().filter("status <> 'empty'")
+    first, length, found, end = 0, WAVE, None, None
+    while end is None:
+        wave = stage(reader.options(first=str(first), pages=str(first + length)).load(), "pages")
+        end = wave.filter("status = 'empty'").agg(F.min("page")).first()[0]
+        found = wave if found is None else found.unionByName(wave)
+        first, length = first + length, 2 * length
+    return found.filter(F.col("page") < end)
 
 
 def read_pages(

@@ -148,10 +148,79 @@ def test_keys_at_a_hot_mark_stay_in_tables(spark):
     assert sorted(r["id"] for r in found.collect()) == list(range(2001, 3000, 3))
 
 
-@pytest.mark.parametrize("n", [0, 1, 2, 3, 7, 8, 100])
-def test_pages_are_counted_by_their_end(n):
-    asked = []
-    assert paged.count_pages(lambda k: asked.append(k) or k >= n) == n and len(asked) < 20
+def write_page(folder, name, text):
+    (folder / f"page={name}").mkdir()
+    (folder / f"page={name}" / "part-0").write_text(text + "\n")
+
+
+@pytest.mark.parametrize("n", [0, 1, 15, 16, 17, 50])
+def test_pages_end_with_the_first_empty_one(spark, tmp_path, n):
+    """A gap is an end, whatever comes behind it; pages without records and pages that aren't there are both empty."""
+    for k in range(n + 9):
+        if k != n or n % 2:
+            write_page(tmp_path, k, '{"items": []}' if k == n else f'{{"items": [{{"k": {k}}}]}}')
+    got = paged.read_pages(spark, str(tmp_path), None, "k int", attempts=1).collect()
+    assert sorted((r["page"], r["k"]) for r in got) == [(k, k) for k in range(n)]
+
+
+def test_a_stream_goes_on_from_its_cursor(spark, tmp_path):
+    pages, out, checkpoint = tmp_path / "pages", str(tmp_path / "out"), str(tmp_path / "checkpoint")
+    pages.mkdir()
+    link = lambda k, last: "" if k == last else f', "next": "c{k + 1}"'
+    for k in range(5):
+        write_page(pages, f"c{k}", f'{{"items": [{{"k": {k}}}, {{"k": {10 * k}}}]{link(k, 99)}}}')
+
+    def run(most):
+        rows = paged.stream_cursor(spark, str(pages), "c0", "k int", most)
+        writer = rows.writeStream.format("parquet").option("checkpointLocation", checkpoint)
+        writer.trigger(availableNow=True).start(out).awaitTermination()
+        return sorted((r["page"], r["status"], r["k"]) for r in spark.read.schema(rows.schema).parquet(out).collect())
+
+    want = [(f"c{k}", "ok", x) for k in range(9) for x in sorted((k, 10 * k))]
+    assert run(2) == want[:4]
+    assert run(2) == want[:8]
+    assert run(100) == want[:10]  # the page that c4 names isn't there yet
+    for k in range(5, 9):
+        write_page(pages, f"c{k}", f'{{"items": [{{"k": {k}}}, {{"k": {10 * k}}}]{link(k, 8)}}}')
+    assert run(100) == sorted(want)
+    assert run(100) == sorted(want)
+
+
+def test_a_failed_page_of_a_stream_is_a_row(spark, tmp_path):
+    write_page(tmp_path, "a", '{"error": "busy", "next": "b"}')
+    write_page(tmp_path, "b", '{"items": [{"k": 1}]}')
+    reader = paged.CursorReader({"location": str(tmp_path), "start": "a", "attempts": "1"})
+    start, end = reader.initialOffset(), reader.latestOffset()
+    rows = [r for p in reader.partitions(start, end) for r in reader.read(p)]
+    assert rows == [("a", "failed", "busy"), ("b", "ok", '{"k": 1}')]
+    again = paged.CursorReader({"location": str(tmp_path), "start": "a"})  # after a restart the last batch is planned first
+    assert [p.name for p in again.partitions(start, end)] == ["a", "b"] and again.latestOffset() == end
+
+
+def test_zone_maps_leave_files_unopened(spark):
+    path = fresh_path(spark, "zones")
+    rows = spark.range(1000).selectExpr("id", "id * 0.5 as x", "timestamp'2024-01-01' + make_interval(0, 0, 0, cast(id as int)) as t", "if(id < 100, null, cast(id as string)) as s")
+    rows.repartitionByRange(10, "id").write.parquet(path)
+    df = spark.read.schema(rows.schema).parquet(path)
+    zones = footers.zone_map(df, ["id", "x", "t"])
+    assert zones.count() == 10 and zones.agg(F.sum("n_rows")).first()[0] == 1000
+    assert all(r["low_id"] * 0.5 == r["low_x"] and r["bytes"] > 0 for r in zones.collect())
+    found = footers.read_within(spark, rows.schema, zones, {"id": (300, 310), "x": (0.0, 152.5)})
+    assert sorted(r["id"] for r in found.collect()) == list(range(300, 306)) and 1 <= len(found.inputFiles()) <= 2
+    assert footers.read_within(spark, rows.schema, zones, {"id": (5000, 6000)}).collect() == []
+    # a file without known bounds is opened
+    unknown = footers.zone_map(df, ["s"])
+    assert footers.matching(unknown, {"s": ("zzz", "zzzz")}).count() >= 1
+
+
+def test_one_hour_is_one_prefix(spark):
+    path = fresh_path(spark, "hours")
+    rows = spark.range(100).selectExpr("id", "timestamp'2024-01-05 00:00:00' + make_interval(0, 0, 0, 0, cast(id as int)) as ts")
+    incremental.write_hours(rows, path, "ts")
+    hour = incremental.read_hour(spark, path, "id bigint", "2024-01-06", 7)
+    assert [r["id"] for r in hour.collect()] == [31]
+    assert all("/day=2024-01-06/hour=07/" in f for f in hour.inputFiles())
+    assert incremental.read_hour(spark, path, "id bigint", "2024-02-06", 7).collect() == []
 
 
 def test_pages_in_several_files_and_chains(spark, tmp_path):
