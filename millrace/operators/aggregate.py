@@ -83,17 +83,17 @@ def row_argmax(columns: Sequence[str]) -> Column:
 def first_look(df: DataFrame, order: Sequence[str], n: int = 3) -> DataFrame:
     """One row per column: position, type, rows, known values, and the texts of the first and last ``n`` rows by ``order``.
 
-    All columns are looked at in one pass; ``order`` should tell the rows apart.
+    Three scans whatever the number of columns: one that counts, and one each for the
+    first and last rows, of which every task keeps ``n``. ``order`` should tell the rows apart.
     """
-    edge = F.struct(*order)
     texts = F.struct(*[F.col(c).cast("string").alias(c) for c in df.columns])
-    row = df.agg(
-        F.count(F.lit(1)).alias("_n"),
-        *[F.count(c).alias(f"_k_{c}") for c in df.columns],
-    )
-    ranked = df.select(edge.alias("_o"), texts.alias("_t"))
-    head = ranked.orderBy("_o").limit(n).agg(F.sort_array(F.collect_list(F.struct("_o", "_t"))).alias("_head"))
-    tail = ranked.orderBy(F.desc("_o")).limit(n).agg(F.sort_array(F.collect_list(F.struct("_o", "_t"))).alias("_tail"))
+    rows = df.select(F.struct(*order).alias("_o"), texts.alias("_t"))
+    ends = {"_head": F.asc("_o"), "_tail": F.desc("_o")}
+    edges = [
+        rows.orderBy(place).limit(n).agg(F.sort_array(F.collect_list(F.struct("_o", "_t")))).scalar().alias(name)
+        for name, place in ends.items()
+    ]
+    counts = df.agg(F.count(F.lit(1)).alias("_n"), *[F.count(c).alias(f"_k_{c}") for c in df.columns])
     cells = [
         F.struct(
             F.lit(i).alias("position"),
@@ -101,17 +101,21 @@ def first_look(df: DataFrame, order: Sequence[str], n: int = 3) -> DataFrame:
             F.lit(f.dataType.simpleString()).alias("type"),
             F.col("_n").alias("n_rows"),
             F.col(f"_k_{f.name}").alias("n_known"),
-            head.select(f"_head._t.{f.name}").scalar().alias("head"),
-            tail.select(f"_tail._t.{f.name}").scalar().alias("tail"),
+            F.col("_head._t").getField(f.name).alias("head"),
+            F.col("_tail._t").getField(f.name).alias("tail"),
         )
         for i, f in enumerate(df.schema)
     ]
-    return row.select(F.inline(F.array(*cells)))
+    return counts.select("*", *edges).select(F.inline(F.array(*cells)))
 
 
 def profile(df: DataFrame, numeric: Sequence[str], text: Sequence[str]) -> DataFrame:
     """Count, nulls, mean, deviation, quartiles and extremes per numeric column, and
-    count, nulls, distinct, most common value and its frequency per text column."""
+    count, nulls, distinct, most common value and its frequency per text column.
+
+    All numeric columns are one scan, and so are all text columns; the quartiles are
+    found by narrowing and scan again.
+    """
     out = None
     if numeric:
         cells = [F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")) for c in numeric]
@@ -126,17 +130,16 @@ def profile(df: DataFrame, numeric: Sequence[str], text: Sequence[str]) -> DataF
         )
         quartiles = exact_quantiles(long, ["column"], "v", {"q25": 0.25, "q50": 0.5, "q75": 0.75})
         out = out.join(quartiles.drop("n"), "column", "left")
-    for c in text:
-        counts = df.groupBy(F.col(c).alias("v")).agg(F.count(F.lit(1)).alias("k"))
+    if text:
+        cells = [F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("v")) for c in text]
+        counts = df.select(F.explode(F.array(*cells)).alias("_c")).groupBy("_c.column", "_c.v").agg(F.count(F.lit(1)).alias("k"))
         known = F.when(F.col("v").isNotNull(), F.col("k"))
         best = F.min(F.when(F.col("v").isNotNull(), F.struct((-F.col("k")).alias("k"), F.col("v"))))
-        one = counts.agg(
+        texts = counts.groupBy("column").agg(
             F.coalesce(F.sum(known), F.lit(0)).alias("n"),
             F.coalesce(F.sum(F.when(F.col("v").isNull(), F.col("k"))), F.lit(0)).alias("nulls"),
             F.count("v").alias("n_unique"),
             best.alias("best"),
-        ).select(
-            F.lit(c).alias("column"), "n", "nulls", "n_unique", F.col("best.v").alias("top"), (-F.col("best.k")).alias("freq")
-        )
-        out = one if out is None else out.unionByName(one, allowMissingColumns=True)
+        ).select("column", "n", "nulls", "n_unique", F.col("best.v").alias("top"), (-F.col("best.k")).alias("freq"))
+        out = texts if out is None else out.unionByName(texts, allowMissingColumns=True)
     return out

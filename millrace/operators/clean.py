@@ -93,23 +93,26 @@ def repair_ingest(df: DataFrame, price: str, quantity: str) -> DataFrame:
 
 # Integer types from small to large with their bytes; fixed values of Spark's types.
 INTEGERS = (("tinyint", 1), ("smallint", 2), ("int", 4), ("bigint", 8))
-WIDTH = {**dict(INTEGERS), "float": 4, "double": 8}
+WIDTH = {**dict(INTEGERS), "float": 4, "double": 8, "date": 4, "timestamp": 8, "timestamp_ntz": 8}
 
 
 def narrowing_report(df: DataFrame, category_share: float = 0.5) -> DataFrame:
     """Per column the smallest type that holds every value exactly, and bytes before and after.
 
-    Text columns are marked low-cardinality when distinct/rows is below ``category_share``.
+    Times that all lie at midnight are dates. Text columns are marked low-cardinality when distinct/rows is below ``category_share``.
     """
     kinds = {f.name: f.dataType.simpleString() for f in df.schema}
     ints = [c for c, k in kinds.items() if k in dict(INTEGERS)]
     floats = [c for c, k in kinds.items() if k == "double"]
     texts = [c for c, k in kinds.items() if k == "string"]
+    times = [c for c, k in kinds.items() if k in ("timestamp", "timestamp_ntz")]
     aggs = [F.count(F.lit(1)).alias("_rows")]
     for c in ints:
         aggs += [F.min(c).alias(f"{c}.lo"), F.max(c).alias(f"{c}.hi")]
     for c in floats:
         aggs.append(F.count_if(F.col(c).cast("float").cast("double") != F.col(c)).alias(f"{c}.inexact"))
+    for c in times:
+        aggs.append(F.count_if(F.date_trunc("day", c) != F.col(c)).alias(f"{c}.timed"))
     for c in texts:
         aggs.append(F.count_distinct(c).alias(f"{c}.distinct"))
     row = df.agg(*aggs)
@@ -124,6 +127,8 @@ def narrowing_report(df: DataFrame, category_share: float = 0.5) -> DataFrame:
         out[c] = (best, none)
     for c in floats:
         out[c] = (F.when(F.col(f"`{c}.inexact`") == 0, "float").otherwise("double"), none)
+    for c in times:
+        out[c] = (F.when(F.col(f"`{c}.timed`") == 0, "date").otherwise(kinds[c]), none)
     for c in texts:
         share = F.try_divide(F.col(f"`{c}.distinct`"), F.col("_rows"))
         out[c] = (F.when(share < category_share, "category").otherwise("string"), share)

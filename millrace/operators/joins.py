@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators.ordered import global_index
 from millrace.operators.skew import spread_join
+from millrace.session import fresh_path
 
 
 class JoinKeyError(ValueError):
@@ -60,6 +62,27 @@ def validated_join(
     return spread_join(left, right, on, how)
 
 
+def store_sorted(df: DataFrame, keys: Sequence[str], buckets: int) -> DataFrame:
+    """Store a frame in buckets of its keys, one sorted file each, and read it back as such.
+
+    Frames stored with the same keys and number of buckets join without moving or
+    sorting a row. Choose buckets so that one fits a task (``buckets_for``); each key
+    lies in one bucket, so this is for keys with few rows each.
+    """
+    spark, name = df.sparkSession, f"sorted_{uuid.uuid4().hex}"
+    dealt = df.repartition(buckets, *keys).write.option("path", fresh_path(spark, "sorted"))
+    dealt.bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(name)
+    stored = spark.table(name).select("*")
+    # the frame holds the place and layout of the files, so the catalogue need not keep the name
+    spark.sql(f"DROP TABLE {name}")
+    return stored
+
+
+def merge_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Merge join of two frames from ``store_sorted``: both are read in order, side by side."""
+    return left.hint("merge").join(right, list(keys), how)
+
+
 def member_of(df: DataFrame, column: str, allowed: DataFrame, allowed_column: str, negate: bool = False) -> DataFrame:
     """Rows whose value is (not) in the reference set; a null is never a member."""
     how = "left_anti" if negate else "left_semi"

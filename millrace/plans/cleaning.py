@@ -194,6 +194,11 @@ def _float_sql(x):
                NULL, count(*) FROM lineitem"""
 
 
+def _time_sql(x):
+    return f"""SELECT '{x}', 'timestamp_ntz', CASE WHEN count(*) FILTER (date_trunc('day', {x}) <> {x}) = 0 THEN 'date' ELSE 'timestamp_ntz' END,
+               NULL, count(*) FROM lineitem"""
+
+
 def _text_sql(x):
     return f"""SELECT '{x}', 'string', CASE WHEN count(DISTINCT {x}) / count(*) < 0.5 THEN 'category' ELSE 'string' END,
                count(DISTINCT {x}) / count(*), count(*) FROM lineitem"""
@@ -210,10 +215,11 @@ _WIDTHS = "MAP {" + ", ".join(f"'{k}': {v}" for k, v in C.WIDTH.items()) + "}"
         + [_int_sql("l_linenumber", "int", 4)]
         + [_float_sql(x) for x in ("l_quantity", "l_extendedprice", "l_discount", "l_tax")]
         + [_text_sql(x) for x in ("l_returnflag", "l_linestatus")]
+        + [_time_sql("l_shipdate")]
     )
     + f""") SELECT c AS "column", f AS from_type, t AS to_type, share AS distinct_share,
            {_WIDTHS}[f] * n AS bytes_before, {_WIDTHS}[t] * n AS bytes_after FROM r""",
 )
 def narrow_schema(spark, folder):
     """Smallest exact type per column, and what it saves."""
-    return C.narrowing_report(load(spark, folder, "lineitem").drop("l_shipdate"))
+    return C.narrowing_report(load(spark, folder, "lineitem"))

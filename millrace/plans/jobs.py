@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from millrace.functions.numbers import line_total
 from millrace.functions.strings import clean_price
 from millrace.operators import quality as Q
 from millrace.operators.aggregate import money_sum
 from millrace.operators.joins import map_with_default
 from millrace.operators.load import KeyedTable, replace_partitions
 from millrace.operators.select import RangeStep
+from millrace.operators.sets import dedup
 from millrace.plans import derived as D
 from millrace.plans.quality import AUDITED, BROKEN, shipment_rules, shipments
 from millrace.plans.registry import query
@@ -178,19 +178,28 @@ def etl_partitioned_files(spark, folder):
     return spark.read.schema("priority string, n bigint, total double, year int").parquet(target)
 
 
+_NET = "l_extendedprice::DECIMAL(15,2) * l_quantity::DECIMAL(10,2) * (1 - l_discount::DECIMAL(4,2))"
+
+
 @query(
     "etl_normalize_orders",
     f"""WITH {D.DIRTY_ORDERS} SELECT l_orderkey, l_linenumber, CASE status WHEN 'F' THEN 'finished' WHEN 'O' THEN 'open' WHEN 'P' THEN 'partial'
-          ELSE 'unknown' END AS state, l_extendedprice * l_quantity * (1 - l_discount) AS line_total,
-          l_extendedprice * l_quantity * (1 - l_discount) >= 1500000 AS is_priority
+          ELSE 'unknown' END AS state, round(l_extendedprice::DECIMAL(15,2), 2)::DOUBLE AS price, round({_NET}, 2)::DOUBLE AS line_total,
+          l_extendedprice * l_quantity > 1500000 AND l_discount < 0.05 AS is_priority
         FROM lineitem JOIN dirty ON order_id = l_orderkey WHERE attempt = 0""",
 )
 def etl_normalize_orders(spark, folder):
-    """State labels, line totals and a priority flag on every line of an order."""
-    orders = D.dirty_orders(spark, folder).filter("attempt = 0").select("order_id", "status")
+    """State labels, a flag for large lines of low discount, exact line totals, and both amounts rounded; an order sent again counts once."""
+    orders = dedup(D.dirty_orders(spark, folder), ["order_id"], ["attempt"]).select("order_id", "status")
     labels = {"F": "finished", "O": "open", "P": "partial"}
     named = map_with_default(orders, "status", labels, "unknown", "state").drop("status")
-    total = line_total(c("l_extendedprice"), c("l_quantity"), c("l_discount"))
-    lines = load(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", total.alias("line_total"))
+    price, quantity = c("l_extendedprice").cast("decimal(15,2)"), c("l_quantity").cast("decimal(10,2)")
+    amounts = {"price": price, "line_total": price * quantity * (1 - c("l_discount").cast("decimal(4,2)"))}
+    lines = load(spark, folder, "lineitem").select(
+        "l_orderkey",
+        "l_linenumber",
+        ((c("l_extendedprice") * c("l_quantity") > 1_500_000) & (c("l_discount") < 0.05)).alias("is_priority"),
+        *[F.round(x, 2).cast("double").alias(name) for name, x in amounts.items()],
+    )
     joined = lines.join(named, c("l_orderkey") == c("order_id"))
-    return joined.select("l_orderkey", "l_linenumber", "state", "line_total", (c("line_total") >= 1_500_000).alias("is_priority"))
+    return joined.select("l_orderkey", "l_linenumber", "state", "price", "line_total", "is_priority")

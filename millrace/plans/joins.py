@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from millrace.operators import joins as J
 from millrace.operators.aggregate import money_sum
+from millrace.operators.joins import merge_join, store_sorted
+from millrace.operators.load import buckets_for, stored_bytes
 from millrace.operators.sets import dedup
 from millrace.operators.skew import broadcast_within, spread_join
 from millrace.plans import derived as D
@@ -147,11 +149,12 @@ def join_sortmerge(spark, folder):
          SELECT o_custkey, round(sum(o_totalprice), 2) AS spent FROM orders GROUP BY 1) ON o_custkey = c_custkey""",
 )
 def join_merge_unique(spark, folder):
-    """Sort-merge join of two inputs with unique keys."""
+    """Merge join of two inputs with unique keys, both stored in buckets sorted by them."""
     left = load(spark, folder, "customer").select(F.col("c_custkey").alias("id"), F.col("c_acctbal").alias("left_value"))
     spent = money_sum("o_totalprice").alias("right_value")
     right = load(spark, folder, "orders").groupBy(F.col("o_custkey").alias("id")).agg(spent)
-    return left.hint("merge").join(right, "id")
+    buckets = buckets_for(stored_bytes(left))
+    return merge_join(*(store_sorted(side, ["id"], buckets) for side in (left, right)), ["id"])
 
 
 @query(

@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 from millrace.operators import custom as U
 from millrace.operators import skew as K
 from millrace.operators import tables as T
+from millrace.operators.aggregate import money_sum
 from millrace.operators.partitions import partition_counts
 from millrace.plans import derived as D
 from millrace.plans.registry import query
-from millrace.session import stage
+from millrace.session import shared, stage
 from millrace.tables import load
 
 c = F.col
@@ -121,6 +122,26 @@ def udf_scalar(spark, folder):
     return load(spark, folder, "part").select("p_partkey", label(c("p_size")).alias("label"))
 
 
+def _composed(texts: pd.Series) -> pd.Series:
+    return texts.str.normalize("NFC")
+
+
+_ACUTE = "chr(769)"
+
+
+@query(
+    "udf_unicode",
+    f"""SELECT doc_id, md5(nfc_normalize(t)) AS digest, length(t) - length(nfc_normalize(t)) AS n_composed
+        FROM (SELECT doc_id, replace(text, 'e', 'e' || {_ACUTE}) AS t FROM documents)""",
+)
+def udf_unicode(spark, folder):
+    """Unicode composition, for which Spark has no expression, as a function of a whole column of texts."""
+    compose = U.column_function(_composed, "string")
+    apart = F.replace("text", F.lit("e"), F.lit("e\u0301"))
+    texts = load(spark, folder, "documents").select("doc_id", apart.alias("t")).withColumn("u", compose("t"))
+    return texts.select("doc_id", F.md5("u").alias("digest"), (F.length("t") - F.length("u")).cast("bigint").alias("n_composed"))
+
+
 # Discount per order priority; fixed values of the example.
 DISCOUNTS = {"1-URGENT": 0.0, "2-HIGH": 0.05}
 
@@ -158,6 +179,41 @@ def delayed_sum(spark, folder):
     return items.agg(F.count("v").alias("n"), F.sum("v").alias("total"))
 
 
+def _jaro(a: str, b: str) -> float:
+    """Share of matching letters and of those in the same order, 1 for equal texts."""
+    if a == b:
+        return 1.0
+    reach = max(max(len(a), len(b)) // 2 - 1, 0)
+    taken, left = [False] * len(b), []
+    for i, x in enumerate(a):
+        for j in range(max(0, i - reach), min(len(b), i + reach + 1)):
+            if not taken[j] and b[j] == x:
+                taken[j] = True
+                left.append(x)
+                break
+    if not left:
+        return 0.0
+    right = [y for y, t in zip(b, taken, strict=True) if t]
+    m = len(left)
+    swaps = sum(x != y for x, y in zip(left, right, strict=True)) // 2
+    return (m / len(a) + m / len(b) + (m - swaps) / m) / 3
+
+
+def _similarities(left: pd.Series, right: pd.Series) -> pd.Series:
+    return pd.Series([_jaro(a, b) for a, b in zip(left, right, strict=True)])
+
+
+@query(
+    "parallel_items",
+    "SELECT p_partkey, round(jaro_similarity(p_name, p_brand || ' ' || p_type), 6) AS similarity FROM part",
+)
+def parallel_items(spark, folder):
+    """A Python loop over independent pairs of texts, run wherever their blocks are."""
+    alike = U.column_function(_similarities, "double")
+    names = load(spark, folder, "part")
+    return names.select("p_partkey", F.round(alike("p_name", F.concat("p_brand", F.lit(" "), "p_type")), 6).alias("similarity"))
+
+
 @query(
     "group_combine",
     """SELECT o_orderpriority, count(*) AS n, max(o_totalprice) - min(o_totalprice) AS spread,
@@ -320,3 +376,19 @@ def table_update_delete(spark, folder):
     gone = (c("nation") >= 0) & (c("c_acctbal") < 0) & (c("c_mktsegment") != "HOUSING")
     kept = T.delete_where(updated, gone)
     return stage(kept.select("c_custkey", "c_acctbal", "c_mktsegment"), "customers")
+
+
+@query(
+    "shared_result",
+    """WITH j AS (SELECT c_mktsegment AS segment, o_orderpriority AS priority, o_totalprice AS price FROM orders JOIN customer ON o_custkey = c_custkey)
+       SELECT 'segment' AS by, segment AS part, count(*) AS n, round(sum(price), 2) AS total FROM j GROUP BY 2
+       UNION ALL SELECT 'priority', priority, count(*), round(sum(price), 2) FROM j GROUP BY 2""",
+)
+def shared_result(spark, folder):
+    """A join that two totals need: made once, kept for both, then released."""
+    joined = load(spark, folder, "orders").join(load(spark, folder, "customer"), c("o_custkey") == c("c_custkey"))
+    needed = joined.select(c("c_mktsegment").alias("segment"), c("o_orderpriority").alias("priority"), c("o_totalprice").alias("price"))
+    totals = [F.count(F.lit(1)).alias("n"), money_sum("price").alias("total")]
+    with shared(needed) as once:
+        parts = [stage(once.groupBy(c(by).alias("part")).agg(*totals), by).withColumn("by", F.lit(by)) for by in ("segment", "priority")]
+    return parts[0].unionByName(parts[1])

@@ -10,7 +10,7 @@ from millrace.operators.joins import lookup, map_with_default
 from millrace.operators.ordered import row_slice
 from millrace.plans import derived as D
 from millrace.plans.registry import query
-from millrace.tables import load
+from millrace.tables import SCHEMAS, load
 
 
 @query(
@@ -99,27 +99,31 @@ def map_with_default_query(spark, folder):
 
 def _profile_sql(c):
     return f"""SELECT '{c}' AS "column", count({c}) AS n, (count(*) - count({c})) AS nulls,
-        round(avg({c}), 6) AS mean, round(stddev_samp({c}), 6) AS std, min({c})::DOUBLE AS min,
+        round(avg({c}), 3) AS mean, round(stddev_samp({c}), 3) AS std, min({c})::DOUBLE AS min,
         quantile_cont({c}, 0.25)::DOUBLE AS q25, quantile_cont({c}, 0.5)::DOUBLE AS q50,
         quantile_cont({c}, 0.75)::DOUBLE AS q75, max({c})::DOUBLE AS max, NULL::BIGINT AS n_unique,
         NULL::VARCHAR AS top, NULL::BIGINT AS freq FROM lineitem"""
 
 
-@query(
-    "table_profile",
-    " UNION ALL ".join(_profile_sql(c) for c in ("l_quantity", "l_discount", "l_linenumber"))
-    + """ UNION ALL SELECT 'l_returnflag', count(l_returnflag), count(*) - count(l_returnflag), NULL, NULL, NULL, NULL,
-        NULL, NULL, NULL, count(DISTINCT l_returnflag),
-        (SELECT l_returnflag FROM lineitem GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1),
-        (SELECT count(*) FROM lineitem GROUP BY l_returnflag ORDER BY 1 DESC LIMIT 1) FROM lineitem""",
-)
+def _profile_text_sql(c):
+    return f"""SELECT '{c}', count({c}), count(*) - count({c}), NULL, NULL, NULL, NULL, NULL, NULL, NULL, count(DISTINCT {c}),
+        (SELECT {c}::VARCHAR FROM lineitem WHERE {c} IS NOT NULL GROUP BY {c} ORDER BY count(*) DESC, {c} LIMIT 1),
+        (SELECT count(*) FROM lineitem WHERE {c} IS NOT NULL GROUP BY {c} ORDER BY 1 DESC LIMIT 1) FROM lineitem"""
+
+
+_KINDS = {f.split()[0]: f.split()[1] for f in SCHEMAS["lineitem"].split(", ")}
+_NUMBERS = [x for x, kind in _KINDS.items() if kind in ("int", "bigint", "double")]
+_OTHERS = [x for x in _KINDS if x not in _NUMBERS]
+
+
+@query("table_profile", " UNION ALL ".join([*map(_profile_sql, _NUMBERS), *map(_profile_text_sql, _OTHERS)]))
 def table_profile(spark, folder):
-    """Counts, nulls, mean, deviation, quartiles, extremes; for text the most common value."""
-    out = profile(load(spark, folder, "lineitem"), ["l_quantity", "l_discount", "l_linenumber"], ["l_returnflag"])
-    return out.withColumns({c: F.round(c, 6) for c in ("mean", "std")})
+    """Every column of a table: counts, nulls, mean, deviation, quartiles, extremes; for texts and times the most common value."""
+    out = profile(load(spark, folder, "lineitem"), _NUMBERS, _OTHERS)
+    return out.withColumns({c: F.round(c, 3) for c in ("mean", "std")})
 
 
-_LOOK = {"c_custkey": "bigint", "c_name": "string", "c_nationkey": "int", "c_mktsegment": "string"}
+_LOOK = {f.split()[0]: f.split()[1] for f in SCHEMAS["customer"].split(", ")}
 
 
 @query(
@@ -134,8 +138,8 @@ _LOOK = {"c_custkey": "bigint", "c_name": "string", "c_nationkey": "int", "c_mkt
     ints="position",
 )
 def first_look_query(spark, folder):
-    """Shape, types, and the first and last rows of a table."""
-    found = first_look(load(spark, folder, "customer").select(*_LOOK), ["c_custkey"])
+    """Shape, types, and the first and last rows of a table, all its columns."""
+    found = first_look(load(spark, folder, "customer"), ["c_custkey"])
     return found.withColumns({x: F.array_join(x, ", ") for x in ("head", "tail")})
 
 

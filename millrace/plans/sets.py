@@ -55,16 +55,34 @@ def set_symdiff(spark, folder):
     return S.symmetric_difference(*_sides(spark, folder), "k")
 
 
+_RELATIONS = """SELECT '{0}' AS input, NOT EXISTS (SELECT k FROM {1} EXCEPT SELECT k FROM {2}) AS is_subset,
+    NOT EXISTS (SELECT k FROM {2} EXCEPT SELECT k FROM {1}) AS is_superset, NOT EXISTS (SELECT k FROM {1} INTERSECT SELECT k FROM {2}) AS is_disjoint,
+    NOT EXISTS (SELECT k FROM {1} EXCEPT SELECT k FROM {2}) AND NOT EXISTS (SELECT k FROM {2} EXCEPT SELECT k FROM {1}) AS is_equal"""
+
+
 @query(
     "set_relations",
     _SETS
-    + """, l AS (SELECT k FROM a EXCEPT SELECT k FROM b), r AS (SELECT k FROM b EXCEPT SELECT k FROM a),
-         x AS (SELECT k FROM a INTERSECT SELECT k FROM b)
-       SELECT NOT EXISTS (FROM l) AS is_subset, NOT EXISTS (FROM r) AS is_superset, NOT EXISTS (FROM x) AS is_disjoint,
-              NOT EXISTS (FROM l) AND NOT EXISTS (FROM r) AS is_equal""",
+    + """, o AS (SELECT o_custkey AS k FROM orders), c AS (SELECT c_custkey AS k FROM customer), s AS (SELECT -1 - s_suppkey AS k FROM supplier) """
+    + " UNION ALL ".join(
+        _RELATIONS.format(*x) for x in (("orders in customers", "o", "c"), ("customers twice", "c", "c"), ("other numbers", "c", "s"), ("with gaps", "a", "b"))
+    ),
 )
 def set_relations(spark, folder):
-    return S.set_relations(*_sides(spark, folder), "k")
+    """Keys of whole tables, of numbers that no customer has, and of two inputs with gaps on both sides."""
+    orders, customers = _whole(spark, folder)
+    others = load(spark, folder, "supplier").select((-1 - F.col("s_suppkey")).alias("k"))
+    sides = {
+        "orders in customers": (orders, customers),
+        "customers twice": (customers, customers),
+        "other numbers": (customers, others),
+        "with gaps": _sides(spark, folder),
+    }
+    out = None
+    for name, (a, b) in sides.items():
+        part = S.set_relations(a, b, "k").withColumn("input", F.lit(name))
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 @query(

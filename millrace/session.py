@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 # Settings the operators rely on for their meaning, whatever session they get.
@@ -13,6 +16,8 @@ SEMANTIC_CONF = {
     "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # a bucket that is one file comes in the order it was stored in
+    "spark.sql.legacy.bucketedTableScan.outputOrdering": "true",
 }
 
 
@@ -79,3 +84,17 @@ def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     _STAGES.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def shared(df: DataFrame) -> Iterator[DataFrame]:
+    """Keep ``df`` with the executors while several results are made from it, and release it after.
+
+    The results must be made inside, e.g. staged. Blocks that don't fit in memory go to
+    the executors' disks, and those of a lost executor are computed again.
+    """
+    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield kept
+    finally:
+        kept.unpersist()

@@ -131,6 +131,12 @@ def test_documents(spark):
     df = spark.createDataFrame([(1, text), (2, None)], "k int, doc string")
     got = {r["path"]: r["value"] for r in jsons.json_paths(df, "k", "doc").collect()}
     assert got == {"id": "7", "who.name": "Ann", "who.tags[0]": "x", "who.tags[1].deep": "true", "none": "null"}
+    odd = ['{"a":{"b":[1,2.5,null,{"c":true}]},"e":[],"f":{},"g":"","é x":[[1],["y"]]}', "7", "[[1],[2,[3]]]", '"t"', "{}"]
+    spread = jsons.json_paths(spark.createDataFrame(list(enumerate(odd)), "k int, doc string"), "k", "doc").collect()
+    assert {(r["k"], r["path"], r["value"]) for r in spread} == {
+        (0, "a.b[0]", "1"), (0, "a.b[1]", "2.5"), (0, "a.b[2]", "null"), (0, "a.b[3].c", "true"), (0, "g", ""), (0, "é x[0][0]", "1"),
+        (0, "é x[1][0]", "y"), (1, "", "7"), (2, "[0][0]", "1"), (2, "[1][0]", "2"), (2, "[1][1][0]", "3"), (3, "", "t"),
+    }
     safe = one(spark, "string", [text], F.struct(jsons.safe_get(c("x"), "who.tags[1].deep").alias("a"), jsons.safe_get(c("x"), "who.age", "?").alias("b")))
     assert tuple(safe[0]) == ("true", "?")
     nested = spark.createDataFrame([(1, (2, ("n",)), [(5, "a"), (6, "b")])], "id int, s struct<x:int,y:struct<z:string>>, items array<struct<q:int,r:string>>")

@@ -3,10 +3,12 @@
 import pytest
 from pyspark.sql import functions as F
 
+from millrace.operators.aggregate import first_look
+from millrace.operators.joins import merge_join, store_sorted
 from millrace.operators.partitions import plan_text
 from millrace.plans import queries
 from millrace.plans.joins import join_broadcast, join_sortmerge
-from millrace.session import fresh_path
+from millrace.session import fresh_path, shared
 from millrace.tables import load
 
 FOLDER = "/root/testdata/sf0.001"
@@ -57,5 +59,43 @@ def test_no_cross_joins_and_no_row_functions(spark, name):
     assert "BatchEvalPython" not in text and "UserDefinedTableFunction" not in text
 
 
+def test_stored_sides_join_without_moving_or_sorting(spark):
+    left, right = spark.range(3000).selectExpr("id", "id % 7 as v"), spark.range(0, 9000, 3).selectExpr("id", "id * 2 as w")
+    sides = [store_sorted(x, ["id"], 5) for x in (left, right)]
+    joined = merge_join(*sides, ["id"])
+    text = plan(joined)
+    assert "SortMergeJoin" in text and "Exchange" not in text and "Sort [" not in text
+    assert sorted(map(tuple, joined.collect())) == sorted(map(tuple, left.join(right, "id").collect()))
+    assert len(sides[0].inputFiles()) == 5
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("sorted_")]
+    assert "Exchange" not in plan(merge_join(*sides, ["id"], "outer"))
+
+
+def test_first_look_scans_thrice_whatever_the_columns(spark):
+    found = first_look(load(spark, FOLDER, "lineitem"), ["l_orderkey", "l_linenumber"])
+    text = found._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("Relation [") == 3 and text.count("Limit") == 4  # a local and a global limit at each end
+    rows = {r["column"]: r for r in found.collect()}
+    assert len(rows) == 11 and all(len(r["head"]) == len(r["tail"]) == 3 for r in rows.values())
+
+
+def test_json_is_walked_without_python(spark):
+    text = plan(queries()["json_paths"](spark, FOLDER))
+    assert "InPandas" not in text and "InArrow" not in text and "Python" not in text
+
+
+def test_a_shared_frame_is_scanned_once(spark):
+    path = fresh_path(spark, "shared")
+    spark.range(100).selectExpr("id", "id % 3 as k").write.parquet(path)
+    with shared(spark.read.parquet(path).filter("id > 10")) as once:
+        one, two = once.groupBy("k").count(), once.agg(F.sum("id"))
+        both = [plan(x) for x in (one, two)]
+        assert all("InMemoryTableScan" in x for x in both)
+        assert one.count() == 3 and two.first()[0] == sum(range(11, 100))
+        assert once.storageLevel.useDisk
+    assert not once.storageLevel.useMemory
+    assert "InMemoryTableScan" not in plan(once.groupBy("k").agg(F.max("id")))
+
+
 def test_plan_text(spark):
     assert "Range" in plan_text(spark.range(3))

@@ -136,6 +136,19 @@ def test_fill_rules(spark):
     assert fills(df.filter("v < 0"), {"v": "median", "s": "mode"}) == {"v": None, "s": None}
 
 
+def test_times_at_midnight_are_dates(spark):
+    df = spark.sql("select timestamp_ntz'2024-01-05' as a, timestamp'2024-01-05 10:00:00' as b")
+    assert {r["column"]: r["to_type"] for r in C.narrowing_report(df).collect()} == {"a": "date", "b": "timestamp"}
+    assert dict(C.narrow(df).dtypes) == {"a": "date", "b": "timestamp"}
+
+
+def test_profile_of_every_kind_of_column(spark):
+    df = spark.createDataFrame([(1, 2.0, "x"), (2, None, "y"), (4, 6.0, "y"), (None, 1.0, None)], "i int, d double, s string")
+    rows = {r["column"]: r for r in A.profile(df, ["i", "d"], ["s"]).collect()}
+    assert (rows["i"]["n"], rows["i"]["nulls"], rows["i"]["q50"], rows["d"]["max"]) == (3, 1, 2.0, 6.0)
+    assert (rows["s"]["n"], rows["s"]["nulls"], rows["s"]["n_unique"], rows["s"]["top"], rows["s"]["freq"]) == (3, 1, 2, "y", 2)
+
+
 def test_narrowing_loses_nothing(spark):
     df = spark.createDataFrame(
         [(i, i * 1000, 2**40 + i, i / 2, 0.1 * i, "ab"[i % 2], str(i)) for i in range(-100, 100)],
