@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -52,24 +53,47 @@ def _with_help(rows: DataFrame, expect: Expect, i: int) -> tuple[DataFrame, Colu
 
 @dataclass(frozen=True)
 class Audit:
-    """A batch whose rows carry the names of the rules they break, in the order of the table."""
+    """A batch held against a rule table: its rows with the names of the rules they break, or counts alone."""
 
-    rows: DataFrame
+    batch: DataFrame
     table: tuple[Expect, ...]
-    columns: tuple[str, ...]
+
+    @cached_property
+    def rows(self) -> DataFrame:
+        """The batch with ``broken_rules``, in the order of the table; it is stored once, and all rules read the stored rows."""
+        rows, conditions = stage(self.batch, "audit"), []
+        for i, expect in enumerate(self.table):
+            rows, condition = _with_help(rows, expect, i)
+            conditions.append(F.when(~condition, F.lit(expect.name)))
+        return rows.select(*self.batch.columns, F.array_compact(F.array(*conditions)).alias("broken_rules"))
 
     def accepted(self) -> DataFrame:
-        return self.rows.filter(F.size("broken_rules") == 0).select(*self.columns)
+        return self.rows.filter(F.size("broken_rules") == 0).select(*self.batch.columns)
 
     def refused(self) -> DataFrame:
-        return self.rows.filter(F.size("broken_rules") > 0).select(*self.columns, "broken_rules")
+        return self.rows.filter(F.size("broken_rules") > 0)
+
+    def _broken(self, expect: Expect) -> Column:
+        """How many rows break a rule, as an aggregate of the batch or a number from its keys alone."""
+        if expect.single:
+            copies = self.batch.groupBy(*expect.single).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1)
+            return copies.agg(F.coalesce(F.sum("_n"), F.lit(0))).scalar()
+        if expect.listed:
+            column, table, name = expect.listed
+            values = self.batch.groupBy(F.col(column).alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
+            unknown = values.join(table.select(F.col(name).alias("_v")), "_v", "left_anti")
+            return unknown.agg(F.coalesce(F.sum("_n"), F.lit(0))).scalar()
+        if expect.size:
+            return F.when(F.count(F.lit(1)).between(*expect.size), F.lit(0)).otherwise(F.count(F.lit(1)))
+        return F.count_if(~F.coalesce(expect.holds, F.lit(False)))
 
     def summary(self) -> DataFrame:
-        """One row per rule: rows in all, rows that break it, and whether none does."""
-        counted = self.rows.agg(
-            F.count(F.lit(1)).alias("n_rows"),
-            *[F.count_if(F.array_contains("broken_rules", e.name)).alias(f"n_{i}") for i, e in enumerate(self.table)],
-        )
+        """One row per rule: rows in all, rows that break it, and whether none does.
+
+        No row is stored or joined: rules on the row are counted in one pass, rules on
+        keys from the counts per key.
+        """
+        counted = self.batch.agg(F.count(F.lit(1)).alias("n_rows"), *[self._broken(e).cast("bigint").alias(f"n_{i}") for i, e in enumerate(self.table)])
         lines = [
             F.struct(F.lit(i).alias("line"), F.lit(e.name).alias("rule"), F.lit(e.level).alias("level"), F.col(f"n_{i}").alias("n_broken"))
             for i, e in enumerate(self.table)
@@ -79,14 +103,8 @@ class Audit:
 
 
 def audit(batch: DataFrame, table: Sequence[Expect]) -> Audit:
-    """Try every rule on every row. The batch is stored once, and all rules read the stored rows."""
-    rows = stage(batch, "audit")
-    conditions = []
-    for i, expect in enumerate(table):
-        rows, condition = _with_help(rows, expect, i)
-        conditions.append(F.when(~condition, F.lit(expect.name)))
-    broken = F.array_compact(F.array(*conditions)).alias("broken_rules")
-    return Audit(rows.select(*batch.columns, broken), tuple(table), tuple(batch.columns))
+    """Try every rule on every row, when rows or counts are asked for."""
+    return Audit(batch, tuple(table))
 
 
 def refuse_unusable(batch: DataFrame, needed: Sequence[str], filled: Mapping[str, float]) -> DataFrame:

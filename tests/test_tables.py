@@ -205,6 +205,14 @@ def test_an_audit_reads_the_batch_once(spark):
     assert (found.refused().count(), found.accepted().count(), n.value) == (50, 50, 100)
 
 
+def test_a_report_stores_nothing(spark, monkeypatch):
+    monkeypatch.setattr(Q, "stage", lambda *_: pytest.fail("a report needs counts only"))
+    batch = spark.createDataFrame([(None, 1), (None, 2), (1, None), (1, 7), (2, 7)], "k int, v int")
+    table = [Q.Expect("once", "stop", single=("k",)), Q.Expect("on_file", "stop", listed=("v", spark.range(5), "id")), Q.Expect("size", "stop", size=(9, 10))]
+    assert {r["rule"]: r["n_broken"] for r in Q.audit(batch, table).summary().collect()} == {"once": 4, "on_file": 3, "size": 5}
+    assert {r["rule"]: (r["n_broken"], r["n_rows"]) for r in Q.audit(batch.limit(0), table).summary().collect()}["once"] == (0, 0)
+
+
 def test_stops_and_schema_changes(spark):
     df = spark.createDataFrame([(1, "2.5"), (2, "x")], "id int, total string")
     assert Q.refuse_unusable(df, ["id"], {"id": 0.5}) is df
