@@ -3,7 +3,8 @@
 A is a byte-level tokenizer that sees a space and the text, B a SentencePiece
 model that adds the space itself. A text is cut into units where both always
 cut: before a single space between two characters that are no white space. Each
-distinct unit is encoded once per batch of texts. Over the bytes of all units
+distinct unit is encoded once, many in one text, as their ends are cuts too; a
+bounded table keeps what is known of them. Over the bytes of all units
 
 * ``A`` and ``B`` have a row per token and a column per byte, in compressed rows;
 * A·Bᵀ, row by row, links the tokens that overlap (values: shared bytes);
@@ -19,7 +20,7 @@ matrix-vector product gives the sums per text.
 
 Defined results: null and empty texts, and texts whose tokens of either side don't
 spell a space and the text (a text with U+2581, for one), have no tokens, zeros
-and an empty digest. If a unit doesn't spell itself, its text is encoded whole to
+and an empty digest. A unit that doesn't spell itself has its text encoded whole to
 decide. A null id stays null. Repeated rows are documents of their own, in the
 counts too. A long text without spaces is one unit and held whole, as any text
 is. An empty table gives no rows. Other columns are ignored.
@@ -32,7 +33,7 @@ import json
 import os
 import re
 from collections.abc import Iterable
-from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -41,15 +42,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.common import map_batches, stage
+from millrace.llm.cuts import SAFE, cut_units
 from millrace.llm.sparse import Csr, from_sizes, product
-from millrace.llm.words import SPACE_CLASS, by_size
+from millrace.llm.words import by_size
 
-#: A unit begins at a single space between characters that neither tokenizer takes for white space.
-_CUT = re.compile(f"(?<=[^{SPACE_CLASS}\x1c-\x1f▁]) (?=[^{SPACE_CLASS}\x1c-\x1f▁])")
+_REGULAR = re.compile(f" {SAFE}(?:.*{SAFE})?", re.DOTALL)
 BLOCK_CHARS = 8 << 20
-TABLE_UNITS = 400_000
-LONGEST_KEPT = 64
+#: Units are encoded this many characters at a time.
+JOINED_CHARS = 1 << 16
+PART_CHARS = 1 << 19
+#: The table of units is emptied when it holds more characters.
+TABLE_CHARS = 3 << 20
 
+NUMBERS = ("n_a", "n_b", "n_groups", "n_links", "n_group_links")
 BLOCK = (
     "block bigint, doc_id array<bigint>, known array<struct<n_a:bigint,n_b:bigint,n_groups:bigint,n_links:bigint,n_group_links:bigint,groups_sha256:string>>, "
     "pair_a array<int>, pair_b array<int>, pair_docs array<int>, starts binary, cols binary, times binary"
@@ -64,16 +69,26 @@ def _byte_of_letter() -> dict[str, int]:
     return {chr(b): b for b in own} | {chr(256 + k): b for k, b in enumerate(rest)}
 
 
-@dataclass(frozen=True)
-class Unit:
-    """The alignment of one unit: numbers, the links' id pairs with their times, and its groups as text."""
+class Known:
+    """What is known of units, as columns: whether they are spelled, five numbers, their links and their groups as text."""
 
-    n_a: int
-    n_b: int
-    n_groups: int
-    n_group_links: int
-    pairs: tuple[tuple[int, int, int], ...]
-    groups: str
+    def __init__(self) -> None:
+        self.place: dict = {}
+        self.chars = 0
+        self.good = np.zeros(0, bool)
+        self.numbers = np.zeros((0, len(NUMBERS)), np.int64)
+        self.links = Csr(np.zeros(1, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64))
+        self.groups: list[str] = []
+
+    def add(self, names: list, good: np.ndarray, numbers: np.ndarray, links: Csr, groups: list[str]) -> None:
+        first = len(self.groups)
+        self.place.update(zip(names, range(first, first + len(names)), strict=True))
+        self.good = np.concatenate([self.good, good])
+        self.numbers = np.concatenate([self.numbers, numbers])
+        starts = np.concatenate([self.links.starts, self.links.starts[-1] + links.starts[1:]])
+        self.links = Csr(starts, np.concatenate([self.links.cols, links.cols]), np.concatenate([self.links.values, links.values]))
+        self.groups += groups
+        self.chars += sum(map(len, names))
 
 
 class Aligner:
@@ -98,7 +113,12 @@ class Aligner:
         self.bytes_b = [self._piece(k) for k in range(self.b.get_piece_size())]
         self.size_a = np.array([len(x) for x in self.bytes_a], np.int64)
         self.size_b = np.array([len(x) for x in self.bytes_b], np.int64)
-        self.table: dict[str, Unit | None] = {}
+        # the entries' bytes one after the other, and the ids as text with what follows them in a group
+        self.flat_bytes = [from_bytes(x) for x in (self.bytes_a, self.bytes_b)]
+        self.text = {
+            (side, mark): np.array([f"{k}{mark}" for k in range(n)], object) for side, n in (("a", len(self.size_a)), ("b", len(self.size_b))) for mark in (",", "|" if side == "a" else ";")
+        }
+        self.known = Known()
 
     def _piece(self, k: int) -> bytes:
         piece = self.b.id_to_piece(k)
@@ -113,51 +133,117 @@ class Aligner:
         own = spaced.encode()
         return b"".join(map(self.bytes_a.__getitem__, ids_a)) == own == b"".join(map(self.bytes_b.__getitem__, ids_b))
 
-    def align(self, spaced: list[str]) -> list[Unit | None]:
-        """The alignment of each unit, all in one chain of matrix products; None for units that aren't spelled."""
-        ids_a, ids_b = self.encode(spaced)
-        good = [k for k, s in enumerate(spaced) if self.spells(s, ids_a[k], ids_b[k])]
-        out: list[Unit | None] = [None] * len(spaced)
-        if not good:
-            return out
-        flat_a = np.array([i for k in good for i in ids_a[k]], np.int64)
-        flat_b = np.array([i for k in good for i in ids_b[k]], np.int64)
+    def _spelled(self, side: int, ids: np.ndarray, ends: np.ndarray, own: np.ndarray, own_ends: np.ndarray) -> np.ndarray:
+        """Which of the texts, that lie one after the other in ``own``, have tokens (up to ``ends``) that spell them."""
+        of_ids = self.flat_bytes[side]
+        sizes = np.diff(of_ids.starts)[ids]
+        total = np.concatenate([[0], np.cumsum(sizes)])
+        edges = total[np.concatenate([[0], ends])]
+        good = np.diff(edges) == np.diff(np.concatenate([[0], own_ends]))
+        if not good.all():
+            return good  # lengths differ: the caller looks at the others without these
+        at = np.arange(total[-1]) + np.repeat(of_ids.starts[ids] - total[:-1], sizes)
+        wrong = np.flatnonzero(of_ids.cols[at] != own)
+        good[np.searchsorted(own_ends, wrong, side="right")] = False
+        return good
+
+    def _encoded(self, texts: list[str], units: list[list[str]]) -> tuple[list[int], np.ndarray, np.ndarray, np.ndarray]:
+        """Which texts both sides spell with their units' ends kept; ids of A and B and the units' ends in bytes, of those."""
+        ids_a, ids_b = self.encode(texts)
+        keep = list(range(len(texts)))
+        while keep:
+            own = "".join([texts[k] for k in keep]).encode()
+            sizes = [[len(u.encode()) for u in units[k]] for k in keep]
+            own_ends, unit_ends = np.cumsum([sum(x) for x in sizes]), np.cumsum([n for x in sizes for n in x])
+            flat = [np.fromiter(chain.from_iterable(ids[k] for k in keep), np.int64) for ids in (ids_a, ids_b)]
+            good = np.ones(len(keep), bool)
+            for side, ids in enumerate((ids_a, ids_b)):
+                ends = np.cumsum([len(ids[k]) for k in keep])
+                good &= self._spelled(side, flat[side], ends, np.frombuffer(own, np.uint8), own_ends)
+                if good.all():
+                    hit = np.isin(unit_ends, np.cumsum((self.size_a, self.size_b)[side][flat[side]]))
+                    good[np.searchsorted(own_ends, unit_ends[~hit])] = False
+            if good.all():
+                return keep, flat[0], flat[1], unit_ends
+            keep = [k for k, g in zip(keep, good, strict=True) if g]
+        none = np.zeros(0, np.int64)
+        return [], none, none, none
+
+    def align(self, names: list, spaced: list[str]) -> None:
+        """Add units to what is known: all that can be are encoded together, the others one by one."""
+        regular = [k for k, u in enumerate(spaced) if _REGULAR.fullmatch(u)]
+        alone = sorted(set(range(len(spaced))) - set(regular))
+        lots, size = [[]], 0
+        for k in regular:
+            if size > JOINED_CHARS:
+                lots.append([])
+                size = 0
+            lots[-1].append(k)
+            size += len(spaced[k])
+        lots = [lot for lot in lots if lot]
+        alone += [k for lot in self._in_parts(names, spaced, lots) for k in lot]
+        bad = [k for lot in self._in_parts(names, spaced, [[k] for k in alone]) for k in lot]
+        empty = Csr(np.zeros(len(bad) + 1, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64))
+        self.known.add([names[k] for k in bad], np.zeros(len(bad), bool), np.zeros((len(bad), len(NUMBERS)), np.int64), empty, [""] * len(bad))
+
+    def _in_parts(self, names: list, spaced: list[str], lots: list[list[int]]) -> list[list[int]]:
+        """Align the lots, a bounded number of characters at once; gives those that couldn't be."""
+        left, part, size = [], [], 0
+        for lot in [*lots, None]:
+            if part and (lot is None or size > PART_CHARS):
+                done = self._align(names, spaced, part)
+                left += [x for j, x in enumerate(part) if j not in done]
+                part, size = [], 0
+            if lot is not None:
+                part.append(lot)
+                size += sum(len(spaced[k]) for k in lot)
+        return left
+
+    def _align(self, names: list, spaced: list[str], lots: list[list[int]]) -> set[int]:
+        """Align lots of units, each encoded as one text; gives the lots that could be."""
+        units = [[spaced[k] for k in lot] for lot in lots]
+        keep, flat_a, flat_b, unit_ends = self._encoded(["".join(u) for u in units], units)
+        if not keep:
+            return set()
         a, b = from_sizes(self.size_a[flat_a]), from_sizes(self.size_b[flat_b])
         overlap = product(a, b.transpose(b.starts[-1]), len(flat_b))
         # A group ends at every byte where a token of A and one of B end.
         ends = np.intersect1d(a.starts[1:], b.starts[1:], assume_unique=True)
-        group_a = np.searchsorted(ends, a.starts[1:])
-        group_b = np.searchsorted(ends, b.starts[1:])
+        group_a, group_b = np.searchsorted(ends, a.starts[1:]), np.searchsorted(ends, b.starts[1:])
         one = lambda g: Csr(np.arange(len(g) + 1), g, np.ones(len(g), np.int64))
         shared = product(one(group_a), one(group_b).transpose(len(ends)), len(flat_b))
-        stop_a = np.cumsum([len(ids_a[k]) for k in good]).tolist()
-        stop_b = np.cumsum([len(ids_b[k]) for k in good]).tolist()
-        first_a = np.flatnonzero(np.diff(group_a, prepend=-1)).tolist() + [len(flat_a)]
-        first_b = np.flatnonzero(np.diff(group_b, prepend=-1)).tolist() + [len(flat_b)]
-        text_a, text_b = list(map(str, flat_a.tolist())), list(map(str, flat_b.tolist()))
-        texts = [",".join(text_a[i:j]) + "|" + ",".join(text_b[p:q]) for i, j, p, q in zip(first_a, first_a[1:], first_b, first_b[1:], strict=False)]
-        link_a, link_b = flat_a[overlap.row_numbers()].tolist(), flat_b[overlap.cols].tolist()
-        edges, wide, groups = overlap.starts.tolist(), shared.starts.tolist(), group_a.tolist()
-        i = j = g = 0
-        for k, p, q in zip(good, stop_a, stop_b, strict=True):
-            h = groups[p - 1] + 1 if p > i else g
-            times: dict[tuple[int, int], int] = {}
-            for pair in zip(link_a[edges[i] : edges[p]], link_b[edges[i] : edges[p]], strict=True):
-                times[pair] = times.get(pair, 0) + 1
-            out[k] = Unit(p - i, q - j, h - g, wide[p] - wide[i], tuple((x, y, n) for (x, y), n in times.items()), ";".join(texts[g:h]))
-            i, j, g = p, q, h
-        return out
-
-    def units_of(self, distinct: list[str]) -> list[Unit | None]:
-        """The same by the table; long units are not kept, and a full table is emptied."""
-        if len(self.table) > TABLE_UNITS:
-            self.table.clear()
-        new = [u for u in distinct if u not in self.table]
-        rare: dict[str, Unit | None] = {}
-        for part in by_size(new, 1 << 18):
-            for u, unit in zip(part, self.align(part), strict=True):
-                (self.table if len(u) <= LONGEST_KEPT else rare)[u] = unit
-        return [self.table[u] if u in self.table else rare[u] for u in distinct]
+        n = len(unit_ends)
+        unit_a, unit_b = np.searchsorted(unit_ends, a.starts[1:]), np.searchsorted(unit_ends, b.starts[1:])
+        of_group, of_link = np.searchsorted(unit_ends, ends), unit_a[overlap.row_numbers()]
+        counted = (unit_a, unit_b, of_group, of_link, unit_a[shared.row_numbers()])
+        numbers = np.stack([np.bincount(x, minlength=n) for x in counted], 1)
+        codes = flat_a[overlap.row_numbers()] * len(self.size_b) + flat_b[overlap.cols]
+        links = Csr(np.concatenate([[0], np.cumsum(numbers[:, 3])]), codes, np.ones(len(codes), np.int64))
+        # each id with the sign that follows it, those of A before those of B in a group
+        last_a, last_b = (np.append(g[1:] != g[:-1], True) for g in (group_a, group_b))
+        signs = [np.where(last_a, self.text["a", "|"][flat_a], self.text["a", ","][flat_a]), np.where(last_b, self.text["b", ";"][flat_b], self.text["b", ","][flat_b])]
+        order = np.argsort(np.concatenate([2 * group_a, 2 * group_b + 1]), kind="stable")
+        pieces = np.concatenate(signs)[order].tolist()
+        whole = "".join(pieces)
+        edges = np.concatenate([[0], np.cumsum(np.fromiter(map(len, pieces), np.int64, len(pieces)))])
+        stops = edges[np.cumsum(numbers[:, 0] + numbers[:, 1])].tolist()
+        groups = [whole[i:j] for i, j in zip([0, *stops], stops, strict=False)]
+        self.known.add([names[k] for lot in keep for k in lots[lot]], np.ones(n, bool), numbers, links, groups)
+        return set(keep)
+
+    def places(self, names: list[str]) -> np.ndarray:
+        """Where each unit stands in what is known, after aligning the new ones."""
+        place = self.known.place
+        new = [u for u in names if u not in place]
+        if new:
+            self.align(new, new)
+        return np.fromiter(map(place.__getitem__, names), np.int64, len(names))
+
+
+def from_bytes(entries: list[bytes]) -> Csr:
+    """Entries one after the other, their bytes as columns."""
+    flat = np.frombuffer(b"".join(entries), np.uint8)
+    return Csr(np.concatenate([[0], np.cumsum([len(x) for x in entries])]), flat, flat)
 
 
 _OPEN: dict[tuple[str, str], Aligner] = {}
@@ -171,60 +257,60 @@ def aligner_for(path_a: str, path_b: str) -> Aligner:
     return _OPEN[key]
 
 
-def units(text: str) -> list[str]:
-    """The units of a space and the text; their concatenation is that."""
-    first, *rest = _CUT.split(" " + text)
-    return [first, *(" " + r for r in rest)]
-
-
-def _of_texts(aligner: Aligner, texts: list[str | None]) -> tuple[Csr, list[Unit]]:
-    """Texts x distinct units with their order kept as entries, texts that aren't spelled having none."""
-    place: dict[str, int] = {}
-    rows = [[place.setdefault(u, len(place)) for u in units(t)] if t else [] for t in texts]
-    found = aligner.units_of(list(place))
-    bad = {k for k, u in enumerate(found) if u is None}
-    if bad:
-        for k, t in enumerate(texts):
-            if t and not bad.isdisjoint(rows[k]):
-                (whole,) = aligner.align([" " + t])
-                found.append(whole)
-                rows[k] = [] if whole is None else [len(found) - 1]
-    sizes = np.array([len(r) for r in rows], np.int64)
-    cols = np.array([c for r in rows for c in r], np.int64)
-    none = Unit(0, 0, 0, 0, (), "")
-    return Csr(np.concatenate([[0], np.cumsum(sizes)]), cols, np.ones(len(cols), np.int64)), [u or none for u in found]
-
-
 def _sums(of: Csr, values: np.ndarray) -> np.ndarray:
     """Matrix times vector."""
     total = np.concatenate([[0], np.cumsum(of.values * values[of.cols])])
     return total[of.starts[1:]] - total[of.starts[:-1]]
 
 
+def _of_texts(aligner: Aligner, texts: list[str | None]) -> Csr:
+    """Texts x known units, an entry per unit in its order; texts that aren't spelled have none."""
+    if aligner.known.chars > TABLE_CHARS:
+        aligner.known = Known()
+    full = [k for k, t in enumerate(texts) if t]
+    units, ends = cut_units([" " + texts[k] for k in full])
+    coded = units.dictionary_encode()
+    names = coded.dictionary.to_pylist()
+    cols = aligner.places(names)[coded.indices.to_numpy(zero_copy_only=False)]
+    sizes = np.zeros(len(texts), np.int64)
+    sizes[full] = np.diff(ends, prepend=0)
+    of = Csr(np.concatenate([[0], np.cumsum(sizes)]), cols, np.ones(len(cols), np.int64))
+    unsure = np.unique(of.row_numbers()[~aligner.known.good[of.cols]]).tolist()
+    if not unsure:
+        return of
+    whole = [(texts[k],) for k in unsure]  # a name that no unit has
+    new = [w for w in dict.fromkeys(whole) if w not in aligner.known.place]
+    for w in new:
+        aligner._align([w], [" " + w[0]], [[0]])
+    rows = [of.cols[i:j].tolist() for i, j in zip(of.starts, of.starts[1:], strict=False)]
+    for k, w in zip(unsure, whole, strict=True):
+        rows[k] = [aligner.known.place[w]] if w in aligner.known.place else []
+    cols = np.array([c for r in rows for c in r], np.int64)
+    return Csr(np.concatenate([[0], np.cumsum([len(r) for r in rows])]), cols, np.ones(len(cols), np.int64))
+
+
 def _block(aligner: Aligner, number: int, doc_ids: list[int | None], texts: list[str | None]) -> dict:
-    of, found = _of_texts(aligner, texts)
-    pairs: dict[tuple[int, int], int] = {}
-    cols, times, sizes = [], [], []
-    for u in found:
-        sizes.append(len(u.pairs))
-        for x, y, n in u.pairs:
-            cols.append(pairs.setdefault((x, y), len(pairs)))
-            times.append(n)
-    of_units = Csr(np.concatenate([[0], np.cumsum(np.array(sizes, np.int64))]), np.array(cols, np.int64), np.array(times, np.int64))
-    of_pairs = product(of, of_units, len(pairs))
-    counts = np.array([(u.n_a, u.n_b, u.n_groups, sum(p[2] for p in u.pairs), u.n_group_links) for u in found], np.int64).reshape(-1, 5)
-    numbers = np.stack([_sums(of, counts[:, c]) for c in range(5)], 1).tolist()
-    parts, edges, places = [u.groups for u in found], of.starts.tolist(), of.cols.tolist()
-    known = []
-    for k, (n, a, b) in enumerate(zip(numbers, edges, edges[1:], strict=False)):
-        digest = hashlib.sha256(";".join([parts[c] for c in places[a:b]]).encode()).hexdigest() if n[0] else ""
-        known.append(dict(zip(("n_a", "n_b", "n_groups", "n_links", "n_group_links"), n, strict=True)) | {"groups_sha256": digest})
+    of = _of_texts(aligner, texts)
+    known, width = aligner.known, len(aligner.size_b)
+    used, cols = np.unique(of.cols, return_inverse=True)
+    of = Csr(of.starts, cols, of.values)
+    sizes = known.links.sizes()[used]
+    total = np.concatenate([[0], np.cumsum(sizes)])
+    at = np.arange(total[-1]) + np.repeat(known.links.starts[used] - total[:-1], sizes)
+    pairs, pair = np.unique(known.links.cols[at], return_inverse=True)
+    of_pairs = product(of, Csr(total, pair, np.ones(len(pair), np.int64)), len(pairs))
+    numbers = np.stack([_sums(of, known.numbers[used, c]) for c in range(len(NUMBERS))], 1).tolist()
+    parts, edges, places = [known.groups[k] for k in used.tolist()], of.starts.tolist(), of.cols.tolist()
+    facts = []
+    for n, a, b in zip(numbers, edges, edges[1:], strict=False):
+        digest = hashlib.sha256("".join([parts[c] for c in places[a:b]])[:-1].encode()).hexdigest() if n[0] else ""
+        facts.append(dict(zip(NUMBERS, n, strict=True)) | {"groups_sha256": digest})
     return {
         "block": number,
         "doc_id": doc_ids,
-        "known": known,
-        "pair_a": [x for x, _ in pairs],
-        "pair_b": [y for _, y in pairs],
+        "known": facts,
+        "pair_a": (pairs // width).tolist(),
+        "pair_b": (pairs % width).tolist(),
         "pair_docs": np.bincount(of_pairs.cols, minlength=len(pairs)).tolist(),
         "starts": of_pairs.starts.astype("<i8").tobytes(),
         "cols": of_pairs.cols.astype("<i4").tobytes(),
@@ -232,7 +318,7 @@ def _block(aligner: Aligner, number: int, doc_ids: list[int | None], texts: list
     }
 
 
-_KNOWN = pa.struct([(n, pa.int64()) for n in ("n_a", "n_b", "n_groups", "n_links", "n_group_links")] + [("groups_sha256", pa.string())])
+_KNOWN = pa.struct([(n, pa.int64()) for n in NUMBERS] + [("groups_sha256", pa.string())])
 _FIELDS = pa.schema(
     [("block", pa.int64()), ("doc_id", pa.list_(pa.int64())), ("known", pa.list_(_KNOWN))]
     + [(n, pa.list_(pa.int32())) for n in ("pair_a", "pair_b", "pair_docs")]
@@ -263,7 +349,7 @@ def _with_counts(key, block: pa.Table, pairs: pa.Table) -> pa.Table:
     place = pairs.column("place").to_numpy()
     count[place], best[place] = pairs.column("n_docs").to_numpy(), pairs.column("best").to_numpy().astype(np.int64)
     of = Csr(np.frombuffer(r["starts"], "<i8"), np.frombuffer(r["cols"], "<i4").astype(np.int64), np.frombuffer(r["times"], "<i4").astype(np.int64))
-    known = {n: [k[n] for k in r["known"]] for n in ("n_a", "n_b", "n_groups", "n_links", "n_group_links", "groups_sha256")}
+    known = {n: [k[n] for k in r["known"]] for n in (*NUMBERS, "groups_sha256")}
     of_sums = {"n_best": _sums(of, best), "count_sum": _sums(of, count)} if n_docs else {"n_best": [], "count_sum": []}
     columns = {"doc_id": r["doc_id"], **known, **of_sums}
     order = [f.split(" ")[0] for f in DOC.split(", ")]

@@ -49,11 +49,21 @@ def product(a: Csr, b: Csr, n_cols: int) -> Csr:
     total = np.concatenate([[0], np.cumsum(width)])
     at = np.arange(total[-1]) + np.repeat(b.starts[a.cols] - total[:-1], width)
     keys = np.repeat(a.row_numbers(), width) * n_cols + b.cols[at]
+    if (a.values == 1).all() and (b.values == 1).all():
+        # counts only: the keys alone are sorted, and a run's length is its value
+        if len(keys) and np.any(keys[1:] < keys[:-1]):
+            keys.sort()
+        first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
+        return _from_keys(keys[first], np.diff(np.append(first, len(keys))), a.rows, n_cols)
     values = np.repeat(a.values, width) * b.values[at]
     if len(keys) and np.any(keys[1:] < keys[:-1]):
         order = np.argsort(keys, kind="stable")
         keys, values = keys[order], values[order]
     first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
-    rows, cols = np.divmod(keys[first], max(n_cols, 1))
-    starts = np.concatenate([[0], np.cumsum(np.bincount(rows, minlength=a.rows))])
-    return Csr(starts, cols, np.add.reduceat(values, first) if len(first) else np.zeros(0, np.int64))
+    return _from_keys(keys[first], np.add.reduceat(values, first) if len(first) else np.zeros(0, np.int64), a.rows, n_cols)
+
+
+def _from_keys(keys: np.ndarray, values: np.ndarray, n_rows: int, n_cols: int) -> Csr:
+    """Compressed rows from ascending keys ``row * n_cols + col``."""
+    rows, cols = np.divmod(keys, max(n_cols, 1))
+    return Csr(np.concatenate([[0], np.cumsum(np.bincount(rows, minlength=n_rows))]), cols, values)

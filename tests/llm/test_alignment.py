@@ -10,6 +10,7 @@ import pytest
 
 from millrace.llm import alignment
 from millrace.llm.common import load
+from millrace.llm.cuts import cut_units
 from millrace.llm.sparse import Csr, from_sizes, product
 from tests.llm.support import FOLDER, no_documents, odd_documents
 
@@ -100,11 +101,30 @@ def test_no_rows(spark):
 
 
 def test_shared_group_links(aligner):
-    (unit,) = aligner.align([" internationalisation"])
+    (place,) = aligner.places([" internationalisation"]).tolist()
     (ids_a,), (ids_b,) = aligner.encode([" internationalisation"])
-    sizes = [tuple(len(x.split(",")) for x in g.split("|")) for g in unit.groups.split(";")]
+    sizes = [tuple(len(x.split(",")) for x in g.split("|")) for g in aligner.known.groups[place].split(";") if g]
     assert (sum(a for a, _ in sizes), sum(b for _, b in sizes)) == (len(ids_a), len(ids_b))
-    assert unit.n_group_links == sum(a * b for a, b in sizes) >= sum(n for _, _, n in unit.pairs)
+    n_a, n_b, n_groups, n_links, n_group_links = aligner.known.numbers[place]
+    assert (n_a, n_b, n_groups) == (len(ids_a), len(ids_b), len(sizes))
+    assert n_group_links == sum(a * b for a, b in sizes) >= n_links
+
+
+def test_units_are_cut_where_both_cut():
+    texts = ["", " a b  c", " ", "", " x", "  y z ", " é b 你 “ c", " s▁ t ▁ u\x7f v"]
+    cut, ends = cut_units(texts)
+    assert ["".join(cut.to_pylist()[i:j]) for i, j in zip([0, *ends], ends, strict=False)] == texts
+    assert cut.to_pylist() == [" a", " b  c", " ", " x", "  y", " z ", " é", " b", " 你 “ c", " s▁ t ▁ u\x7f v"]
+
+
+def test_a_small_table_gives_the_same(spark, aligner, monkeypatch):
+    monkeypatch.setattr(alignment, "JOINED_CHARS", 40)
+    small = alignment.Aligner(A, B)
+    texts = ["one two three", "one▁ two", "two  three ", "x" * 300 + " three one"]
+    for _ in range(2):
+        got = [alignment._block(small, 0, [1], [t])["known"] for t in texts]
+        small.known.chars = 1 << 40  # emptied by the next block
+    assert got == [alignment._block(aligner, 0, [1], [t])["known"] for t in texts]
 
 
 def test_product_of_matrices():
