@@ -6,8 +6,9 @@ checked for all neighbours of all new words of a batch at once: undo the merges
 at the border of two tokens, the latest first, and see whether an earlier merge
 across the border was possible. Only words that fail are merged step by step.
 
-Texts are cut into runs of non-space characters, whose results are kept in a
-bounded table, and these by the tokenizer's pattern into words. Special strings
+Texts are cut into units at single spaces, each distinct unit into runs of non-space
+characters, whose results are kept in a bounded table, and these by the
+tokenizer's pattern into words. Special strings
 inside a text get their own id, as the library's default has it.
 
 Defined results: a null text is an empty one, with no ids. Repeated rows are
@@ -20,8 +21,9 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+from array import array
 from collections import ChainMap
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 from itertools import chain
 
 import numpy as np
@@ -30,6 +32,7 @@ import regex
 from pyspark.sql import DataFrame
 
 from millrace.llm.common import map_batches
+from millrace.llm.cuts import cut_units
 from millrace.llm.words import _RUNS, SPACE_CLASS, by_size
 
 _WORDS = regex.compile(
@@ -80,13 +83,14 @@ class BytePairs:
         keys = np.array([a << 32 | b for a, b in self.merge], np.int64)
         at = np.argsort(keys)
         self.pair_keys, self.pair_order = keys[at], np.array([r for r, _ in self.merge.values()], np.int64)[at]
+        self.pair_made = np.array([k for _, k in self.merge.values()], np.int64)[at]
         # A token may be guessed only if merging its own bytes gives it.
-        self.guess = {}
-        for k in vocab.values():
-            if len(self.bytes[k]) == 1 or (self.order[k] > 0 and self.exact(self.bytes[k]) == [k]):
-                self.guess[self.bytes[k]] = k
-        self.longest = max(map(len, self.guess))
-        self.limit, self.table = table_runs, {}
+        many = [k for k in vocab.values() if len(self.bytes[k]) > 1 and self.order[k] > 0]
+        merged = self.exact_many([self.bytes[k] for k in many])
+        self.guess = {self.bytes[k]: k for k in self.of_byte.values()} | {self.bytes[k]: k for k, ids in zip(many, merged, strict=True) if ids == k.to_bytes(4, "little")}
+        self.trie()
+        self.limit = table_runs
+        self.table: dict[str, bytes] = {}  # packed ids, which Python's collector need not follow
         self.checked = self.failed = 0
 
     # --- one word ---
@@ -112,6 +116,44 @@ class BytePairs:
                 found[i - 1] = find((ids[i - 1], ids[i]), none)
         return ids
 
+    def exact_many(self, words: list[bytes]) -> list[bytes]:
+        """The same for many words, as packed 32-bit ids: in each step every word that can does its earliest merge."""
+        byte_ids = np.array([self.of_byte.get(bytes([b]), -1) for b in range(256)], np.int64)
+        ids = byte_ids[np.frombuffer(b"".join(words), np.uint8)]
+        owner = np.repeat(np.arange(len(words)), np.fromiter(map(len, words), np.int64, len(words)))
+        out = [b""] * len(words)
+        order = self._order_of(ids[:-1], ids[1:], owner[1:] == owner[:-1])
+        while len(ids):
+            first = np.flatnonzero(np.diff(owner, prepend=-1))
+            least = np.minimum.reduceat(order, first)
+            sizes = np.diff(np.append(first, len(ids)))
+            done = least == NEVER
+            if done.any():
+                gone = np.repeat(done, sizes)
+                flat, ends = ids[gone].astype("<i4").tobytes(), (4 * np.cumsum(sizes[done])).tolist()
+                for k, i, j in zip(owner[first[done]].tolist(), [0, *ends], ends, strict=False):
+                    out[k] = flat[i:j]
+                ids, owner, order = ids[~gone], owner[~gone], order[~gone]
+                continue
+            best = np.flatnonzero(order == np.repeat(least, sizes))
+            best = best[np.diff(owner[best], prepend=-1) > 0]  # the leftmost of each word
+            ids[best] = self.pair_made[np.searchsorted(self.pair_keys, ids[best] << 32 | ids[best + 1])]
+            stay = np.ones(len(ids), bool)
+            stay[best + 1] = False
+            now = best - np.arange(len(best))  # the places after as many merges before them
+            ids, owner, order = ids[stay], owner[stay], order[stay]
+            for side in (now - 1, now):
+                side = side[side >= 0]
+                right = np.minimum(side + 1, len(ids) - 1)
+                order[side] = self._order_of(ids[side], ids[right], (owner[side] == owner[right]) & (side < right))[:-1]
+        return out
+
+    def _order_of(self, left: np.ndarray, right: np.ndarray, joined: np.ndarray) -> np.ndarray:
+        """The order of the merge of each pair, NEVER where there is none, and one NEVER more at the end."""
+        keys = left << 32 | right
+        place = np.minimum(np.searchsorted(self.pair_keys, keys), len(self.pair_keys) - 1)
+        return np.append(np.where(joined & (self.pair_keys[place] == keys), self.pair_order[place], NEVER), NEVER)
+
     def _exact_long(self, ids: list[int]) -> list[int]:
         """The same with a heap and linked neighbours, for words of any length."""
         import heapq
@@ -133,19 +175,53 @@ class BytePairs:
                     heapq.heappush(heap, (self.merge[q][0], x, q))
         return [t for t, live in zip(ids, alive, strict=True) if live]
 
-    def greedy(self, word: bytes) -> list[int]:
-        """The longest token at each place."""
-        out, at, n, guess = [], 0, len(word), self.guess
-        whole = guess.get(word)
-        if whole is not None:
-            return [whole]
-        while at < n:
-            stop = min(n, at + self.longest)
-            while (k := guess.get(word[at:stop])) is None:
-                stop -= 1
-            out.append(k)
-            at = stop
-        return out
+    def trie(self) -> None:
+        """The guessable tokens by their bytes: children of a node by ``node * 256 + byte``, and the token that ends at each node."""
+        child: dict[int, int] = {}
+        ends = [-1]
+        for token, k in self.guess.items():
+            node = 0
+            for byte in token:
+                key = node * 256 + byte
+                node = child.get(key, 0)
+                if not node:
+                    node = child[key] = len(ends)
+                    ends.append(-1)
+            ends[node] = k
+        keys = np.fromiter(child, np.int64, len(child))
+        order = np.argsort(keys)
+        self.trie_keys, self.trie_nodes = keys[order], np.fromiter(child.values(), np.int64, len(child))[order]
+        self.trie_ends = np.array(ends, np.int64)
+
+    def greedy(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The longest token at each place of all words, going down the trie for all of them at once: tokens and their number by word."""
+        data = np.frombuffer(b"".join(words), np.uint8).astype(np.int64)
+        stops = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)))
+        at = np.concatenate([[0], stops[:-1]])
+        live, owners, tokens = np.flatnonzero(at < stops), [], []
+        while len(live):
+            place, node = at[live], np.zeros(len(live), np.int64)
+            best, best_end = np.full(len(live), -1, np.int64), place.copy()
+            on = np.arange(len(live))
+            while len(on):
+                key = node[on] * 256 + data[place[on]]
+                found = np.minimum(np.searchsorted(self.trie_keys, key), len(self.trie_keys) - 1)
+                hit = self.trie_keys[found] == key
+                on = on[hit]
+                node[on] = self.trie_nodes[found[hit]]
+                place[on] += 1
+                token = self.trie_ends[node[on]]
+                whole = on[token >= 0]
+                best[whole], best_end[whole] = token[token >= 0], place[whole]
+                on = on[place[on] < stops[live[on]]]
+            owners.append(live)
+            tokens.append(best)
+            at[live] = best_end
+            live = live[at[live] < stops[live]]
+        if not owners:
+            return np.zeros(0, np.int64), np.zeros(len(words), np.int64)
+        owner = np.concatenate(owners)
+        return np.concatenate(tokens)[np.argsort(owner, kind="stable")], np.bincount(owner, minlength=len(words))
 
     # --- all neighbours at once ---
 
@@ -170,22 +246,29 @@ class BytePairs:
             a, b = np.where(undo_left, self.halves[a, 1], a), np.where(undo_left, b, self.halves[b, 0])
         return good
 
-    def encode_words(self, words: list[bytes]) -> list[list[int]]:
-        """The tokens of each word: guessed, checked together, merged exactly where the check fails."""
-        guessed = [self.greedy(w) for w in words]
-        sizes = np.array([len(g) for g in guessed])
-        flat = np.array([t for g in guessed for t in g], np.int64)
-        if len(flat) < 2:
-            return guessed
-        owner = np.repeat(np.arange(len(guessed)), sizes)
-        inner = owner[1:] == owner[:-1]
-        pairs, back = np.unique(flat[:-1][inner] << 32 | flat[1:][inner], return_inverse=True)
-        bad = ~self.compatible(pairs >> 32, pairs & 0xFFFFFFFF)[back]
-        again = np.unique(owner[1:][inner][bad])
+    def encode_words(self, words: list[bytes]) -> list[bytes]:
+        """The packed ids of each word: guessed, checked together, merged exactly where the check fails."""
+        flat, sizes = self.greedy(words)
+        owner = np.repeat(np.arange(len(words)), sizes)
+        again = np.zeros(0, np.int64)
+        if len(flat) > 1:
+            inner = owner[1:] == owner[:-1]
+            codes = np.sort(flat[:-1][inner] << 32 | flat[1:][inner])
+            pairs = codes[np.diff(codes, prepend=-1) != 0]
+            good = self.compatible(pairs >> 32, pairs & 0xFFFFFFFF)
+            bad = ~good[np.searchsorted(pairs, flat[:-1][inner] << 32 | flat[1:][inner])]
+            again = owner[1:][inner][bad]
+            again = again[np.diff(again, prepend=-1) != 0]
         self.checked, self.failed = self.checked + len(words), self.failed + len(again)
+        ids, ends = flat.astype("<i4").tobytes(), (4 * np.cumsum(sizes)).tolist()
+        out = [ids[i:j] for i, j in zip([0, *ends], ends, strict=False)]
+        short = [k for k in again.tolist() if len(words[k]) <= 256]
+        for k, exact in zip(short, self.exact_many([words[k] for k in short]), strict=True):
+            out[k] = exact
         for k in again.tolist():
-            guessed[k] = self.exact(words[k])
-        return guessed
+            if len(words[k]) > 256:
+                out[k] = array("i", self.exact(words[k])).tobytes()
+        return out
 
     # --- texts ---
 
@@ -198,33 +281,40 @@ class BytePairs:
             out += ["\x00" + part] if k % 2 else _RUNS.findall(part)
         return out
 
-    def learn(self, cut_texts: Iterable[list[str]]) -> dict[str, list[int]]:
+    def learn(self, runs: Iterable[str]) -> Mapping[str, bytes]:
+        """The packed ids of runs, by the table, which has the new ones from now on; long ones are not kept."""
         table = self.table
         if len(table) > self.limit:
             table.clear()
-        new: set[str] = set()
-        for runs in cut_texts:
-            new.update(set(runs).difference(table))
-        names = list(new)
-        plain = [n for n in names if not (n[0] == "\x00" and n[1:] in self.special)]
-        cut = [_WORDS.findall(n) for n in plain]
-        words = list({w for c in cut for w in c}.difference(table))
+        names = [r for r in dict.fromkeys(runs) if r not in table]
+        special = {n: self.special[n[1:]].to_bytes(4, "little") for n in names if n[0] == "\x00" and n[1:] in self.special}
+        cut = {n: _WORDS.findall(n) for n in names if n not in special}
+        words = [w for w in dict.fromkeys(chain.from_iterable(cut.values())) if w not in table]
         fresh = dict(zip(words, self.encode_words([w.encode() for w in words]), strict=True))
-        known = ChainMap(fresh, table)
-        rare = {n: [self.special[n[1:]]] for n in names if n[0] == "\x00" and n[1:] in self.special}
-        for name, c in zip(plain, cut, strict=True):
-            ids = known[c[0]] if len(c) == 1 else [t for w in c for t in known[w]]
-            (table if len(name) <= LONGEST_KEPT else rare)[name] = ids
-        table.update((w, ids) for w, ids in fresh.items() if len(w) <= LONGEST_KEPT)
-        return {**table, **rare} if rare else table
+        kept = {w: ids for w, ids in fresh.items() if len(w) <= LONGEST_KEPT}
+        rare = special if len(kept) == len(fresh) else special | fresh
+        table.update(kept)
+        known = ChainMap(rare, table) if rare else table
+        joined = {n: b"".join([known[w] for w in c]) for n, c in cut.items() if len(c) > 1}
+        table.update((n, ids) for n, ids in joined.items() if len(n) <= LONGEST_KEPT)
+        rare = rare | {n: ids for n, ids in joined.items() if len(n) > LONGEST_KEPT}
+        return ChainMap(rare, table) if rare else table
 
     def encode(self, texts: list[str | None], batch_chars: int = 4 << 20) -> Iterable[np.ndarray]:
-        """The ids of each text, in order."""
+        """The ids of each text, in order: those of its distinct units are found once and gathered."""
         for part in by_size(texts, batch_chars):
-            cut_texts = [self.runs(t or "") for t in part]
-            table = self.learn(cut_texts)
-            for runs in cut_texts:
-                yield np.fromiter(chain.from_iterable(map(table.__getitem__, runs)), np.int32)
+            units, ends = cut_units([t or "" for t in part])
+            coded = units.dictionary_encode()
+            cut = [self.runs(u) for u in coded.dictionary.to_pylist()]
+            table = self.learn(chain.from_iterable(cut))
+            each = [table[c[0]] if len(c) == 1 else b"".join([table[r] for r in c]) for c in cut]
+            starts = np.concatenate([[0], np.cumsum(np.fromiter(map(len, each), np.int64, len(each)) // 4)])
+            flat = np.frombuffer(b"".join(each), "<i4")
+            places = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+            sizes = np.diff(starts)[places]
+            total = np.concatenate([[0], np.cumsum(sizes)])
+            ids = flat[np.arange(total[-1]) + np.repeat(starts[places] - total[:-1], sizes)]
+            yield from np.split(ids, total[ends[:-1]])
 
     def decode(self, ids: Iterable[int]) -> str:
         return b"".join(map(self.bytes.__getitem__, ids)).decode("utf-8", "replace")

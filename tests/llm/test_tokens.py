@@ -90,7 +90,7 @@ def test_guess_and_check_on_all_words(byte):
     rng = np.random.default_rng(1)
     some = [coder.bytes[k] for k in rng.integers(0, 50000, 3000)]
     words = [a + b + c for a, b, c in zip(some, some[1:], some[2:], strict=False)]
-    assert coder.encode_words(words) == [coder.exact(w) for w in words]
+    assert [list(np.frombuffer(ids, "<i4")) for ids in coder.encode_words(words)] == [coder.exact(w) for w in words]
     assert 0 < coder.failed < coder.checked
     left, right = rng.integers(0, 50000, 20000), rng.integers(0, 50000, 20000)
     known = np.array([k in set(coder.guess.values()) for k in range(50257)])
@@ -197,8 +197,10 @@ def test_bins_are_the_best_fitting_of_those_open(lengths, most):
             order += 1
             free[which] = 50
             if n < 50 and len(free) > most:
-                del free[min((k for k in free if k != which), key=lambda k: (free[k], -k))]
-        free[which] -= n
+                # of equally full bins the one that was used last
+                used = {k: place for place, k in enumerate(free)}
+                del free[min((k for k in free if k != which), key=lambda k: (free[k], -used[k]))]
+        free[which] = free.pop(which) - n
         if not free[which]:
             del free[which]
         assert len(free) == bins.open and Counter(free.values()) == Counter({f: len(b) for f, b in enumerate(bins.at) if b})
