@@ -27,6 +27,11 @@ from millrace.llm.common import fresh_path, packed_rows, stage, text_of, unpacke
 INDEX_SCHEMA = "digest binary, holder bigint, n_chars bigint, batch string"
 ROWS_PER_BUCKET = 2_000_000
 LEAST_BUCKETS = 8
+LAYOUT = "buckets int"
+
+
+def buckets_for(rows: int) -> int:
+    return max(LEAST_BUCKETS, -(-rows // ROWS_PER_BUCKET))
 
 
 def digest_of(text):
@@ -42,12 +47,21 @@ class DigestIndex:
     @classmethod
     def create(cls, spark: SparkSession, path: str | None = None, expected_rows: int = 0) -> DigestIndex:
         """An empty index at ``path`` (a new folder below the shared one if none is given)."""
-        buckets = max(LEAST_BUCKETS, -(-expected_rows // ROWS_PER_BUCKET))
-        return cls.open(spark, path or fresh_path(spark, "digests"), buckets)
+        return cls._declare(spark, path or fresh_path(spark, "digests"), buckets_for(expected_rows), new=True)
+
+    @classmethod
+    def open(cls, spark: SparkSession, path: str, buckets: int | None = None) -> DigestIndex:
+        """The index that was created at ``path``, with the bucket number kept there; another number is refused."""
+        stored = spark.read.schema(LAYOUT).parquet(f"{path}/_layout").first()["buckets"]
+        if buckets not in (None, stored):
+            raise ValueError(f"the index at {path} has {stored} buckets, not {buckets}")
+        return cls._declare(spark, path, stored, new=False)
 
     @classmethod
-    def open(cls, spark: SparkSession, path: str, buckets: int) -> DigestIndex:
-        """Declare the table over its folder; the bucket number is part of the folder's layout."""
+    def _declare(cls, spark: SparkSession, path: str, buckets: int, new: bool) -> DigestIndex:
+        """Declare the table over its folder; a new one keeps its bucket number beside the rows, where a table's reader doesn't look."""
+        if new:
+            spark.createDataFrame([(buckets,)], LAYOUT).coalesce(1).write.parquet(f"{path}/_layout")
         table = f"digests_{uuid.uuid4().hex}"
         spark.sql(
             f"CREATE TABLE {table} ({INDEX_SCHEMA}) USING parquet "
@@ -57,6 +71,29 @@ class DigestIndex:
         index.buckets, index.path = buckets, path
         return index
 
+    def close(self) -> None:
+        """Take the table's name out of the catalogue; its folder stays and can be opened again."""
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.table}")
+
+    def rebucket(self, path: str | None = None) -> DigestIndex:
+        """The same digests in a new folder, with buckets for their number; this index is closed."""
+        rows = self.rows()
+        grown = self.create(self.spark, path, rows.count())
+        grown._append(rows)
+        self.close()
+        return grown
+
+    def _append(self, rows: DataFrame) -> None:
+        (
+            rows.repartition(self.buckets, "digest")
+            .sortWithinPartitions("digest")
+            .write.mode("append")
+            .format("parquet")
+            .bucketBy(self.buckets, "digest")
+            .sortBy("digest")
+            .saveAsTable(self.table)
+        )
+
     def rows(self) -> DataFrame:
         return self.spark.table(self.table)
 
@@ -85,15 +122,7 @@ class DigestIndex:
             (-F.col("first.o")).alias("n_chars"),
             F.lit(batch).alias("batch"),
         )
-        (
-            fresh.repartition(self.buckets, "digest")
-            .sortWithinPartitions("digest")
-            .write.mode("append")
-            .format("parquet")
-            .bucketBy(self.buckets, "digest")
-            .sortBy("digest")
-            .saveAsTable(self.table)
-        )
+        self._append(fresh)
         held = self.rows().hint("merge").select("digest", "holder", "batch")
         verdicts = groups.join(held, "digest").select(
             "digest",
@@ -115,8 +144,10 @@ class DigestIndex:
 
 def deduplicate(docs: DataFrame) -> DataFrame:
     """All rows of ``docs`` with their fate, against an index that starts empty."""
-    spark = docs.sparkSession
-    return DigestIndex.create(spark, expected_rows=docs.count()).add(docs, "first")
+    index = DigestIndex.create(docs.sparkSession, expected_rows=docs.count())
+    found = index.add(docs, "first")  # reads staged rows only
+    index.close()
+    return found
 
 
 def distinct(docs: DataFrame) -> DataFrame:

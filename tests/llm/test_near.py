@@ -161,6 +161,35 @@ def test_index_lasts_over_batches(spark):
     assert "SortMergeJoin" in text and text.count("Exchange hashpartitioning") == 1
 
 
+def test_an_index_keeps_its_bucket_number(spark, monkeypatch):
+    monkeypatch.setattr(digest_index, "ROWS_PER_BUCKET", 10)
+    path = fresh_path(spark, "index")
+    docs = load(spark, FOLDER, "documents")
+    index = digest_index.DigestIndex.create(spark, path)
+    index.add(docs.filter("doc_id % 2 = 0"), "a")
+    index.close()
+    with pytest.raises(ValueError):
+        digest_index.DigestIndex.open(spark, path, index.buckets + 8)
+    again = digest_index.DigestIndex.open(spark, path)
+    assert again.buckets == index.buckets == 8
+
+    # a batch that fails before it is appended changes nothing, and a table that has grown gets more buckets
+    before = again.rows().count()
+    with monkeypatch.context() as m:
+        m.setattr(digest_index.DigestIndex, "_append", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            again.add(docs, "b")
+    assert again.rows().count() == before
+    grown = again.rebucket()
+    assert grown.buckets == -(-before // 10) > 8 and grown.rows().count() == before
+    known = {bytes(r[0]) for r in grown.rows().select("digest").collect()}
+    rows = grown.add(docs, "b").collect()
+    assert not [r for r in rows if r.kept and bytes.fromhex(r.text_sha256) in known]
+    assert len(rows) == docs.count() and sum(r.kept for r in rows) == grown.rows().count() - before
+    grown.close()
+    assert not [t for t in spark.catalog.listTables() if t.name in (index.table, again.table, grown.table)]
+
+
 def plain_counts(text):
     text = text or ""
     words = re.findall(r"[^\x20\x09-\x0D]+", text)
