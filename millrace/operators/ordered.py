@@ -345,26 +345,27 @@ def exact_quantiles(
         return found.withColumn("_base", F.col("_base") + F.col("_end") - F.col("_rows")).drop("_end")
 
     # the ranges of one key don't overlap, so the key and the lowest value name a range
-    at = [*by, "_from"]
-    places = stage(located(wanted, parts, by), "places")
-    done = places.filter("_low = _high").select(*by, "n", "_place", F.col("_low").alias("_at"))
+    at, done = [*by, "_from"], None
+    most = parts.agg(F.sum("_rows")).first()[0] or 0
+    places = located(wanted, parts, by)
     while True:
+        found = places.filter("_low = _high").select(*by, "n", "_place", F.col("_low").alias("_at"))
+        done = found if done is None else done.unionByName(found)
         open_ = places.filter("_low < _high").select(*by, "n", "_place", "_base", "_rows", F.col("_low").alias("_from"), F.col("_high").alias("_to"))
-        ranges = open_.select(*by, "_from", "_to", "_rows").distinct()
-        left = ranges.agg(F.sum("_rows").alias("rows"), F.max("_rows").alias("most")).first()
-        if not left["rows"]:
-            break
-        names = ranges.select(*[F.col(k).alias(f"_w_{k}") for k in by], "_from", "_to")
+        names = open_.select(*[F.col(k).alias(f"_w_{k}") for k in by], "_from", "_to").distinct()
         rows = _null_safe(known, broadcast_within(names), by, (F.col("_v") >= F.col("_from")) & (F.col("_v") <= F.col("_to")))
-        last = left["most"] <= rows_per_task
-        part = F.col("_v") if last else _next_part(F.col("_v"), F.col("_from"), F.col("_to"))
-        parts = stage(rows.groupBy(*at, part.alias("_part")).agg(*counted), "value-parts")
-        one = parts.groupBy(*at).count().filter("count = 1").limit(1)
-        if not last and not one.isEmpty():
+        values = rows.groupBy(*at, F.col("_v").alias("_part")).agg(*counted)
+        if most <= rows_per_task:
+            # no range has more rows than that: its values are counted, and every place is found
+            last = located(open_.drop("_rows", "_to"), values, at)
+            done = done.unionByName(last.select(*by, "n", "_place", F.col("_low").alias("_at")))
+            break
+        parts = stage(rows.groupBy(*at, _next_part(F.col("_v"), F.col("_from"), F.col("_to")).alias("_part")).agg(*counted), "value-parts")
+        if not parts.groupBy(*at).count().filter("count = 1").limit(1).isEmpty():
             # doubles can't tell the ends of a range apart any more: its values are few
-            parts = stage(rows.groupBy(*at, F.col("_v").alias("_part")).agg(*counted), "value-parts")
+            parts = stage(values, "value-parts")
         places = stage(located(open_.drop("_rows", "_to"), parts, at).drop("_from"), "places")
-        done = done.unionByName(places.filter("_low = _high").select(*by, "n", "_place", F.col("_low").alias("_at")))
+        most = places.filter("_low < _high").agg(F.max("_rows")).first()[0] or 0
 
     aggs, results = [F.max("n").alias("n")], []
     for name, q in quantiles.items():
