@@ -10,7 +10,7 @@ from millrace.operators import custom as U
 from millrace.operators import skew as K
 from millrace.operators import tables as T
 from millrace.operators.aggregate import money_sum
-from millrace.operators.partitions import partition_counts
+from millrace.operators.partitions import partition_counts, plan_facts
 from millrace.plans import derived as D
 from millrace.plans.registry import query
 from millrace.session import shared, stage
@@ -104,6 +104,39 @@ def salted_join(spark, folder):
     return K.salted_join(orders, totals, ["customer"], ["o_orderkey"], rows_per_task=5_000)
 
 
+@query(
+    "skew_broadcast_join",
+    f"""WITH {D.HOT_ORDERS}, dim AS (SELECT customer, round(sum(o_totalprice), 2) AS total FROM hot GROUP BY 1)
+        SELECT o_orderkey, h.customer, o_totalprice, total FROM hot h JOIN dim d ON h.customer = d.customer""",
+)
+def skew_broadcast_join(spark, folder):
+    """The same join without moving the skewed side at all: the other side is stored, and sent whole as its bytes are few."""
+    orders = D.hot_orders(spark, folder).drop("o_custkey")
+    totals = stage(orders.groupBy("customer").agg(F.round(F.sum("o_totalprice"), 2).alias("total")), "totals")
+    return orders.join(K.broadcast_within(totals), "customer").select("o_orderkey", "customer", "o_totalprice", "total")
+
+
+@query(
+    "plan_inspection",
+    """SELECT plan, shuffles, broadcasts, sorts, python_steps, (SELECT count(*) FROM orders) AS n_orders FROM (VALUES
+         ('filter', 0, 0, 0, 0), ('sum by key', 1, 0, 0, 0), ('merge join', 2, 0, 2, 0), ('broadcast join', 0, 1, 0, 0), ('blocks in Python', 0, 0, 0, 1))
+       t(plan, shuffles, broadcasts, sorts, python_steps)""",
+)
+def plan_inspection(spark, folder):
+    """What plans are going to do, read off before they run."""
+    orders, customers = load(spark, folder, "orders"), load(spark, folder, "customer")
+    same = c("o_custkey") == c("c_custkey")
+    plans = {
+        "filter": orders.filter("o_totalprice > 1000").select("o_orderkey"),
+        "sum by key": orders.groupBy("o_custkey").agg(F.sum("o_totalprice")),
+        "merge join": orders.hint("merge").join(customers, same),
+        "broadcast join": orders.join(F.broadcast(customers), same),
+        "blocks in Python": U.map_partitions(orders.select("o_orderkey"), dict, lambda _, frame: frame, "o_orderkey bigint"),
+    }
+    facts = [F.struct(F.lit(name).alias("plan"), *[F.lit(n).alias(k) for k, n in plan_facts(df).items()]) for name, df in plans.items()]
+    return orders.agg(F.count(F.lit(1)).alias("n_orders")).select(F.inline(F.array(*facts)), "n_orders")
+
+
 def _labels(sizes: pd.Series) -> pd.Series:
     out = sizes.astype("string")
     out[sizes % 3 == 0] = "three"

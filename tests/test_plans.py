@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators.aggregate import first_look
 from millrace.operators.joins import merge_join, store_sorted
-from millrace.operators.partitions import plan_text
+from millrace.operators.partitions import plan_facts, plan_text
 from millrace.plans import queries
 from millrace.plans.joins import join_broadcast, join_sortmerge
 from millrace.session import fresh_path, shared
@@ -97,5 +97,14 @@ def test_a_shared_frame_is_scanned_once(spark):
     assert "InMemoryTableScan" not in plan(once.groupBy("k").agg(F.max("id")))
 
 
+def test_plan_facts(spark):
+    df = spark.range(100).selectExpr("id", "id % 3 as k")
+    assert plan_facts(df) == {"shuffles": 0, "broadcasts": 0, "sorts": 0, "python_steps": 0}
+    ranked = df.repartitionByRange(4, "id").sortWithinPartitions("id").mapInArrow(lambda b: b, df.schema)
+    assert plan_facts(ranked) == {"shuffles": 1, "broadcasts": 0, "sorts": 1, "python_steps": 1}
+    assert plan_facts(df.join(F.broadcast(df.groupBy("k").count()), "k"))["broadcasts"] == 1
+    assert "BroadcastHashJoin" in plan(queries()["skew_broadcast_join"](spark, FOLDER))
+
+
 def test_plan_text(spark):
     assert "Range" in plan_text(spark.range(3))
