@@ -25,6 +25,8 @@ import re
 from array import array
 from collections import ChainMap
 from collections.abc import Iterable
+from itertools import chain
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +38,7 @@ SPACE_CLASS = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _RUNS = re.compile(f" ?[^{SPACE_CLASS}]+|[{SPACE_CLASS}]+(?![^{SPACE_CLASS}])|[{SPACE_CLASS}]")
 
 TABLE_PIECES = 800_000
+WORDS_AT_ONCE = 32_768
 LONGEST_KEPT = 64
 
 
@@ -51,6 +54,18 @@ def cutting(path: str) -> str:
     return "whole"
 
 
+def word_ends(path: str) -> np.ndarray | None:
+    """Which ids end a word, where the model marks them."""
+    with open(path, encoding="utf-8") as f:
+        model = json.load(f)["model"]
+    mark, vocab = model.get("end_of_word_suffix"), model["vocab"]
+    if not mark:
+        return None
+    ends = np.zeros(max(vocab.values()) + 1024, bool)  # ids of added tokens follow those of the model
+    ends[[k for token, k in vocab.items() if token.endswith(mark)]] = True
+    return ends
+
+
 class Pieces:
     """Ids of texts as little-endian unsigned 32-bit integers, or their number."""
 
@@ -64,6 +79,7 @@ class Pieces:
         self.tokenizer.no_padding()
         self.table: dict = {}
         special = [(t.content, k) for k, t in sorted(self.tokenizer.get_added_tokens_decoder().items()) if t.special]
+        self.ends = word_ends(path) if self.cut == "words" else None
         self.mark, self.mark_id = special[-1] if special and special[-1][0].startswith("<|") else (None, None)
 
     def cut_texts(self, texts: list[str]) -> tuple[pa.Array, np.ndarray]:
@@ -89,9 +105,14 @@ class Pieces:
         if len(table) > self.limit:
             table.clear()
         new = [n for n in names if n not in table]
-        rare = {}
-        for name, ids in zip(new, self._encode_each(new), strict=True):
-            (table if len(name) <= LONGEST_KEPT else rare)[name] = ids
+        plain = [n for n in new if n.isalpha() and n.lower() == n and is_normalized("NFC", n)] if self.ends is not None else []
+        found = dict(zip(plain, self._encode_plain(plain), strict=True))
+        new = [n for n in new if n not in found]
+        found.update(zip(new, self._encode_each(new), strict=True))
+        rare = {n: ids for n, ids in found.items() if len(n) > LONGEST_KEPT}
+        table.update(found)
+        for n in rare:
+            del table[n]
         found = ChainMap(rare, table) if rare else table
         return [found[n] for n in names]
 
@@ -123,6 +144,22 @@ class Pieces:
             for a, b in zip(edges, edges[1:], strict=False):
                 yield raw[a:b]
 
+    def _encode_plain(self, names: list[str]) -> Iterable[bytes]:
+        """The ids of words of small letters alone, many at a time: the last id of each is one that ends a word."""
+        for at in range(0, len(names), WORDS_AT_ONCE):
+            part = names[at : at + WORDS_AT_ONCE]
+            lots = [" ".join(part[k : k + 64]) for k in range(0, len(part), 64)]
+            coded = self.tokenizer.encode_batch_fast(lots, add_special_tokens=False)
+            flat = np.fromiter(chain.from_iterable(e.ids for e in coded), np.int64)
+            stops = (4 * (np.flatnonzero(self.ends[flat]) + 1)).tolist()
+            if len(stops) != len(part):
+                yield from self._encode_each(part)
+                continue
+            raw, start = flat.astype("<u4").tobytes(), 0
+            for stop in stops:
+                yield raw[start:stop]
+                start = stop
+
     def _encode_each(self, names: list[str]) -> Iterable[bytes]:
         """The ids of each piece.
 

@@ -183,6 +183,15 @@ def test_packing(spark, word, monkeypatch):
     assert sum(len(r.ids) for r in whole) == sum(len(ids(word, r.text)) + 1 for r in rows_of(odd_documents(spark)))
 
 
+def test_words_that_change_when_lowered_or_composed(word):
+    """Letters whose lower case or composed form is several characters, and others that never are words of letters alone."""
+    letters = ["a", "Z", "\u0130", "e\u0301", "\u00df", "\u1e9e", "\ufb01", "\u01c5", "\u02b0", "\uac00", "\u1100\u1161", "\u00aa", "\u2177", "\u212b", "\u2126", "\ufdfa", "\u0915\u093f"]
+    rng = np.random.default_rng(4)
+    texts = [" ".join("".join(rng.choice(letters, rng.integers(1, 7))) for _ in range(rng.integers(1, 9))) for _ in range(2000)]
+    pieces = Pieces(WORD, table_pieces=500)
+    assert [np.frombuffer(x, "<u4").tolist() for x in pieces.ids(texts, 20_000)] == [ids(word, t) for t in texts]
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.integers(1, 50), max_size=200), st.integers(1, 5))
 def test_bins_are_the_best_fitting_of_those_open(lengths, most):
