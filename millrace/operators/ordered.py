@@ -325,7 +325,9 @@ def exact_quantiles(
     in such parts are few enough to be counted value by value.
     """
     by = list(keys) or ["_all"]
-    known = df.filter(F.col(value).isNotNull()).select(*([*keys] if keys else [F.lit(0).alias("_all")]), F.col(value).alias("_v"))
+    # without keys all rows have the key 0, written so that the planner keeps it as a key to join by
+    group = [*keys] if keys else [F.pmod(F.xxhash64(value), F.lit(1)).alias("_all")]
+    known = df.filter(F.col(value).isNotNull()).select(*group, F.col(value).alias("_v"))
     counted = (F.count(F.lit(1)).alias("_rows"), F.min("_v").alias("_low"), F.max("_v").alias("_high"))
     parts = stage(known.groupBy(*by, _first_part(F.col("_v").cast("double")).alias("_part")).agg(*counted), "value-parts")
 
