@@ -200,7 +200,8 @@ def validate_records(df: DataFrame, document: str, fields: Sequence[Field], unkn
     default. ``unknown="forbid"`` makes any field outside the list an error.
     """
     raw = F.from_json(F.col(document), "map<string,string>")
-    df = df.withColumn("_raw", raw)
+    # the parsed record comes out of a generator: the planner would else put the parsing itself into each use of it
+    df = df.withColumn("_raw", F.explode(F.array(raw)))
     values, errors = [], []
 
     def problem(name: str | Column, reason: str) -> Column:

@@ -42,7 +42,7 @@ def etl_end_to_end(spark, folder):
         Q.Field("category", "string", required=False, default="uncategorized"),
     ]
     for _ in range(2):
-        raw = stage(paged.fetch(spark, path, wait=0.01), "extract")
+        raw = paged.fetch(spark, path, wait=0.01)
         paged.dead_letters(raw, lost)
         records = raw.filter("status = 'ok'").select(c("record").alias("document"))
         checked = Q.validate_records(records, "document", fields).filter(F.size("errors") == 0)

@@ -1,4 +1,4 @@
-"""Paged extracts as a Spark data source: each task fetches one page, or a run of pages.
+"""Paged extracts as a Spark data source: each task fetches a run of pages.
 
 A page is fetched by the task it belongs to, tried again with growing waits, and
 given up after a number of tries; the page then shows as one failed row.
@@ -239,6 +239,8 @@ def _typed(raw: DataFrame, schema: str) -> DataFrame:
 
 #: Pages of the first wave of an extract whose length is not known.
 WAVE = 16
+#: Tasks of a wave for each core: a task costs more than a page does, so longer waves have longer runs of pages.
+TASKS_A_CORE = 4
 
 
 def fetch(spark: SparkSession, location: str, pages: int | None = None, attempts: int = 3, wait: float = 0.5) -> DataFrame:
@@ -247,10 +249,12 @@ def fetch(spark: SparkSession, location: str, pages: int | None = None, attempts
     Without ``pages`` the extract ends before the first empty page. Pages are then
     fetched in waves, each twice as long as the one before, until a wave
     has met an empty page; what lies behind it is left out. The page itself says
-    that it is empty, by the same fetch with its tries, so no page is jumped.
+    that it is empty, by the same fetch with its tries, so no page is jumped. The waves
+    are stored, so the result may be read several times.
     """
     spark.dataSource.register(PagedSource)
-    reader = spark.read.format("paged_json").options(location=location, attempts=str(attempts), wait=str(wait))
+    tasks = TASKS_A_CORE * spark.sparkContext.defaultParallelism
+    reader = spark.read.format("paged_json").options(location=location, attempts=str(attempts), wait=str(wait), max_tasks=str(tasks))
     if pages is not None:
         return reader.options(pages=str(pages)).load().filter("status <> 'empty'")
     first, length, found, end = 0, WAVE, None, None

@@ -254,6 +254,13 @@ def test_record_validation(spark):
     assert got[texts[4]][3] == [" not a JSON object"]
 
 
+def test_records_are_parsed_once(spark):
+    fields = [Q.Field("id", "int"), Q.Field("price", "double", minimum=0), Q.Field("stock", "boolean", False, True)]
+    docs = spark.range(3).select(F.concat(F.lit('{"id": '), "id", F.lit("}")).alias("doc"))
+    kept = Q.validate_records(docs, "doc", fields).filter(F.size("errors") == 0)
+    assert kept._jdf.queryExecution().optimizedPlan().toString().count("from_json") == 1
+
+
 # documents
 
 
