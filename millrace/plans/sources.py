@@ -388,12 +388,16 @@ PAGE_ROWS = 1000
 
 
 def write_pages(spark, folder):
-    """Orders as numbered JSON pages; every seventh page holds the server's error instead."""
+    """Orders as numbered JSON pages; every seventh page holds the server's error instead.
+
+    A page is a small file, so the tasks that write them are counted by cores and not by bytes.
+    """
     path = fresh_path(spark, "pages")
     orders = load(spark, folder, "orders").withColumn("page", F.floor(c("o_orderkey") / PAGE_ROWS).cast("int"))
     items = F.to_json(F.struct(F.collect_list(F.struct("o_orderkey", "o_totalprice")).alias("items")))
     body = F.when(c("page") % 7 == 3, '{"error": "503 from the server"}').otherwise(c("items"))
-    pages = orders.groupBy("page").agg(items.alias("items"))
+    dealt = orders.repartition(paged.TASKS_A_CORE * spark.sparkContext.defaultParallelism, "page")
+    pages = dealt.groupBy("page").agg(items.alias("items"))
     pages.select("page", body.alias("value")).write.partitionBy("page").text(path)
     return path
 

@@ -1,11 +1,13 @@
 """Files, pages, footers and database options."""
 
 import glob
+from pathlib import Path
 
 import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
+from millrace.plans.sources import write_pages
 from millrace.session import fresh_path, shared_folder
 from millrace.sources import files, footers, html, incremental, jdbc, paged
 
@@ -163,6 +165,24 @@ def test_pages_end_with_the_first_empty_one(spark, tmp_path, n):
     assert sorted((r["page"], r["k"]) for r in got) == [(k, k) for k in range(n)]
 
 
+def test_a_long_extract_has_tasks_by_cores(spark, tmp_path):
+    """One task a page would make more tasks, and more small files, with every page."""
+    for k in range(100):
+        write_page(tmp_path, k, f'{{"items": [{{"k": {k}}}]}}')
+    most = paged.TASKS_A_CORE * spark.sparkContext.defaultParallelism
+    got = paged.fetch(spark, str(tmp_path), pages=100, attempts=1)
+    assert got.rdd.getNumPartitions() <= most and got.count() == 100
+    waves = paged.fetch(spark, str(tmp_path), attempts=1)
+    assert len(waves.inputFiles()) <= 3 * most and sorted(r["page"] for r in waves.collect()) == list(range(100))
+
+
+def test_pages_are_written_by_many_tasks(spark):
+    """However few bytes they are: a page is a file, and one task would write all of them."""
+    path = write_pages(spark, "/root/testdata/sf0.01")
+    tasks = {f.name.split("-")[1] for f in Path(path.removeprefix("file:")).glob("page=*/part-*")}
+    assert len(tasks) > 1
+
+
 def test_a_stream_goes_on_from_its_cursor(spark, tmp_path):
     pages, out, checkpoint = tmp_path / "pages", str(tmp_path / "out"), str(tmp_path / "checkpoint")
     pages.mkdir()
