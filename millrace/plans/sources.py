@@ -424,7 +424,8 @@ def cursor_stream(spark, folder):
     """Pages that name their successor, as a stream: the second run goes on from the cursor in the checkpoint of the first."""
     path, out, checkpoint = (fresh_path(spark, x) for x in ("chain", "extract", "checkpoint"))
     numbered = load(spark, folder, "orders").withColumn("number", F.floor(c("o_orderkey") / PAGE_ROWS))
-    pages = numbered.groupBy("number").agg(F.collect_list(F.struct("o_orderkey", "o_totalprice")).alias("items"))
+    dealt = numbered.repartition(paged.TASKS_A_CORE * spark.sparkContext.defaultParallelism, "number")
+    pages = dealt.groupBy("number").agg(F.collect_list(F.struct("o_orderkey", "o_totalprice")).alias("items"))
     name = F.concat(F.lit("c"), c("number").cast("string"))
     places = global_index(numbered.select("number").distinct(), ["number"], "place")
     later = places.select((c("place") - 1).alias("place"), c("number").alias("later"))

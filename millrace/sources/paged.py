@@ -18,6 +18,10 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStrea
 from millrace.session import stage
 
 
+#: Tasks of an extract for each core: a task costs more than a page does, so longer extracts have longer runs of pages.
+TASKS_A_CORE = 4
+
+
 class PageError(Exception):
     """The page could not be fetched this time."""
 
@@ -143,10 +147,14 @@ class PagedSource(DataSource):
 
 
 class Cursor(InputPartition):
-    """The page that a cursor names."""
+    """The pages that a run of cursors names; ``name`` is the first one."""
 
-    def __init__(self, name: str):
-        self.name = name
+    def __init__(self, names: list[str]):
+        self.names = names
+
+    @property
+    def name(self) -> str:
+        return self.names[0]
 
 
 class CursorReader(DataSourceStreamReader):
@@ -154,7 +162,7 @@ class CursorReader(DataSourceStreamReader):
 
     The driver follows the links of at most ``pages_per_batch`` pages, one at a time as
     only a page names its successor, and keeps the names; the records are fetched by the
-    tasks, one page each. The checkpoint holds the cursor that comes next, so a run
+    tasks, a run of pages each. The checkpoint holds the cursor that comes next, so a run
     goes on where the last one stopped. A page that isn't there yet ends a batch.
     """
 
@@ -164,6 +172,7 @@ class CursorReader(DataSourceStreamReader):
         self.attempts = int(options.get("attempts", "3"))
         self.base = float(options.get("wait", "0.5"))
         self.most = int(options.get("pages_per_batch", "1000"))
+        self.max_tasks = int(options.get("max_tasks", "10000"))
         self.at: dict | None = None
         self.links: dict[str, str | None] = {}
 
@@ -198,21 +207,22 @@ class CursorReader(DataSourceStreamReader):
             name = self._link(name) or ""
         for done in names:
             self.links.pop(done, None)
-        return [Cursor(n) for n in names]
+        return [Cursor(names[r.first : r.last]) for r in page_runs(len(names), self.max_tasks)]
 
     def read(self, partition: Cursor) -> Iterator[tuple]:
-        try:
-            for record in fetch_with_retry(lambda: fetch_page(self.location, partition.name), self.attempts, self.base):
-                yield (partition.name, "ok", record)
-        except (PageError, OSError) as error:
-            yield (partition.name, "failed", str(error))
+        for name in partition.names:
+            try:
+                for record in fetch_with_retry(lambda n=name: fetch_page(self.location, n), self.attempts, self.base):
+                    yield (name, "ok", record)
+            except (PageError, OSError) as error:
+                yield (name, "failed", str(error))
 
     def commit(self, end: dict) -> None:
         """Nothing to release: the source keeps its pages."""
 
 
 class CursorSource(DataSource):
-    """``spark.readStream.format("cursor_json")`` with options location, start, pages_per_batch, attempts, wait."""
+    """``spark.readStream.format("cursor_json")`` with options location, start, pages_per_batch, attempts, wait, max_tasks."""
 
     @classmethod
     def name(cls) -> str:
@@ -228,7 +238,8 @@ class CursorSource(DataSource):
 def stream_cursor(spark: SparkSession, location: str, start: str, schema: str, pages_per_batch: int = 1000) -> DataFrame:
     """A stream of typed records along a chain of pages; failed pages are rows of status ``failed``."""
     spark.dataSource.register(CursorSource)
-    options = {"location": location, "start": start, "pages_per_batch": str(pages_per_batch)}
+    tasks = TASKS_A_CORE * spark.sparkContext.defaultParallelism
+    options = {"location": location, "start": start, "pages_per_batch": str(pages_per_batch), "max_tasks": str(tasks)}
     return _typed(spark.readStream.format("cursor_json").options(**options).load(), schema)
 
 
@@ -239,8 +250,6 @@ def _typed(raw: DataFrame, schema: str) -> DataFrame:
 
 #: Pages of the first wave of an extract whose length is not known.
 WAVE = 16
-#: Tasks of a wave for each core: a task costs more than a page does, so longer waves have longer runs of pages.
-TASKS_A_CORE = 4
 
 
 def fetch(spark: SparkSession, location: str, pages: int | None = None, attempts: int = 3, wait: float = 0.5) -> DataFrame:

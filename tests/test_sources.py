@@ -217,6 +217,16 @@ def test_a_failed_page_of_a_stream_is_a_row(spark, tmp_path):
     assert [p.name for p in again.partitions(start, end)] == ["a", "b"] and again.latestOffset() == end
 
 
+def test_a_long_chain_has_few_tasks(tmp_path):
+    for k in range(30):
+        write_page(tmp_path, f"c{k}", '{"error": "busy", "next": "c5"}' if k == 4 else f'{{"items": [{{"k": {k}}}], "next": "c{k + 1}"}}')
+    reader = paged.CursorReader({"location": str(tmp_path), "start": "c0", "attempts": "1", "max_tasks": "7"})
+    parts = reader.partitions(reader.initialOffset(), reader.latestOffset())
+    assert len(parts) <= 7
+    want = [(f"c{k}", "failed", "busy") if k == 4 else (f"c{k}", "ok", f'{{"k": {k}}}') for k in range(30)]
+    assert [r for p in parts for r in reader.read(p)] == want
+
+
 def test_zone_maps_leave_files_unopened(spark):
     path = fresh_path(spark, "zones")
     rows = spark.range(1000).selectExpr("id", "id * 0.5 as x", "timestamp'2024-01-01' + make_interval(0, 0, 0, cast(id as int)) as t", "if(id < 100, null, cast(id as string)) as s")
