@@ -220,10 +220,10 @@ _EVEN = ("l_orderkey", "l_partkey", "l_quantity", "l_extendedprice")
     ints="bytes_a_row",
 )
 def parquet_footer_bytes(spark, folder):
-    """Bytes, encodings and the share of a read of two columns, of a file whose layout is known: four columns of plain 8-byte values."""
+    """Bytes, encodings and the share of a read of two columns, of files whose layout is known: four columns of plain 8-byte values."""
     path = fresh_path(spark, "plain")
     options = {"compression": "none", "parquet.enable.dictionary": "false"}
-    load(spark, folder, "lineitem").select(*_EVEN).coalesce(1).write.options(**options).parquet(path)
+    load(spark, folder, "lineitem").select(*_EVEN).write.options(**options).parquet(path)
     profile = footers.footer_profile(spark.read.schema(f"{_EVEN[0]} bigint, {_EVEN[1]} bigint, {_EVEN[2]} double, {_EVEN[3]} double").parquet(path))
     keys = footers.subset_share(profile, _EVEN[:2]).select(F.round("share", 2)).scalar()
     bytes_a_row = F.floor(c("uncompressed") / c("n_rows")).cast("int").alias("bytes_a_row")

@@ -7,9 +7,10 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.plans.sources import write_pages
+from millrace.plans.sources import parquet_footer_bytes, write_pages
 from millrace.session import fresh_path, shared_folder
 from millrace.sources import files, footers, html, incremental, jdbc, paged
+from millrace.tables import load
 
 
 class FakeSession:
@@ -243,6 +244,16 @@ def test_zone_maps_leave_files_unopened(spark):
     assert footers.matching(unknown, {"s": ("zzz", "zzzz")}).count() >= 1
 
 
+def test_footer_bytes_of_many_files(spark, tmp_path, monkeypatch):
+    """The table is written by as many tasks as read it."""
+    lines = load(spark, "/root/testdata/sf0.01", "lineitem")
+    lines.repartition(4).write.parquet(str(tmp_path / "lineitem.parquet"))
+    seen, profile = [], footers.footer_profile
+    monkeypatch.setattr(footers, "footer_profile", lambda df: seen.extend(df.inputFiles()) or profile(df))
+    got = parquet_footer_bytes(spark, str(tmp_path)).collect()
+    assert len(seen) > 1 and {(r["n_rows"], r["bytes_a_row"], r["share"], r["keys_share"]) for r in got} == {(lines.count(), 8, 0.25, 0.5)}
+
+
 def test_one_hour_is_one_prefix(spark):
     path = fresh_path(spark, "hours")
     rows = spark.range(100).selectExpr("id", "timestamp'2024-01-05 00:00:00' + make_interval(0, 0, 0, 0, cast(id as int)) as ts")
