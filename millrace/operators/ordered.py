@@ -349,7 +349,8 @@ def exact_quantiles(
     # the ranges of one key don't overlap, so the key and the lowest value name a range
     at, done = [*by, "_from"], None
     most = parts.agg(F.sum("_rows")).first()[0] or 0
-    places = located(wanted, parts, by)
+    # stored, so that the planner knows how small they are: else it would shuffle all rows by key to join them
+    places = stage(located(wanted, parts, by), "places")
     while True:
         found = places.filter("_low = _high").select(*by, "n", "_place", F.col("_low").alias("_at"))
         done = found if done is None else done.unionByName(found)

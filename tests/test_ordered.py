@@ -252,3 +252,12 @@ def test_missing_days(spark):
     df = spark.sql("select date'2024-03-02' as d union all select date'2024-03-04'")
     gaps = O.missing_days(df, "d", "2024-03-01", "2024-03-05")
     assert sorted(str(r["d"]) for r in gaps.collect()) == ["2024-03-01", "2024-03-03", "2024-03-05"]
+
+
+def test_quantiles_of_few_keys_join_their_ranges_by_broadcast(spark, monkeypatch):
+    """The planner has to know that the ranges are few, or all rows are shuffled by key."""
+    seen, ask = [], O.broadcast_within
+    monkeypatch.setattr(O, "broadcast_within", lambda df: seen.append(int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) or ask(df))
+    df = spark.range(20_000).select((F.col("id") % 8).alias("k"), F.exp((F.col("id") * 7919 % 20_000) / 100).alias("v"))
+    assert O.exact_quantiles(df, ["k"], "v", {"a": 0.25, "b": 0.5, "c": 0.75}, 100).count() == 8
+    assert len(seen) > 1 and max(seen) < 1 << 20
