@@ -26,6 +26,11 @@ def column_function(function: Callable[[pd.Series], pd.Series], kind: str) -> Ca
     return F.pandas_udf(function, kind)
 
 
+def arrow_function(function: Callable[[pa.Array], pa.Array], kind: str) -> Callable[[Column], Column]:
+    """The same for a function of Arrow columns: a block of long texts need not become a Python object for each text."""
+    return F.arrow_udf(function, kind)
+
+
 def map_partitions(df: DataFrame, setup: Callable[[], object], function: Callable, schema: str) -> DataFrame:
     """Apply ``function(resource, frame)`` to blocks of rows; ``setup`` runs once per partition."""
 

@@ -108,3 +108,13 @@ def test_plan_facts(spark):
 
 def test_plan_text(spark):
     assert "Range" in plan_text(spark.range(3))
+
+
+def test_composed_texts_are_not_all_objects_at_once(spark):
+    import pyarrow as pa
+
+    from millrace.plans.physical import _composed
+
+    want = ["\u00e9a", None, "", "a\u00e9"] * 60
+    assert _composed(pa.array(["e\u0301a", None, "", "ae\u0301"] * 60)).to_pylist() == want
+    assert _composed(pa.array([], pa.string())).to_pylist() == []
