@@ -333,8 +333,12 @@ def rises_and_middle(orders):
            SELECT doc_id, regexp_extract_all(text, '[\p{L}\p{M}]+') AS l FROM documents)) GROUP BY 1""",
 )
 def udtf_tokens(spark, folder):
-    """One text to many rows: its words, in any language."""
-    rows = U.words(load(spark, folder, "documents").select("doc_id", "text"), "text").filter("word is not null")
+    """One text to many rows: its words, in any language.
+
+    The texts are dealt by document before they become rows, so what moves is the texts and not a row per word.
+    """
+    texts = load(spark, folder, "documents").select("doc_id", "text").repartition("doc_id")
+    rows = U.words(texts, "text").filter("word is not null")
     return rows.groupBy("doc_id").agg(
         F.count("word").alias("n_words"), F.count_distinct("word").alias("n_distinct"), F.max("pos").alias("last_pos")
     )

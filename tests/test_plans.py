@@ -110,6 +110,12 @@ def test_plan_text(spark):
     assert "Range" in plan_text(spark.range(3))
 
 
+def test_words_move_as_texts(spark):
+    """The one shuffle of the word counts lies below the step that makes a row per word."""
+    plan = queries()["udtf_tokens"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and plan.index("Generate") < plan.index("Exchange hashpartitioning")
+
+
 def test_composed_texts_are_not_all_objects_at_once(spark):
     import pyarrow as pa
 
