@@ -56,6 +56,30 @@ def test_moving_average_over_batches(spark):
     assert len(got) == len(rows) == len(emitted)
 
 
+def test_many_keys_are_few_calls(spark, monkeypatch):
+    monkeypatch.setattr(W, "BUCKETS", 3)
+    rng = random.Random(7)
+    rows = [(rng.choice([None, *range(40)]), i, i, rng.choice([None, float(i % 17)])) for i in range(400)]
+    source, checkpoints = fresh_path(spark, "keyed"), [fresh_path(spark, "cp") for _ in range(2)]
+    averages, totals = fresh_path(spark, "averages"), fresh_path(spark, "totals")
+    for part in (rows[:250], rows[250:]):
+        spark.createDataFrame(part, SCHEMA).write.mode("append").parquet(source)
+        stream = S.stream_files(spark, source, SCHEMA)
+        mean = W.moving_average(stream, "user_id", ["ts", "event_id"], "event_id", "value", 4)
+        S.run_batches(mean, S.epoch_sink(averages), checkpoints[0])
+        S.run_batches(W.count_windows(stream, "user_id", ["ts", "event_id"], "value", 4), S.epoch_sink(totals), checkpoints[1])
+    assert all(spark.read.format("statestore").load(path).count() <= 3 for path in checkpoints)
+    got = {r["event_id"]: r["average"] for r in spark.read.parquet(averages).collect()}
+    own = {user: [r for r in rows if r[0] == user] for user, *_ in rows}
+    assert len(own) == 41 and len(got) == len(rows)
+    for group in own.values():
+        for i, r in enumerate(group):
+            last = [x[3] for x in group[max(0, i - 3) : i + 1] if x[3] is not None]
+            assert got[r[2]] == (sum(last) / len(last) if last else None)
+    want = {(u, i // 4): sum(x[3] or 0.0 for x in group[i : i + 4]) for u, group in own.items() for i in range(0, len(group) - 3, 4)}
+    assert {(r["user_id"], r["window_no"]): r["total"] for r in spark.read.parquet(totals).collect()} == want
+
+
 def test_late_rows_change_their_day(spark):
     raw, out = fresh_path(spark, "raw"), fresh_path(spark, "out")
     consume = W.recompute_days(
