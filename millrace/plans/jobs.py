@@ -73,10 +73,10 @@ def etl_end_to_end(spark, folder):
 def etl_gated(spark, folder):
     """Hard stops first, then good rows to the table by month and the others to the rejects."""
     batch = Q.refuse_unusable(shipments(spark, folder), ["order_no", "supplier_no", "net", "flag"], {"order_no": 0.5, "net": 0.5})
-    found = Q.audit(batch, shipment_rules(spark, folder))
+    accepted, rejected = Q.audit(batch, shipment_rules(spark, folder)).split()
     good_path, reject_path = fresh_path(spark, "good"), fresh_path(spark, "rejects")
-    replace_partitions(found.accepted(), good_path, ["month"])
-    found.refused().write.parquet(reject_path)
+    replace_partitions(accepted, good_path, ["month"])
+    rejected.write.parquet(reject_path)
     n = F.count(F.lit(1)).alias("n")
     loaded = spark.read.schema("order_no bigint, month string").parquet(good_path)
     refused = spark.read.schema("order_no bigint, broken_rules array<string>").parquet(reject_path)

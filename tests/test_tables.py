@@ -205,6 +205,29 @@ def test_an_audit_reads_the_batch_once(spark):
     assert (found.refused().count(), found.accepted().count(), n.value) == (50, 50, 100)
 
 
+def test_both_sides_of_an_audit_are_judged_once(spark):
+    def joins(df):
+        return df._jdf.queryExecution().optimizedPlan().toString().count("Join ")
+
+    batch = spark.createDataFrame([(1, 1), (1, None), (2, 9), (None, 2), (None, 2), (4, 3)], "id int, v int")
+    table = [
+        Q.Expect("on_file", "stop", listed=("v", spark.range(5), "id")),
+        Q.Expect("once", "stop", single=("id",)),
+        Q.Expect("known", "note", holds=F.col("v").isNotNull()),
+        Q.Expect("size", "stop", size=(1, 6)),
+    ]
+    found = Q.audit(batch, table)
+    # a join for each of two rules; the size is counted without them
+    assert joins(found.refused()) == 2
+    accepted, refused = found.split()
+    assert (joins(accepted), joins(refused)) == (0, 0)
+    assert accepted.columns == ["id", "v"] and accepted.collect() == found.accepted().collect() == [(4, 3)]
+    reasons = sorted((r["id"] or 0, r["v"] or 0, r["broken_rules"]) for r in refused.collect())
+    assert reasons == sorted((r["id"] or 0, r["v"] or 0, r["broken_rules"]) for r in found.refused().collect())
+    assert reasons == [(0, 2, ["once"]), (0, 2, ["once"]), (1, 0, ["on_file", "once", "known"]), (1, 1, ["once"]), (2, 9, ["on_file"])]
+    assert Q.audit(batch, []).accepted().count() == 6
+
+
 def test_a_report_stores_nothing(spark, monkeypatch):
     monkeypatch.setattr(Q, "stage", lambda *_: pytest.fail("a report needs counts only"))
     batch = spark.createDataFrame([(None, 1), (None, 2), (1, None), (1, 7), (2, 7)], "k int, v int")
